@@ -111,3 +111,164 @@ QUERIES = {
     "daily_unusual": q_daily_unusual,
     "interval_days": q_interval_days,
 }
+
+
+# --- weekly -----------------------------------------------------------------
+from loadlens.operators import weekly as W  # noqa: E402
+from loadlens.operators import utilization as U  # noqa: E402
+from loadlens.operators import profile as P  # noqa: E402
+from loadlens.operators import latenight as L  # noqa: E402
+from loadlens.operators import activity as A  # noqa: E402
+from loadlens.functions.time import jst_hour, weekday_no  # noqa: E402
+from loadlens.settings import special_users_df  # noqa: E402
+
+
+def def_weekly(spark, sf):
+    return W.weekly_trends(W.weekly_totals(def_daily(spark, sf)))
+
+
+def q_weekly_totals(spark, sf):
+    w = W.weekly_totals(def_daily(spark, sf))
+    return w.select("user_id", "ymd", "w_cnt", "a_cnt", "w_dur", "a_dur")
+
+
+def q_weekly_wow(spark, sf):
+    return def_weekly(spark, sf).select("user_id", "ymd", "wow_cnt", "wow_dur")
+
+
+def q_weekly_ma4(spark, sf):
+    return def_weekly(spark, sf).select("user_id", "ymd", _r6("ma4_cnt").alias("ma4_cnt"),
+                                        _r6("ma4_dur").alias("ma4_dur"))
+
+
+def q_weekly_unusual(spark, sf):
+    u = W.weekly_unusual(def_weekly(spark, sf))
+    return u.select("user_id", "ymd", "u_h_cnt", "u_l_cnt", "u_h_dur", "u_l_dur")
+
+
+# --- utilisation ------------------------------------------------------------
+
+def user_grid(spark, sf):
+    """Every user of the readings, with the catalogue's single type."""
+    return (events(spark, sf).select("user_id").distinct()
+            .withColumn("app_type_id", F.lit(X.DEF_APP)))
+
+
+def _hours_out(df, prefix, nan_as=None):
+    cols = []
+    for h in range(24):
+        c = F.col(f"{prefix}{h:02d}")
+        if nan_as is not None:
+            c = F.when(F.isnan(c), F.lit(nan_as)).otherwise(c)
+        cols.append(F.round(c, 6).alias(f"h{h:02d}"))
+    return df.select("user_id", *cols)
+
+
+def q_session_start_hour(spark, sf):
+    s = def_sessions(spark, sf)
+    return s.select("user_id", _day_str().alias("data_day"), "st", jst_hour("st").cast("long").alias("h"))
+
+
+def q_util_long(spark, sf):
+    u = U.utilization_long(def_sessions(spark, sf), def_daily(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
+    return _hours_out(u, "l")
+
+
+def q_util_short(spark, sf):
+    u = U.utilization_short(def_sessions(spark, sf), def_daily(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
+    return _hours_out(u, "s", nan_as=-1.0)
+
+
+def q_util_long_fraction(spark, sf):
+    u = U.utilization_long_fraction(def_sessions(spark, sf), def_daily(spark, sf),
+                                    user_grid(spark, sf), X.AS_OF_DAY)
+    return _hours_out(u, "l")
+
+
+def q_util_weekday(spark, sf):
+    u = U.utilization_weekday(def_sessions(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
+    return _hours_out(u, "")
+
+
+def q_weekday_no(spark, sf):
+    d = readings_all(spark, sf).select(day_no("t").alias("day_no")).distinct()
+    return d.select(_day_str().alias("data_day"),
+                    weekday_no(F.date_from_unix_date(F.col("day_no").cast("int"))).cast("long").alias("w_day"))
+
+
+# --- profile ----------------------------------------------------------------
+
+def typed_readings(spark, sf):
+    return readings_from_events(events(spark, sf))
+
+
+def q_profile_minmax(spark, sf):
+    r = P.profile_readings(typed_readings(spark, sf), X.ALL_TYPE_THRESHOLDS.to_df(spark))
+    p = P.profile_minmax(r, X.AS_OF_DAY)
+    return p.select("user_id", F.col("app_type_id").alias("app"), "min_power", "max_power")
+
+
+def q_profile_rolling(spark, sf):
+    r = P.profile_readings(typed_readings(spark, sf), X.ALL_TYPE_THRESHOLDS.to_df(spark))
+    p = P.profile_rolling(r)
+    return p.select("user_id", F.col("app_type_id").alias("app"), _day_str().alias("data_day"),
+                    "min_power", "max_power")
+
+
+# --- late night -------------------------------------------------------------
+
+def ln_readings(spark, sf):
+    r = readings_all(spark, sf).distinct()
+    return L.latenight_readings(r, special_users_df(spark, X.LATENIGHT_SPECIAL))
+
+
+def ln_sessions(spark, sf):
+    return L.latenight_sessions(ln_readings(spark, sf), X.DEF.to_df(spark),
+                                special_users_df(spark, X.LATENIGHT_SPECIAL))
+
+
+def q_latenight_readings(spark, sf):
+    return ln_readings(spark, sf).select("user_id", "ymd", "t", "power")
+
+
+def q_latenight_sessions(spark, sf):
+    return ln_sessions(spark, sf).filter("kept").select("user_id", "ymd", "st", "et")
+
+
+def q_latenight_tags(spark, sf):
+    t = L.latenight_tags(ln_sessions(spark, sf))
+    return t.select("user_id", "ymd", F.size("tags").cast("long").alias("n_tags"))
+
+
+# --- last activity ----------------------------------------------------------
+
+def q_last_activity(spark, sf):
+    la = A.last_activity(typed_readings(spark, sf), X.ALL_TYPE_THRESHOLDS.to_df(spark))
+    return la.select("user_id", F.col("app_type_id").alias("app"), _day_str().alias("data_day"), "la")
+
+
+def q_last_activity_carry(spark, sf):
+    la = A.last_activity(typed_readings(spark, sf), X.ALL_TYPE_THRESHOLDS.to_df(spark))
+    c = A.last_activity_carry(la)
+    return c.select("user_id", F.col("app_type_id").alias("app"), _day_str().alias("data_day"), "la")
+
+
+QUERIES.update({
+    "weekly_totals": q_weekly_totals,
+    "weekly_wow": q_weekly_wow,
+    "weekly_ma4": q_weekly_ma4,
+    "weekly_unusual": q_weekly_unusual,
+    "session_start_hour": q_session_start_hour,
+    "util_long": q_util_long,
+    "util_short": q_util_short,
+    "util_long_fraction": q_util_long_fraction,
+    "util_weekday": q_util_weekday,
+    "weekday_no": q_weekday_no,
+    "profile_minmax": q_profile_minmax,
+    "profile_rolling": q_profile_rolling,
+    "latenight_readings": q_latenight_readings,
+    "latenight_sessions": q_latenight_sessions,
+    "latenight_tags": q_latenight_tags,
+    "last_activity": q_last_activity,
+    "last_activity_carry": q_last_activity_carry,
+})

@@ -94,3 +94,156 @@ SELECT user_id, {DAY()} AS data_day,
        CAST(CASE WHEN prev IS NULL OR d - prev > 28 THEN -1 ELSE d - prev END AS BIGINT) AS i_day
 FROM lastd""",
 }
+
+
+# --- weekly -----------------------------------------------------------------
+WEEKLY = DAILY + """, labels AS (
+  SELECT DISTINCT user_id, d + k AS L FROM daily, range(7) AS rg(k)
+), wk AS (
+  SELECT l.user_id, l.L, sum(x.cnt) AS w_cnt, sum(x.dur) AS w_dur, count(*) AS n
+  FROM labels l JOIN daily x ON x.user_id = l.user_id AND x.d BETWEEN l.L - 6 AND l.L
+  GROUP BY l.user_id, l.L
+), tr AS (
+  SELECT a.*, b.w_cnt AS c7, b.w_dur AS d7, c.w_cnt AS c14, c.w_dur AS d14,
+         e.w_cnt AS c21, e.w_dur AS d21
+  FROM wk a
+  LEFT JOIN wk b ON b.user_id = a.user_id AND b.L = a.L - 7
+  LEFT JOIN wk c ON c.user_id = a.user_id AND c.L = a.L - 14
+  LEFT JOIN wk e ON e.user_id = a.user_id AND e.L = a.L - 21
+), ma AS (
+  SELECT *, CASE WHEN c7 IS NOT NULL AND c14 IS NOT NULL AND c21 IS NOT NULL
+                 THEN (w_cnt + c7 + c14 + c21) / 4.0 ELSE 0.0 END AS ma4_cnt,
+            CASE WHEN c7 IS NOT NULL AND c14 IS NOT NULL AND c21 IS NOT NULL
+                 THEN (w_dur + d7 + d14 + d21) / 4.0 ELSE 0.0 END AS ma4_dur
+  FROM tr
+)"""
+
+ORACLE.update({
+    "weekly_totals": WEEKLY + """
+SELECT user_id, L * 86400 + 54000 AS ymd, w_cnt, w_cnt // n AS a_cnt, w_dur, w_dur // n AS a_dur FROM wk""",
+    "weekly_wow": WEEKLY + """
+SELECT user_id, L * 86400 + 54000 AS ymd,
+       CASE WHEN c7 IS NULL THEN 0 ELSE w_cnt - c7 END AS wow_cnt,
+       CASE WHEN d7 IS NULL THEN 0 ELSE w_dur - d7 END AS wow_dur FROM tr""",
+    "weekly_ma4": WEEKLY + """
+SELECT user_id, L * 86400 + 54000 AS ymd, round(ma4_cnt, 6) AS ma4_cnt, round(ma4_dur, 6) AS ma4_dur FROM ma""",
+    "weekly_unusual": WEEKLY + """
+SELECT user_id, L * 86400 + 54000 AS ymd,
+  (ma4_cnt <> 0 AND w_cnt > (ma4_cnt + 1.0) * 1.5) AS u_h_cnt,
+  (ma4_cnt <> 0 AND NOT (w_cnt > (ma4_cnt + 1.0) * 1.5) AND w_cnt < (ma4_cnt - 1.0) * 0.5) AS u_l_cnt,
+  (ma4_cnt <> 0 AND w_dur > (ma4_dur + 210.0) * 1.5) AS u_h_dur,
+  (ma4_cnt <> 0 AND NOT (w_dur > (ma4_dur + 210.0) * 1.5) AND w_dur < (ma4_dur - 210.0) * 0.5) AS u_l_dur
+FROM ma""",
+})
+
+
+# --- utilisation ------------------------------------------------------------
+def _util_sql(lo_days: int, mode: str) -> str:
+    a = X.AS_OF_DAY
+    if mode == "weekday":
+        rng = f"({a} - d) BETWEEN 0 AND 55 AND ({a} - d) % 7 = 0"
+    else:
+        rng = f"d > {a - lo_days} AND d <= {a}"
+    hours = ",\n  ".join(
+        f"round(CASE WHEN {{n}} > 0 THEN {{v{h}}} / {{n}} ELSE {{e}} END, 6) AS h{h:02d}" for h in range(24))
+    if mode == "fraction":
+        val = {f"v{h}": f"CAST((SELECT count(DISTINCT s.d) FROM st s WHERE s.user_id = ug.user_id AND s.h = {h}) AS DOUBLE)" for h in range(24)}
+    else:
+        val = {f"v{h}": f"CAST(EXISTS (SELECT 1 FROM st s WHERE s.user_id = ug.user_id AND s.h = {h}) AS INTEGER)" for h in range(24)}
+    if mode == "weekday":
+        n = "8"
+    else:
+        n = "coalesce((SELECT count(DISTINCT x.d) FROM daily x WHERE x.user_id = ug.user_id AND x.cnt > 0 AND x.{rng}), 0)"
+        n = n.replace("x.{rng}", "(" + rng.replace("d ", "x.d ").replace("(" + str(a) + " - d)", f"({a} - x.d)") + ")")
+    empty = "-1.0" if mode == "short" else "0.0"
+    body = hours.replace("{n}", n).replace("{e}", empty)
+    for k, v in val.items():
+        body = body.replace("{" + k + "}", v)
+    return DAILY + f""", st AS (
+  SELECT user_id, d, CAST(((st + 32400) // 3600) % 24 AS INTEGER) AS h FROM sess WHERE {rng}
+), ug AS (SELECT DISTINCT user_id FROM events)
+SELECT user_id,
+  {body}
+FROM ug"""
+
+
+ORACLE.update({
+    "session_start_hour": SESS + f"""
+SELECT user_id, {DAY()} AS data_day, st, CAST(((st + 32400) // 3600) % 24 AS BIGINT) AS h FROM sess""",
+    "util_long": _util_sql(28, "long"),
+    "util_short": _util_sql(7, "short"),
+    "util_long_fraction": _util_sql(28, "fraction"),
+    "util_weekday": _util_sql(0, "weekday"),
+    "weekday_no": "WITH " + R_ALL + f""", dd AS (SELECT DISTINCT (t + 32400) // 86400 AS d FROM r)
+SELECT {DAY()} AS data_day, CAST(isodow(DATE '1970-01-01' + CAST(d AS INTEGER)) - 1 AS BIGINT) AS w_day FROM dd""",
+})
+
+
+# --- profile ----------------------------------------------------------------
+R_TYPED = """rt AS (
+  SELECT user_id, event_type AS app, epoch_us(ts) // 1000000 AS t, value AS power FROM events
+  WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view') AND value IS NOT NULL
+)"""
+
+ORACLE.update({
+    "profile_minmax": "WITH " + R_TYPED + f"""
+SELECT user_id, app, min(power) AS min_power, max(power) AS max_power FROM rt
+WHERE (t + 32400) // 86400 BETWEEN {X.AS_OF_DAY - 13} AND {X.AS_OF_DAY}
+GROUP BY user_id, app""",
+    "profile_rolling": "WITH " + R_TYPED + f""", rd AS (
+  SELECT DISTINCT user_id, app, (t + 32400) // 86400 + k AS d FROM rt, range(14) AS rg(k)
+)
+SELECT rd.user_id, rd.app, {DAY('rd.d')} AS data_day, min(rt.power) AS min_power, max(rt.power) AS max_power
+FROM rd JOIN rt ON rt.user_id = rd.user_id AND rt.app = rd.app
+  AND (rt.t + 32400) // 86400 BETWEEN rd.d - 13 AND rd.d
+GROUP BY rd.user_id, rd.app, rd.d""",
+})
+
+
+# --- late night -------------------------------------------------------------
+LN = "WITH " + R_ALL + """, rd AS (SELECT DISTINCT user_id, t, power FROM r),
+ln AS (
+  SELECT user_id, t, power, ((t + 32400 + 7200) // 86400) * 86400 - 32400 AS ymd FROM rd
+), lnr AS (
+  SELECT * FROM ln WHERE (user_id = 7 AND t - ymd >= -7200 AND t - ymd < 18000)
+                      OR (user_id <> 7 AND t - ymd >= 0 AND t - ymd < 18000)
+), le AS (SELECT * FROM lnr WHERE power > 10
+), lg AS (
+  SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id, ymd ORDER BY t) <= 21600
+                 THEN 0 ELSE 1 END AS nw FROM le
+), ls AS (
+  SELECT *, sum(nw) OVER (PARTITION BY user_id, ymd ORDER BY t
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM lg
+), lsess AS (
+  SELECT user_id, ymd, min(t) AS st, max(t) AS et FROM ls GROUP BY user_id, ymd, sid
+)"""
+
+ORACLE.update({
+    "latenight_readings": LN + """
+SELECT user_id, ymd, t, power FROM lnr""",
+    "latenight_sessions": LN + """
+SELECT user_id, ymd, CASE WHEN user_id = 7 THEN st - 7200 ELSE st END AS st, et + 18000 AS et
+FROM lsess WHERE et - st > 300""",
+    "latenight_tags": LN + """
+SELECT user_id, ymd, CAST(count(*) FILTER (WHERE et - st > 300) AS BIGINT) AS n_tags
+FROM lsess GROUP BY user_id, ymd""",
+})
+
+
+# --- last activity ----------------------------------------------------------
+LA = "WITH " + R_TYPED + """, la AS (
+  SELECT user_id, app, (t + 32400) // 86400 AS d, max(CASE WHEN power > 10 THEN t END) AS la
+  FROM rt GROUP BY user_id, app, (t + 32400) // 86400
+)"""
+
+ORACLE.update({
+    "last_activity": LA + f"""
+SELECT user_id, app, {DAY()} AS data_day, la FROM la""",
+    "last_activity_carry": LA + f"""
+SELECT a.user_id, a.app, {DAY('a.d')} AS data_day,
+  coalesce((SELECT max(b.la) FROM la b
+            WHERE b.user_id = a.user_id AND b.app = a.app AND b.d <= a.d AND b.la IS NOT NULL
+              AND (SELECT count(*) FROM la c WHERE c.user_id = a.user_id AND c.app = a.app
+                   AND c.d BETWEEN b.d AND a.d) = a.d - b.d + 1), 0) AS la
+FROM la a""",
+})
