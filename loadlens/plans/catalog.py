@@ -272,3 +272,191 @@ QUERIES.update({
     "last_activity": q_last_activity,
     "last_activity_carry": q_last_activity_carry,
 })
+
+
+# --- registry, readings, pairing ---------------------------------------------
+from loadlens.operators import registry as G  # noqa: E402
+from loadlens.operators import pairing as PR  # noqa: E402
+from loadlens.operators import ingest as I  # noqa: E402
+from loadlens.operators import watermark as WM  # noqa: E402
+from loadlens.sources.readings import readings_in_range, union_providers  # noqa: E402
+from loadlens.sources.registry import registry_from_customer  # noqa: E402
+
+
+def registry(spark, sf):
+    return registry_from_customer(load_table(spark, sf, "customer"))
+
+
+def allowed_providers(spark, sf):
+    n = load_table(spark, sf, "nation")
+    return n.filter(F.col("n_regionkey") == X.ALLOW_REGION).select(
+        F.col("n_nationkey").cast("string").alias("ser_id"))
+
+
+def q_registry_active(spark, sf):
+    return G.active_users(registry(spark, sf))
+
+
+def q_registry_provider(spark, sf):
+    return G.users_with_provider(registry(spark, sf), allowed_providers(spark, sf)).select("user", "ser_id")
+
+
+def q_user_app_grid(spark, sf):
+    users = G.users_with_provider(registry(spark, sf), allowed_providers(spark, sf))
+    return G.user_app_grid(users, list(X.EVENT_TYPES)).select(
+        "user_id", F.col("app_type_id").alias("app"))
+
+
+def _event_cols(df):
+    from loadlens.functions.time import epoch_seconds
+    return df.select("event_id", "user_id", "event_type", "value", epoch_seconds(df, "ts").alias("t"))
+
+
+def q_readings_range(spark, sf):
+    e = readings_in_range(events(spark, sf), "ts", X.RANGE_START, X.RANGE_END)
+    return _event_cols(e)
+
+
+def q_readings_union_providers(spark, sf):
+    e = events(spark, sf)
+    parts = {k: e.filter(F.pmod(F.col("user_id"), F.lit(3)) == k) for k in range(3)}
+    u = union_providers(parts)
+    from loadlens.functions.time import epoch_seconds
+    return u.select("event_id", "user_id", "event_type", "value",
+                    epoch_seconds(u, "ts").alias("t"), "ser_id")
+
+
+def gapped_readings(spark, sf):
+    """Typed readings with power nulled on every 7th event, each row twice."""
+    e = events(spark, sf)
+    e = e.withColumn("value", F.when(F.pmod(F.col("event_id"), F.lit(7)) == 0, F.lit(None))
+                     .otherwise(F.col("value")))
+    r = readings_from_events(e)
+    return r.unionByName(r)
+
+
+def _rcols(df):
+    return df.select("user_id", F.col("app_type_id").alias("app"), "t", "power")
+
+
+def q_readings_eligible(spark, sf):
+    return _rcols(S.eligible_readings(gapped_readings(spark, sf), X.TYPE_THRESHOLDS.to_df(spark)))
+
+
+def q_readings_distinct(spark, sf):
+    return _rcols(gapped_readings(spark, sf).distinct())
+
+
+def q_readings_nonnull(spark, sf):
+    return _rcols(gapped_readings(spark, sf).filter(F.col("power").isNotNull()))
+
+
+def hourly_pair_input(spark, sf):
+    """click -> '300', view -> '301', summed per (user, hour) with gaps kept null."""
+    r = gapped_readings(spark, sf).filter(F.col("app_type_id").isin("click", "view")).distinct()
+    r = r.withColumn("app_type_id", F.when(F.col("app_type_id") == "click", "300").otherwise("301"))
+    return (r.withColumn("t", F.floor(F.col("t") / 3600) * 3600)
+            .groupBy("user_id", "app_type_id", "t").agg(F.sum("power").alias("power")))
+
+
+def q_null_safe_sum(spark, sf):
+    p = PR.pair_fusion(hourly_pair_input(spark, sf))
+    return p.select("user_id", F.col("t").alias("h"), _r6("power_a").alias("power_a"),
+                    _r6("power_b").alias("power_b"), _r6("power").alias("power"))
+
+
+def q_pair_fusion(spark, sf):
+    p = PR.with_pair(hourly_pair_input(spark, sf))
+    return p.select("user_id", F.col("app_type_id").alias("app"), F.col("t").alias("h"),
+                    _r6("power").alias("power"))
+
+
+# --- ingest windows and watermarks -------------------------------------------
+
+def event_users(spark, sf):
+    e = events(spark, sf)
+    return e.select("user_id").distinct().withColumn(
+        "ser_id", F.pmod(F.col("user_id"), F.lit(3)).cast("string"))
+
+
+def _epoch_events(spark, sf):
+    e = events(spark, sf)
+    from loadlens.functions.time import epoch_seconds
+    return e.select("user_id", epoch_seconds(e, "ts").alias("t"), "ts")
+
+
+def wm_old(spark, sf):
+    e = _epoch_events(spark, sf)
+    e = e.filter((F.pmod(F.col("user_id"), F.lit(3)) != 0) & (F.col("ts") < F.lit(X.WM_CUT).cast("timestamp_ntz")))
+    return e.groupBy("user_id").agg(F.max("t").alias("commited_at"))
+
+
+def wm_new(spark, sf, start=X.WM_CUT):
+    e = _epoch_events(spark, sf)
+    e = e.filter((F.pmod(F.col("user_id"), F.lit(2)) == 0) & (F.col("ts") >= F.lit(start).cast("timestamp_ntz")))
+    return e.select("user_id", F.col("t").alias("commited_at"))
+
+
+def q_ingest_chunks(spark, sf):
+    e = _epoch_events(spark, sf)
+    first = e.groupBy("user_id").agg(F.min("t").alias("st"))
+    w = first.join(event_users(spark, sf), "user_id").withColumn("et", F.lit(X.NOW).cast("long"))
+    return I.chunk_windows(w).select("user_id", "ser_id", "st", "et")
+
+
+def q_ingest_first_run(spark, sf):
+    return I.first_run_windows(event_users(spark, sf), X.NOW).select("user_id", "ser_id", "st", "et")
+
+
+def q_ingest_windows(spark, sf):
+    return I.ingest_windows(event_users(spark, sf), wm_old(spark, sf), X.NOW).select(
+        "user_id", "ser_id", "st", "et")
+
+
+def wm_history(spark, sf):
+    """Daily snapshots: per user and day the day's last epoch, et_hr = yyyymmdd23."""
+    from loadlens.functions.time import yyyymmdd, day_to_label
+    e = _epoch_events(spark, sf).withColumn("day_no", day_no("t"))
+    return (e.groupBy("user_id", "day_no").agg(F.max("t").alias("commited_at"))
+            .withColumn("et_hr", (yyyymmdd(day_to_label("day_no")) * 100 + 23).cast("int")))
+
+
+def q_watermark_latest(spark, sf):
+    return WM.latest_snapshot(wm_history(spark, sf))
+
+
+def q_watermark_join(spark, sf):
+    j = event_users(spark, sf).join(wm_old(spark, sf), "user_id", "left")
+    return j.select("user_id", F.col("commited_at").alias("st"))
+
+
+def q_watermark_merge(spark, sf):
+    return WM.merge_watermarks(wm_new(spark, sf), wm_old(spark, sf))
+
+
+def q_watermark_carry(spark, sf):
+    # new side: events at or after "now" -- none exist, so the old snapshot carries over
+    from datetime import datetime, timezone
+    now_text = datetime.fromtimestamp(X.NOW, timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    return WM.merge_watermarks(wm_new(spark, sf, now_text), wm_old(spark, sf))
+
+
+QUERIES.update({
+    "registry_active": q_registry_active,
+    "registry_provider": q_registry_provider,
+    "user_app_grid": q_user_app_grid,
+    "readings_range": q_readings_range,
+    "readings_union_providers": q_readings_union_providers,
+    "readings_eligible": q_readings_eligible,
+    "readings_distinct": q_readings_distinct,
+    "readings_nonnull": q_readings_nonnull,
+    "null_safe_sum": q_null_safe_sum,
+    "pair_fusion": q_pair_fusion,
+    "ingest_chunks": q_ingest_chunks,
+    "ingest_first_run": q_ingest_first_run,
+    "ingest_windows": q_ingest_windows,
+    "watermark_latest": q_watermark_latest,
+    "watermark_join": q_watermark_join,
+    "watermark_merge": q_watermark_merge,
+    "watermark_carry": q_watermark_carry,
+})

@@ -247,3 +247,121 @@ SELECT a.user_id, a.app, {DAY('a.d')} AS data_day,
                    AND c.d BETWEEN b.d AND a.d) = a.d - b.d + 1), 0) AS la
 FROM la a""",
 })
+
+
+# --- registry, readings, pairing ---------------------------------------------
+REG = """reg AS (
+  SELECT CAST(c_nationkey AS VARCHAR) || '_' || CAST(c_custkey AS VARCHAR) AS "user",
+         CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS is_active FROM customer
+), prov AS (
+  SELECT "user", regexp_extract("user", '(\\d+)_([a-zA-Z0-9]+)', 1) AS ser_id FROM reg WHERE is_active = 1
+), allowed AS (
+  SELECT "user", ser_id FROM prov
+  WHERE ser_id IN (SELECT CAST(n_nationkey AS VARCHAR) FROM nation WHERE n_regionkey = 1)
+)"""
+
+GAPPED = """gp AS (
+  SELECT user_id, event_type AS app, epoch_us(ts) // 1000000 AS t,
+         CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS power FROM events
+), g2 AS (SELECT * FROM gp UNION ALL SELECT * FROM gp)"""
+
+PAIR = "WITH " + GAPPED + """, hp AS (
+  SELECT user_id, CASE WHEN app = 'click' THEN '300' ELSE '301' END AS app, (t // 3600) * 3600 AS h,
+         sum(power) AS power
+  FROM (SELECT DISTINCT * FROM gp WHERE app IN ('click', 'view'))
+  GROUP BY 1, 2, 3
+), a AS (SELECT user_id, h, power FROM hp WHERE app = '300'
+), b AS (SELECT user_id, h, power FROM hp WHERE app = '301'
+), fused AS (
+  SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.h, b.h) AS h,
+         a.power AS power_a, b.power AS power_b,
+         (CASE WHEN a.power IS NULL THEN 0.0 ELSE a.power END)
+         + (CASE WHEN b.power IS NULL THEN 0.0 ELSE b.power END) AS power
+  FROM a FULL OUTER JOIN b ON a.user_id = b.user_id AND a.h = b.h
+)"""
+
+ORACLE.update({
+    "registry_active": "WITH " + REG + """
+SELECT "user" FROM reg WHERE is_active = 1""",
+    "registry_provider": "WITH " + REG + """
+SELECT "user", ser_id FROM allowed""",
+    "user_app_grid": "WITH " + REG + """
+SELECT "user" AS user_id, app FROM allowed,
+  (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) AS v(app)""",
+    "readings_range": """
+SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000000 AS t FROM events
+WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00'""",
+    "readings_union_providers": """
+SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000000 AS t,
+       CAST(user_id % 3 AS VARCHAR) AS ser_id FROM events""",
+    "readings_eligible": "WITH " + GAPPED + """
+SELECT user_id, app, t, power FROM g2
+WHERE (app IN ('click', 'purchase', 'view')) AND power > 10""",
+    "readings_distinct": "WITH " + GAPPED + """
+SELECT DISTINCT user_id, app, t, power FROM g2""",
+    "readings_nonnull": "WITH " + GAPPED + """
+SELECT user_id, app, t, power FROM g2 WHERE power IS NOT NULL""",
+    "null_safe_sum": PAIR + """
+SELECT user_id, h, round(power_a, 6) AS power_a, round(power_b, 6) AS power_b, round(power, 6) AS power
+FROM fused""",
+    "pair_fusion": PAIR + """
+SELECT user_id, app, h, round(power, 6) AS power FROM hp
+UNION ALL
+SELECT user_id, '300301' AS app, h, round(power, 6) AS power FROM fused""",
+})
+
+
+# --- ingest windows and watermarks -------------------------------------------
+EU = """eu AS (SELECT DISTINCT user_id, CAST(user_id % 3 AS VARCHAR) AS ser_id FROM events
+), ep AS (SELECT user_id, epoch_us(ts) // 1000000 AS t, ts FROM events
+), old AS (
+  SELECT user_id, max(t) AS commited_at FROM ep
+  WHERE user_id % 3 <> 0 AND ts < TIMESTAMP '2024-01-16 00:00:00' GROUP BY user_id
+), new AS (
+  SELECT user_id, t AS commited_at FROM ep WHERE user_id % 2 = 0 AND ts >= TIMESTAMP '2024-01-16 00:00:00'
+)"""
+
+
+def _chunks(src: str) -> str:
+    return f"""RECURSIVE {EU}, w AS ({src}
+), c AS (
+  SELECT user_id, ser_id, st AS s, et FROM w WHERE et > st
+  UNION ALL
+  SELECT user_id, ser_id, s + 86340, et FROM c WHERE et - s >= 86340 AND et - (s + 86340) > 0
+)"""
+
+
+CHUNK_OUT = """
+SELECT user_id, ser_id, s AS st, CASE WHEN et - s >= 86340 THEN s + 86339 ELSE et END AS et FROM c"""
+
+NOW = X.NOW
+
+ORACLE.update({
+    "ingest_chunks": "WITH " + _chunks(
+        f"SELECT eu.user_id, eu.ser_id, min(ep.t) AS st, CAST({NOW} AS BIGINT) AS et "
+        "FROM eu JOIN ep ON eu.user_id = ep.user_id GROUP BY eu.user_id, eu.ser_id") + CHUNK_OUT,
+    "ingest_first_run": "WITH " + _chunks(
+        f"SELECT user_id, ser_id, CAST({NOW - 259200} AS BIGINT) AS st, CAST({NOW} AS BIGINT) AS et FROM eu")
+    + CHUNK_OUT,
+    "ingest_windows": "WITH " + _chunks(
+        f"SELECT eu.user_id, eu.ser_id, coalesce(old.commited_at, {NOW - 259200}) AS st, "
+        f"CAST({NOW} AS BIGINT) AS et FROM eu LEFT JOIN old ON eu.user_id = old.user_id") + f"""
+SELECT user_id, ser_id, s AS st, CASE WHEN et - s >= 86340 THEN s + 86339 ELSE et END AS et FROM c
+WHERE et - (SELECT st FROM w WHERE w.user_id = c.user_id) >= 86400
+UNION ALL
+SELECT user_id, ser_id, st, et FROM w WHERE et - st < 86400""",
+    "watermark_latest": "WITH " + EU + """, hist AS (
+  SELECT user_id, max(t) AS commited_at,
+         CAST(strftime(DATE '1970-01-01' + CAST((t + 32400) // 86400 AS INTEGER), '%Y%m%d') AS INTEGER) * 100 + 23 AS et_hr
+  FROM ep GROUP BY user_id, (t + 32400) // 86400
+)
+SELECT DISTINCT user_id, commited_at FROM hist WHERE et_hr = (SELECT max(et_hr) FROM hist)""",
+    "watermark_join": "WITH " + EU + """
+SELECT eu.user_id, old.commited_at AS st FROM eu LEFT JOIN old ON eu.user_id = old.user_id""",
+    "watermark_merge": "WITH " + EU + """, nm AS (SELECT user_id, max(commited_at) AS commited_at FROM new GROUP BY user_id)
+SELECT user_id, commited_at FROM nm
+UNION ALL
+SELECT user_id, commited_at FROM old WHERE user_id NOT IN (SELECT user_id FROM nm)""",
+    "watermark_carry": "WITH " + EU + """
+SELECT user_id, commited_at FROM old""",
+})
