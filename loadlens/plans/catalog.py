@@ -460,3 +460,94 @@ QUERIES.update({
     "watermark_merge": q_watermark_merge,
     "watermark_carry": q_watermark_carry,
 })
+
+
+# --- payloads ----------------------------------------------------------------
+from loadlens.operators import payload as PL  # noqa: E402
+from loadlens.plans import payload_input as PI  # noqa: E402
+from loadlens.sources.schemas import NESTED_ESTIMATE  # noqa: E402
+
+
+def _pcols(df):
+    return df.select("user_id", F.col("app_id").cast("long").alias("app_id"), "t", _r6("power").alias("power"))
+
+
+def all_payloads(spark, sf):
+    return PI.estimate_payloads(PI.payload_points(events(spark, sf)), X.NOW, 0)
+
+
+def committed_payloads(spark, sf):
+    return PI.estimate_payloads(PI.payload_points(events(spark, sf)), X.PAYLOAD_COMMIT, X.PAYLOAD_ST)
+
+
+def q_payload_flatten(spark, sf):
+    return _pcols(PL.flatten_estimates(all_payloads(spark, sf)))
+
+
+def q_payload_committed(spark, sf):
+    return _pcols(PL.flatten_estimates(committed_payloads(spark, sf)))
+
+
+def q_activity_committed(spark, sf):
+    p = PI.activity_payloads(PI.payload_points(events(spark, sf)), X.PAYLOAD_COMMIT)
+    return _pcols(PL.flatten_activity(p))
+
+
+def q_payload_nest(spark, sf):
+    nested = PL.nest_estimates(PL.flatten_estimates(committed_payloads(spark, sf)))
+    text = nested.select(F.to_json(F.struct("user_id", "data")).alias("json"))
+    back = text.select(F.from_json("json", NESTED_ESTIMATE).alias("r")).select("r.*")
+    return _pcols(PL.unnest_estimates(back))
+
+
+def q_payload_unnest(spark, sf):
+    pts = PI.payload_points(events(spark, sf))
+    nested = PL.nest_estimates(pts)
+    text = nested.select(F.to_json(F.struct("user_id", "data")).alias("json"))
+    back = text.select(F.from_json("json", NESTED_ESTIMATE).alias("r")).select("r.*")
+    return _pcols(PL.unnest_estimates(back))
+
+
+def q_payload_by_day(spark, sf):
+    p = all_payloads(spark, sf)
+    ts = p.select(F.col("customer").alias("user_id"),
+                  F.explode(F.element_at("data", 1)["timestamps"]).alias("t"))
+    return (PL.with_partition(ts).groupBy("user_id", "partition")
+            .agg(F.count(F.lit(1)).alias("n_ts"))
+            .select("user_id", F.col("partition").cast("long").alias("day"), "n_ts"))
+
+
+def _est_main(spark, sf):
+    p = committed_payloads(spark, sf)
+    est = PL.flatten_estimates(p)
+    main = PL.flatten_main(p)
+    return PL.nest_estimates(est), PL.nest_main(main, est)
+
+
+def q_payload_main(spark, sf):
+    _, m = _est_main(spark, sf)
+    return m.select("user_id", F.col("partition").cast("long").alias("day"),
+                    F.size("data").cast("long").alias("n_main"))
+
+
+def q_payload_records(spark, sf):
+    e, m = _est_main(spark, sf)
+    rec = PL.payload_records(e, m)
+    from loadlens.sources.schemas import NESTED_MAIN
+    est = F.from_json("est_json", NESTED_ESTIMATE)
+    mai = F.from_json("main_json", NESTED_MAIN)
+    return rec.select("user_id", F.col("partition").cast("long").alias("day"),
+                      F.coalesce(F.size(est["data"]), F.lit(0)).cast("long").alias("n_est"),
+                      F.coalesce(F.size(mai["data"]), F.lit(0)).cast("long").alias("n_main"))
+
+
+QUERIES.update({
+    "payload_flatten": q_payload_flatten,
+    "payload_committed": q_payload_committed,
+    "activity_committed": q_activity_committed,
+    "payload_nest": q_payload_nest,
+    "payload_unnest": q_payload_unnest,
+    "payload_by_day": q_payload_by_day,
+    "payload_main": q_payload_main,
+    "payload_records": q_payload_records,
+})

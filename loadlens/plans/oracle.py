@@ -365,3 +365,70 @@ SELECT user_id, commited_at FROM old WHERE user_id NOT IN (SELECT user_id FROM n
     "watermark_carry": "WITH " + EU + """
 SELECT user_id, commited_at FROM old""",
 })
+
+
+# --- payloads ----------------------------------------------------------------
+PTS = """pts AS (
+  SELECT CAST(user_id AS VARCHAR) AS user_id,
+         CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
+                              WHEN 'signup' THEN 4 WHEN 'view' THEN 5 END AS BIGINT) AS app_id,
+         epoch_us(ts) // 1000000 AS t,
+         max(CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN 0.0 ELSE value END) AS power
+  FROM events GROUP BY 1, 2, 3
+)"""
+
+
+def _dense(window: int) -> str:
+    # every (timestamp of the window) x (type present in the window), value or null
+    return PTS + f""", pw AS (SELECT *, t // {window} AS w FROM pts
+), dense AS (
+  SELECT tt.user_id, tt.w, aa.app_id, tt.t, pw.power
+  FROM (SELECT DISTINCT user_id, w, t FROM pw) tt
+  JOIN (SELECT DISTINCT user_id, w, app_id FROM pw) aa ON aa.user_id = tt.user_id AND aa.w = tt.w
+  LEFT JOIN pw ON pw.user_id = tt.user_id AND pw.app_id = aa.app_id AND pw.t = tt.t
+)"""
+
+
+PC, PS = X.PAYLOAD_COMMIT, X.PAYLOAD_ST
+EST = "WITH " + _dense(86340) + f""", est AS (
+  SELECT user_id, app_id, t, power FROM dense
+  WHERE t > {PS} AND t <= {PC} AND (power > 0 OR power IS NULL)
+), mainv AS (
+  SELECT user_id, t, sum(power) AS main FROM pw GROUP BY user_id, t
+), mk AS (
+  SELECT m.user_id, m.t FROM mainv m
+  WHERE m.t > {PS} AND m.t <= {PC} AND (m.main > 0 OR m.main IS NULL)
+    AND EXISTS (SELECT 1 FROM est e WHERE e.user_id = m.user_id AND e.t = m.t)
+), ed AS (
+  SELECT user_id, CAST(strftime(DATE '1970-01-01' + CAST((t + 32400) // 86400 AS INTEGER), '%Y%m%d') AS BIGINT) AS day,
+         count(DISTINCT t) AS n_est FROM est GROUP BY 1, 2
+), md AS (
+  SELECT user_id, CAST(strftime(DATE '1970-01-01' + CAST((t + 32400) // 86400 AS INTEGER), '%Y%m%d') AS BIGINT) AS day,
+         count(*) AS n_main FROM mk GROUP BY 1, 2
+)"""
+
+ORACLE.update({
+    "payload_flatten": "WITH " + _dense(86340) + f"""
+SELECT user_id, app_id, t, round(power, 6) AS power FROM dense
+WHERE t > 0 AND t <= {X.NOW} AND (power > 0 OR power IS NULL)""",
+    "payload_committed": "WITH " + _dense(86340) + f"""
+SELECT user_id, app_id, t, round(power, 6) AS power FROM dense
+WHERE t > {PS} AND t <= {PC} AND (power > 0 OR power IS NULL)""",
+    "activity_committed": "WITH " + _dense(600) + f"""
+SELECT user_id, app_id, t, round(power, 6) AS power FROM dense
+WHERE {PC} >= w * 600 AND t <= {PC} AND power > 0""",
+    "payload_nest": EST + """
+SELECT user_id, app_id, t, round(power, 6) AS power FROM est""",
+    "payload_unnest": "WITH " + PTS + """
+SELECT user_id, app_id, t, round(power, 6) AS power FROM pts""",
+    "payload_by_day": "WITH " + PTS + """
+SELECT user_id, CAST(strftime(DATE '1970-01-01' + CAST((t + 32400) // 86400 AS INTEGER), '%Y%m%d') AS BIGINT) AS day,
+       count(DISTINCT t) AS n_ts
+FROM pts GROUP BY 1, 2""",
+    "payload_main": EST + """
+SELECT user_id, day, n_main FROM md""",
+    "payload_records": EST + """
+SELECT coalesce(ed.user_id, md.user_id) AS user_id, coalesce(ed.day, md.day) AS day,
+       coalesce(ed.n_est, 0) AS n_est, coalesce(md.n_main, 0) AS n_main
+FROM ed FULL OUTER JOIN md ON ed.user_id = md.user_id AND ed.day = md.day""",
+})
