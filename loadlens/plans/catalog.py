@@ -551,3 +551,100 @@ QUERIES.update({
     "payload_main": q_payload_main,
     "payload_records": q_payload_records,
 })
+
+
+# --- store, labels, sinks ----------------------------------------------------
+from loadlens.operators import store as ST  # noqa: E402
+from loadlens.operators import sinks as SK  # noqa: E402
+from loadlens.functions.time import label_of_t, yyyymm, yyyymmdd  # noqa: E402
+from loadlens.session import fresh_path  # noqa: E402
+
+
+def event_cells(spark, sf, parity=None):
+    e = events(spark, sf)
+    from loadlens.functions.time import epoch_seconds
+    if parity is not None:
+        e = e.filter(F.pmod(F.col("event_id"), F.lit(2)) == parity)
+    return e.select(F.col("user_id"), F.col("event_type").alias("app_type_id"),
+                    label_of_t(epoch_seconds(e, "ts")).alias("ymd"),
+                    F.lit("Daily").alias("family"), F.lit("value").alias("col"),
+                    F.col("value").cast("string").alias("value"),
+                    F.col("event_id").alias("version"))
+
+
+def _cell_out(df, *extra):
+    return df.select("user_id", F.col("app_type_id").alias("app"), "ymd",
+                     F.round(F.col("value").cast("double"), 6).alias("value"), "version", *extra)
+
+
+def q_store_upsert(spark, sf):
+    first = ST.latest_cells(event_cells(spark, sf, 0))
+    return _cell_out(ST.upsert(first, event_cells(spark, sf, 1)))
+
+
+def q_store_latest_cell(spark, sf):
+    e = events(spark, sf)
+    from loadlens.functions.time import epoch_seconds
+    keys = e.filter(F.col("value") > 100).select(
+        "user_id", F.col("event_type").alias("app_type_id"),
+        label_of_t(epoch_seconds(e, "ts")).alias("ymd"))
+    return _cell_out(ST.lookup_cells(event_cells(spark, sf), keys))
+
+
+def q_store_month_shard(spark, sf):
+    path = fresh_path(spark, "cells")
+    ST.upsert_table(spark, path, event_cells(spark, sf, 0))
+    ST.upsert_table(spark, path, event_cells(spark, sf, 1))
+    t = spark.read.parquet(path)
+    return _cell_out(t, F.col("yyyymm").cast("long").alias("yyyymm"))
+
+
+def q_row_key(spark, sf):
+    return ST.with_row_key(def_daily(spark, sf)).select("user_id", "ymd", "row_key")
+
+
+def q_time_labels(spark, sf):
+    e = events(spark, sf)
+    from loadlens.functions.time import epoch_seconds
+    y = label_of_t(epoch_seconds(e, "ts"))
+    return e.select("event_id", y.alias("ymd"), yyyymm(y).cast("long").alias("yyyymm"),
+                    yyyymmdd(y).cast("long").alias("yyyymmdd"))
+
+
+def q_sink_partition_counts(spark, sf):
+    r = typed_readings(spark, sf)
+    r = r.withColumn("ser_id", F.pmod(F.col("user_id"), F.lit(3)).cast("string"))
+    r = PL.with_partition(r)
+    path = fresh_path(spark, "sink")
+    SK.write_partitioned_json(r, path)
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("app_type_id", T.StringType()),
+                           T.StructField("t", T.LongType()), T.StructField("power", T.DoubleType())])
+    back = SK.load_with_schema(spark, path, schema, {"ser_id": T.StringType(), "partition": T.IntegerType()})
+    return back.groupBy("ser_id", "partition").agg(F.count(F.lit(1)).alias("n")).select(
+        "ser_id", F.col("partition").cast("long").alias("partition"), "n")
+
+
+def q_load_schema_enforced(spark, sf):
+    from pyspark.sql import types as T
+    pts = PI.payload_points(events(spark, sf))
+    nested = PL.nest_estimates(pts).withColumn("ser_id", F.pmod(F.col("user_id").cast("long"), F.lit(3)).cast("string"))
+    rec = nested.select(F.to_json(F.struct("user_id", "data")).alias("est_json"), "ser_id", "partition")
+    text_path = fresh_path(spark, "est-text")
+    SK.write_partitioned_text(rec, "est_json", text_path)
+    loaded = SK.load_with_schema(spark, text_path, NESTED_ESTIMATE,
+                                 {"ser_id": T.StringType(), "partition": T.IntegerType()})
+    table_path = fresh_path(spark, "est-table")
+    SK.load_into_table(loaded, table_path)
+    return _pcols(PL.unnest_estimates(spark.read.parquet(table_path)))
+
+
+QUERIES.update({
+    "store_upsert": q_store_upsert,
+    "store_latest_cell": q_store_latest_cell,
+    "store_month_shard": q_store_month_shard,
+    "row_key": q_row_key,
+    "time_labels": q_time_labels,
+    "sink_partition_counts": q_sink_partition_counts,
+    "load_schema_enforced": q_load_schema_enforced,
+})

@@ -432,3 +432,40 @@ SELECT coalesce(ed.user_id, md.user_id) AS user_id, coalesce(ed.day, md.day) AS
        coalesce(ed.n_est, 0) AS n_est, coalesce(md.n_main, 0) AS n_main
 FROM ed FULL OUTER JOIN md ON ed.user_id = md.user_id AND ed.day = md.day""",
 })
+
+
+# --- store, labels, sinks ----------------------------------------------------
+CELLS = """cells AS (
+  SELECT user_id, event_type AS app, ((epoch_us(ts) // 1000000 + 32400) // 86400) * 86400 + 54000 AS ymd,
+         value, event_id AS version FROM events
+), newest AS (
+  SELECT c.* FROM cells c
+  WHERE c.version = (SELECT max(d.version) FROM cells d
+                     WHERE d.user_id = c.user_id AND d.app = c.app AND d.ymd = c.ymd)
+)"""
+
+ORACLE.update({
+    "store_upsert": "WITH " + CELLS + """
+SELECT user_id, app, ymd, round(value, 6) AS value, version FROM newest""",
+    "store_latest_cell": "WITH " + CELLS + """
+SELECT n.user_id, n.app, n.ymd, round(n.value, 6) AS value, n.version FROM newest n
+WHERE EXISTS (SELECT 1 FROM cells k WHERE k.value > 100 AND k.user_id = n.user_id
+              AND k.app = n.app AND k.ymd = n.ymd)""",
+    "store_month_shard": "WITH " + CELLS + """
+SELECT user_id, app, ymd, round(value, 6) AS value, version,
+       CAST(strftime(make_timestamp(ymd * 1000000), '%Y%m') AS BIGINT) AS yyyymm FROM newest""",
+    "row_key": DAILY + """
+SELECT user_id, ymd, md5(trim(CAST(user_id AS VARCHAR)) || trim(CAST(ymd AS VARCHAR))) || 'all' AS row_key
+FROM daily""",
+    "time_labels": """
+WITH l AS (SELECT event_id, ((epoch_us(ts) // 1000000 + 32400) // 86400) * 86400 + 54000 AS ymd FROM events)
+SELECT event_id, ymd, CAST(strftime(make_timestamp(ymd * 1000000), '%Y%m') AS BIGINT) AS yyyymm,
+       CAST(strftime(make_timestamp(ymd * 1000000), '%Y%m%d') AS BIGINT) AS yyyymmdd FROM l""",
+    "sink_partition_counts": """
+SELECT CAST(user_id % 3 AS VARCHAR) AS ser_id,
+       CAST(strftime(DATE '1970-01-01' + CAST((epoch_us(ts) // 1000000 + 32400) // 86400 AS INTEGER), '%Y%m%d') AS BIGINT) AS partition,
+       count(*) AS n
+FROM events GROUP BY 1, 2""",
+    "load_schema_enforced": "WITH " + PTS + """
+SELECT user_id, app_id, t, round(power, 6) AS power FROM pts""",
+})
