@@ -1,0 +1,100 @@
+import random
+
+from hypothesis import given, settings as hsettings, strategies as st
+
+from conftest import D0, D0_DAY, readings
+from loadlens.operators import daily as D
+from loadlens.operators import sessions as S
+from loadlens.settings import Thresholds
+
+U = "12_ab1"
+
+
+def _rows(df, *cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_gap_equal_to_threshold_stays_and_min_duration(spark):
+    pts = [0, 300, 600, 1200, 1801, 2000]
+    r = readings(spark, [(U, "25", D0 + p, 20.0) for p in pts] + [(U, "25", D0 + 2100, 5.0)])
+    th = Thresholds().to_df(spark)
+    s = S.sessions(r, th)
+    assert _rows(s, "st", "et") == [(D0, D0 + 1200)]
+    d = D.daily_metrics(s)
+    assert _rows(d, "cnt", "dur", "ymd") == [(1, 1200, D0_DAY * 86400 + 54000)]
+    # compat keeps every non-null power: second session becomes [1801, 2100], still too short
+    sc = S.sessions(r, th, compat=True)
+    assert _rows(sc, "st", "et") == [(D0, D0 + 1200)]
+    keep = S.sessions_from_eligible(
+        S.eligible_readings(r, th).withColumn("day_no", __import__("loadlens.functions.time", fromlist=["x"]).day_no("t")),
+        ["user_id", "app_type_id", "day_no"], keep_short=True)
+    assert _rows(keep, "st", "et") == [(D0, D0 + 1200), (D0 + 1801, D0 + 2000)]
+
+
+def test_midnight_split(spark):
+    th = Thresholds({"x": [10, 0, 3600]}).to_df(spark)
+    r = readings(spark, [(U, "x", D0 + p, 20.0) for p in (86100, 86300, 86500, 86700)])
+    s = S.sessions(r, th)
+    assert _rows(s, "day_no", "st", "et") == [
+        (D0_DAY, D0 + 86100, D0 + 86300), (D0_DAY + 1, D0 + 86500, D0 + 86700)]
+
+
+def test_native_session_window_matches(spark):
+    rnd = random.Random(3)
+    rows = []
+    for u in range(5):
+        t = D0
+        for _ in range(300):
+            t += rnd.choice([1, 30, 599, 600, 601, 3000, 4000])
+            rows.append((f"u{u}", rnd.choice(["25", "2", "20"]), t, rnd.choice([5.0, 20.0])))
+    r = readings(spark, rows)
+    th = Thresholds().to_df(spark)
+    a = _rows(S.sessions(r, th), "user_id", "app_type_id", "day_no", "st", "et")
+    b = _rows(S.sessions_native(r, th), "user_id", "app_type_id", "day_no", "st", "et")
+    assert a == b and len(a) > 10
+
+
+def brute_sessions(rows, gap, min_dur, min_power):
+    """Direct transcription of the definition: sort, split on gap > max_gap."""
+    out = []
+    by = {}
+    for u, t, p in rows:
+        if p is not None and p > min_power:
+            by.setdefault((u, (t + 32400) // 86400), []).append(t)
+    for (u, d), ts in by.items():
+        ts.sort()
+        start = prev = ts[0]
+        for t in ts[1:]:
+            if t - prev > gap:
+                out.append((u, d, start, prev))
+                start = t
+            prev = t
+        out.append((u, d, start, prev))
+    return sorted(x for x in out if x[3] - x[2] > min_dur)
+
+
+@hsettings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "hot"]), st.integers(0, 3 * 86400),
+                          st.sampled_from([None, 5.0, 10.0, 11.0, 50.0])), min_size=1, max_size=200),
+       st.sampled_from([0, 1, 60, 600, 3600]), st.sampled_from([0, 10, 300]))
+def test_sessions_equal_brute_force(spark, pts, gap, min_dur):
+    # the "hot" user gets most rows: buckets must still merge correctly
+    rows = [(u, D0 + t, p) for u, t, p in pts]
+    r = readings(spark, [(u, "k", t, p) for u, t, p in rows])
+    th = Thresholds({"k": [10, min_dur, gap]}).to_df(spark)
+    got = _rows(S.sessions(r, th), "user_id", "day_no", "st", "et")
+    assert got == brute_sessions(rows, gap, min_dur, 10)
+
+
+def test_one_tags_sorted(spark):
+    th = Thresholds({"x": [10, 0, 10]}).to_df(spark)
+    r = readings(spark, [(U, "x", D0 + p, 20.0) for p in (500, 505, 0, 5, 100, 101)])
+    t = S.one_tags(S.sessions(r, th)).collect()[0]
+    assert [(x.st, x.et) for x in t.tags] == [(D0, D0 + 5), (D0 + 100, D0 + 101), (D0 + 500, D0 + 505)]
+
+
+def test_pack_readings_chunks(spark):
+    r = readings(spark, [(U, "x", D0 + p, float(p)) for p in (7200, 5, 3, 3700)])
+    p = S.pack_readings(r, ["user_id"], chunk_seconds=3600)
+    got = sorted((row.chunk, [x.t - D0 for x in row.ts_power]) for row in p.collect())
+    assert [g[1] for g in got] == [[3, 5], [3700], [7200]]
