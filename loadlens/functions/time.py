@@ -27,7 +27,10 @@ def epoch_seconds(df: DataFrame, col: str) -> Column:
     """
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+        c = F.col(col)
+        # wall-clock fields of a timestamp_ntz are zone-free
+        return (F.unix_date(F.to_date(c)).cast("long") * F.lit(DAY)
+                + F.hour(c) * F.lit(3600) + F.minute(c) * F.lit(60) + F.second(c)).cast("long")
     if isinstance(dtype, T.TimestampType):
         return F.unix_seconds(F.col(col))
     return F.col(col).cast("long")

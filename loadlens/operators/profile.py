@@ -27,11 +27,14 @@ def profile_rolling(readings: DataFrame, days: int = 14,
                     keys=("user_id", "app_type_id")) -> DataFrame:
     """The same profile for every label day that has data in its window.
 
-    Daily min/max first (map-side combined), then each day row is fanned out
-    to the ``days`` labels whose window contains it.
+    Daily min/max first (map-side combined), then the day rows are shuffled
+    once by key and each is fanned out to the ``days`` labels whose window
+    contains it; the label aggregation reuses that partitioning, so the
+    fan-out never crosses the network.
     """
     daily = (readings.withColumn("day_no", day_no("t")).groupBy(*keys, "day_no")
-             .agg(F.min("power").alias("mn"), F.max("power").alias("mx")))
+             .agg(F.min("power").alias("mn"), F.max("power").alias("mx"))
+             .repartition(*keys))
     return (fan_out_labels(daily, days).groupBy(*keys, "label_day")
             .agg(F.min("mn").alias("min_power"), F.max("mx").alias("max_power"))
             .withColumnRenamed("label_day", "day_no"))

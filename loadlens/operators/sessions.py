@@ -11,7 +11,8 @@ seconds.  Two readings inside one bucket are at most ``max_gap`` apart, so a
 bucket never contains a split and can be reduced to (first, last) by an
 ordinary partially-aggregated ``groupBy``.  Only the bucket summaries (at
 most 86,400 per key and day, whatever the row volume) go through the
-ordered window that finds splits.  A hot key therefore costs map-side
+ordered window that finds splits; that window is keyed by (user, type) and
+its partitioning is reused by the daily, history and weekly steps.  A hot key therefore costs map-side
 combining, not one oversized sort.
 """
 
@@ -39,9 +40,17 @@ def sessions_from_eligible(df: DataFrame, group_cols: list[str],
                            keep_short: bool = False) -> DataFrame:
     """Sessions of already-eligible rows carrying ``max_gap``/``min_duration``.
 
+    ``group_cols`` is (entity..., group): sessions never span two groups (the
+    last column, a day or late-night label).  The ordered window runs per
+    entity over (group, bucket), so its output stays hash-partitioned by the
+    entity and later per-entity steps (daily sums, history windows, weekly
+    fan-out) need no further shuffle.  A window partition holds bucket
+    summaries only: at most 86,400 per entity and day.
+
     Output: group_cols + [st, et, min_duration].  ``keep_short`` keeps the
     sessions failing the duration rule (used for empty late-night lists).
     """
+    entity, group = list(group_cols[:-1]), group_cols[-1]
     width = F.col("max_gap") + F.lit(1)
     buckets = (
         df.withColumn("b", F.floor(F.col("t") / width))
@@ -50,10 +59,12 @@ def sessions_from_eligible(df: DataFrame, group_cols: list[str],
              F.first("max_gap").alias("max_gap"),
              F.first("min_duration").alias("min_duration"))
     )
-    w = Window.partitionBy(*group_cols).orderBy("b")
+    w = Window.partitionBy(*entity).orderBy(group, "b")
     prev_l = F.lag("l").over(w)
-    starts = buckets.withColumn(
-        "new", F.when(prev_l.isNull() | ((F.col("f") - prev_l) > F.col("max_gap")), 1).otherwise(0))
+    prev_g = F.lag(group).over(w)
+    split = (prev_l.isNull() | (prev_g != F.col(group))
+             | ((F.col("f") - prev_l) > F.col("max_gap")))
+    starts = buckets.withColumn("new", F.when(split, 1).otherwise(0))
     starts = starts.withColumn(
         "sid", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     sessions = (
