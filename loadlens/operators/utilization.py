@@ -1,4 +1,11 @@
-"""Hour-of-day utilisation profiles (long 28 d, short 7 d, weekday 8 weeks)."""
+"""Hour-of-day utilisation profiles (long 28 d, short 7 d, weekday 8 weeks).
+
+A day is active when it has at least one kept session, so hour flags, the
+per-hour day counts and the active-day count all come from two aggregations
+over the sessions of the window.  Both group by a superset of the entity
+key, so they reuse the sessions' partitioning; only the (small) user grid is
+shuffled for the final left join.
+"""
 
 from __future__ import annotations
 
@@ -15,30 +22,24 @@ def session_start_hour(sess: DataFrame) -> DataFrame:
     return sess.withColumn("h", jst_hour("st"))
 
 
-def _hour_flags(starts: DataFrame, keys) -> DataFrame:
-    """f00..f23 = 1 if any session of the key starts in that JST hour."""
-    return starts.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("h") == h, 1).otherwise(0)).alias(f"f{h:02d}") for h in HOURS])
-
-
-def _hour_day_counts(starts: DataFrame, keys) -> DataFrame:
-    """f00..f23 = number of distinct days with a session start in that hour."""
-    per_day = starts.select(*keys, "day_no", "h").distinct()
+def hour_stats(sess: DataFrame, keys) -> DataFrame:
+    """Per key: f_hh (any start in hour), c_hh (days with a start in hour), n_days."""
+    starts = session_start_hour(sess)
+    per_day = starts.groupBy(*keys, "day_no").agg(
+        *[F.max(F.when(F.col("h") == h, 1).otherwise(0)).alias(f"d{h:02d}") for h in HOURS])
     return per_day.groupBy(*keys).agg(
-        *[F.sum(F.when(F.col("h") == h, 1).otherwise(0)).alias(f"f{h:02d}") for h in HOURS])
+        *[F.max(f"d{h:02d}").alias(f"f{h:02d}") for h in HOURS],
+        *[F.sum(f"d{h:02d}").alias(f"c{h:02d}") for h in HOURS],
+        F.count(F.lit(1)).alias("n_days"))
 
 
-def _profile(grid, flags, n_days, keys, prefix, empty_value, divisor=None):
-    j = grid.join(flags, list(keys), "left")
-    if divisor is None:
-        j = j.join(n_days, list(keys), "left")
-        n = F.coalesce(F.col("n_days"), F.lit(0))
-    else:
-        n = F.lit(divisor)
+def _profile(grid, stats, keys, prefix, empty_value, source="f", divisor=None):
+    j = grid.join(stats, list(keys), "left")
+    n = F.coalesce(F.col("n_days"), F.lit(0)) if divisor is None else F.lit(divisor)
     cols = []
     for h in HOURS:
-        f = F.coalesce(F.col(f"f{h:02d}"), F.lit(0)).cast("double")
-        cols.append(F.when(n > 0, f / n).otherwise(F.lit(empty_value)).alias(f"{prefix}{h:02d}"))
+        v = F.coalesce(F.col(f"{source}{h:02d}"), F.lit(0)).cast("double")
+        cols.append(F.when(n > 0, v / n).otherwise(F.lit(empty_value)).alias(f"{prefix}{h:02d}"))
     return j.select(*keys, *cols)
 
 
@@ -46,31 +47,27 @@ def _in_range(df, as_of_day: int, days: int):
     return df.filter((F.col("day_no") > as_of_day - days) & (F.col("day_no") <= as_of_day))
 
 
-def utilization(sess: DataFrame, daily: DataFrame, grid: DataFrame, as_of_day: int,
-                days: int, prefix: str, empty_value: float,
-                keys=("user_id", "app_type_id"), fraction: bool = False) -> DataFrame:
+def utilization(sess: DataFrame, grid: DataFrame, as_of_day: int, days: int, prefix: str,
+                empty_value: float, keys=("user_id", "app_type_id"), fraction: bool = False) -> DataFrame:
     """Per key of ``grid``: hour flag (or day count) / active days in the window.
 
     ``days=28`` is the long profile (zeros when idle), ``days=7`` the short one
     (NaN when idle); ``fraction=True`` counts days per hour instead of a flag.
     """
-    starts = session_start_hour(_in_range(sess, as_of_day, days))
-    flags = _hour_day_counts(starts, keys) if fraction else _hour_flags(starts, keys)
-    n_days = (_in_range(daily, as_of_day, days).filter(F.col("cnt") > 0)
-              .groupBy(*keys).agg(F.countDistinct("day_no").alias("n_days")))
-    return _profile(grid, flags, n_days, keys, prefix, empty_value)
+    stats = hour_stats(_in_range(sess, as_of_day, days), keys)
+    return _profile(grid, stats, keys, prefix, empty_value, "c" if fraction else "f")
 
 
-def utilization_long(sess, daily, grid, as_of_day, keys=("user_id", "app_type_id")):
-    return utilization(sess, daily, grid, as_of_day, 28, "l", 0.0, keys)
+def utilization_long(sess, grid, as_of_day, keys=("user_id", "app_type_id")):
+    return utilization(sess, grid, as_of_day, 28, "l", 0.0, keys)
 
 
-def utilization_short(sess, daily, grid, as_of_day, keys=("user_id", "app_type_id")):
-    return utilization(sess, daily, grid, as_of_day, 7, "s", float("nan"), keys)
+def utilization_short(sess, grid, as_of_day, keys=("user_id", "app_type_id")):
+    return utilization(sess, grid, as_of_day, 7, "s", float("nan"), keys)
 
 
-def utilization_long_fraction(sess, daily, grid, as_of_day, keys=("user_id", "app_type_id")):
-    return utilization(sess, daily, grid, as_of_day, 28, "l", 0.0, keys, fraction=True)
+def utilization_long_fraction(sess, grid, as_of_day, keys=("user_id", "app_type_id")):
+    return utilization(sess, grid, as_of_day, 28, "l", 0.0, keys, fraction=True)
 
 
 def utilization_weekday(sess: DataFrame, grid: DataFrame, as_of_day: int,
@@ -78,5 +75,4 @@ def utilization_weekday(sess: DataFrame, grid: DataFrame, as_of_day: int,
     """Same weekday as ``as_of_day`` over the last ``n_weeks`` weeks, divided by n_weeks."""
     back = F.lit(as_of_day) - F.col("day_no")
     same = sess.filter((back >= 0) & (back < 7 * n_weeks) & (F.pmod(back, F.lit(7)) == 0))
-    flags = _hour_flags(session_start_hour(same), keys)
-    return _profile(grid, flags, None, keys, "", 0.0, divisor=n_weeks)
+    return _profile(grid, hour_stats(same, keys), keys, "", 0.0, divisor=n_weeks)

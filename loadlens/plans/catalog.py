@@ -170,18 +170,17 @@ def q_session_start_hour(spark, sf):
 
 
 def q_util_long(spark, sf):
-    u = U.utilization_long(def_sessions(spark, sf), def_daily(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
+    u = U.utilization_long(def_sessions(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
     return _hours_out(u, "l")
 
 
 def q_util_short(spark, sf):
-    u = U.utilization_short(def_sessions(spark, sf), def_daily(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
+    u = U.utilization_short(def_sessions(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
     return _hours_out(u, "s", nan_as=-1.0)
 
 
 def q_util_long_fraction(spark, sf):
-    u = U.utilization_long_fraction(def_sessions(spark, sf), def_daily(spark, sf),
-                                    user_grid(spark, sf), X.AS_OF_DAY)
+    u = U.utilization_long_fraction(def_sessions(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
     return _hours_out(u, "l")
 
 

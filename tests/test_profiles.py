@@ -29,9 +29,9 @@ def _hours(row, prefix):
 def test_long_short_fraction(spark):
     sess, daily, grid = _sess_daily(spark, [(0, 7), (1, 7), (2, 20)])
     as_of = D0_DAY + 3
-    lo = {r.user_id: r for r in UT.utilization_long(sess, daily, grid, as_of).collect()}
-    sh = {r.user_id: r for r in UT.utilization_short(sess, daily, grid, as_of).collect()}
-    fr = {r.user_id: r for r in UT.utilization_long_fraction(sess, daily, grid, as_of).collect()}
+    lo = {r.user_id: r for r in UT.utilization_long(sess, grid, as_of).collect()}
+    sh = {r.user_id: r for r in UT.utilization_short(sess, grid, as_of).collect()}
+    fr = {r.user_id: r for r in UT.utilization_long_fraction(sess, grid, as_of).collect()}
     h = _hours(lo[U], "l")
     assert h[7] == h[20] == 1 / 3 and sum(h) == 2 / 3
     assert _hours(sh[U], "s")[7] == 1 / 3
