@@ -14,14 +14,19 @@ from pyspark.sql import functions as F
 from loadlens.settings import CHUNK_MIN_SPAN, CHUNK_STEP, DAYS_3_SECS
 
 
+def chunk_array(st, et, step: int = CHUNK_STEP):
+    """array<struct<st, et>> of the chunks of [st, et] (empty when et <= st)."""
+    seq = F.sequence(st, et - 1, F.lit(step).cast("long"))
+    chunks = F.transform(seq, lambda s: F.struct(
+        s.alias("st"), F.when(et - s >= step, s + (step - 1)).otherwise(et).alias("et")))
+    return F.when(et > st, chunks).otherwise(F.array().cast("array<struct<st:bigint,et:bigint>>"))
+
+
 def chunk_windows(df: DataFrame, step: int = CHUNK_STEP) -> DataFrame:
     """Replace (st, et) by its chunks; rows with et <= st vanish."""
     others = [c for c in df.columns if c not in ("st", "et")]
-    ok = df.filter(F.col("et") > F.col("st"))
-    s = F.explode(F.sequence(F.col("st"), F.col("et") - 1, F.lit(step).cast("long"))).alias("s")
-    ex = ok.select(*others, "et", s)
-    e = F.when(F.col("et") - F.col("s") >= step, F.col("s") + (step - 1)).otherwise(F.col("et"))
-    return ex.select(*others, F.col("s").alias("st"), e.alias("et"))
+    c = F.explode(chunk_array(F.col("st"), F.col("et"), step)).alias("c")
+    return df.select(*others, c).select(*others, "c.st", "c.et")
 
 
 def first_run_windows(users: DataFrame, now: int, lookback: int = DAYS_3_SECS) -> DataFrame:
@@ -36,12 +41,12 @@ def ingest_windows(users: DataFrame, watermark: DataFrame, now: int,
     """Users left-joined with their watermark; st = watermark or now - 3 days.
 
     Spans of at least ``min_span`` are chunked, shorter ones pass whole as
-    [st, now].  ``watermark`` has (user_id, commited_at).
+    [st, now]; both cases come out of one conditional explode, so the join
+    runs once.  ``watermark`` has (user_id, commited_at).
     """
     j = users.join(watermark.select("user_id", F.col("commited_at").alias("wm")), "user_id", "left")
-    w = j.select("user_id", "ser_id",
-                 F.coalesce(F.col("wm"), F.lit(now - lookback)).cast("long").alias("st"),
-                 F.lit(now).cast("long").alias("et"))
-    long_ = chunk_windows(w.filter(F.col("et") - F.col("st") >= min_span))
-    short = w.filter(F.col("et") - F.col("st") < min_span)
-    return long_.unionByName(short)
+    st = F.coalesce(F.col("wm"), F.lit(now - lookback)).cast("long")
+    et = F.lit(now).cast("long")
+    whole = F.array(F.struct(st.alias("st"), et.alias("et")))
+    win = F.when(et - st >= min_span, chunk_array(st, et)).otherwise(whole)
+    return j.select("user_id", "ser_id", F.explode(win).alias("c")).select("user_id", "ser_id", "c.st", "c.et")

@@ -216,13 +216,15 @@ def q_profile_rolling(spark, sf):
 
 # --- late night -------------------------------------------------------------
 
-def ln_readings(spark, sf):
-    r = readings_all(spark, sf).distinct()
+def ln_readings(spark, sf, distinct=True):
+    # duplicates never change sessions (bucket min/max), so sessions skip the distinct shuffle
+    r = readings_all(spark, sf)
+    r = r.distinct() if distinct else r
     return L.latenight_readings(r, special_users_df(spark, X.LATENIGHT_SPECIAL))
 
 
 def ln_sessions(spark, sf):
-    return L.latenight_sessions(ln_readings(spark, sf), X.DEF.to_df(spark),
+    return L.latenight_sessions(ln_readings(spark, sf, distinct=False), X.DEF.to_df(spark),
                                 special_users_df(spark, X.LATENIGHT_SPECIAL))
 
 
@@ -347,7 +349,8 @@ def q_readings_distinct(spark, sf):
 
 
 def q_readings_nonnull(spark, sf):
-    return _rcols(gapped_readings(spark, sf).filter(F.col("power").isNotNull()))
+    from loadlens.functions.power import power_kept
+    return _rcols(gapped_readings(spark, sf).filter(power_kept("power")))
 
 
 def hourly_pair_input(spark, sf):
