@@ -650,3 +650,37 @@ QUERIES.update({
     "sink_partition_counts": q_sink_partition_counts,
     "load_schema_enforced": q_load_schema_enforced,
 })
+
+
+# --- round trips through partitioned tables ----------------------------------
+from loadlens.sources.payloads import read_nested_range  # noqa: E402
+
+
+def _epoch_of(text):
+    import datetime as dt
+    return int(dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S").replace(tzinfo=dt.timezone.utc).timestamp())
+
+
+def q_readings_range_nested(spark, sf):
+    """Nested per-day table written by partition, read back for [start, end) by partition + time."""
+    pts = PI.payload_points(events(spark, sf))
+    path = fresh_path(spark, "nested-days")
+    SK.load_into_table(PL.nest_estimates(pts), path)
+    lo, hi = _epoch_of(X.RANGE_START), _epoch_of(X.RANGE_END) - 1
+    return _pcols(read_nested_range(spark, path, lo, hi))
+
+
+def q_watermark_snapshots(spark, sf):
+    """Old snapshot and merged snapshot written to their et_hr partitions; newest read back."""
+    path = fresh_path(spark, "watermark")
+    WM.write_snapshot(wm_old(spark, sf), path, 2024011523)
+    hist = spark.read.parquet(path)
+    old = hist.join(hist.agg(F.max("et_hr").alias("et_hr")), "et_hr", "left_semi")
+    WM.write_snapshot(WM.merge_watermarks(wm_new(spark, sf), old).checkpoint(eager=True), path, 2024013023)
+    return WM.latest_snapshot(spark.read.parquet(path))
+
+
+QUERIES.update({
+    "readings_range_nested": q_readings_range_nested,
+    "watermark_snapshots": q_watermark_snapshots,
+})

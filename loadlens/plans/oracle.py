@@ -469,3 +469,10 @@ FROM events GROUP BY 1, 2""",
     "load_schema_enforced": "WITH " + PTS + """
 SELECT user_id, app_id, t, round(power, 6) AS power FROM pts""",
 })
+
+ORACLE.update({
+    "readings_range_nested": "WITH " + PTS + """
+SELECT user_id, app_id, t, round(power, 6) AS power FROM pts
+WHERE t >= epoch(TIMESTAMP '2024-01-08 00:00:00') AND t < epoch(TIMESTAMP '2024-01-15 00:00:00')""",
+    "watermark_snapshots": ORACLE["watermark_merge"],
+})
