@@ -52,12 +52,11 @@ def sessions_from_eligible(df: DataFrame, group_cols: list[str],
     """
     entity, group = list(group_cols[:-1]), group_cols[-1]
     width = F.col("max_gap") + F.lit(1)
+    # max_gap / min_duration depend on the type only, so grouping on them is free
     buckets = (
         df.withColumn("b", F.floor(F.col("t") / width))
-        .groupBy(*group_cols, "b")
-        .agg(F.min("t").alias("f"), F.max("t").alias("l"),
-             F.first("max_gap").alias("max_gap"),
-             F.first("min_duration").alias("min_duration"))
+        .groupBy(*group_cols, "b", "max_gap", "min_duration")
+        .agg(F.min("t").alias("f"), F.max("t").alias("l"))
     )
     w = Window.partitionBy(*entity).orderBy(group, "b")
     prev_l = F.lag("l").over(w)
@@ -68,9 +67,8 @@ def sessions_from_eligible(df: DataFrame, group_cols: list[str],
     starts = starts.withColumn(
         "sid", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     sessions = (
-        starts.groupBy(*group_cols, "sid")
-        .agg(F.min("f").alias("st"), F.max("l").alias("et"),
-             F.first("min_duration").alias("min_duration"))
+        starts.groupBy(*group_cols, "sid", "min_duration")
+        .agg(F.min("f").alias("st"), F.max("l").alias("et"))
         .drop("sid")
     )
     if keep_short:
@@ -95,9 +93,9 @@ def sessions_native(readings: DataFrame, thresholds: DataFrame) -> DataFrame:
     el = el.withColumn("ts", F.timestamp_seconds("t"))
     gap = F.concat(F.col("max_gap").cast("string"), F.lit(" seconds"))
     out = (
-        el.groupBy("user_id", "app_type_id", "day_no", F.session_window("ts", gap).alias("sw"))
-        .agg(F.min("t").alias("st"), F.max("t").alias("et"),
-             F.first("min_duration").alias("min_duration"))
+        el.groupBy("user_id", "app_type_id", "day_no", "min_duration",
+                   F.session_window("ts", gap).alias("sw"))
+        .agg(F.min("t").alias("st"), F.max("t").alias("et"))
     )
     return (out.filter((F.col("et") - F.col("st")) > F.col("min_duration"))
             .select("user_id", "app_type_id", "day_no", "st", "et"))
