@@ -14,6 +14,7 @@ from pyspark.sql.utils import AnalysisException
 
 from loadlens.functions.keys import row_key
 from loadlens.functions.time import yyyymm
+from loadlens.session import shared_dir
 
 CELL_KEY = ["user_id", "app_type_id", "ymd", "family", "col"]
 
@@ -50,6 +51,7 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame) -> None:
     is checkpointed to the shared checkpoint folder first, so the overwrite
     never reads the files it replaces.
     """
+    shared_dir(spark)   # checkpoint() below needs the shared checkpoint folder
     inc = with_month(incoming)
     try:
         existing = spark.read.parquet(path)

@@ -19,14 +19,17 @@ from pyspark.sql.streaming import StreamingQuery
 from loadlens.functions.time import day_no
 from loadlens.operators.payload import flatten_estimates, with_partition
 from loadlens.operators.watermark import merge_watermarks
+from loadlens.session import shared_dir
 from loadlens.sources.schemas import ESTIMATE_PAYLOAD
 
 
 def ingest_stream(spark: SparkSession, payload_dir: str, points_dir: str, watermark_dir: str,
                   checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    shared_dir(spark)
     src = spark.readStream.schema(ESTIMATE_PAYLOAD).json(payload_dir)
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()   # feeds two writes; parse the batch once
         pts = with_partition(flatten_estimates(df)).withColumn("batch", F.lit(batch_id))
         (pts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch").parquet(points_dir))
@@ -43,6 +46,7 @@ def ingest_stream(spark: SparkSession, payload_dir: str, points_dir: str, waterm
         snap = snap.checkpoint(eager=True)
         (snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("et_hr").parquet(watermark_dir))
+        df.unpersist()
 
     w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="3600 seconds")
