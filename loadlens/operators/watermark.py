@@ -32,3 +32,26 @@ def write_snapshot(df: DataFrame, path: str, et_hr: int) -> None:
     (df.select("user_id", "commited_at", F.lit(et_hr).cast("int").alias("et_hr"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("et_hr").parquet(path))
+
+
+def newest_partition(spark, path: str, col: str = "et_hr", before: int | None = None) -> int | None:
+    """Largest ``col=<int>`` folder of a partitioned table, from its file listing.
+
+    ``inputFiles()`` is the listing Spark already keeps for the table; no data
+    file is opened.
+    """
+    import re
+    pat = re.compile(rf"/{re.escape(col)}=(-?\d+)/")
+    vals = [int(m.group(1)) for f in spark.read.parquet(path).inputFiles() if (m := pat.search(f))]
+    if before is not None:
+        vals = [v for v in vals if v < before]
+    return max(vals) if vals else None
+
+
+def read_latest_snapshot(spark, path: str, before: int | None = None) -> DataFrame:
+    """The newest et_hr snapshot (optionally older than ``before``), reading only its folder."""
+    newest = newest_partition(spark, path, "et_hr", before)
+    t = spark.read.parquet(path)
+    if newest is None:
+        return spark.createDataFrame([], "user_id string, commited_at long")
+    return t.filter(F.col("et_hr") == newest).select("user_id", "commited_at").distinct()

@@ -674,10 +674,9 @@ def q_watermark_snapshots(spark, sf):
     """Old snapshot and merged snapshot written to their et_hr partitions; newest read back."""
     path = fresh_path(spark, "watermark")
     WM.write_snapshot(wm_old(spark, sf), path, 2024011523)
-    hist = spark.read.parquet(path)
-    old = hist.join(hist.agg(F.max("et_hr").alias("et_hr")), "et_hr", "left_semi")
+    old = WM.read_latest_snapshot(spark, path)
     WM.write_snapshot(WM.merge_watermarks(wm_new(spark, sf), old).checkpoint(eager=True), path, 2024013023)
-    return WM.latest_snapshot(spark.read.parquet(path))
+    return WM.read_latest_snapshot(spark, path)
 
 
 QUERIES.update({

@@ -15,10 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from loadlens.functions.time import day_no
 from loadlens.operators.payload import flatten_estimates, with_partition
-from loadlens.operators.watermark import merge_watermarks
+from loadlens.operators.watermark import merge_watermarks, read_latest_snapshot
 from loadlens.session import shared_dir
 from loadlens.sources.schemas import ESTIMATE_PAYLOAD
 
@@ -36,11 +37,9 @@ def ingest_stream(spark: SparkSession, payload_dir: str, points_dir: str, waterm
         new = df.filter(F.col("commited_at").isNotNull()).select(
             F.col("customer").alias("user_id"), "commited_at")
         try:
-            hist = spark.read.parquet(watermark_dir)
-            old = hist.filter(F.col("et_hr") < batch_id)
-            newest = old.agg(F.max("et_hr").alias("et_hr"))
-            old = old.join(newest, "et_hr", "left_semi").select("user_id", "commited_at")
-        except Exception:  # noqa: BLE001  first batch: no snapshot yet
+            # newest snapshot older than this batch: a replayed batch reads the same input
+            old = read_latest_snapshot(spark, watermark_dir, before=batch_id)
+        except AnalysisException:  # first batch: no snapshot table yet
             old = spark.createDataFrame([], "user_id string, commited_at long")
         snap = merge_watermarks(new, old).withColumn("et_hr", F.lit(batch_id).cast("int"))
         snap = snap.checkpoint(eager=True)
