@@ -3,8 +3,9 @@
 Each (user, fetch window) becomes one payload with parallel arrays aligned on
 the window's sorted timestamps; a type without a value at a timestamp gets a
 null (a sensor gap).  Everything is grouped per (user, window), so one array
-is bounded by the window length in seconds.  The payload is rendered to JSON
-text and parsed back with the explicit schema, as landed files would be.
+is bounded by the window length in seconds times the number of types.  The
+payload is cast to the explicit landed-file schema (files themselves are read
+with ``sources.payloads``).
 """
 
 from __future__ import annotations
@@ -32,46 +33,60 @@ def payload_points(events: DataFrame) -> DataFrame:
 
 
 def _aligned(points: DataFrame, window: int) -> DataFrame:
+    """One row per (user, window): sorted timestamps, types, per-type aligned powers, main.
+
+    A single groupBy collects the window's (type, t, power) rows; alignment
+    uses a map keyed by (type, t) inside higher-order functions, so there is
+    no join and no second pass over the points.
+    """
     pts = points.withColumn("w", F.floor(F.col("t") / F.lit(window)))
-    per_ts = pts.groupBy("user_id", "w", "t").agg(F.sum("power").alias("main"))
-    axis = per_ts.groupBy("user_id", "w").agg(
-        F.sort_array(F.collect_list(F.struct("t", "main"))).alias("tm"))
-    per_app = pts.groupBy("user_id", "w", "app_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("t", "power"))).alias("m"))
-    j = per_app.join(axis, ["user_id", "w"])
-    return j.withColumn("pwrs", F.transform(F.col("tm.t"), lambda x: F.try_element_at(F.col("m"), x)))
+    g = pts.groupBy("user_id", "w").agg(F.collect_list(F.struct("app_id", "t", "power")).alias("rows"))
+    ts = F.array_sort(F.array_distinct(F.transform("rows", lambda x: x["t"])))
+    apps = F.array_sort(F.array_distinct(F.transform("rows", lambda x: x["app_id"])))
+    m = F.map_from_entries(F.transform(
+        "rows", lambda x: F.struct(F.struct(x["app_id"].alias("a"), x["t"].alias("t")).alias("k"),
+                                   x["power"].alias("v"))))
+    g = g.select("user_id", "w", ts.alias("ts"), apps.alias("apps"), m.alias("m"))
+
+    def value(a, t):
+        return F.try_element_at(F.col("m"), F.struct(a.alias("a"), t.alias("t")))
+
+    def add(acc, v):
+        return F.when(v.isNull(), acc).when(acc.isNull(), v).otherwise(acc + v)
+
+    main = F.transform("ts", lambda t: F.aggregate("apps", F.lit(None).cast("double"),
+                                                   lambda acc, a: add(acc, value(a, t))))
+    per_app = F.transform("apps", lambda a: F.struct(
+        a.alias("app_id"), F.transform("ts", lambda t: value(a, t)).alias("pwrs")))
+    return g.select("user_id", "w", "ts", main.alias("main"), per_app.alias("per_app"))
+
+
+def _cast_to(df: DataFrame, schema) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def estimate_payloads(points: DataFrame, commited_at: int, st: int, window: int = WINDOW) -> DataFrame:
     j = _aligned(points, window)
-    per_user = j.groupBy("user_id", "w").agg(
-        F.first("tm").alias("tm"),
-        F.sort_array(F.collect_list(F.struct(
-            F.col("app_id"), F.array(F.struct(F.col("app_id").alias("id"), F.col("pwrs"))).alias("apps"),
-        ))).alias("app_type"))
-    payload = per_user.select(
+    app_type = F.transform("per_app", lambda p: F.struct(
+        p["app_id"].alias("app_id"),
+        F.array(F.struct(p["app_id"].alias("id"), p["pwrs"].alias("pwrs"))).alias("apps")))
+    payload = j.select(
         F.col("user_id").alias("customer"),
         F.lit(commited_at).cast("long").alias("commited_at"),
         F.lit(st).cast("long").alias("st"),
-        F.array(F.struct(F.col("tm.t").alias("timestamps"), F.col("tm.main").alias("main_pwrs"),
-                         "app_type")).alias("data"))
-    text = payload.select(F.to_json(F.struct(*payload.columns)).alias("json"))
-    return text.select(F.from_json("json", ESTIMATE_PAYLOAD).alias("p")).select("p.*")
+        F.array(F.struct(F.col("ts").alias("timestamps"), F.col("main").alias("main_pwrs"),
+                         app_type.alias("app_type"))).alias("data"))
+    return _cast_to(payload, ESTIMATE_PAYLOAD)
 
 
 def activity_payloads(points: DataFrame, fixed_at: int, window: int = 600) -> DataFrame:
     j = _aligned(points, window)
-    per_user = j.groupBy("user_id", "w").agg(
-        F.first("tm").alias("tm"),
-        F.sort_array(F.collect_list(F.struct(
-            F.col("app_id").alias("appliance_type_id"),
-            F.array(F.struct(F.col("app_id").alias("appliance_id"), F.col("pwrs").alias("powers")))
-            .alias("appliances"),
-        ))).alias("appliance_types"))
-    payload = per_user.select(
+    types = F.transform("per_app", lambda p: F.struct(
+        p["app_id"].alias("appliance_type_id"),
+        F.array(F.struct(p["app_id"].alias("appliance_id"), p["pwrs"].alias("powers"))).alias("appliances")))
+    payload = j.select(
         F.col("user_id").alias("customer"),
         F.lit(fixed_at).cast("long").alias("fixed_at"),
         (F.col("w") * window).cast("long").alias("st"),
-        F.array(F.struct(F.col("tm.t").alias("timestamps"), "appliance_types")).alias("data"))
-    text = payload.select(F.to_json(F.struct(*payload.columns)).alias("json"))
-    return text.select(F.from_json("json", ACTIVITY_PAYLOAD).alias("p")).select("p.*")
+        F.array(F.struct(F.col("ts").alias("timestamps"), types.alias("appliance_types"))).alias("data"))
+    return _cast_to(payload, ACTIVITY_PAYLOAD)
