@@ -87,7 +87,10 @@ def sessions_native(readings: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Same sessions through Spark's ``session_window`` with a per-row gap.
 
     ``session_window`` merges points whose distance is <= gap, so the gap is
-    ``max_gap`` seconds; st/et come from min/max of the readings.
+    ``max_gap`` seconds; st/et come from min/max of the readings.  It sorts the
+    raw readings of each (user, type, day) in one task, so ``sessions`` (which
+    pre-aggregates into buckets) is the path for skewed data; this variant is
+    the cross-check and the shape the streaming job uses.
     """
     el = eligible_readings(readings, thresholds).withColumn("day_no", day_no("t"))
     el = el.withColumn("ts", F.timestamp_seconds("t"))
