@@ -6,14 +6,38 @@ aliases its outputs to the names used by the SQL oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.functions.time import day_no
+import datetime as dt
+from datetime import datetime, timezone
+
+from pyspark.sql import types as T
+
+from loadlens.functions.power import power_kept
+from loadlens.functions.time import (day_no, day_to_label, epoch_seconds, jst_hour, label_of_t,
+                                     weekday_no, yyyymm, yyyymmdd)
+from loadlens.operators import activity as A
 from loadlens.operators import daily as D
+from loadlens.operators import ingest as I
+from loadlens.operators import latenight as L
+from loadlens.operators import payload as PL
+from loadlens.operators import pairing as PR
+from loadlens.operators import profile as P
+from loadlens.operators import registry as G
 from loadlens.operators import sessions as S
+from loadlens.operators import sinks as SK
+from loadlens.operators import store as ST
+from loadlens.operators import utilization as U
+from loadlens.operators import watermark as WM
+from loadlens.operators import weekly as W
 from loadlens.plans import fixtures as X
-from loadlens.sources.readings import readings_from_events
+from loadlens.plans import payload_input as PI
+from loadlens.session import fresh_path
+from loadlens.settings import special_users_df
+from loadlens.sources.payloads import read_nested_range
+from loadlens.sources.readings import readings_from_events, readings_in_range, union_providers
+from loadlens.sources.registry import registry_from_customer
+from loadlens.sources.schemas import NESTED_ESTIMATE, NESTED_MAIN
 from loadlens.sources.tables import load_table
 
 
@@ -90,7 +114,6 @@ def q_daily_unusual(spark, sf):
 
 def order_days(spark, sf):
     o = load_table(spark, sf, "orders")
-    from loadlens.functions.time import epoch_seconds
     return (o.select(F.col("o_custkey").alias("user_id"),
                      day_no(epoch_seconds(o, "o_orderdate")).alias("day_no"))
             .distinct())
@@ -114,13 +137,6 @@ QUERIES = {
 
 
 # --- weekly -----------------------------------------------------------------
-from loadlens.operators import weekly as W  # noqa: E402
-from loadlens.operators import utilization as U  # noqa: E402
-from loadlens.operators import profile as P  # noqa: E402
-from loadlens.operators import latenight as L  # noqa: E402
-from loadlens.operators import activity as A  # noqa: E402
-from loadlens.functions.time import jst_hour, weekday_no  # noqa: E402
-from loadlens.settings import special_users_df  # noqa: E402
 
 
 def def_weekly(spark, sf):
@@ -276,12 +292,6 @@ QUERIES.update({
 
 
 # --- registry, readings, pairing ---------------------------------------------
-from loadlens.operators import registry as G  # noqa: E402
-from loadlens.operators import pairing as PR  # noqa: E402
-from loadlens.operators import ingest as I  # noqa: E402
-from loadlens.operators import watermark as WM  # noqa: E402
-from loadlens.sources.readings import readings_in_range, union_providers  # noqa: E402
-from loadlens.sources.registry import registry_from_customer  # noqa: E402
 
 
 def registry(spark, sf):
@@ -309,7 +319,6 @@ def q_user_app_grid(spark, sf):
 
 
 def _event_cols(df):
-    from loadlens.functions.time import epoch_seconds
     return df.select("event_id", "user_id", "event_type", "value", epoch_seconds(df, "ts").alias("t"))
 
 
@@ -322,7 +331,6 @@ def q_readings_union_providers(spark, sf):
     e = events(spark, sf)
     parts = {k: e.filter(F.pmod(F.col("user_id"), F.lit(3)) == k) for k in range(3)}
     u = union_providers(parts)
-    from loadlens.functions.time import epoch_seconds
     return u.select("event_id", "user_id", "event_type", "value",
                     epoch_seconds(u, "ts").alias("t"), "ser_id")
 
@@ -349,7 +357,6 @@ def q_readings_distinct(spark, sf):
 
 
 def q_readings_nonnull(spark, sf):
-    from loadlens.functions.power import power_kept
     return _rcols(gapped_readings(spark, sf).filter(power_kept("power")))
 
 
@@ -383,7 +390,6 @@ def event_users(spark, sf):
 
 def _epoch_events(spark, sf):
     e = events(spark, sf)
-    from loadlens.functions.time import epoch_seconds
     return e.select("user_id", epoch_seconds(e, "ts").alias("t"), "ts")
 
 
@@ -417,7 +423,6 @@ def q_ingest_windows(spark, sf):
 
 def wm_history(spark, sf):
     """Daily snapshots: per user and day the day's last epoch, et_hr = yyyymmdd23."""
-    from loadlens.functions.time import yyyymmdd, day_to_label
     e = _epoch_events(spark, sf).withColumn("day_no", day_no("t"))
     return (e.groupBy("user_id", "day_no").agg(F.max("t").alias("commited_at"))
             .withColumn("et_hr", (yyyymmdd(day_to_label("day_no")) * 100 + 23).cast("int")))
@@ -438,7 +443,6 @@ def q_watermark_merge(spark, sf):
 
 def q_watermark_carry(spark, sf):
     # new side: events at or after "now" -- none exist, so the old snapshot carries over
-    from datetime import datetime, timezone
     now_text = datetime.fromtimestamp(X.NOW, timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     return WM.merge_watermarks(wm_new(spark, sf, now_text), wm_old(spark, sf))
 
@@ -465,9 +469,6 @@ QUERIES.update({
 
 
 # --- payloads ----------------------------------------------------------------
-from loadlens.operators import payload as PL  # noqa: E402
-from loadlens.plans import payload_input as PI  # noqa: E402
-from loadlens.sources.schemas import NESTED_ESTIMATE  # noqa: E402
 
 
 def _pcols(df):
@@ -535,7 +536,6 @@ def q_payload_main(spark, sf):
 def q_payload_records(spark, sf):
     e, m = _est_main(spark, sf)
     rec = PL.payload_records(e, m)
-    from loadlens.sources.schemas import NESTED_MAIN
     est = F.from_json("est_json", NESTED_ESTIMATE)
     mai = F.from_json("main_json", NESTED_MAIN)
     return rec.select("user_id", F.col("partition").cast("long").alias("day"),
@@ -556,15 +556,10 @@ QUERIES.update({
 
 
 # --- store, labels, sinks ----------------------------------------------------
-from loadlens.operators import store as ST  # noqa: E402
-from loadlens.operators import sinks as SK  # noqa: E402
-from loadlens.functions.time import label_of_t, yyyymm, yyyymmdd  # noqa: E402
-from loadlens.session import fresh_path  # noqa: E402
 
 
 def event_cells(spark, sf, parity=None):
     e = events(spark, sf)
-    from loadlens.functions.time import epoch_seconds
     if parity is not None:
         e = e.filter(F.pmod(F.col("event_id"), F.lit(2)) == parity)
     return e.select(F.col("user_id"), F.col("event_type").alias("app_type_id"),
@@ -586,7 +581,6 @@ def q_store_upsert(spark, sf):
 
 def q_store_latest_cell(spark, sf):
     e = events(spark, sf)
-    from loadlens.functions.time import epoch_seconds
     keys = e.filter(F.col("value") > 100).select(
         "user_id", F.col("event_type").alias("app_type_id"),
         label_of_t(epoch_seconds(e, "ts")).alias("ymd"))
@@ -607,7 +601,6 @@ def q_row_key(spark, sf):
 
 def q_time_labels(spark, sf):
     e = events(spark, sf)
-    from loadlens.functions.time import epoch_seconds
     y = label_of_t(epoch_seconds(e, "ts"))
     return e.select("event_id", y.alias("ymd"), yyyymm(y).cast("long").alias("yyyymm"),
                     yyyymmdd(y).cast("long").alias("yyyymmdd"))
@@ -619,7 +612,6 @@ def q_sink_partition_counts(spark, sf):
     r = PL.with_partition(r)
     path = fresh_path(spark, "sink")
     SK.write_partitioned_json(r, path)
-    from pyspark.sql import types as T
     schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("app_type_id", T.StringType()),
                            T.StructField("t", T.LongType()), T.StructField("power", T.DoubleType())])
     back = SK.load_with_schema(spark, path, schema, {"ser_id": T.StringType(), "partition": T.IntegerType()})
@@ -628,7 +620,6 @@ def q_sink_partition_counts(spark, sf):
 
 
 def q_load_schema_enforced(spark, sf):
-    from pyspark.sql import types as T
     pts = PI.payload_points(events(spark, sf))
     nested = PL.nest_estimates(pts).withColumn("ser_id", F.pmod(F.col("user_id").cast("long"), F.lit(3)).cast("string"))
     rec = nested.select(F.to_json(F.struct("user_id", "data")).alias("est_json"), "ser_id", "partition")
@@ -653,11 +644,9 @@ QUERIES.update({
 
 
 # --- round trips through partitioned tables ----------------------------------
-from loadlens.sources.payloads import read_nested_range  # noqa: E402
 
 
 def _epoch_of(text):
-    import datetime as dt
     return int(dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S").replace(tzinfo=dt.timezone.utc).timestamp())
 
 
