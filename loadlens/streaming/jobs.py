@@ -24,28 +24,34 @@ from loadlens.session import shared_dir
 from loadlens.sources.schemas import ESTIMATE_PAYLOAD
 
 
+def ingest_batch(spark: SparkSession, df: DataFrame, batch_id: int, points_dir: str,
+                 watermark_dir: str) -> None:
+    """One micro-batch of the ingest; running it again for the same id gives the same files."""
+    df = df.persist()   # feeds two writes; parse the batch once
+    pts = with_partition(flatten_estimates(df)).withColumn("batch", F.lit(batch_id))
+    (pts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch").parquet(points_dir))
+    new = df.filter(F.col("commited_at").isNotNull()).select(
+        F.col("customer").alias("user_id"), "commited_at")
+    try:
+        # newest snapshot older than this batch: a replayed batch reads the same input
+        old = read_latest_snapshot(spark, watermark_dir, before=batch_id)
+    except AnalysisException:  # first batch: no snapshot table yet
+        old = spark.createDataFrame([], "user_id string, commited_at long")
+    snap = merge_watermarks(new, old).withColumn("et_hr", F.lit(batch_id).cast("int"))
+    snap = snap.checkpoint(eager=True)
+    (snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("et_hr").parquet(watermark_dir))
+    df.unpersist()
+
+
 def ingest_stream(spark: SparkSession, payload_dir: str, points_dir: str, watermark_dir: str,
                   checkpoint: str, available_now: bool = True) -> StreamingQuery:
     shared_dir(spark)
     src = spark.readStream.schema(ESTIMATE_PAYLOAD).json(payload_dir)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()   # feeds two writes; parse the batch once
-        pts = with_partition(flatten_estimates(df)).withColumn("batch", F.lit(batch_id))
-        (pts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch").parquet(points_dir))
-        new = df.filter(F.col("commited_at").isNotNull()).select(
-            F.col("customer").alias("user_id"), "commited_at")
-        try:
-            # newest snapshot older than this batch: a replayed batch reads the same input
-            old = read_latest_snapshot(spark, watermark_dir, before=batch_id)
-        except AnalysisException:  # first batch: no snapshot table yet
-            old = spark.createDataFrame([], "user_id string, commited_at long")
-        snap = merge_watermarks(new, old).withColumn("et_hr", F.lit(batch_id).cast("int"))
-        snap = snap.checkpoint(eager=True)
-        (snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("et_hr").parquet(watermark_dir))
-        df.unpersist()
+        ingest_batch(spark, df, batch_id, points_dir, watermark_dir)
 
     w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="3600 seconds")
