@@ -37,9 +37,12 @@ def weekly_totals(daily: DataFrame, keys=("user_id", "app_type_id")) -> DataFram
     )
 
 
-def weekly_trends(weekly: DataFrame, keys=("user_id", "app_type_id")) -> DataFrame:
+def weekly_trends(weekly: DataFrame, keys=("user_id", "app_type_id"), compat: bool = False) -> DataFrame:
     """wow_* (minus the week ending 7 days earlier, 0 if absent) and ma4_*.
 
+    ``compat=True`` gives the original change, which subtracts the week just
+    written from itself and is therefore always 0.
+
     Values at exact 7-day steps are read through single-point range frames,
     so a missing week is seen as missing instead of being skipped.  One key
     holds at most one row per calendar day.
@@ -53,6 +56,8 @@ def weekly_trends(weekly: DataFrame, keys=("user_id", "app_type_id")) -> DataFra
     out = weekly.select("*", *[v.alias(k) for k, v in cols.items()])
     full = F.col("c7").isNotNull() & F.col("c14").isNotNull() & F.col("c21").isNotNull()
     n = float(WINDOW_SIZE)
+    if compat:
+        out = out.withColumn("c7", F.col("w_cnt")).withColumn("d7", F.col("w_dur"))
     return out.select(
         *weekly.columns,
         F.when(F.col("c7").isNull(), F.lit(0)).otherwise(F.col("w_cnt") - F.col("c7")).cast("long").alias("wow_cnt"),

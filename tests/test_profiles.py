@@ -91,3 +91,24 @@ def test_last_activity_carry(spark):
     assert c[("b", 1)] == D0 + 80
     assert c[("c", 0)] == 0
     assert c[("d", 3)] == 0       # no reading on the days between: nothing to carry
+
+
+def test_last_activity_compat_idle_last_slot(spark):
+    th = Thresholds({"25": [10, 0, 600]}).to_df(spark)
+    U0 = D0 + 32400                      # 00:00 UTC, so UTC and JST-shifted days line up for the check
+    rows = [("a", "25", U0 - 86400 + 80, 20.0),                  # yesterday: 80
+            ("a", "25", U0 + 300, 20.0), ("a", "25", U0 + 7200, 5.0)]   # today: 300, then an idle slot
+    build = {(x.day_no, x.la) for x in A.last_activity_carry(A.last_activity(readings(spark, rows), th)).collect()}
+    lit = {(x.day_no, x.la) for x in
+           A.last_activity_carry(A.last_activity(readings(spark, rows), th, compat=True)).collect()}
+    today = (U0 + 300) // 86400
+    assert (today, U0 - 86400 + 80) in lit                        # literal regresses to yesterday
+    assert max(v for _, v in build) == U0 + 300                   # build keeps today's 300
+
+
+def test_weekly_wow_compat_is_zero(spark):
+    from loadlens.operators import weekly as W
+    wk = spark.createDataFrame([(U, "25", D0_DAY, 9, 9), (U, "25", D0_DAY - 7, 3, 3)],
+                               "user_id string, app_type_id string, day_no long, w_cnt long, w_dur long")
+    r = W.weekly_trends(wk, compat=True).filter(f"day_no = {D0_DAY}").collect()[0]
+    assert (r.wow_cnt, r.wow_dur) == (0, 0)
