@@ -86,3 +86,9 @@ def test_labels(spark):
                   weekday_no(F.date_from_unix_date(F.col("d").cast("int"))).alias("w"),
                   data_day(day_to_label("d") - 1).alias("dd")).collect()[0]
     assert (r.ymd, r.m, r.w, str(r.dd)) == (1704121200, 202401, 0, "2024-01-01")
+
+
+def test_null_safe_sum_text(spark):
+    from loadlens.functions.power import null_safe_sum
+    df = spark.createDataFrame([("null", None), (" 3 ", None), ("3", "4"), (None, "null")], "a string, b string")
+    assert [r[0] for r in df.select(null_safe_sum("a", "b")).collect()] == [0.0, 3.0, 7.0, 0.0]
