@@ -106,3 +106,9 @@ def unnest_estimates(nested: DataFrame) -> DataFrame:
     a = d.select("user_id", F.col("d.timestamp").alias("t"), F.explode_outer("d.app_types").alias("a"))
     p = a.select("user_id", "t", F.col("a.app_type_id").alias("app_id"), F.explode_outer("a.apps").alias("p"))
     return p.select("user_id", "app_id", "t", F.col("p.pwr").alias("power"))
+
+
+def unnest_main(nested: DataFrame) -> DataFrame:
+    """Whole-house records (user_id, data[] of (timestamp, w_hp)) -> (user_id, t, main)."""
+    d = nested.select("user_id", F.explode_outer("data").alias("d"))
+    return d.select("user_id", F.col("d.timestamp").alias("t"), F.col("d.w_hp").alias("main"))

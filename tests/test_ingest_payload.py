@@ -92,3 +92,15 @@ def test_null_safe_sum_text(spark):
     from loadlens.functions.power import null_safe_sum
     df = spark.createDataFrame([("null", None), (" 3 ", None), ("3", "4"), (None, "null")], "a string, b string")
     assert [r[0] for r in df.select(null_safe_sum("a", "b")).collect()] == [0.0, 3.0, 7.0, 0.0]
+
+
+def test_main_nest_unnest_roundtrip(spark):
+    from pyspark.sql import functions as F
+    from loadlens.sources.schemas import NESTED_MAIN
+    est = spark.createDataFrame([("u", 1, 100, 1.0), ("u", 1, 200, None)],
+                                "user_id string, app_id int, t long, power double")
+    main = spark.createDataFrame([("u", 100, 9.0), ("u", 200, None), ("u", 300, 4.0)],
+                                 "user_id string, t long, main double")
+    nested = PL.nest_main(main, est)
+    back = nested.select(F.from_json(F.to_json(F.struct("user_id", "data")), NESTED_MAIN).alias("r")).select("r.*")
+    assert sorted(map(tuple, PL.unnest_main(back).collect()), key=str) == [("u", 100, 9.0), ("u", 200, None)]
