@@ -115,11 +115,14 @@ def one_tags(sess: DataFrame, keys=("user_id", "app_type_id", "day_no")) -> Data
 
 
 def pack_readings(readings: DataFrame, keys: list[str], chunk_seconds: int = 3600) -> DataFrame:
-    """Pack (t, power) pairs into sorted arrays per key and time chunk.
+    """Pack readings into sorted arrays of struct<t, power, n> per key and time chunk.
 
-    Chunks bound every array by the chunk length instead of by the row count
-    of the key, so a hot key produces many small arrays.
+    Equal (t, power) readings are folded into one entry with multiplicity
+    ``n`` by a partially-aggregated groupBy first, so an array holds at most
+    the chunk's distinct (t, power) pairs -- bounded by the chunk length, not
+    by how many rows a hot key has.  ``sum(n)`` over a pack is its row count.
     """
-    return (readings.withColumn("chunk", F.floor(F.col("t") / F.lit(chunk_seconds)))
-            .groupBy(*keys, "chunk")
-            .agg(F.sort_array(F.collect_list(F.struct("t", "power"))).alias("ts_power")))
+    chunk = F.floor(F.col("t") / F.lit(chunk_seconds)).alias("chunk")
+    folded = readings.groupBy(*keys, chunk, "t", "power").agg(F.count(F.lit(1)).alias("n"))
+    return (folded.groupBy(*keys, "chunk")
+            .agg(F.sort_array(F.collect_list(F.struct("t", "power", "n"))).alias("ts_power")))

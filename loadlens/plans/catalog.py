@@ -92,7 +92,7 @@ def q_readings_packed(spark, sf):
     r = readings_all(spark, sf).filter(F.col("power").isNotNull()).withColumn("day_no", day_no("t"))
     packed = S.pack_readings(r, ["user_id", "day_no"])
     return (packed.groupBy("user_id", "day_no")
-            .agg(F.sum(F.size("ts_power")).cast("long").alias("n"),
+            .agg(F.sum(F.aggregate("ts_power", F.lit(0).cast("long"), lambda acc, x: acc + x["n"])).alias("n"),
                  F.min(F.col("ts_power")[0]["t"]).alias("first_t"),
                  F.max(F.element_at("ts_power", -1)["t"]).alias("last_t"))
             .select("user_id", _day_str().alias("data_day"), "n", "first_t", "last_t"))

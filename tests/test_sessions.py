@@ -94,7 +94,7 @@ def test_one_tags_sorted(spark):
 
 
 def test_pack_readings_chunks(spark):
-    r = readings(spark, [(U, "x", D0 + p, float(p)) for p in (7200, 5, 3, 3700)])
+    r = readings(spark, [(U, "x", D0 + p, float(p)) for p in (7200, 5, 3, 3700, 5, 5)])
     p = S.pack_readings(r, ["user_id"], chunk_seconds=3600)
-    got = sorted((row.chunk, [x.t - D0 for x in row.ts_power]) for row in p.collect())
-    assert [g[1] for g in got] == [[3, 5], [3700], [7200]]
+    got = sorted((row.chunk, [(x.t - D0, x.n) for x in row.ts_power]) for row in p.collect())
+    assert [g[1] for g in got] == [[(3, 1), (5, 3)], [(3700, 1)], [(7200, 1)]]
