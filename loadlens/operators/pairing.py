@@ -15,12 +15,17 @@ def pair_fusion(readings: DataFrame, apps=PAIR_APPS, new_app: str = PAIR_APP_ID,
 
     Returns (user_id, app_type_id = new_app, time, power_a, power_b, power)
     with power = a + b, a missing side counting as 0.  Joining on the user as
-    well as the time keeps readings of different users apart.
+    well as the time keeps readings of different users apart.  Each side is
+    first folded to one reading per (user, time) (the largest, nulls only when
+    all are null), so the join is one-to-one and can never emit all pairs of
+    duplicate readings; with one reading per (user, type, time) nothing changes.
     """
-    a = readings.filter(F.col("app_type_id") == apps[0]).select(
-        "user_id", time_col, F.col("power").alias("power_a"))
-    b = readings.filter(F.col("app_type_id") == apps[1]).select(
-        "user_id", time_col, F.col("power").alias("power_b"))
+    def side(app, name):
+        return (readings.filter(F.col("app_type_id") == app)
+                .groupBy("user_id", time_col).agg(F.max("power").alias(name)))
+
+    a = side(apps[0], "power_a")
+    b = side(apps[1], "power_b")
     j = a.join(b, ["user_id", time_col], "full_outer")
     return j.select("user_id", F.lit(new_app).alias("app_type_id"), time_col, "power_a", "power_b",
                     null_safe_sum("power_a", "power_b").alias("power"))
