@@ -44,7 +44,9 @@ def ingest_windows(users: DataFrame, watermark: DataFrame, now: int,
     [st, now]; both cases come out of one conditional explode, so the join
     runs once.  ``watermark`` has (user_id, commited_at).
     """
-    j = users.join(watermark.select("user_id", F.col("commited_at").alias("wm")), "user_id", "left")
+    # a snapshot may hold several rows per user (one per fetched chunk): keep the newest
+    wm = watermark.groupBy("user_id").agg(F.max("commited_at").alias("wm"))
+    j = users.join(wm, "user_id", "left")
     st = F.coalesce(F.col("wm"), F.lit(now - lookback)).cast("long")
     et = F.lit(now).cast("long")
     whole = F.array(F.struct(st.alias("st"), et.alias("et")))
