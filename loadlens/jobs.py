@@ -142,7 +142,61 @@ def _readings_from_parquet(spark: SparkSession, path: str) -> DataFrame:
                      t.alias("t"), F.col("power").cast("double").alias("power"))
 
 
+def ingest_main(argv) -> None:
+    """``windows``: fetch windows per active user; ``ingest``: landed payloads -> points + watermark."""
+    import sys
+    import time
+
+    from loadlens.operators import ingest as I
+    from loadlens.operators import registry as G
+    from loadlens.operators import watermark as WM
+    from loadlens.sources.payloads import read_estimate_payloads
+    from loadlens.streaming.jobs import ingest_batch
+
+    ap = argparse.ArgumentParser(prog="loadlens.jobs")
+    ap.add_argument("job", choices=["windows", "ingest"])
+    ap.add_argument("--registry", help="windows: parquet with user, is_active")
+    ap.add_argument("--allowed", help="windows: comma-separated provider ids (default: all)")
+    ap.add_argument("--watermark", required=True, help="watermark snapshot table (partitioned by et_hr)")
+    ap.add_argument("--out", help="windows: output parquet of (user_id, ser_id, st, et)")
+    ap.add_argument("--now", type=int, help="windows: end of the fetch span, epoch s (default: clock)")
+    ap.add_argument("--first-run", action="store_true", help="windows: ignore watermarks")
+    ap.add_argument("--payloads", help="ingest: landed estimate payload JSON files")
+    ap.add_argument("--points", help="ingest: output points table (partitioned by batch)")
+    ap.add_argument("--batch-id", type=int, help="ingest: snapshot id, e.g. yyyymmddHH (default: clock)")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName(f"loadlens-{a.job}").getOrCreate()
+    if a.job == "windows":
+        if not (a.registry and a.out):
+            ap.error("windows needs --registry and --out")
+        now = a.now if a.now is not None else int(time.time())
+        reg = spark.read.parquet(a.registry)
+        if a.allowed:
+            allowed = spark.createDataFrame([(x,) for x in a.allowed.split(",")], "ser_id string")
+            users = G.users_with_provider(reg, allowed)
+        else:
+            from loadlens.functions.keys import provider_id
+            users = G.active_users(reg).select("user", provider_id("user").alias("ser_id"))
+        users = users.select(F.col("user").alias("user_id"), "ser_id")
+        try:
+            wm = None if a.first_run else WM.read_latest_snapshot(spark, a.watermark)
+        except Exception as e:  # noqa: BLE001  no snapshot yet -> first run
+            print(f"no watermark snapshot ({type(e).__name__}); treating as first run", file=sys.stderr)
+            wm = None
+        win = I.first_run_windows(users, now) if wm is None else I.ingest_windows(users, wm, now)
+        win.write.mode("overwrite").parquet(a.out)
+    else:
+        if not (a.payloads and a.points):
+            ap.error("ingest needs --payloads and --points")
+        batch = a.batch_id if a.batch_id is not None else int(time.strftime("%Y%m%d%H", time.gmtime()))
+        ingest_batch(spark, read_estimate_payloads(spark, a.payloads), batch, a.points, a.watermark)
+
+
 def main(argv=None) -> None:
+    import sys
+    argv = list(sys.argv[1:] if argv is None else argv)
+    if argv and argv[0] in ("windows", "ingest"):
+        return ingest_main(argv)
     ap = argparse.ArgumentParser(prog="loadlens.jobs")
     ap.add_argument("job", choices=["daily", "weekly", "util-long", "util-short", "util-weekday",
                                     "profile", "latenight", "activity"])

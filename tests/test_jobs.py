@@ -52,3 +52,26 @@ def test_cli_daily_and_activity(spark):
     got = {r.col for r in s.read.parquet(store).select("col").distinct().collect()}
     assert {"cnt", "dur", "Otag", "iDay", "la"} <= got
     assert os.path.isdir(store)
+
+
+def test_cli_windows_and_ingest(spark):
+    import json
+    reg = fresh_path(spark, "cli-reg")
+    spark.createDataFrame([("1_a", 1), ("2_b", 1), ("3_c", 0)], "user string, is_active int").write.parquet(reg)
+    wm, out = fresh_path(spark, "cli-wm"), fresh_path(spark, "cli-win")
+    now = 1_706_659_200
+    J.main(["windows", "--registry", reg, "--allowed", "1,2", "--watermark", wm, "--out", out, "--now", str(now)])
+    w = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert {r[0] for r in w} == {"1_a", "2_b"} and len(w) == 8        # 3 days -> 3 full chunks + remainder each
+    pay = fresh_path(spark, "cli-pay")
+    os.makedirs(pay)
+    with open(os.path.join(pay, "p.json"), "w") as f:
+        f.write(json.dumps({"customer": "1_a", "commited_at": now - 100, "st": now - 1000,
+                            "data": [{"timestamps": [now - 500, now - 50], "main_pwrs": [1.0, 1.0],
+                                      "app_type": [{"app_id": 2, "apps": [{"id": 2, "pwrs": [20.0, 30.0]}]}]}]}) + "\n")
+    pts = fresh_path(spark, "cli-pts")
+    J.main(["ingest", "--payloads", pay, "--points", pts, "--watermark", wm, "--batch-id", "7"])
+    assert [tuple(r) for r in spark.read.parquet(pts).select("user_id", "t", "power").collect()] == [("1_a", now - 500, 20.0)]
+    J.main(["windows", "--registry", reg, "--allowed", "1,2", "--watermark", wm, "--out", out, "--now", str(now)])
+    w2 = {(r.user_id, r.st, r.et) for r in spark.read.parquet(out).collect()}
+    assert ("1_a", now - 100, now) in w2                              # resumes from its watermark
