@@ -163,6 +163,7 @@ def ingest_main(argv) -> None:
     ap.add_argument("--first-run", action="store_true", help="windows: ignore watermarks")
     ap.add_argument("--payloads", help="ingest: landed estimate payload JSON files")
     ap.add_argument("--points", help="ingest: output points table (partitioned by batch)")
+    ap.add_argument("--records", help="ingest: also write nested est/main JSON records here")
     ap.add_argument("--batch-id", type=int, help="ingest: snapshot id, e.g. yyyymmddHH (default: clock)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"loadlens-{a.job}").getOrCreate()
@@ -189,7 +190,7 @@ def ingest_main(argv) -> None:
         if not (a.payloads and a.points):
             ap.error("ingest needs --payloads and --points")
         batch = a.batch_id if a.batch_id is not None else int(time.strftime("%Y%m%d%H", time.gmtime()))
-        ingest_batch(spark, read_estimate_payloads(spark, a.payloads), batch, a.points, a.watermark)
+        ingest_batch(spark, read_estimate_payloads(spark, a.payloads), batch, a.points, a.watermark, a.records)
 
 
 def main(argv=None) -> None:

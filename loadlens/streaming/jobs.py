@@ -18,19 +18,34 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from loadlens.functions.time import day_no
-from loadlens.operators.payload import flatten_estimates, with_partition
+from loadlens.functions.keys import provider_id
+from loadlens.operators.payload import (flatten_estimates, flatten_main, nest_estimates, nest_main,
+                                       payload_records, with_partition)
 from loadlens.operators.watermark import merge_watermarks, read_latest_snapshot
 from loadlens.session import shared_dir
 from loadlens.sources.schemas import ESTIMATE_PAYLOAD
 
 
 def ingest_batch(spark: SparkSession, df: DataFrame, batch_id: int, points_dir: str,
-                 watermark_dir: str) -> None:
-    """One micro-batch of the ingest; running it again for the same id gives the same files."""
-    df = df.persist()   # feeds two writes; parse the batch once
-    pts = with_partition(flatten_estimates(df)).withColumn("batch", F.lit(batch_id))
+                 watermark_dir: str, records_dir: str | None = None) -> None:
+    """One micro-batch of the ingest; running it again for the same id gives the same files.
+
+    ``records_dir`` additionally writes the nested per-(user, day) JSON records,
+    ``est`` and ``main`` text datasets under ``batch=/ser_id=/partition=``.
+    """
+    df = df.persist()   # feeds several writes; parse the batch once
+    est = flatten_estimates(df)
+    pts = with_partition(est).withColumn("batch", F.lit(batch_id))
     (pts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch").parquet(points_dir))
+    if records_dir is not None:
+        rec = payload_records(nest_estimates(est), nest_main(flatten_main(df), est))
+        rec = rec.withColumn("ser_id", provider_id("user_id")).withColumn("batch", F.lit(batch_id))
+        for kind in ("est", "main"):
+            (rec.filter(F.col(f"{kind}_json").isNotNull())
+             .select(f"{kind}_json", "batch", "ser_id", "partition")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch", "ser_id", "partition").text(f"{records_dir.rstrip('/')}/{kind}"))
     new = df.filter(F.col("commited_at").isNotNull()).select(
         F.col("customer").alias("user_id"), "commited_at")
     try:
