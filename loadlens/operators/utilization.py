@@ -2,7 +2,7 @@
 
 A day is active when it has at least one kept session, so hour flags, the
 per-hour day counts and the active-day count all come from two aggregations
-over the sessions of the window.  Both group by a superset of the entity
+over the sessions of the window (start hours folded into a 24-bit mask).  Both group by a superset of the entity
 key, so they reuse the sessions' partitioning; only the (small) user grid is
 shuffled for the final left join.
 """
@@ -22,15 +22,21 @@ def session_start_hour(sess: DataFrame) -> DataFrame:
     return sess.withColumn("h", jst_hour("st"))
 
 
-def hour_stats(sess: DataFrame, keys) -> DataFrame:
-    """Per key: f_hh (any start in hour), c_hh (days with a start in hour), n_days."""
+def hour_stats(sess: DataFrame, keys, per_hour_days: bool = False) -> DataFrame:
+    """Per key: f_hh (any start in hour), n_days, and with ``per_hour_days`` c_hh (days per hour).
+
+    A day's start hours are folded into a 24-bit mask (``bit_or``), so each
+    aggregation carries one or two columns instead of one per hour.
+    """
     starts = session_start_hour(sess)
     per_day = starts.groupBy(*keys, "day_no").agg(
-        *[F.max(F.when(F.col("h") == h, 1).otherwise(0)).alias(f"d{h:02d}") for h in HOURS])
-    return per_day.groupBy(*keys).agg(
-        *[F.max(f"d{h:02d}").alias(f"f{h:02d}") for h in HOURS],
-        *[F.sum(f"d{h:02d}").alias(f"c{h:02d}") for h in HOURS],
-        F.count(F.lit(1)).alias("n_days"))
+        F.bit_or(F.expr("shiftleft(1, h)")).alias("mask"))
+    aggs = [F.bit_or("mask").alias("any_mask"), F.count(F.lit(1)).alias("n_days")]
+    if per_hour_days:
+        aggs += [F.sum(F.shiftright("mask", h).bitwiseAND(F.lit(1))).alias(f"c{h:02d}") for h in HOURS]
+    out = per_day.groupBy(*keys).agg(*aggs)
+    return out.select("*", *[F.shiftright("any_mask", h).bitwiseAND(F.lit(1)).alias(f"f{h:02d}")
+                             for h in HOURS])
 
 
 def _profile(grid, stats, keys, prefix, empty_value, source="f", divisor=None):
@@ -54,7 +60,7 @@ def utilization(sess: DataFrame, grid: DataFrame, as_of_day: int, days: int, pre
     ``days=28`` is the long profile (zeros when idle), ``days=7`` the short one
     (NaN when idle); ``fraction=True`` counts days per hour instead of a flag.
     """
-    stats = hour_stats(_in_range(sess, as_of_day, days), keys)
+    stats = hour_stats(_in_range(sess, as_of_day, days), keys, per_hour_days=fraction)
     return _profile(grid, stats, keys, prefix, empty_value, "c" if fraction else "f")
 
 
