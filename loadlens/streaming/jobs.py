@@ -61,12 +61,13 @@ def ingest_batch(spark: SparkSession, df: DataFrame, batch_id: int, points_dir:
 
 
 def ingest_stream(spark: SparkSession, payload_dir: str, points_dir: str, watermark_dir: str,
-                  checkpoint: str, available_now: bool = True) -> StreamingQuery:
+                  checkpoint: str, available_now: bool = True,
+                  records_dir: str | None = None) -> StreamingQuery:
     shared_dir(spark)
     src = spark.readStream.schema(ESTIMATE_PAYLOAD).json(payload_dir)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        ingest_batch(spark, df, batch_id, points_dir, watermark_dir)
+        ingest_batch(spark, df, batch_id, points_dir, watermark_dir, records_dir)
 
     w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="3600 seconds")

@@ -79,8 +79,8 @@ def test_ingest_stream_equals_batch(spark):
         payloads.append(p)
         with open(os.path.join(src, f"p{k}.json"), "w") as f:
             f.write(json.dumps(p) + "\n")
-    pts, wm, ck = (fresh_path(spark, n) for n in ("pts", "wm", "ck"))
-    q = ingest_stream(spark, src, pts, wm, ck)
+    pts, wm, ck, rec = (fresh_path(spark, n) for n in ("pts", "wm", "ck", "rec"))
+    q = ingest_stream(spark, src, pts, wm, ck, records_dir=rec)
     q.awaitTermination()
     got = sorted(tuple(r) for r in spark.read.parquet(pts).select("user_id", "app_id", "t", "power").collect())
     want = sorted(tuple(r) for r in flatten_estimates(read_estimate_payloads(spark, src)).collect())
@@ -88,6 +88,7 @@ def test_ingest_stream_equals_batch(spark):
     hist = spark.read.parquet(wm)
     last = hist.filter(F.col("et_hr") == hist.agg(F.max("et_hr")).collect()[0][0])
     assert sorted((r.user_id, r.commited_at) for r in last.collect()) == [("a", 9000), ("b", 3500)]
+    assert spark.read.text(f"{rec}/est").count() > 0
 
 
 def test_ingest_batch_replay_is_idempotent(spark):
