@@ -36,7 +36,7 @@ def DAY(col: str = "d") -> str:
 
 SESS = "WITH " + R_ALL + ",\n" + _sessions_cte("r", 10, 21600, 300)
 DAILY = SESS + """, daily AS (
-  SELECT user_id, d, d * 86400 + 54000 AS ymd, count(*) AS cnt, sum(et - st) AS dur
+  SELECT user_id, d, d * 86400 + 54000 AS ymd, count(*) AS cnt, CAST(sum(et - st) AS BIGINT) AS dur
   FROM sess GROUP BY user_id, d
 )"""
 
@@ -100,7 +100,8 @@ FROM lastd""",
 WEEKLY = DAILY + """, labels AS (
   SELECT DISTINCT user_id, d + k AS L FROM daily, range(7) AS rg(k)
 ), wk AS (
-  SELECT l.user_id, l.L, sum(x.cnt) AS w_cnt, sum(x.dur) AS w_dur, count(*) AS n
+  SELECT l.user_id, l.L, CAST(sum(x.cnt) AS BIGINT) AS w_cnt, CAST(sum(x.dur) AS BIGINT) AS w_dur,
+         count(*) AS n
   FROM labels l JOIN daily x ON x.user_id = l.user_id AND x.d BETWEEN l.L - 6 AND l.L
   GROUP BY l.user_id, l.L
 ), tr AS (

@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -45,7 +46,9 @@ def _key(cols, rows):
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    res = duck.execute(E.oracle_sql()[name])
-    ocols = [d[0] for d in res.description]
+    rel = duck.sql(E.oracle_sql()[name])
+    ocols = rel.columns
     assert sorted(df.columns) == sorted(ocols)
-    assert _key(df.columns, rows) == _key(ocols, res.fetchall())
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == dict(zip(ocols, map(str, rel.types)))
+    assert _key(df.columns, rows) == _key(ocols, rel.fetchall())
