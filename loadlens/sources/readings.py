@@ -39,3 +39,15 @@ def union_providers(parts: dict) -> DataFrame:
     """UNION ALL of one table per provider, tagging each with ``ser_id``."""
     tagged = [df.withColumn("ser_id", F.lit(str(k))) for k, df in parts.items()]
     return reduce(lambda a, b: a.unionByName(b), tagged)
+
+
+def read_provider_tables(spark, base: str, providers=None) -> DataFrame:
+    """One scan over ``base/ser_id=<p>/`` folders; ``ser_id`` comes from partition discovery.
+
+    ``providers`` limits the folders read (a partition filter, so other
+    providers are never listed or opened).
+    """
+    df = spark.read.option("basePath", base).parquet(base)
+    if providers is not None:
+        df = df.filter(F.col("ser_id").cast("string").isin([str(p) for p in providers]))
+    return df.withColumn("ser_id", F.col("ser_id").cast("string"))

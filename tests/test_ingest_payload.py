@@ -104,3 +104,16 @@ def test_main_nest_unnest_roundtrip(spark):
     nested = PL.nest_main(main, est)
     back = nested.select(F.from_json(F.to_json(F.struct("user_id", "data")), NESTED_MAIN).alias("r")).select("r.*")
     assert sorted(map(tuple, PL.unnest_main(back).collect()), key=str) == [("u", 100, 9.0), ("u", 200, None)]
+
+
+def test_read_provider_tables(spark, capsys):
+    from loadlens.session import fresh_path
+    from loadlens.sources.readings import read_provider_tables
+    base = fresh_path(spark, "providers")
+    for p, n in (("1", 3), ("2", 2), ("5", 1)):
+        spark.range(n).selectExpr("id AS user_id").write.parquet(f"{base}/ser_id={p}")
+    df = read_provider_tables(spark, base, providers=["1", "5"])
+    assert sorted((r.ser_id, r.user_id) for r in df.collect()) == [("1", 0), ("1", 1), ("1", 2), ("5", 0)]
+    capsys.readouterr()
+    df.explain("formatted")
+    assert "PartitionFilters: [" in capsys.readouterr().out
