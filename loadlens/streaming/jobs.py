@@ -88,7 +88,12 @@ def last_activity_stream(readings: DataFrame, thresholds: DataFrame,
 
 
 def sessions_stream(readings: DataFrame, thresholds: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Streaming N1+N2: sessions per (user, type, day); emitted once closed by the watermark."""
+    """Streaming N1+N2: sessions per (user, type, day); emitted once closed by the watermark.
+
+    State holds only open sessions (bounded by the watermark delay).  Like the
+    batch ``sessions_native``, one key's readings of a micro-batch are merged in
+    one task; the batch ``sessions`` path is the one for backfills of skewed data.
+    """
     r = (_with_event_time(readings).join(thresholds, "app_type_id")
          .filter(F.col("power") > F.col("min_power"))
          .withColumn("day_no", day_no("t")).withWatermark("ts", delay))
