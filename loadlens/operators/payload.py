@@ -26,39 +26,52 @@ def flatten_estimates(payload: DataFrame) -> DataFrame:
     """
     d = payload.filter(F.col("commited_at").isNotNull()).select(
         F.col("customer").alias("user_id"), "commited_at", "st",
-        F.element_at("data", 1).alias("d"))
+        F.try_element_at("data", F.lit(1)).alias("d"))
     at = d.select("user_id", "commited_at", "st", F.col("d.timestamps").alias("ts"),
                   F.explode("d.app_type").alias("at"))
     z = at.select("user_id", "commited_at", "st", F.col("at.app_id").alias("app_id"),
                   F.inline(F.arrays_zip(F.col("ts").alias("t"),
-                                        F.element_at("at.apps", 1)["pwrs"].alias("power"))))
+                                        F.try_element_at("at.apps", F.lit(1))["pwrs"].alias("power"))))
     return z.filter((F.col("t") > F.col("st")) & (F.col("t") <= F.col("commited_at"))
                     & _kept(F.col("power")) & F.col("t").isNotNull()
                     ).select("user_id", "app_id", "t", "power")
 
 
-def flatten_main(payload: DataFrame) -> DataFrame:
-    """Finalised whole-house points (user_id, t, main) where main_pwrs has index i."""
+def flatten_main(payload: DataFrame, require_estimate: bool = True) -> DataFrame:
+    """Finalised whole-house points (user_id, t, main) where main_pwrs has index i.
+
+    With ``require_estimate`` a point is kept only when some type kept an
+    estimate at the same index (power > 0 or null) -- checked inside the
+    payload row with ``exists``, so no join against the estimate points is
+    needed.
+    """
     d = payload.filter(F.col("commited_at").isNotNull()).select(
         F.col("customer").alias("user_id"), "commited_at", "st",
-        F.element_at("data", 1).alias("d"))
+        F.try_element_at("data", F.lit(1)).alias("d"))
     z = d.select("user_id", "commited_at", "st",
                  F.posexplode(F.col("d.timestamps")).alias("i", "t"),
-                 F.col("d.main_pwrs").alias("mp"))
-    z = z.filter(F.col("i") < F.size("mp")).withColumn("main", F.col("mp")[F.col("i")])
-    return z.filter((F.col("t") > F.col("st")) & (F.col("t") <= F.col("commited_at"))
-                    & _kept(F.col("main"))).select("user_id", "t", "main")
+                 F.col("d.main_pwrs").alias("mp"), F.col("d.app_type").alias("at"))
+    # get() is null out of range, so the size guard holds whatever order the filters run in
+    z = z.withColumn("main", F.get(F.col("mp"), F.col("i")))
+    keep = ((F.col("i") < F.size("mp")) & (F.col("t") > F.col("st"))
+            & (F.col("t") <= F.col("commited_at")) & _kept(F.col("main")))
+    if require_estimate:
+        def kept_at_i(a):
+            pw = F.try_element_at(a["apps"], F.lit(1))["pwrs"]
+            return (F.col("i") < F.size(pw)) & _kept(F.try_element_at(pw, F.col("i") + 1))
+        keep = keep & F.exists(F.coalesce(F.col("at"), F.array()), kept_at_i)
+    return z.filter(keep).select("user_id", "t", "main")
 
 
 def flatten_activity(payload: DataFrame) -> DataFrame:
     """Activity variant: fixed_at >= st, t <= fixed_at, power > 0; all types, appliances[0]."""
     d = payload.filter(F.col("fixed_at").isNotNull() & (F.col("fixed_at") >= F.col("st"))).select(
-        F.col("customer").alias("user_id"), "fixed_at", "st", F.element_at("data", 1).alias("d"))
+        F.col("customer").alias("user_id"), "fixed_at", "st", F.try_element_at("data", F.lit(1)).alias("d"))
     at = d.select("user_id", "fixed_at", F.col("d.timestamps").alias("ts"),
                   F.explode("d.appliance_types").alias("at"))
     z = at.select("user_id", "fixed_at", F.col("at.appliance_type_id").alias("app_id"),
                   F.inline(F.arrays_zip(F.col("ts").alias("t"),
-                                        F.element_at("at.appliances", 1)["powers"].alias("power"))))
+                                        F.try_element_at("at.appliances", F.lit(1))["powers"].alias("power"))))
     return z.filter((F.col("t") <= F.col("fixed_at")) & (F.col("power") > 0)).select(
         "user_id", "app_id", "t", "power")
 
@@ -83,10 +96,15 @@ def nest_estimates(points: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct(F.col("t").alias("timestamp"), "app_types"))).alias("data"))
 
 
-def nest_main(main_points: DataFrame, est_points: DataFrame) -> DataFrame:
-    """Whole-house series per (user, day), only at timestamps where an estimate was kept."""
-    at = est_points.select("user_id", "t").distinct()
-    m = main_points.join(at, ["user_id", "t"], "left_semi")
+def nest_main(main_points: DataFrame, est_points: DataFrame | None = None) -> DataFrame:
+    """Whole-house series per (user, day).
+
+    ``est_points`` (optional) keeps only timestamps where an estimate was
+    kept; it is not needed for points from ``flatten_main(require_estimate=True)``.
+    """
+    m = main_points
+    if est_points is not None:
+        m = m.join(est_points.select("user_id", "t").distinct(), ["user_id", "t"], "left_semi")
     m = with_partition(m)
     return m.groupBy("user_id", "partition").agg(
         F.sort_array(F.collect_list(F.struct(F.col("t").alias("timestamp"), F.col("main").alias("w_hp"))))

@@ -521,9 +521,7 @@ def q_payload_by_day(spark, sf):
 
 def _est_main(spark, sf):
     p = committed_payloads(spark, sf)
-    est = PL.flatten_estimates(p)
-    main = PL.flatten_main(p)
-    return PL.nest_estimates(est), PL.nest_main(main, est)
+    return PL.nest_estimates(PL.flatten_estimates(p)), PL.nest_main(PL.flatten_main(p))
 
 
 def q_payload_main(spark, sf):

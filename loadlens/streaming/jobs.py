@@ -39,7 +39,7 @@ def ingest_batch(spark: SparkSession, df: DataFrame, batch_id: int, points_dir:
     (pts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch").parquet(points_dir))
     if records_dir is not None:
-        rec = payload_records(nest_estimates(est), nest_main(flatten_main(df), est))
+        rec = payload_records(nest_estimates(est), nest_main(flatten_main(df)))
         rec = rec.withColumn("ser_id", provider_id("user_id")).withColumn("batch", F.lit(batch_id))
         for kind in ("est", "main"):
             (rec.filter(F.col(f"{kind}_json").isNotNull())

@@ -117,3 +117,24 @@ def test_read_provider_tables(spark, capsys):
     capsys.readouterr()
     df.explain("formatted")
     assert "PartitionFilters: [" in capsys.readouterr().out
+
+
+def test_main_requires_kept_estimate_in_row(spark):
+    row = {"customer": "u", "commited_at": 3500, "st": 1000,
+           "data": [{"timestamps": [1000, 2000, 3000, 3400], "main_pwrs": [9.0, 8.0, 7.0, 6.0],
+                     "app_type": [{"app_id": 1, "apps": [{"id": 1, "pwrs": [5.0, 0.0, None, 0.0]}]},
+                                  {"app_id": 2, "apps": [{"id": 2, "pwrs": [5.0, 0.0, 0.0, 4.0]}]}]}]}
+    p = spark.createDataFrame([row], ESTIMATE_PAYLOAD)
+    got = sorted(tuple(r) for r in PL.flatten_main(p).collect())
+    assert got == [("u", 3000, 7.0), ("u", 3400, 6.0)]          # 2000: no type kept; 1000: not after st
+    via_join = PL.nest_main(PL.flatten_main(p, require_estimate=False), PL.flatten_estimates(p))
+    assert sorted((x.timestamp, x.w_hp) for x in via_join.collect()[0].data) == [(3000, 7.0), (3400, 6.0)]
+
+
+def test_payload_with_empty_arrays(spark):
+    rows = [{"customer": "u", "commited_at": 10, "st": 0, "data": []},
+            {"customer": "v", "commited_at": 10, "st": 0,
+             "data": [{"timestamps": [5], "main_pwrs": [1.0], "app_type": [{"app_id": 1, "apps": []}]}]}]
+    p = spark.createDataFrame(rows, ESTIMATE_PAYLOAD)
+    assert PL.flatten_estimates(p).count() == 0
+    assert PL.flatten_main(p).count() == 0
