@@ -62,6 +62,16 @@ THRESHOLD_SCHEMA = T.StructType([
 MAX_CONFIG_ROWS = 100_000
 
 
+def literal_table(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
+    """A small driver-side table as a literal (JVM-only local relation, no Python RDD)."""
+    if len(rows) > MAX_CONFIG_ROWS:
+        raise ValueError("configuration table too large")
+    struct_type = T.ArrayType(schema, containsNull=False)
+    arr = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+                    for row in rows]).cast(struct_type)
+    return spark.range(0, 1, 1, 1).select(F.inline(arr))
+
+
 @dataclass(frozen=True)
 class Thresholds:
     """app_type_id -> (min_power, min_duration, max_gap)."""
@@ -73,7 +83,7 @@ class Thresholds:
             raise ValueError("threshold table too large to broadcast")
         data = [(str(k), float(v[0]), int(v[1]), int(v[2])) for k, v in self.rows.items()]
         # Row count is known here, so a broadcast hint is bounded.
-        return F.broadcast(spark.createDataFrame(data, THRESHOLD_SCHEMA))
+        return F.broadcast(literal_table(spark, data, THRESHOLD_SCHEMA))
 
     @property
     def app_types(self) -> list[str]:
@@ -92,4 +102,4 @@ def special_users_df(spark: SparkSession, users: dict) -> DataFrame:
         T.StructField("end_offset", T.LongType(), False),
     ])
     data = [(k, int(v[0]), int(v[1])) for k, v in items]
-    return F.broadcast(spark.createDataFrame(data, schema))
+    return F.broadcast(literal_table(spark, data, schema))
