@@ -14,6 +14,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadlens.functions.time import day_no, day_to_label, weekday_no
 from loadlens.operators import activity as A
@@ -25,7 +26,8 @@ from loadlens.operators import sessions as S
 from loadlens.operators import store as ST
 from loadlens.operators import utilization as U
 from loadlens.operators import weekly as W
-from loadlens.settings import HISTORY_DAYS, SPECIAL_USER_OFFSETS, Thresholds, special_users_df
+from loadlens.settings import (HISTORY_DAYS, SPECIAL_USER_OFFSETS, Thresholds, literal_table,
+                               special_users_df)
 
 KEYS = ["user_id", "app_type_id"]
 
@@ -173,7 +175,8 @@ def ingest_main(argv) -> None:
         now = a.now if a.now is not None else int(time.time())
         reg = spark.read.parquet(a.registry)
         if a.allowed:
-            allowed = spark.createDataFrame([(x,) for x in a.allowed.split(",")], "ser_id string")
+            allowed = literal_table(spark, [(x,) for x in a.allowed.split(",")],
+                                    T.StructType([T.StructField("ser_id", T.StringType())]))
             users = G.users_with_provider(reg, allowed)
         else:
             from loadlens.functions.keys import provider_id

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from loadlens.settings import literal_table
 
 
 def latest_snapshot(history: DataFrame) -> DataFrame:
@@ -53,5 +56,6 @@ def read_latest_snapshot(spark, path: str, before: int | None = None) -> DataFra
     newest = newest_partition(spark, path, "et_hr", before)
     t = spark.read.parquet(path)
     if newest is None:
-        return spark.createDataFrame([], "user_id string, commited_at long")
+        return literal_table(spark, [], T.StructType([T.StructField("user_id", T.StringType()),
+                                                      T.StructField("commited_at", T.LongType())]))
     return t.filter(F.col("et_hr") == newest).select("user_id", "commited_at").distinct()

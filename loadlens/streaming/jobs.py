@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
@@ -23,6 +24,7 @@ from loadlens.operators.payload import (flatten_estimates, flatten_main, nest_es
                                        payload_records, with_partition)
 from loadlens.operators.watermark import merge_watermarks, read_latest_snapshot
 from loadlens.session import shared_dir
+from loadlens.settings import literal_table
 from loadlens.sources.schemas import ESTIMATE_PAYLOAD
 
 
@@ -52,7 +54,8 @@ def ingest_batch(spark: SparkSession, df: DataFrame, batch_id: int, points_dir:
         # newest snapshot older than this batch: a replayed batch reads the same input
         old = read_latest_snapshot(spark, watermark_dir, before=batch_id)
     except AnalysisException:  # first batch: no snapshot table yet
-        old = spark.createDataFrame([], "user_id string, commited_at long")
+        old = literal_table(spark, [], T.StructType([T.StructField("user_id", T.StringType()),
+                                                     T.StructField("commited_at", T.LongType())]))
     snap = merge_watermarks(new, old).withColumn("et_hr", F.lit(batch_id).cast("int"))
     snap = snap.checkpoint(eager=True)
     (snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
