@@ -74,11 +74,11 @@ def daily_job(readings: DataFrame, thresholds: DataFrame, as_of_day: int | None
     if as_of_day is not None:
         r = _days_between(r, as_of_day - HISTORY_DAYS, as_of_day)
     sess = S.sessions(r, thresholds)
-    base = D.daily_unusual(D.daily_baseline(D.daily_metrics(sess)))
+    # one pipeline: session lists ride along with cnt/dur, no join back to the sessions
+    base = D.daily_unusual(D.daily_baseline(D.daily_metrics(sess, with_tags=True)))
     gap = F.col("day_no") - F.col("last_active")
-    base = base.withColumn("i_day", F.when(F.col("last_active").isNull() | (gap > 28), F.lit(-1))
-                           .otherwise(gap).cast("long"))
-    out = base.join(S.one_tags(sess), KEYS + ["day_no"], "inner")
+    out = base.withColumn("i_day", F.when(F.col("last_active").isNull() | (gap > 28), F.lit(-1))
+                          .otherwise(gap).cast("long"))
     return _only(out, as_of_day).select(*KEYS, "day_no", "ymd", *DAILY_COLS.values(), "tags")
 
 

@@ -9,10 +9,16 @@ from loadlens.functions.time import day_to_label
 from loadlens.settings import HISTORY_DAYS, INTERVAL_MAX_DAYS, STD_MULTIPLE
 
 
-def daily_metrics(sess: DataFrame, keys=("user_id", "app_type_id")) -> DataFrame:
-    """cnt and dur per key and day; only days with cnt > 0 and dur > 0."""
-    out = (sess.groupBy(*keys, "day_no")
-           .agg(F.count(F.lit(1)).alias("cnt"), F.sum(F.col("et") - F.col("st")).alias("dur")))
+def daily_metrics(sess: DataFrame, keys=("user_id", "app_type_id"), with_tags: bool = False) -> DataFrame:
+    """cnt and dur per key and day; only days with cnt > 0 and dur > 0.
+
+    ``with_tags`` also collects the day's sorted session list (bounded: a day
+    holds at most 43,200 sessions) in the same aggregation.
+    """
+    aggs = [F.count(F.lit(1)).alias("cnt"), F.sum(F.col("et") - F.col("st")).alias("dur")]
+    if with_tags:
+        aggs.append(F.sort_array(F.collect_list(F.struct("st", "et"))).alias("tags"))
+    out = sess.groupBy(*keys, "day_no").agg(*aggs)
     return (out.filter((F.col("cnt") > 0) & (F.col("dur") > 0))
             .withColumn("ymd", day_to_label("day_no")))
 

@@ -29,6 +29,7 @@ from loadlens.operators import store as ST
 from loadlens.operators import utilization as U
 from loadlens.operators import watermark as WM
 from loadlens.operators import weekly as W
+from loadlens import jobs as J
 from loadlens.plans import fixtures as X
 from loadlens.plans import payload_input as PI
 from loadlens.session import fresh_path
@@ -669,3 +670,17 @@ QUERIES.update({
     "readings_range_nested": q_readings_range_nested,
     "watermark_snapshots": q_watermark_snapshots,
 })
+
+
+# --- job layer ---------------------------------------------------------------
+
+def q_daily_job(spark, sf):
+    """The daily job's full row per user-day (all days), as written to the store."""
+    d = J.daily_job(readings_all(spark, sf), X.DEF.to_df(spark))
+    return d.select("user_id", _day_str().alias("data_day"), "ymd", "cnt", "dur",
+                    "u_h_cnt", "u_l_cnt", "u_h_dur", "u_l_dur", "i_day",
+                    F.size("tags").cast("long").alias("n_tags"))
+
+
+QUERIES.update({"daily_job": q_daily_job})
+

@@ -477,3 +477,22 @@ SELECT user_id, app_id, t, round(power, 6) AS power FROM pts
 WHERE t >= epoch(TIMESTAMP '2024-01-08 00:00:00') AND t < epoch(TIMESTAMP '2024-01-15 00:00:00')""",
     "watermark_snapshots": ORACLE["watermark_merge"],
 })
+
+
+ORACLE.update({
+    "daily_job": HIST + f""", lastd AS (
+  SELECT a.user_id, a.d, max(b.d) AS prev
+  FROM daily a LEFT JOIN daily b ON a.user_id = b.user_id AND b.d BETWEEN a.d - 56 AND a.d - 1
+  GROUP BY a.user_id, a.d
+), ntag AS (SELECT user_id, d, count(*) AS n_tags FROM sess GROUP BY user_id, d)
+SELECT h.user_id, {DAY('h.d')} AS data_day, h.d * 86400 + 54000 AS ymd, h.cnt, h.dur,
+       coalesce({_flag('cnt', 's_cnt', 'q_cnt', '')}, false) AS u_h_cnt,
+       coalesce(NOT {_flag('cnt', 's_cnt', 'q_cnt', '')} AND {_flag('cnt', 's_cnt', 'q_cnt', '-')}, false) AS u_l_cnt,
+       coalesce({_flag('dur', 's_dur', 'q_dur', '')}, false) AS u_h_dur,
+       coalesce(NOT {_flag('dur', 's_dur', 'q_dur', '')} AND {_flag('dur', 's_dur', 'q_dur', '-')}, false) AS u_l_dur,
+       CAST(CASE WHEN l.prev IS NULL OR h.d - l.prev > 28 THEN -1 ELSE h.d - l.prev END AS BIGINT) AS i_day,
+       t.n_tags
+FROM hist h JOIN lastd l ON l.user_id = h.user_id AND l.d = h.d
+JOIN ntag t ON t.user_id = h.user_id AND t.d = h.d""",
+})
+

@@ -25,6 +25,7 @@ def _shuffles(plan):
     ("weekly_unusual", 2),     # weekly fan-out and trend frames too
     ("profile_rolling", 2),    # daily min/max, then one shuffle of day rows before the fan-out
     ("last_activity_carry", 2),
+    ("daily_job", 2),          # the full daily job row, session lists included
 ])
 def test_shuffle_count(spark, capsys, name, expected):
     assert _shuffles(_plan(spark, name, capsys)) == expected
