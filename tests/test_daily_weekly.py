@@ -1,4 +1,5 @@
 import pytest
+from hypothesis import given, settings as hsettings, strategies as st
 
 from conftest import D0_DAY
 from loadlens.operators import daily as D
@@ -70,3 +71,34 @@ def test_weekly_wow_absent_previous_week(spark):
                                "user_id string, app_type_id string, day_no long, w_cnt long, w_dur long")
     r = W.weekly_trends(wk).filter(f"day_no = {Y}").collect()[0]
     assert r.wow_cnt == 0
+
+
+def _brute_weekly(days):
+    """Direct definition over {(user, day): (cnt, dur)}."""
+    out = {}
+    labels = {(u, d + k) for (u, d) in days for k in range(7)}
+    for u, L in labels:
+        rows = [days[(u, d)] for d in range(L - 6, L + 1) if (u, d) in days]
+        wc, wd = sum(r[0] for r in rows), sum(r[1] for r in rows)
+        out[(u, L)] = (wc, wd, wc // len(rows), wd // len(rows))
+    res = {}
+    for (u, L), (wc, wd, ac, ad) in out.items():
+        prev = out.get((u, L - 7))
+        wow = (wc - prev[0], wd - prev[1]) if prev else (0, 0)
+        weeks = [out.get((u, L - k)) for k in (0, 7, 14, 21)]
+        ma = (sum(w[0] for w in weeks) / 4.0, sum(w[1] for w in weeks) / 4.0) if all(weeks) else (0.0, 0.0)
+        res[(u, L)] = (wc, ac, wd, ad) + wow + ma
+    return res
+
+
+
+@hsettings(max_examples=10, deadline=None)
+@given(st.dictionaries(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 60)),
+                       st.tuples(st.integers(1, 5), st.integers(1, 5000)), min_size=1, max_size=60))
+def test_weekly_equals_brute_force(spark, days):
+    df = spark.createDataFrame([(u, "25", D0_DAY + d, c, du) for (u, d), (c, du) in days.items()],
+                               "user_id string, app_type_id string, day_no long, cnt long, dur long")
+    got = {(r.user_id, r.day_no - D0_DAY): (r.w_cnt, r.a_cnt, r.w_dur, r.a_dur, r.wow_cnt, r.wow_dur,
+                                            r.ma4_cnt, r.ma4_dur)
+           for r in W.weekly_trends(W.weekly_totals(df)).collect()}
+    assert got == _brute_weekly(days)
