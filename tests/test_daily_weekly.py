@@ -102,3 +102,36 @@ def test_weekly_equals_brute_force(spark, days):
                                             r.ma4_cnt, r.ma4_dur)
            for r in W.weekly_trends(W.weekly_totals(df)).collect()}
     assert got == _brute_weekly(days)
+
+
+def _brute_flags(days, u, d):
+    from fractions import Fraction
+    hist = [days[(u, x)] for x in range(d - 56, d) if (u, x) in days]
+    prev = [x for x in range(d - 56, d) if (u, x) in days]
+    iday = -1 if not prev or d - max(prev) > 28 else d - max(prev)
+    if not hist:
+        return (False, False, False, False, iday)
+    flags = []
+    for k in (0, 1):
+        xs = [Fraction(h[k]) for h in hist]
+        mean = sum(xs) / len(xs)
+        var = sum((x - mean) ** 2 for x in xs) / len(xs)
+        dev = Fraction(days[(u, d)][k]) - mean
+        high = dev > 0 and dev * dev > 9 * var
+        low = (not high) and dev < 0 and dev * dev > 9 * var
+        flags += [high, low]
+    return (flags[0], flags[1], flags[2], flags[3], iday)
+
+
+@hsettings(max_examples=10, deadline=None)
+@given(st.dictionaries(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 90)),
+                       st.tuples(st.integers(1, 6), st.integers(1, 3000)), min_size=1, max_size=70))
+def test_daily_flags_equal_brute_force(spark, days):
+    df = spark.createDataFrame([(u, "25", D0_DAY + d, c, du) for (u, d), (c, du) in days.items()],
+                               "user_id string, app_type_id string, day_no long, cnt long, dur long")
+    b = D.daily_unusual(D.daily_baseline(df))
+    got = {(r.user_id, r.day_no - D0_DAY): (r.u_h_cnt, r.u_l_cnt, r.u_h_dur, r.u_l_dur,
+                                            -1 if r.last_active is None or r.day_no - r.last_active > 28
+                                            else r.day_no - r.last_active)
+           for r in b.collect()}
+    assert got == {(u, d): _brute_flags(days, u, d) for (u, d) in days}
