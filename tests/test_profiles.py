@@ -1,5 +1,7 @@
 import math
 
+from hypothesis import given, settings as hsettings, strategies as st
+
 from conftest import D0, D0_DAY, readings
 from loadlens.operators import activity as A
 from loadlens.operators import latenight as L
@@ -112,3 +114,48 @@ def test_weekly_wow_compat_is_zero(spark):
                                "user_id string, app_type_id string, day_no long, w_cnt long, w_dur long")
     r = W.weekly_trends(wk, compat=True).filter(f"day_no = {D0_DAY}").collect()[0]
     assert (r.wow_cnt, r.wow_dur) == (0, 0)
+
+
+
+@hsettings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 12 * 86400 - 1),
+                          st.sampled_from([None, 3.0, 11.0, 50.0])), min_size=1, max_size=80))
+def test_last_activity_carry_equals_brute_force(spark, pts):
+    th = Thresholds({"25": [10, 0, 600]}).to_df(spark)
+    r = readings(spark, [(u, "25", D0 + t, p) for u, t, p in pts])
+    got = {(x.user_id, x.day_no - D0_DAY): x.la for x in A.last_activity_carry(A.last_activity(r, th)).collect()}
+    days = {}
+    for u, t, p in pts:
+        d = t // 86400
+        best = days.setdefault((u, d), None)
+        if p is not None and p > 10:
+            days[(u, d)] = max(best or 0, D0 + t)
+    want = {}
+    for (u, d) in sorted(days, key=lambda k: k[1]):
+        v = days[(u, d)]
+        if v is None:
+            v = want.get((u, d - 1), 0) if (u, d - 1) in days else 0
+        want[(u, d)] = v
+    assert got == want
+
+
+@hsettings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 40), st.integers(0, 23)),
+                min_size=0, max_size=40))
+def test_utilization_equals_brute_force(spark, starts):
+    rows = [(u, "25", D0_DAY + d, D0 + d * 86400 + h * 3600 + 17, D0 + d * 86400 + h * 3600 + 999)
+            for u, d, h in starts]
+    sess = spark.createDataFrame(rows, "user_id string, app_type_id string, day_no long, st long, et long")
+    grid = spark.createDataFrame([("a", "25"), ("b", "25"), ("c", "25")], "user_id string, app_type_id string")
+    as_of = D0_DAY + 40
+    lo = {r.user_id: _hours(r, "l") for r in UT.utilization_long(sess, grid, as_of).collect()}
+    fr = {r.user_id: _hours(r, "l") for r in UT.utilization_long_fraction(sess, grid, as_of).collect()}
+    wd = {r.user_id: _hours(r, "") for r in UT.utilization_weekday(sess, grid, as_of).collect()}
+    for u in ("a", "b", "c"):
+        mine = [(d, h) for uu, d, h in starts if uu == u]
+        in28 = [(d, h) for d, h in mine if 40 - 27 <= d <= 40]
+        n = len({d for d, _ in in28})
+        assert lo[u] == [(1.0 / n if any(h == x for _, h in in28) else 0.0) if n else 0.0 for x in range(24)]
+        assert fr[u] == [len({d for d, h in in28 if h == x}) / n if n else 0.0 for x in range(24)]
+        same = [(d, h) for d, h in mine if (40 - d) % 7 == 0 and 0 <= 40 - d < 56]
+        assert wd[u] == [(1.0 if any(h == x for _, h in same) else 0.0) / 8 for x in range(24)]
