@@ -159,3 +159,38 @@ def test_utilization_equals_brute_force(spark, starts):
         assert fr[u] == [len({d for d, h in in28 if h == x}) / n if n else 0.0 for x in range(24)]
         same = [(d, h) for d, h in mine if (40 - d) % 7 == 0 and 0 <= 40 - d < 56]
         assert wd[u] == [(1.0 if any(h == x for _, h in same) else 0.0) / 8 for x in range(24)]
+
+
+@hsettings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["sp", "r"]), st.integers(0, 4 * 86400 - 1),
+                          st.sampled_from([5.0, 20.0])), min_size=1, max_size=80),
+       st.sampled_from([60, 600, 3600]), st.sampled_from([0, 100]))
+def test_latenight_equals_brute_force(spark, pts, gap, min_dur):
+    th = Thresholds({"25": [10, min_dur, gap]}).to_df(spark)
+    sp = special_users_df(spark, {"sp": (-7200, 18000)})
+    lr = L.latenight_readings(readings(spark, [(u, "25", D0 + t, p) for u, t, p in pts]), sp)
+    ls = L.latenight_sessions(lr, th, sp)
+    got_s = sorted((x.user_id, x.ymd, x.st, x.et) for x in ls.filter("kept").collect())
+    got_n = {(x.user_id, x.ymd): len(x.tags) for x in L.latenight_tags(ls).collect()}
+    groups = {}
+    for u, t, p in pts:
+        t = D0 + t
+        m = ((t + 32400 + 7200) // 86400) * 86400 - 32400
+        lo = -7200 if u == "sp" else 0
+        if lo <= t - m < 18000 and p > 10:
+            groups.setdefault((u, m), []).append(t)
+    want_s, want_n = [], {}
+    for (u, m), ts in groups.items():
+        ts.sort()
+        runs, start, prev = [], ts[0], ts[0]
+        for t in ts[1:]:
+            if t - prev > gap:
+                runs.append((start, prev))
+                start = t
+            prev = t
+        runs.append((start, prev))
+        kept = [(s, e) for s, e in runs if e - s > min_dur]
+        want_n[(u, m)] = len(kept)
+        want_s += [(u, m, s - 7200 if u == "sp" else s, e + 18000) for s, e in kept]
+    assert got_s == sorted(want_s)
+    assert got_n == want_n
