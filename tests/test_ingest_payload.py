@@ -1,4 +1,5 @@
 import pytest
+from hypothesis import given, settings as hsettings, strategies as st
 
 from conftest import readings
 from loadlens.functions.time import data_day, day_to_label, weekday_no, yyyymm
@@ -138,3 +139,51 @@ def test_payload_with_empty_arrays(spark):
     p = spark.createDataFrame(rows, ESTIMATE_PAYLOAD)
     assert PL.flatten_estimates(p).count() == 0
     assert PL.flatten_main(p).count() == 0
+
+
+def _loop_chunks(st, et, step=86340):
+    out = []
+    while et - st > 0:
+        if et - st >= step:
+            out.append((st, st + step - 1))
+            st += step
+        else:
+            out.append((st, et))
+            break
+    return out
+
+
+
+@hsettings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(-1000, 400_000), min_size=1, max_size=25))
+def test_chunks_equal_loop(spark, spans):
+    df = spark.createDataFrame([(f"u{i}", "1", ST, ST + s) for i, s in enumerate(spans)],
+                               "user_id string, ser_id string, st long, et long")
+    got = sorted((r.user_id, r.st, r.et) for r in I.chunk_windows(df).collect())
+    want = sorted((f"u{i}", a, b) for i, s in enumerate(spans) for a, b in _loop_chunks(ST, ST + s))
+    assert got == want
+    wm = spark.createDataFrame([(f"u{i}", ST + s) for i, s in enumerate(spans)], "user_id string, commited_at long")
+    now = ST + 400_000
+    users = df.select("user_id", "ser_id")
+    got_w = sorted((r.user_id, r.st, r.et) for r in I.ingest_windows(users, wm, now).collect())
+    want_w = sorted((f"u{i}", a, b) for i, s in enumerate(spans)
+                    for a, b in (_loop_chunks(ST + s, now) if now - (ST + s) >= 86400 else [(ST + s, now)]))
+    assert got_w == want_w
+
+
+@hsettings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["u", "v"]), st.sampled_from(["cnt", "dur"]),
+                          st.integers(0, 50), st.integers(0, 999)), min_size=1, max_size=40, unique_by=lambda x: x[2]))
+def test_upsert_equals_newest(spark, cells):
+    from loadlens.operators import store as STO
+    schema = "user_id string, app_type_id string, ymd long, family string, col string, value string, version long"
+    rows = [(u, "1", 1704121200, "Daily", c, str(v), ver) for u, c, ver, v in cells]
+    half = len(rows) // 2
+    a = spark.createDataFrame(rows[:half], schema)
+    b = spark.createDataFrame(rows[half:], schema)
+    got = sorted((r.user_id, r.col, r.value, r.version) for r in STO.upsert(a, b).collect())
+    newest = {}
+    for u, c, ver, v in cells:
+        if (u, c) not in newest or ver > newest[(u, c)][1]:
+            newest[(u, c)] = (str(v), ver)
+    assert got == sorted((u, c, v, ver) for (u, c), (v, ver) in newest.items())
