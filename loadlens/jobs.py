@@ -245,7 +245,11 @@ def main(argv=None) -> None:
         cells = tag_cells(latenight_job(r, th, sp), "LOtag", version)
     else:
         cells = to_cells(activity_job(r, th), FAMILY_DAILY, {"la": "la"}, version)
-    ST.upsert_table(spark, a.store, cells)
+    months = None
+    if as_of is not None and a.job not in ("latenight", "activity"):
+        d = dt.date(1970, 1, 1) + dt.timedelta(days=as_of)   # the label's UTC date is the data day
+        months = [d.year * 100 + d.month]
+    ST.upsert_table(spark, a.store, cells, months)
 
 
 if __name__ == "__main__":

@@ -43,20 +43,26 @@ def with_month(cells: DataFrame) -> DataFrame:
     return cells.withColumn("yyyymm", yyyymm("ymd"))
 
 
-def upsert_table(spark: SparkSession, path: str, incoming: DataFrame) -> None:
+def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, months: list[int] | None = None) -> None:
     """Merge ``incoming`` into the month-partitioned table at ``path``.
 
-    Only months present in ``incoming`` are read (semi join on the partition
-    column) and rewritten (dynamic partition overwrite).  The merged result
-    is checkpointed to the shared checkpoint folder first, so the overwrite
-    never reads the files it replaces.
+    Only the months present in ``incoming`` are read and rewritten: their ids
+    (a handful -- one per calendar month touched) are given by the caller or
+    taken from the checkpointed incoming cells, and become a literal
+    partition filter, so the scan never lists or opens other months.  The
+    merged result is checkpointed to the shared checkpoint folder before the
+    dynamic partition overwrite, so the write never reads the files it
+    replaces.
     """
     shared_dir(spark)   # checkpoint() below needs the shared checkpoint folder
     inc = with_month(incoming)
+    if months is None:
+        inc = inc.checkpoint(eager=True)
+        months = sorted(r[0] for r in inc.select("yyyymm").distinct().collect())
+    if not months:
+        return
     try:
-        existing = spark.read.parquet(path)
-        months = inc.select("yyyymm").distinct()
-        existing = existing.join(months, "yyyymm", "left_semi")
+        existing = spark.read.parquet(path).filter(F.col("yyyymm").isin([int(m) for m in months]))
         merged = with_month(upsert(existing, inc))
     except AnalysisException:
         merged = with_month(latest_cells(inc))
