@@ -135,13 +135,33 @@ def tag_cells(df: DataFrame, col: str, version) -> DataFrame:
     return to_cells(df.withColumn("tags_json", F.to_json("tags")), FAMILY_ONETAG, {col: "tags_json"}, version)
 
 
-def _readings_from_parquet(spark: SparkSession, path: str) -> DataFrame:
+# days of readings each job needs before its label day (None: all days)
+LOOKBACK = {"daily": HISTORY_DAYS, "weekly": 27, "util-long": 28, "util-short": 7,
+            "util-weekday": 56, "profile": 13}
+
+
+def _yyyymmdd(day: int) -> int:
+    d = dt.date(1970, 1, 1) + dt.timedelta(days=day)
+    return d.year * 10000 + d.month * 100 + d.day
+
+
+def _readings_from_parquet(spark: SparkSession, path: str, lo_day: int | None = None,
+                           hi_day: int | None = None) -> DataFrame:
+    """Readings (user_id, app_type_id, t, power), restricted to JST days lo..hi when given.
+
+    A ``partition`` (yyyymmdd) column of a day-partitioned table is pruned
+    with literal bounds (one day of slack on each side, since the folder day
+    may be UTC); the exact ``t`` range is applied as well.
+    """
     from loadlens.functions.time import epoch_seconds
     df = spark.read.parquet(path)
+    if lo_day is not None and "partition" in df.columns:
+        df = df.filter(F.col("partition").between(_yyyymmdd(lo_day - 1), _yyyymmdd(hi_day + 1)))
     t = epoch_seconds(df, "ts") if "ts" in df.columns else F.col("t").cast("long")
-    return df.select(F.col("user_id").cast("string").alias("user_id"),
-                     F.col("app_type_id").cast("string").alias("app_type_id"),
-                     t.alias("t"), F.col("power").cast("double").alias("power"))
+    r = df.select(F.col("user_id").cast("string").alias("user_id"),
+                  F.col("app_type_id").cast("string").alias("app_type_id"),
+                  t.alias("t"), F.col("power").cast("double").alias("power"))
+    return r if lo_day is None else _days_between(r, lo_day, hi_day)
 
 
 def ingest_main(argv) -> None:
@@ -215,7 +235,9 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName(f"loadlens-{a.job}").getOrCreate()
     version = a.version if a.version is not None else int(time.time() * 1000)
     as_of = run_date_to_day(a.run_date) if a.run_date else None
-    r = _readings_from_parquet(spark, a.readings)
+    back = LOOKBACK.get(a.job) if as_of is not None else None
+    r = (_readings_from_parquet(spark, a.readings) if back is None
+         else _readings_from_parquet(spark, a.readings, as_of - back, as_of))
     th = Thresholds().to_df(spark)
     if a.job == "daily":
         d = daily_job(r, th, as_of)

@@ -86,3 +86,24 @@ def test_cli_windows_and_ingest(spark):
     J.main(["windows", "--registry", reg, "--allowed", "1,2", "--watermark", wm, "--out", out, "--now", str(now)])
     w2 = {(r.user_id, r.st, r.et) for r in spark.read.parquet(out).collect()}
     assert ("1_a", now - 100, now) in w2                              # resumes from its watermark
+
+
+def test_cli_prunes_day_partitioned_readings(spark):
+    from loadlens.functions.time import day_no
+    src = fresh_path(spark, "cli-part-readings")
+    e = spark.read.parquet(f"{SF}/events.parquet")
+    r = e.select("user_id", F.lit("2").alias("app_type_id"), "ts", F.col("value").alias("power"),
+                 epoch_seconds(e, "ts").alias("t"))
+    r = r.withColumn("partition", F.date_format(F.date_from_unix_date(day_no("t").cast("int")), "yyyyMMdd").cast("int"))
+    r.drop("t").write.partitionBy("partition").parquet(src)
+    day = J.run_date_to_day("01292024")
+    got = J._readings_from_parquet(spark, src, day - 13, day)
+    import io
+    import contextlib
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain("formatted")
+    assert "PartitionFilters: [" in buf.getvalue() and "20240114" in buf.getvalue()
+    full = J._readings_from_parquet(spark, src)
+    want = full.filter((F.col("t") >= (day - 13) * 86400 - 32400) & (F.col("t") < (day + 1) * 86400 - 32400))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
