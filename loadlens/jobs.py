@@ -82,6 +82,60 @@ def daily_job(readings: DataFrame, thresholds: DataFrame, as_of_day: int | None
     return _only(out, as_of_day).select(*KEYS, "day_no", "ymd", *DAILY_COLS.values(), "tags")
 
 
+def months_between(lo_day: int, hi_day: int) -> list[int]:
+    """yyyymm ids of the label days lo..hi (a label's UTC date is its data day)."""
+    out, d = [], dt.date(1970, 1, 1) + dt.timedelta(days=lo_day)
+    end = dt.date(1970, 1, 1) + dt.timedelta(days=hi_day)
+    while d <= end:
+        m = d.year * 100 + d.month
+        if not out or out[-1] != m:
+            out.append(m)
+        d += dt.timedelta(days=1)
+    return out
+
+
+def store_daily_history(store: DataFrame, lo_day: int, hi_day: int) -> DataFrame:
+    """Stored Daily cnt/dur of label days lo..hi as (user_id, app_type_id, day_no, cnt, dur).
+
+    The month partitions are pruned with a literal filter; cells are already
+    reduced to their newest version by the store's upsert.
+    """
+    lo_lbl, hi_lbl = lo_day * 86400 + 54000, hi_day * 86400 + 54000
+    c = store.filter(F.col("yyyymm").isin(months_between(lo_day, hi_day))
+                     & (F.col("family") == FAMILY_DAILY) & F.col("col").isin("cnt", "dur")
+                     & F.col("ymd").between(lo_lbl, hi_lbl))
+    w = c.groupBy("user_id", "app_type_id", "ymd").agg(
+        F.max(F.when(F.col("col") == "cnt", F.col("value"))).cast("long").alias("cnt"),
+        F.max(F.when(F.col("col") == "dur", F.col("value"))).cast("long").alias("dur"))
+    return w.select("user_id", "app_type_id", ((F.col("ymd") - 54000) / 86400).cast("long").alias("day_no"),
+                    "cnt", "dur").filter((F.col("cnt") > 0) & (F.col("dur") > 0))
+
+
+def daily_job_incremental(readings: DataFrame, thresholds: DataFrame, history: DataFrame,
+                          as_of_day: int, pair: bool = True) -> DataFrame:
+    """The daily job for one label, sessionizing only that day's readings.
+
+    ``history`` holds the previous days' (user_id, app_type_id, day_no, cnt,
+    dur), e.g. from ``store_daily_history``; the 56-day flags and interval
+    days are computed over it plus today, so a day's work no longer grows
+    with the history length.
+    """
+    r = _days_between(prepared_readings(readings, pair), as_of_day, as_of_day)
+    today = D.daily_metrics(S.sessions(r, thresholds), with_tags=True)
+    tags_type = today.schema["tags"].dataType
+    hist = (history.filter((F.col("day_no") >= as_of_day - HISTORY_DAYS) & (F.col("day_no") < as_of_day))
+            .select(F.col("user_id").cast("string").alias("user_id"), "app_type_id", "day_no", "cnt", "dur",
+                    F.lit(None).cast(tags_type).alias("tags"))
+            .withColumn("ymd", day_to_label("day_no")))
+    allx = today.select(F.col("user_id").cast("string").alias("user_id"), "app_type_id", "day_no",
+                        "cnt", "dur", "tags", "ymd").unionByName(hist)
+    base = D.daily_unusual(D.daily_baseline(allx))
+    gap = F.col("day_no") - F.col("last_active")
+    out = base.withColumn("i_day", F.when(F.col("last_active").isNull() | (gap > 28), F.lit(-1))
+                          .otherwise(gap).cast("long"))
+    return _only(out, as_of_day).select(*KEYS, "day_no", "ymd", *DAILY_COLS.values(), "tags")
+
+
 def weekly_job(daily: DataFrame, as_of_day: int | None = None) -> DataFrame:
     w = W.weekly_unusual(W.weekly_trends(W.weekly_totals(daily.select(*KEYS, "day_no", "cnt", "dur"))))
     return _only(w, as_of_day).select(*KEYS, "day_no", "ymd", *WEEKLY_COLS.values())
@@ -228,6 +282,8 @@ def main(argv=None) -> None:
     ap.add_argument("--store", required=True, help="month-partitioned cell table")
     ap.add_argument("--run-date", help="MMDDYYYY; the data day is the day before (default: all days)")
     ap.add_argument("--version", type=int, help="cell version (default: run time in ms)")
+    ap.add_argument("--recompute-history", action="store_true",
+                    help="daily: rebuild the 56-day history from readings instead of the store")
     ap.add_argument("--special-user", action="append", default=[],
                     help="late-night special user id (offsets %s); repeatable" % (SPECIAL_USER_OFFSETS,))
     a = ap.parse_args(argv)
@@ -239,7 +295,18 @@ def main(argv=None) -> None:
     r = (_readings_from_parquet(spark, a.readings) if back is None
          else _readings_from_parquet(spark, a.readings, as_of - back, as_of))
     th = Thresholds().to_df(spark)
-    if a.job == "daily":
+    store = None
+    if a.job == "daily" and as_of is not None and not a.recompute_history:
+        try:
+            store = spark.read.parquet(a.store)
+        except Exception:  # noqa: BLE001  no store yet: recompute the history from readings
+            store = None
+    if a.job == "daily" and store is not None:
+        r1 = _readings_from_parquet(spark, a.readings, as_of, as_of)
+        hist = store_daily_history(store, as_of - HISTORY_DAYS, as_of - 1)
+        d = daily_job_incremental(r1, th, hist, as_of)
+        cells = to_cells(d, FAMILY_DAILY, DAILY_COLS, version).unionByName(tag_cells(d, "Otag", version))
+    elif a.job == "daily":
         d = daily_job(r, th, as_of)
         cells = to_cells(d, FAMILY_DAILY, DAILY_COLS, version).unionByName(tag_cells(d, "Otag", version))
     elif a.job == "weekly":

@@ -107,3 +107,21 @@ def test_cli_prunes_day_partitioned_readings(spark):
     full = J._readings_from_parquet(spark, src)
     want = full.filter((F.col("t") >= (day - 13) * 86400 - 32400) & (F.col("t") < (day + 1) * 86400 - 32400))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_incremental_daily_equals_recompute(spark):
+    r = _readings(spark)
+    th = Thresholds({"2": [10, 300, 21600]}).to_df(spark)
+    store = fresh_path(spark, "inc-store")
+    from loadlens.operators import store as STO
+    full = J.daily_job(r, th)
+    STO.upsert_table(spark, store, J.to_cells(full, J.FAMILY_DAILY, J.DAILY_COLS, 1))
+    day = J.run_date_to_day("01292024")
+    hist = J.store_daily_history(spark.read.parquet(store), day - 56, day - 1)
+    inc = J.daily_job_incremental(r, th, hist, day)
+    rec = J.daily_job(r, th, day)
+    assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, rec.collect())) and inc.count() > 0
+
+
+def test_months_between():
+    assert J.months_between(19723 - 2, 19723 + 31) == [202312, 202401, 202402]
