@@ -283,7 +283,7 @@ def main(argv=None) -> None:
     ap.add_argument("--run-date", help="MMDDYYYY; the data day is the day before (default: all days)")
     ap.add_argument("--version", type=int, help="cell version (default: run time in ms)")
     ap.add_argument("--recompute-history", action="store_true",
-                    help="daily: rebuild the 56-day history from readings instead of the store")
+                    help="daily/weekly: rebuild the history from readings instead of the store")
     ap.add_argument("--special-user", action="append", default=[],
                     help="late-night special user id (offsets %s); repeatable" % (SPECIAL_USER_OFFSETS,))
     a = ap.parse_args(argv)
@@ -296,7 +296,7 @@ def main(argv=None) -> None:
          else _readings_from_parquet(spark, a.readings, as_of - back, as_of))
     th = Thresholds().to_df(spark)
     store = None
-    if a.job == "daily" and as_of is not None and not a.recompute_history:
+    if a.job in ("daily", "weekly") and as_of is not None and not a.recompute_history:
         try:
             store = spark.read.parquet(a.store)
         except Exception:  # noqa: BLE001  no store yet: recompute the history from readings
@@ -310,7 +310,9 @@ def main(argv=None) -> None:
         d = daily_job(r, th, as_of)
         cells = to_cells(d, FAMILY_DAILY, DAILY_COLS, version).unionByName(tag_cells(d, "Otag", version))
     elif a.job == "weekly":
-        d = daily_job(r, th, None)
+        # stored Daily cells of the 28 days the label needs, or a recomputation from readings
+        d = (store_daily_history(store, as_of - 27, as_of) if store is not None
+             else daily_job(r, th, None))
         cells = to_cells(weekly_job(d, as_of), FAMILY_WEEKLY, WEEKLY_COLS, version)
     elif a.job.startswith("util-"):
         if as_of is None:

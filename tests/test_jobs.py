@@ -125,3 +125,16 @@ def test_incremental_daily_equals_recompute(spark):
 
 def test_months_between():
     assert J.months_between(19723 - 2, 19723 + 31) == [202312, 202401, 202402]
+
+
+def test_weekly_from_store_equals_recompute(spark):
+    r = _readings(spark)
+    th = Thresholds({"2": [10, 300, 21600]}).to_df(spark)
+    store = fresh_path(spark, "wk-store")
+    from loadlens.operators import store as STO
+    full = J.daily_job(r, th)
+    STO.upsert_table(spark, store, J.to_cells(full, J.FAMILY_DAILY, J.DAILY_COLS, 1))
+    day = J.run_date_to_day("01292024")
+    from_store = J.weekly_job(J.store_daily_history(spark.read.parquet(store), day - 27, day), day)
+    rec = J.weekly_job(full, day)
+    assert sorted(map(tuple, from_store.collect())) == sorted(map(tuple, rec.collect())) and rec.count() > 0
