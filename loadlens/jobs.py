@@ -111,6 +111,20 @@ def store_daily_history(store: DataFrame, lo_day: int, hi_day: int) -> DataFrame
                     "cnt", "dur").filter((F.col("cnt") > 0) & (F.col("dur") > 0))
 
 
+def store_sessions(store: DataFrame, lo_day: int, hi_day: int) -> DataFrame:
+    """Stored OneTag session lists of label days lo..hi as session rows.
+
+    (user_id, app_type_id, day_no, st, et); month partitions pruned by literal filter.
+    """
+    lo_lbl, hi_lbl = lo_day * 86400 + 54000, hi_day * 86400 + 54000
+    c = store.filter(F.col("yyyymm").isin(months_between(lo_day, hi_day))
+                     & (F.col("family") == FAMILY_ONETAG) & (F.col("col") == "Otag")
+                     & F.col("ymd").between(lo_lbl, hi_lbl))
+    tags = F.from_json("value", "array<struct<st:bigint,et:bigint>>")
+    return c.select("user_id", "app_type_id", ((F.col("ymd") - 54000) / 86400).cast("long").alias("day_no"),
+                    F.inline(tags))
+
+
 def daily_job_incremental(readings: DataFrame, thresholds: DataFrame, history: DataFrame,
                           as_of_day: int, pair: bool = True) -> DataFrame:
     """The daily job for one label, sessionizing only that day's readings.
@@ -146,7 +160,10 @@ def utilization_job(readings: DataFrame, thresholds: DataFrame, grid: DataFrame,
     """kind: 'long' (l00..l23), 'short' (s00..s23) or 'weekday' (00..23 + wDay)."""
     span = {"long": 28, "short": 7, "weekday": 56}[kind]
     r = _days_between(prepared_readings(readings, pair), as_of_day - span, as_of_day)
-    sess = S.sessions(r, thresholds)
+    return utilization_from_sessions(S.sessions(r, thresholds), grid, as_of_day, kind)
+
+
+def utilization_from_sessions(sess: DataFrame, grid: DataFrame, as_of_day: int, kind: str) -> DataFrame:
     if kind == "long":
         out = U.utilization_long(sess, grid, as_of_day)
     elif kind == "short":
@@ -283,7 +300,7 @@ def main(argv=None) -> None:
     ap.add_argument("--run-date", help="MMDDYYYY; the data day is the day before (default: all days)")
     ap.add_argument("--version", type=int, help="cell version (default: run time in ms)")
     ap.add_argument("--recompute-history", action="store_true",
-                    help="daily/weekly: rebuild the history from readings instead of the store")
+                    help="daily/weekly/util: rebuild the history from readings instead of the store")
     ap.add_argument("--special-user", action="append", default=[],
                     help="late-night special user id (offsets %s); repeatable" % (SPECIAL_USER_OFFSETS,))
     a = ap.parse_args(argv)
@@ -320,7 +337,16 @@ def main(argv=None) -> None:
         kind = a.job.split("-", 1)[1]
         grid = r.select("user_id").distinct().select(
             "user_id", F.explode(F.array(*[F.lit(x) for x in Thresholds().app_types])).alias("app_type_id"))
-        u = utilization_job(r, th, grid, as_of, kind)
+        span = {"long": 28, "short": 7, "weekday": 56}[kind]
+        try:
+            stored = None if a.recompute_history else spark.read.parquet(a.store)
+        except Exception:  # noqa: BLE001  no store yet
+            stored = None
+        if stored is not None:
+            # the daily job's stored session lists replace re-sessionizing `span` days of readings
+            u = utilization_from_sessions(store_sessions(stored, as_of - span, as_of), grid, as_of, kind)
+        else:
+            u = utilization_job(r, th, grid, as_of, kind)
         prefix, fam = {"long": ("l", FAMILY_WEEKLY), "short": ("s", FAMILY_WEEKLY),
                        "weekday": ("", FAMILY_DAILY)}[kind]
         cols = {f"{prefix}{h:02d}": f"{prefix}{h:02d}" for h in range(24)}

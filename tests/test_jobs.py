@@ -138,3 +138,19 @@ def test_weekly_from_store_equals_recompute(spark):
     from_store = J.weekly_job(J.store_daily_history(spark.read.parquet(store), day - 27, day), day)
     rec = J.weekly_job(full, day)
     assert sorted(map(tuple, from_store.collect())) == sorted(map(tuple, rec.collect())) and rec.count() > 0
+
+
+def test_utilization_from_stored_sessions_equals_recompute(spark):
+    r = _readings(spark)
+    th = Thresholds({"2": [10, 300, 21600]}).to_df(spark)
+    store = fresh_path(spark, "util-store")
+    from loadlens.operators import store as STO
+    full = J.daily_job(r, th)
+    STO.upsert_table(spark, store, J.tag_cells(full, "Otag", 1))
+    day = J.run_date_to_day("01292024")
+    grid = r.select("user_id").distinct().withColumn("app_type_id", F.lit("2"))
+    for kind, span in (("long", 28), ("short", 7), ("weekday", 56)):
+        a = J.utilization_from_sessions(J.store_sessions(spark.read.parquet(store), day - span, day), grid, day, kind)
+        b = J.utilization_job(r, th, grid, day, kind)
+        key = lambda row: tuple("nan" if isinstance(v, float) and v != v else v for v in row)
+        assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
