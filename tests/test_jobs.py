@@ -47,10 +47,12 @@ def test_cli_daily_and_activity(spark):
     store = fresh_path(spark, "cli-store")
     J.main(["daily", "--readings", src, "--store", store, "--run-date", "01292024", "--version", "1"])
     J.main(["activity", "--readings", src, "--store", store, "--version", "2"])
+    J.main(["util-long", "--readings", src, "--store", store, "--run-date", "01292024", "--version", "3"])
+    J.main(["weekly", "--readings", src, "--store", store, "--run-date", "01292024", "--version", "4"])
     from pyspark.sql import SparkSession
     s = SparkSession.builder.getOrCreate()
     got = {r.col for r in s.read.parquet(store).select("col").distinct().collect()}
-    assert {"cnt", "dur", "Otag", "iDay", "la"} <= got
+    assert {"cnt", "dur", "Otag", "iDay", "la", "l00", "l23", "wCnt", "ma4Cnt"} <= got
     assert os.path.isdir(store)
 
 
