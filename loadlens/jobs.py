@@ -359,11 +359,19 @@ def main(argv=None) -> None:
         cells = to_cells(profile_job(r, th, as_of), FAMILY_WEEKLY, PROFILE_COLS, version)
     elif a.job == "latenight":
         sp = special_users_df(spark, {u: SPECIAL_USER_OFFSETS for u in a.special_user})
-        cells = tag_cells(latenight_job(r, th, sp), "LOtag", version)
+        if as_of is not None:
+            # the run date's night: label = JST midnight starting the run date (15:00 UTC of the data day)
+            m = (as_of + 1) * 86400 - 32400
+            rl = _readings_from_parquet(spark, a.readings, as_of, as_of + 1)
+            rl = rl.filter((F.col("t") >= m - 7200) & (F.col("t") < m + 18000))
+            t = latenight_job(rl, th, sp).filter(F.col("ymd") == m)
+        else:
+            t = latenight_job(r, th, sp)
+        cells = tag_cells(t, "LOtag", version)
     else:
         cells = to_cells(activity_job(r, th), FAMILY_DAILY, {"la": "la"}, version)
     months = None
-    if as_of is not None and a.job not in ("latenight", "activity"):
+    if as_of is not None and a.job != "activity":
         d = dt.date(1970, 1, 1) + dt.timedelta(days=as_of)   # the label's UTC date is the data day
         months = [d.year * 100 + d.month]
     ST.upsert_table(spark, a.store, cells, months)

@@ -156,3 +156,18 @@ def test_utilization_from_stored_sessions_equals_recompute(spark):
         b = J.utilization_job(r, th, grid, day, kind)
         key = lambda row: tuple("nan" if isinstance(v, float) and v != v else v for v in row)
         assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+
+
+def test_cli_latenight_run_date_equals_full(spark):
+    src = fresh_path(spark, "ln-readings")
+    e = spark.read.parquet(f"{SF}/events.parquet")
+    e.select(F.col("user_id").cast("string").alias("user_id"), F.lit("2").alias("app_type_id"), "ts",
+             F.col("value").alias("power")).write.parquet(src)
+    full_store, one_store = fresh_path(spark, "ln-full"), fresh_path(spark, "ln-one")
+    J.main(["latenight", "--readings", src, "--store", full_store, "--version", "1", "--special-user", "7"])
+    J.main(["latenight", "--readings", src, "--store", one_store, "--version", "1", "--special-user", "7",
+            "--run-date", "01202024"])
+    m = (J.run_date_to_day("01202024") + 1) * 86400 - 32400
+    one = sorted(map(tuple, spark.read.parquet(one_store).drop("yyyymm").collect()))
+    full = sorted(map(tuple, spark.read.parquet(full_store).filter(F.col("ymd") == m).drop("yyyymm").collect()))
+    assert one == full and len(one) > 0
