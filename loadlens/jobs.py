@@ -192,6 +192,25 @@ def activity_job(readings: DataFrame, thresholds: DataFrame) -> DataFrame:
     return c.withColumn("ymd", day_to_label("day_no"))
 
 
+def activity_job_incremental(readings: DataFrame, thresholds: DataFrame, store: DataFrame,
+                             as_of_day: int) -> DataFrame:
+    """Last activity of one day: today's latest eligible time, else the stored previous-day value, else 0.
+
+    A previous-day cell exists exactly when that day had readings, which is
+    when the full computation carries too.
+    """
+    today = A.last_activity(_days_between(readings, as_of_day, as_of_day), thresholds)
+    prev_lbl = (as_of_day - 1) * 86400 + 54000
+    prev = (store.filter(F.col("yyyymm").isin(months_between(as_of_day - 1, as_of_day - 1))
+                         & (F.col("family") == FAMILY_DAILY) & (F.col("col") == "la")
+                         & (F.col("ymd") == prev_lbl))
+            .select(F.col("user_id").cast("string").alias("user_id"), "app_type_id",
+                    F.col("value").cast("long").alias("la_prev")))
+    j = today.withColumn("user_id", F.col("user_id").cast("string")).join(prev, KEYS, "left")
+    return j.select(*KEYS, "day_no", F.coalesce("la", "la_prev", F.lit(0)).cast("long").alias("la"),
+                    day_to_label("day_no").alias("ymd"))
+
+
 def to_cells(df: DataFrame, family: str, columns: dict, version) -> DataFrame:
     """Wide metric rows -> (user_id, app_type_id, ymd, family, col, value, version)."""
     pairs = F.array(*[F.struct(F.lit(name).alias("col"), F.col(src).cast("string").alias("value"))
@@ -369,9 +388,18 @@ def main(argv=None) -> None:
             t = latenight_job(r, th, sp)
         cells = tag_cells(t, "LOtag", version)
     else:
-        cells = to_cells(activity_job(r, th), FAMILY_DAILY, {"la": "la"}, version)
+        try:
+            stored = spark.read.parquet(a.store) if as_of is not None else None
+        except Exception:  # noqa: BLE001  no store yet
+            stored = None
+        if stored is not None:
+            act = activity_job_incremental(_readings_from_parquet(spark, a.readings, as_of, as_of), th, stored, as_of)
+        else:
+            act = activity_job(r, th)
+            act = act if as_of is None else act.filter(F.col("day_no") == as_of)
+        cells = to_cells(act, FAMILY_DAILY, {"la": "la"}, version)
     months = None
-    if as_of is not None and a.job != "activity":
+    if as_of is not None:
         d = dt.date(1970, 1, 1) + dt.timedelta(days=as_of)   # the label's UTC date is the data day
         months = [d.year * 100 + d.month]
     ST.upsert_table(spark, a.store, cells, months)

@@ -171,3 +171,19 @@ def test_cli_latenight_run_date_equals_full(spark):
     one = sorted(map(tuple, spark.read.parquet(one_store).drop("yyyymm").collect()))
     full = sorted(map(tuple, spark.read.parquet(full_store).filter(F.col("ymd") == m).drop("yyyymm").collect()))
     assert one == full and len(one) > 0
+
+
+def test_activity_incremental_equals_full(spark):
+    e = spark.read.parquet(f"{SF}/events.parquet")
+    r = e.select(F.col("user_id").cast("string").alias("user_id"), F.col("event_type").alias("app_type_id"),
+                 epoch_seconds(e, "ts").alias("t"), F.col("value").alias("power"))
+    th = Thresholds({k: [10, 0, 600] for k in ("click", "view", "error", "purchase", "signup")}).to_df(spark)
+    full = J.activity_job(r, th)
+    store = fresh_path(spark, "act-store")
+    from loadlens.operators import store as STO
+    STO.upsert_table(spark, store, J.to_cells(full, J.FAMILY_DAILY, {"la": "la"}, 1))
+    for run in ("01152024", "01292024"):
+        day = J.run_date_to_day(run)
+        inc = J.activity_job_incremental(r, th, spark.read.parquet(store), day)
+        want = full.filter(F.col("day_no") == day).select(*J.KEYS, "day_no", "la", "ymd")
+        assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, want.collect())) and inc.count() > 0
