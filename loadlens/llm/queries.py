@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import fertility, hash_tree
+from loadlens.llm import (anchor_dedup, decontaminate, fertility, ftrl, hash_tree, hilbert_pack, pii_tagger, rff_quality,
+                          simhash, suffix_dedup)
 from loadlens.llm.common import read
 
 
@@ -25,9 +26,44 @@ def op1_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                              tokenizer_path("piece_bpe_32k.model"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove(read(spark, sf_dir, "documents"), length=200)
+
+
+def op3_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchor_dedup.remove(read(spark, sf_dir, "documents"), length=35)
+
+
+def op4_rff_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rff_quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), folds=5, threshold=0.3)
+
+
+def op5_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ftrl.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), folds=3, held_fold=1, threshold=0.7)
+
+
+def op6_seed_align_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op7_pii_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii_tagger.personal_data(docs, pii_tagger.train(docs))
+
+
+def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = hash_tree.even_tree(2, 2, 2)
     return hash_tree.assign(read(spark, sf_dir, "documents"), tree, hash_tree.with_shard(tree, 8))
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility_rules, op9_hash_tree_shards)}
+def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_pack.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), length=2048)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_fertility_rules, op2_suffix_dedup, op3_anchor_dedup, op4_rff_quality, op5_ftrl_toxicity, op6_seed_align_decontamination,
+    op7_pii_tagger, op8_covering_simhash, op9_hash_tree_shards, op10_hilbert_packing)}

@@ -17,6 +17,10 @@ U = np.uint64
 #: Bytes that separate words: space and 0x09 to 0x0D.
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 IS_SEPARATOR = np.isin(np.arange(256), SEPARATORS)
+#: A token is a run of ASCII letters and digits and of non-ASCII bytes, compared in lower case.
+_BYTES = np.arange(256)
+IS_BREAK = ~(((_BYTES >= 48) & (_BYTES <= 57)) | ((_BYTES >= 65) & (_BYTES <= 90)) | ((_BYTES >= 97) & (_BYTES <= 122)) | (_BYTES >= 128))
+LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
 #: Text handled at once inside a task; a longer document is handled alone.
 PIECE_BYTES = 2 << 20
 
