@@ -56,5 +56,5 @@ def texts_kept(doc_ids: pa.Array, data: np.ndarray, offsets: np.ndarray, covered
 
 def remove(docs: DataFrame, length: int = 35, period: int = 21, result=digest, schema: str = SCHEMA, **sizes) -> DataFrame:
     """Remove every word covered by a ``length``-word window that also starts anywhere else."""
-    scheme = Scheme(length, period)
+    scheme = Scheme(length, period, every=4)
     return remove_repeats(docs, scheme, word_units(scheme), result, schema, **sizes)

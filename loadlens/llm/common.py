@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def texts(docs: DataFrame) -> DataFrame:
-    """doc_id and text alone, so that no other column's name can clash."""
+    """doc_id and text alone, so that no other column's name can clash.
+
+    Python workers that are not given this package's place by the cluster look
+    for it where the driver has it.
+    """
+    docs.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
 
 

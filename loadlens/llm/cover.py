@@ -2,14 +2,22 @@
 
 A document is a sequence of units (bytes or words).  Two windows of ``length``
 units at any places i and j have a shift d < period with i + d and j + d both
-in the cover, so equal windows share an equal, shorter slice that starts at
-cover places.  The work is three rounds of one exchange ("ask"):
-
-1. names of the slices at cover places; unique ones settle every window that
-   holds them, and nothing more is asked about those;
-2. names of whole windows at cover places whose slice is not unique: confirmed
-   ones settle the inside of long repeats;
-3. names of the remaining windows, at the borders of repeats.
+in the cover, so equal windows hold an equal, shorter slice at such places: an
+anchor.  Every window that holds no repeated slice is settled at once.  The
+work is four rounds of one exchange ("ask"):
+
+1. names of the slices at cover places; the repeated ones are the anchors;
+2. names of some windows that hold an anchor, chosen by the name itself, so
+   that equal windows are chosen alike; the repeated ones settle the inside of
+   long repeats;
+3. names of the anchors again, each with the shifts at which a window around it
+   still holds a unit that is not covered; every place that has the anchor is
+   told those shifts;
+4. names of the windows at those shifts, from every place that has the anchor:
+   the borders of repeats, and short ones.
+
+Two equal windows share an anchor and the shift to it, so if either still has
+an uncovered unit after round 2, both are named in round 4 and found equal.
 
 In an ask, each chunk of documents sends its names, packed and sorted, to
 buckets by their leading bits; a bucket is sorted alone, and each chunk gets
@@ -55,6 +63,7 @@ class Scheme:
 
     length: int
     period: int
+    every: int  # one in so many windows is named in round 2; a power of two
 
     @property
     def slice(self) -> int:
@@ -109,7 +118,10 @@ def ask_rows(chunk: int, ask: int, first: np.ndarray, second: np.ndarray | None,
     third[2:] = (first[2:] == first[:-2]) & (True if second is None else second[2:] == second[:-2])
     first = first[~third]
     second = None if second is None else second[~third]
-    bucket, low = pack(first, bits)
+    return rows_by_bucket(chunk, ask, *pack(first, bits), second)
+
+
+def rows_by_bucket(chunk: int, ask: int, bucket: np.ndarray, low: np.ndarray, second: np.ndarray | None) -> pa.Table:
     ids, at = np.unique(bucket, return_index=True)
     ends = np.append(at[1:], len(bucket))
     return pa.table({
@@ -143,17 +155,44 @@ def answer(group: pa.Table) -> pa.Table:
         "second", pa.array([x for _, _, x in out], pa.binary()))
 
 
+def answer_shifts(group: pa.Table) -> pa.Table:
+    """Of the anchors in one bucket that have open shifts anywhere: their span, to every chunk that has them."""
+    parts = [from_blob(b) for b in group.column("first").to_pylist()]
+    ends = np.cumsum([len(p) for p in parts])
+    first = np.concatenate(parts)
+    spans = np.frombuffer(b"".join(group.column("second").to_pylist()), np.uint32).reshape(-1, 2)
+    ids, of = np.unique(first, return_inverse=True)
+    low, high = np.full(len(ids), 2**32 - 1, np.uint32), np.zeros(len(ids), np.uint32)
+    np.minimum.at(low, of, spans[:, 0])
+    np.maximum.at(high, of, spans[:, 1])
+    open_ = (low <= high)[of]
+    span = np.column_stack([low, high])[of]
+    out = [(k, to_blob(first[a:b][open_[a:b]]), span[a:b][open_[a:b]].tobytes())
+           for k, (a, b) in enumerate(zip(ends - [len(p) for p in parts], ends)) if open_[a:b].any()]
+    rows = group.select(["bucket", "chunk", "ask"]).take(pa.array([k for k, _, _ in out], pa.int64()))
+    return rows.append_column("first", pa.array([x for _, x, _ in out], pa.binary())).append_column(
+        "second", pa.array([x for _, _, x in out], pa.binary()))
+
+
+def _rows(replies: pa.Table, ask: int) -> tuple[np.ndarray, bytes]:
+    """Names (with their bucket as leading bits) and second parts of a round's replies."""
+    rows = [r for r in replies.select(["bucket", "ask", "first", "second"]).to_pylist() if r["ask"] == ask]
+    low = [from_blob(r["first"]) | U(r["bucket"]) << U(48) for r in rows]
+    return np.concatenate([np.zeros(0, U), *low]), b"".join(r["second"] for r in rows)
+
+
+def short(names: np.ndarray, bits: int) -> np.ndarray:
+    """Names as they are sent: the bucket's bits and 48 more."""
+    return names >> U(16 - bits)
+
+
 def told(replies: pa.Table, ask: int, first: np.ndarray, second: np.ndarray | None, bits: int) -> np.ndarray:
     """Which of the names asked in a round were confirmed."""
-    rows = [r for r in replies.select(["bucket", "ask", "first", "second"]).to_pylist() if r["ask"] == ask]
-    if not rows or not len(first):
-        return np.zeros(len(first), bool)
-    low = np.concatenate([from_blob(r["first"]) | U(r["bucket"]) << U(48) if bits <= 16 else from_blob(r["first"]) for r in rows])
-    bucket, mine = pack(first, bits)
-    found = np.isin(mine | bucket.astype(U) << U(48), low)
-    if second is not None:
-        found &= np.isin(second, np.frombuffer(b"".join(r["second"] for r in rows), U))
-    return found
+    known, more = _rows(replies, ask)
+    mine = short(first, bits)
+    if second is not None:  # both parts of one name together
+        known, mine = B.mix64(known) ^ np.frombuffer(more, U), B.mix64(mine) ^ second
+    return np.isin(mine, known)
 
 
 class Chunk:
@@ -163,55 +202,87 @@ class Chunk:
         self.units, self.scheme, self.bits = units, scheme, bits
         self.n = int(units.bounds[-1])
 
-    def slices(self) -> tuple[np.ndarray, np.ndarray]:
+    def anchors(self, replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Cover places with a repeated slice, and its short name."""
         places = self.scheme.samples(self.units.bounds)
-        return places, self.units.slice_names(places)
+        names = self.units.slice_names(places)
+        keep = told(replies, 1, names, None, self.bits)
+        return places[keep], short(names[keep], self.bits)
 
-    def repeated_slices(self, replies: pa.Table) -> np.ndarray:
-        places, names = self.slices()
-        return places[told(replies, 1, names, None, self.bits)]
-
-    def inner(self, anchors: np.ndarray) -> np.ndarray:
-        """Windows at repeated cover places, and the last window of a document that has one near its end."""
-        bounds, length = self.units.bounds, self.scheme.length
-        end = bounds[np.searchsorted(bounds, anchors, side="right")]
-        return np.unique(np.concatenate([anchors[anchors + length <= end], (end - length)[anchors + length >= end]]))
-
-    def border(self, anchors: np.ndarray, asked: np.ndarray, confirmed: np.ndarray) -> np.ndarray:
-        """Windows that hold a repeated slice and a unit that is not covered yet."""
+    def reach(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last start of the windows that hold each anchor's slice."""
         bounds, length = self.units.bounds, self.scheme.length
-        if not len(anchors):
-            return anchors
         doc = np.searchsorted(bounds, anchors, side="right") - 1
-        low = np.maximum(bounds[doc], anchors - (length - self.scheme.slice))
-        high = np.minimum(anchors, bounds[doc + 1] - length)
+        return np.maximum(bounds[doc], anchors - (length - self.scheme.slice)), np.minimum(anchors, bounds[doc + 1] - length)
+
+    def starts(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """All places in some [low, high]."""
         steps = np.zeros(self.n + 2, np.int32)
         np.add.at(steps, low, 1)
         np.add.at(steps, np.maximum(high + 1, low), -1)
-        able = np.cumsum(steps[: self.n]) > 0
-        bare = np.concatenate([[0], np.cumsum(~B.unions(confirmed, length, self.n))])
-        places = np.flatnonzero(able)
-        places = places[bare[places + length] > bare[places]]
-        return places[~np.isin(places, asked)]
+        return np.flatnonzero(np.cumsum(steps[: self.n]) > 0)
+
+    def chosen(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the windows round 2 names, all their names."""
+        first, second = self.units.window_names(places)
+        return (second & U(self.scheme.every - 1)) == 0, first, second
+
+    def second_round(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        places = self.starts(*self.reach(anchors))
+        pick, first, second = self.chosen(places)
+        return places[pick], first[pick], second[pick]
+
+    def inside(self, anchors: np.ndarray, replies: pa.Table) -> np.ndarray:
+        places, first, second = self.second_round(anchors)
+        return places[told(replies, 2, first, second, self.bits)]
+
+    def shifts(self, anchors: np.ndarray, names: np.ndarray, confirmed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each distinct anchor name, and the least and most open shift (2**32 - 1 and 0: none)."""
+        low, high = self.reach(anchors)
+        bare = np.concatenate([[0], np.cumsum(~B.unions(confirmed, self.scheme.length, self.n))])
+        places = self.starts(low, high)
+        places = places[bare[places + self.scheme.length] > bare[places]]
+        a, b = np.searchsorted(places, low), np.searchsorted(places, high, side="right") - 1
+        some = a <= b
+        ids, of = np.unique(names, return_inverse=True)
+        spans = np.column_stack([np.full(len(ids), 2**32 - 1), np.zeros(len(ids))]).astype(np.uint32)
+        np.minimum.at(spans[:, 0], of[some], (anchors[some] - places[b[some]]).astype(np.uint32))
+        np.maximum.at(spans[:, 1], of[some], (anchors[some] - places[a[some]]).astype(np.uint32))
+        return ids, spans
+
+    def last_round(self, anchors: np.ndarray, names: np.ndarray, replies: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        known, more = _rows(replies, 3)
+        spans = np.frombuffer(more, np.uint32).reshape(-1, 2).astype(np.int64)
+        order = np.argsort(known)
+        at = np.searchsorted(known[order], names)
+        hit = at < len(known)
+        hit[hit] = known[order][at[hit]] == names[hit]
+        anchors, span = anchors[hit], spans[order][at[hit]]
+        low, high = self.reach(anchors)
+        low, high = np.maximum(low, anchors - span[:, 1]), np.minimum(high, anchors - span[:, 0])
+        able = low <= high
+        places = self.starts(low[able], high[able])
+        pick, first, second = self.chosen(places)
+        return places[~pick], first[~pick], second[~pick]
 
     def covered(self, replies: pa.Table) -> np.ndarray:
         """A mask of the units that some repeated window covers."""
-        anchors = self.repeated_slices(replies)
-        asked = self.inner(anchors)
-        confirmed = asked[told(replies, 2, *self.units.window_names(asked), self.bits)]
-        last = self.border(anchors, asked, confirmed)
-        last = last[told(replies, 3, *self.units.window_names(last), self.bits)]
+        anchors, names = self.anchors(replies)
+        confirmed = self.inside(anchors, replies)
+        places, first, second = self.last_round(anchors, names, replies)
+        last = places[told(replies, 4, first, second, self.bits)]
         return B.unions(np.concatenate([confirmed, last]), self.scheme.length, self.n)
 
     def ask(self, ask: int, chunk: int, replies: pa.Table | None) -> pa.Table:
         if ask == 1:
-            return ask_rows(chunk, 1, self.slices()[1], None, self.bits)
-        anchors = self.repeated_slices(replies)
-        asked = self.inner(anchors)
+            return ask_rows(chunk, 1, self.units.slice_names(self.scheme.samples(self.units.bounds)), None, self.bits)
+        anchors, names = self.anchors(replies)
+        if ask == 2:
+            return ask_rows(chunk, 2, *self.second_round(anchors)[1:], self.bits)
         if ask == 3:
-            confirmed = asked[told(replies, 2, *self.units.window_names(asked), self.bits)]
-            asked = self.border(anchors, asked, confirmed)
-        return ask_rows(chunk, ask, *self.units.window_names(asked), self.bits)
+            ids, spans = self.shifts(anchors, names, self.inside(anchors, replies))
+            return rows_by_bucket(chunk, 3, (ids >> U(48)).astype(np.int64), ids & U(2**48 - 1), spans)
+        return ask_rows(chunk, 4, *self.last_round(anchors, names, replies)[1:], self.bits)
 
 
 def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray, np.ndarray], Units],
@@ -236,7 +307,7 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray,
 
         def later(group: pa.Table, replies: pa.Table) -> pa.Table:
             if not len(group) or not len(replies):
-                return ask_rows(0, k, np.zeros(0, U), np.zeros(0, U), bits)
+                return rows_by_bucket(0, k, np.zeros(0, np.int64), np.zeros(0, U), None)
             return open_chunk(group)[2].ask(k, group.column("chunk")[0].as_py(), replies)
 
         return first if k == 1 else later
@@ -246,11 +317,14 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray,
         covered = chunk.covered(replies) if len(replies) else np.zeros(chunk.n, bool)
         return result(group.column("doc_id"), data, offsets, covered)
 
-    def replies(asked: DataFrame) -> DataFrame:
-        return asked.groupBy("bucket").applyInArrow(answer, ASK)
+    def replies(asked: DataFrame, how=answer) -> DataFrame:
+        return asked.groupBy("bucket").applyInArrow(how, ASK)
+
+    def next_round(k: int, so_far: DataFrame, how=answer) -> DataFrame:
+        return so_far.union(replies(grouped.cogroup(so_far.groupBy("chunk")).applyInArrow(ask(k), ASK), how))
 
-    one = replies(grouped.applyInArrow(ask(1), ASK))
-    two = replies(grouped.cogroup(one.groupBy("chunk")).applyInArrow(ask(2), ASK))
-    so_far = one.union(two)
-    three = replies(grouped.cogroup(so_far.groupBy("chunk")).applyInArrow(ask(3), ASK))
-    return grouped.cogroup(so_far.union(three).groupBy("chunk")).applyInArrow(final, schema)
+    so_far = replies(grouped.applyInArrow(ask(1), ASK))
+    so_far = next_round(2, so_far)
+    so_far = next_round(3, so_far, answer_shifts)
+    so_far = next_round(4, so_far)
+    return grouped.cogroup(so_far.groupBy("chunk")).applyInArrow(final, schema)

@@ -2,8 +2,8 @@
 
 Test items are taken in blocks of bounded size; each block goes to every task,
 and each task matches its own documents, so no row is shuffled.  Over all
-documents every word n-gram of an item is counted; an item's rarer half are
-its seeds.  The half is taken within the item, so one that leaked into many
+documents every word n-gram of an item is counted; the rarer half of those
+that occur are the item's seeds.  The half is taken within the item, so one that leaked into many
 documents keeps its seeds although all of them are common.  Passages around
 seed hits are aligned with the item word by word, which finds copies with
 words changed, added or left out.
@@ -83,8 +83,10 @@ class Items:
         return Items(self.ids, self.values, self.first, self.names[chosen], self.item[chosen], self.place[chosen], self.lengths)
 
     def rarer_half(self, counts: dict[int, int]) -> "Items":
-        """Of each item its rarer half of n-grams over the corpus, one at least."""
-        count = np.array([counts.get(int(x), 0) for x in self.names.view(np.int64)])
+        """Of each item the rarer half, one at least, of its n-grams that occur in the corpus at all."""
+        count = np.array([counts.get(int(x), 0) for x in self.names.view(np.int64)], np.int64)
+        if not count.all():
+            return self.keep(count > 0).rarer_half(counts)
         order = np.lexsort((self.place, count, self.item))
         start = np.searchsorted(self.item[order], self.item[order])
         total = np.bincount(self.item, minlength=len(self.ids))

@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from loadlens.llm import textbuf as B
 from loadlens.llm.common import fold, texts
 
-BITS = 20           # hashed feature space: 2**BITS weights; index 2**BITS is the bias
+BITS = 22           # hashed feature space: 2**BITS weights; index 2**BITS is the bias
 FIT_ROWS = 40_000   # bound of the labelled rows that a fit reads
-SHARDS = 8
+SHARD_ROWS = 10_000 # rows that one shard learns from, one after the other
 EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 1.0
+ALPHA, BETA, L1, L2 = 10.0, 1.0, 6.0, 0.0
 
 
 def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -86,10 +86,14 @@ class Model:
     weight: np.ndarray
     bias: float
 
-    def margins(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Sum of the weights of each document's distinct features, plus the bias."""
+    def table(self) -> np.ndarray:
+        """The weights by index; each task spreads them out for itself."""
         table = np.zeros(1 << self.bits, np.float32)
         table[self.index] = self.weight
+        return table
+
+    def margins(self, table: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Sum of the weights of each document's distinct features, plus the bias."""
         hit = []
         for doc, index in features(data, offsets, self.bits):
             keep = table[index] != 0
@@ -98,13 +102,15 @@ class Model:
         return np.bincount(keys >> self.bits, table[keys & ((1 << self.bits) - 1)], minlength=len(offsets) - 1) + self.bias
 
 
-def fit(docs: DataFrame, labelled: DataFrame, bits: int = BITS, shards: int = SHARDS, epochs: int = EPOCHS,
-        fit_rows: int = FIT_ROWS) -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, bits: int = BITS, epochs: int = EPOCHS, fit_rows: int = FIT_ROWS,
+        shard_rows: int = SHARD_ROWS) -> Model:
     """Fit on labelled (doc_id, y): at most about fit_rows of them, chosen by a hash of doc_id."""
     y = labelled.where("doc_id IS NOT NULL AND y IS NOT NULL").groupBy("doc_id").agg(F.avg("y").alias("y"))
     n = y.count()
     if n > fit_rows:
         y = y.where((F.xxhash64("doc_id") % 1_000_000 + 1_000_000) % 1_000_000 < int(1_000_000 * fit_rows / n))
+        n = y.count()
+    shards = -(-n // shard_rows) or 1
     rows = texts(docs).join(y, "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(shards)))
 
     def train(group: pa.Table) -> pa.Table:
@@ -132,10 +138,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and the probability of label 1, for every document."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = model.table()
         for batch in source:
             data, offsets = B.raw(batch.column(1))
             for i, j in B.pieces(offsets):
-                m = model.margins(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                m = model.margins(table, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(1.0 / (1.0 + np.exp(-np.clip(m, -35, 35))))],
                                                  names=["doc_id", "score"])
 

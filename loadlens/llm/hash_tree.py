@@ -4,8 +4,9 @@ A document descends from the root through region and rack to a shard.  At each
 level every child draws -ln(u) / weight from a hash of the document's key and
 the child's name, and the least draw wins, so a child gets documents in
 proportion to its weight.  A draw depends on nothing but key, name and weight:
-raising one subtree's weights, or adding a subtree, moves documents only into
-it, lowering them only out of it.
+at every level, raising one child's weight, or adding a child, moves documents
+only into it, lowering it only out of it, and subtrees whose weights stay as
+they are exchange nothing with each other.
 
 Defined cases: a null key is the word ``null``; a null text has size 1 and the
 crc32 of an empty text; repeated rows go to one shard and take different

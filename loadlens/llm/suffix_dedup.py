@@ -58,5 +58,5 @@ def texts_kept(doc_ids: pa.Array, data: np.ndarray, offsets: np.ndarray, covered
 
 def remove(docs: DataFrame, length: int = 200, period: int = 133, result=digest, schema: str = SCHEMA, **sizes) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts anywhere else."""
-    scheme = Scheme(length, period)
+    scheme = Scheme(length, period, every=16)
     return remove_repeats(docs, scheme, byte_units(scheme), result, schema, **sizes)
