@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +47,17 @@ def text_bytes(docs: DataFrame) -> int:
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the decimal text of doc_id, modulo a small number."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def keep_rows(docs: DataFrame, judge: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows, every column kept, whose texts the judge keeps (a mask for each Arrow batch).
+
+    The decision is taken row by row, so null or repeated doc_ids need no join.
+    """
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            yield batch.filter(pa.array(judge(batch.column(batch.schema.get_field_index("text")))))
+
+    docs.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    return docs.mapInArrow(batches, docs.schema)

@@ -19,32 +19,40 @@ work is four rounds of one exchange ("ask"):
 Two equal windows share an anchor and the shift to it, so if either still has
 an uncovered unit after round 2, both are named in round 4 and found equal.
 
-In an ask, each chunk of documents sends its names, packed and sorted, to
-buckets by their leading bits; a bucket is sorted alone, and each chunk gets
-back those of its names that occur elsewhere or twice.  A name that a third of
-all rows share arrives once or twice from each chunk, however often it occurs.
-Texts are exchanged once, by chunk.  Nothing passes through the driver, and a
-lost executor's part is computed again from the same deterministic chunks.
+In an ask, each chunk of documents sends its distinct names, sorted and cut to
+the bytes that a corpus of this size needs, to buckets by their leading bits.  A
+bucket is sorted alone and answers with one bit a name: it occurs in another
+chunk too.  (What occurs twice in one chunk the chunk sees itself.)  A name that
+a third of all rows share arrives once from each chunk, however often it occurs.
+
+Chunks are runs of whole documents as they are read, packed and compressed; they
+are exchanged once and kept on the executors' disks, where Spark restores a lost
+one from its lineage.  Answers are written to the shared checkpoint folder after
+each round.  Nothing passes through the driver.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from loadlens.llm import textbuf as B
-from loadlens.llm.common import text_bytes, texts
+from loadlens.llm.common import cut, text_bytes, texts
 
 CHUNK_BYTES = 4 << 20
 BUCKET_NAMES = 1 << 21
 MOST_BUCKET_BITS = 16
 U = np.uint64
+PACKED = "chunk long, blob binary"
+ASK = "bucket int, chunk long, names binary"
+ANSWER = "bucket int, chunk long, ask int, bits binary, more binary"
 
 #: Perfect difference sets modulo their period (every non-zero
 #: difference occurs exactly once), the sparsest covers there are.
@@ -90,124 +98,137 @@ class Units:
     window_names: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def pack(names: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket (the leading bits) and the next 48 bits of each name."""
-    bucket = (names >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(names), np.int64)
-    return bucket, (names >> U(16 - bits)) & U(2**48 - 1)
+@dataclass(frozen=True)
+class Width:
+    """How a name is sent: bucket bits, bytes of its first and second part, bytes of what goes with it."""
+
+    bits: int
+    first: int
+    second: int = 0
+    more: int = 0
 
+    def short(self, first: np.ndarray, second: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+        return first >> U(64 - self.bits - 8 * self.first), None if not self.second else second >> U(64 - 8 * self.second)
 
-def to_blob(low: np.ndarray) -> bytes:
-    return np.ascontiguousarray(low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+    def bucket(self, first: np.ndarray) -> np.ndarray:
+        return (first >> U(8 * self.first)).astype(np.int64) if self.bits else np.zeros(len(first), np.int64)
 
+    def to_bytes(self, first: np.ndarray, second: np.ndarray | None, more: np.ndarray | None) -> np.ndarray:
+        part = lambda x, n: np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :n]
+        columns = [part(first, self.first)]
+        if self.second:
+            columns.append(part(second, self.second))
+        if self.more:
+            columns.append(more)
+        return np.concatenate(columns, 1)
 
-def from_blob(blob: bytes) -> np.ndarray:
-    out = np.zeros((len(blob) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view("<u8").astype(U)
+    def of_bytes(self, blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = np.frombuffer(blob, np.uint8).reshape(-1, self.first + self.second + self.more)
+        whole = lambda x: np.ascontiguousarray(np.pad(x, ((0, 0), (0, 8 - x.shape[1])))).reshape(-1).view("<u8").astype(U)
+        return whole(rows[:, : self.first]), whole(rows[:, self.first : self.first + self.second]), rows[:, self.first + self.second :]
 
 
-ASK = "bucket int, chunk int, ask int, first binary, second binary"
+def widths(units: int, bits: int) -> dict[int, Width]:
+    """By round.  A slice's name may rarely clash, which costs time only; a window's has bits
+    enough that two different windows of the corpus clash with a chance of a millionth."""
+    need = 2 * math.log2(max(units, 2)) + 20 - 48 - bits
+    second = min(6, max(2, math.ceil(need / 8)))
+    return {1: Width(bits, 5), 2: Width(bits, 6, second), 3: Width(bits, 5, more=2), 4: Width(bits, 6, second)}
 
 
-def ask_rows(chunk: int, ask: int, first: np.ndarray, second: np.ndarray | None, bits: int) -> pa.Table:
-    """A chunk's names, sorted, two copies at most of each, one row a bucket."""
+def _equal_before(first: np.ndarray, second: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorting order of the names; which sorted name equals the one before it."""
     order = np.argsort(first, kind="stable") if second is None else np.lexsort((second, first))
-    first = first[order]
-    second = None if second is None else second[order]
-    third = np.zeros(len(first), bool)
-    third[2:] = (first[2:] == first[:-2]) & (True if second is None else second[2:] == second[:-2])
-    first = first[~third]
-    second = None if second is None else second[~third]
-    return rows_by_bucket(chunk, ask, *pack(first, bits), second)
-
-
-def rows_by_bucket(chunk: int, ask: int, bucket: np.ndarray, low: np.ndarray, second: np.ndarray | None) -> pa.Table:
-    ids, at = np.unique(bucket, return_index=True)
-    ends = np.append(at[1:], len(bucket))
-    return pa.table({
-        "bucket": pa.array(ids, pa.int32()), "chunk": pa.array(np.full(len(ids), chunk), pa.int32()),
-        "ask": pa.array(np.full(len(ids), ask), pa.int32()),
-        "first": pa.array([to_blob(low[a:b]) for a, b in zip(at, ends)], pa.binary()),
-        "second": pa.array([b"" if second is None else second[a:b].tobytes() for a, b in zip(at, ends)], pa.binary())})
-
-
-def answer(group: pa.Table) -> pa.Table:
-    """Sort one bucket; return to each chunk its names that are there twice or more."""
-    blobs, more = group.column("first").to_pylist(), group.column("second").to_pylist()
-    parts = [from_blob(b) for b in blobs]
-    ends = np.cumsum([len(p) for p in parts])
-    first = np.concatenate(parts)
-    second = np.frombuffer(b"".join(more), U)
-    order = np.argsort(first, kind="stable")
-    same = first[order][1:] == first[order][:-1]
-    if len(second) and (second[order][1:] != second[order][:-1])[same].any():
-        order = np.lexsort((second, first))  # ties of the first name that the second resolves
-        same = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
-    again = np.zeros(len(first), bool)
-    again[order[1:][same]] = True
-    again[order[:-1][same]] = True
-    out = []
-    for k, (a, b) in enumerate(zip(ends - [len(p) for p in parts], ends)):
-        if again[a:b].any():
-            out.append((k, to_blob(first[a:b][again[a:b]]), second[a:b][again[a:b]].tobytes() if len(second) else b""))
-    rows = group.select(["bucket", "chunk", "ask"]).take(pa.array([k for k, _, _ in out], pa.int64()))
-    return rows.append_column("first", pa.array([x for _, x, _ in out], pa.binary())).append_column(
-        "second", pa.array([x for _, _, x in out], pa.binary()))
-
-
-def answer_shifts(group: pa.Table) -> pa.Table:
-    """Of the anchors in one bucket that have open shifts anywhere: their span, to every chunk that has them."""
-    parts = [from_blob(b) for b in group.column("first").to_pylist()]
-    ends = np.cumsum([len(p) for p in parts])
-    first = np.concatenate(parts)
-    spans = np.frombuffer(b"".join(group.column("second").to_pylist()), np.uint32).reshape(-1, 2)
-    ids, of = np.unique(first, return_inverse=True)
-    low, high = np.full(len(ids), 2**32 - 1, np.uint32), np.zeros(len(ids), np.uint32)
-    np.minimum.at(low, of, spans[:, 0])
-    np.maximum.at(high, of, spans[:, 1])
-    open_ = (low <= high)[of]
-    span = np.column_stack([low, high])[of]
-    out = [(k, to_blob(first[a:b][open_[a:b]]), span[a:b][open_[a:b]].tobytes())
-           for k, (a, b) in enumerate(zip(ends - [len(p) for p in parts], ends)) if open_[a:b].any()]
-    rows = group.select(["bucket", "chunk", "ask"]).take(pa.array([k for k, _, _ in out], pa.int64()))
-    return rows.append_column("first", pa.array([x for _, x, _ in out], pa.binary())).append_column(
-        "second", pa.array([x for _, _, x in out], pa.binary()))
-
-
-def _rows(replies: pa.Table, ask: int) -> tuple[np.ndarray, bytes]:
-    """Names (with their bucket as leading bits) and second parts of a round's replies."""
-    rows = [r for r in replies.select(["bucket", "ask", "first", "second"]).to_pylist() if r["ask"] == ask]
-    low = [from_blob(r["first"]) | U(r["bucket"]) << U(48) for r in rows]
-    return np.concatenate([np.zeros(0, U), *low]), b"".join(r["second"] for r in rows)
-
-
-def short(names: np.ndarray, bits: int) -> np.ndarray:
-    """Names as they are sent: the bucket's bits and 48 more."""
-    return names >> U(16 - bits)
-
-
-def told(replies: pa.Table, ask: int, first: np.ndarray, second: np.ndarray | None, bits: int) -> np.ndarray:
-    """Which of the names asked in a round were confirmed."""
-    known, more = _rows(replies, ask)
-    mine = short(first, bits)
-    if second is not None:  # both parts of one name together
-        known, mine = B.mix64(known) ^ np.frombuffer(more, U), B.mix64(mine) ^ second
-    return np.isin(mine, known)
+    same = np.zeros(len(first), bool)
+    same[1:] = first[order][1:] == first[order][:-1]
+    if second is not None:
+        same[1:] &= second[order][1:] == second[order][:-1]
+    return order, same
+
+
+class Names:
+    """The names of one round of one chunk: distinct, sorted, cut by bucket."""
+
+    def __init__(self, width: Width, first: np.ndarray, second: np.ndarray | None = None):
+        self.width = width
+        first, second = width.short(first, second)
+        order, same = _equal_before(first, second)
+        self.of = np.empty(len(first), np.int64)  # each name's place among the distinct ones
+        self.of[order] = np.cumsum(~same) - 1
+        self.first, self.second = first[order][~same], None if second is None else second[order][~same]
+        self.twice = np.bincount(self.of, minlength=len(self.first)) > 1
+        self.bucket = width.bucket(self.first)
+
+    def rows(self, chunk: int, more: np.ndarray | None = None) -> pa.Table:
+        ids, at = np.unique(self.bucket, return_index=True)
+        ends = np.append(at[1:], len(self.bucket))
+        sent = self.width.to_bytes(self.first, self.second, more) if len(ids) else None
+        return pa.table({"bucket": pa.array(ids, pa.int32()), "chunk": pa.array(np.full(len(ids), chunk), pa.int64()),
+                         "names": pa.array([sent[a:b].tobytes() for a, b in zip(at, ends)], pa.binary())})
+
+    def read(self, answers: pa.Table, ask: int) -> tuple[np.ndarray, bytes]:
+        """The answer's bit for every distinct name, and what came with the set ones."""
+        bit, more = np.zeros(len(self.first), bool), []
+        rows = sorted((r["bucket"], r["bits"], r["more"]) for r in answers.to_pylist() if r["ask"] == ask)
+        for bucket, bits, extra in rows:
+            a, b = np.searchsorted(self.bucket, [bucket, bucket + 1])
+            bit[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
+            more.append(extra)
+        return bit, b"".join(more)
+
+    def again(self, answers: pa.Table, ask: int) -> np.ndarray:
+        """For every name that was asked: it occurs more than once."""
+        bit, _ = self.read(answers, ask)
+        return (bit | self.twice)[self.of]
+
+
+def answer(ask: int, width: Width):
+    """The work on one bucket of a round: sort its names, answer each chunk."""
+
+    def names_again(group: pa.Table) -> pa.Table:
+        first, second, more = width.of_bytes(b"".join(group.column("names").to_pylist()))
+        order, same = _equal_before(first, second if width.second else None)
+        hit, extra = np.zeros(len(first), bool), None
+        if width.more:  # the span of open shifts of an anchor, over all chunks that have it
+            heads = np.flatnonzero(~same)
+            low = np.minimum.reduceat(more[order, 0], heads) if len(heads) else more[:0, 0]
+            high = np.maximum.reduceat(more[order, 1], heads) if len(heads) else more[:0, 1]
+            of = np.empty(len(first), np.int64)
+            of[order] = np.cumsum(~same) - 1
+            hit = (low <= high)[of]
+            extra = np.column_stack([low, high])[of]
+        else:
+            hit[order[same]] = True
+            hit[order[np.flatnonzero(same) - 1]] = True
+        size = width.first + width.second + width.more
+        ends = np.cumsum([len(x) // size for x in group.column("names").to_pylist()])
+        starts = np.concatenate([[0], ends[:-1]])
+        rows = [k for k, (a, b) in enumerate(zip(starts, ends)) if hit[a:b].any()]
+        out = group.select(["bucket", "chunk"]).take(pa.array(rows, pa.int64()))
+        bits = [np.packbits(hit[starts[k] : ends[k]]).tobytes() for k in rows]
+        with_it = [b"" if extra is None else extra[starts[k] : ends[k]][hit[starts[k] : ends[k]]].tobytes() for k in rows]
+        return (out.append_column("ask", pa.array(np.full(len(rows), ask), pa.int32()))
+                .append_column("bits", pa.array(bits, pa.binary())).append_column("more", pa.array(with_it, pa.binary())))
+
+    return names_again
 
 
 class Chunk:
-    """What a chunk asks in each round, worked out again from its texts and the replies so far."""
+    """What a chunk asks in each round, worked out again from its texts and the answers so far."""
 
-    def __init__(self, units: Units, scheme: Scheme, bits: int):
-        self.units, self.scheme, self.bits = units, scheme, bits
+    def __init__(self, units: Units, scheme: Scheme, width: dict[int, Width]):
+        self.units, self.scheme, self.width = units, scheme, width
         self.n = int(units.bounds[-1])
 
-    def anchors(self, replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        """Cover places with a repeated slice, and its short name."""
+    def slices(self) -> tuple[np.ndarray, Names]:
         places = self.scheme.samples(self.units.bounds)
-        names = self.units.slice_names(places)
-        keep = told(replies, 1, names, None, self.bits)
-        return places[keep], short(names[keep], self.bits)
+        return places, Names(self.width[1], self.units.slice_names(places))
+
+    def anchors(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Cover places with a repeated slice, and the slice's name."""
+        places, names = self.slices()
+        places = places[names.again(answers, 1)]
+        return places, self.units.slice_names(places)
 
     def reach(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last start of the windows that hold each anchor's slice."""
@@ -222,67 +243,82 @@ class Chunk:
         np.add.at(steps, np.maximum(high + 1, low), -1)
         return np.flatnonzero(np.cumsum(steps[: self.n]) > 0)
 
-    def chosen(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Which of the windows round 2 names, all their names."""
+    def windows(self, places: np.ndarray, chosen: bool, ask: int) -> tuple[np.ndarray, Names]:
+        """Those of the windows that round 2 names (chosen by the name itself), or the others."""
         first, second = self.units.window_names(places)
-        return (second & U(self.scheme.every - 1)) == 0, first, second
+        pick = ((second & U(self.scheme.every - 1)) == 0) == chosen
+        return places[pick], Names(self.width[ask], first[pick], second[pick])
 
-    def second_round(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        places = self.starts(*self.reach(anchors))
-        pick, first, second = self.chosen(places)
-        return places[pick], first[pick], second[pick]
+    def some_windows(self, anchors: np.ndarray) -> tuple[np.ndarray, Names]:
+        return self.windows(self.starts(*self.reach(anchors)), True, 2)
 
-    def inside(self, anchors: np.ndarray, replies: pa.Table) -> np.ndarray:
-        places, first, second = self.second_round(anchors)
-        return places[told(replies, 2, first, second, self.bits)]
+    def inside(self, anchors: np.ndarray, answers: pa.Table) -> np.ndarray:
+        places, names = self.some_windows(anchors)
+        return places[names.again(answers, 2)]
 
-    def shifts(self, anchors: np.ndarray, names: np.ndarray, confirmed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each distinct anchor name, and the least and most open shift (2**32 - 1 and 0: none)."""
+    def open_shifts(self, anchors: np.ndarray, names: Names, confirmed: np.ndarray) -> np.ndarray:
+        """For each distinct anchor the least and most shift of a window that is not covered yet (255 and 0: none)."""
         low, high = self.reach(anchors)
         bare = np.concatenate([[0], np.cumsum(~B.unions(confirmed, self.scheme.length, self.n))])
         places = self.starts(low, high)
         places = places[bare[places + self.scheme.length] > bare[places]]
         a, b = np.searchsorted(places, low), np.searchsorted(places, high, side="right") - 1
         some = a <= b
-        ids, of = np.unique(names, return_inverse=True)
-        spans = np.column_stack([np.full(len(ids), 2**32 - 1), np.zeros(len(ids))]).astype(np.uint32)
-        np.minimum.at(spans[:, 0], of[some], (anchors[some] - places[b[some]]).astype(np.uint32))
-        np.maximum.at(spans[:, 1], of[some], (anchors[some] - places[a[some]]).astype(np.uint32))
-        return ids, spans
-
-    def last_round(self, anchors: np.ndarray, names: np.ndarray, replies: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        known, more = _rows(replies, 3)
-        spans = np.frombuffer(more, np.uint32).reshape(-1, 2).astype(np.int64)
-        order = np.argsort(known)
-        at = np.searchsorted(known[order], names)
-        hit = at < len(known)
-        hit[hit] = known[order][at[hit]] == names[hit]
-        anchors, span = anchors[hit], spans[order][at[hit]]
+        spans = np.tile(np.array([255, 0], np.uint8), (len(names.first), 1))
+        np.minimum.at(spans[:, 0], names.of[some], (anchors[some] - places[b[some]]).astype(np.uint8))
+        np.maximum.at(spans[:, 1], names.of[some], (anchors[some] - places[a[some]]).astype(np.uint8))
+        return spans
+
+    def border_windows(self, anchors: np.ndarray, slices: np.ndarray, answers: pa.Table) -> tuple[np.ndarray, Names]:
+        names = Names(self.width[3], slices)
+        bit, more = names.read(answers, 3)
+        spans = np.zeros((len(bit), 2), np.int64)
+        spans[bit] = np.frombuffer(more, np.uint8).reshape(-1, 2)
+        here = bit[names.of]
+        anchors, span = anchors[here], spans[names.of[here]]
         low, high = self.reach(anchors)
         low, high = np.maximum(low, anchors - span[:, 1]), np.minimum(high, anchors - span[:, 0])
         able = low <= high
-        places = self.starts(low[able], high[able])
-        pick, first, second = self.chosen(places)
-        return places[~pick], first[~pick], second[~pick]
+        return self.windows(self.starts(low[able], high[able]), False, 4)
 
-    def covered(self, replies: pa.Table) -> np.ndarray:
+    def covered(self, answers: pa.Table) -> np.ndarray:
         """A mask of the units that some repeated window covers."""
-        anchors, names = self.anchors(replies)
-        confirmed = self.inside(anchors, replies)
-        places, first, second = self.last_round(anchors, names, replies)
-        last = places[told(replies, 4, first, second, self.bits)]
-        return B.unions(np.concatenate([confirmed, last]), self.scheme.length, self.n)
+        anchors, slices = self.anchors(answers)
+        confirmed = self.inside(anchors, answers)
+        places, names = self.border_windows(anchors, slices, answers)
+        return B.unions(np.concatenate([confirmed, places[names.again(answers, 4)]]), self.scheme.length, self.n)
 
-    def ask(self, ask: int, chunk: int, replies: pa.Table | None) -> pa.Table:
+    def ask(self, ask: int, chunk: int, answers: pa.Table | None) -> pa.Table:
         if ask == 1:
-            return ask_rows(chunk, 1, self.units.slice_names(self.scheme.samples(self.units.bounds)), None, self.bits)
-        anchors, names = self.anchors(replies)
+            return self.slices()[1].rows(chunk)
+        anchors, slices = self.anchors(answers)
         if ask == 2:
-            return ask_rows(chunk, 2, *self.second_round(anchors)[1:], self.bits)
+            return self.some_windows(anchors)[1].rows(chunk)
         if ask == 3:
-            ids, spans = self.shifts(anchors, names, self.inside(anchors, replies))
-            return rows_by_bucket(chunk, 3, (ids >> U(48)).astype(np.int64), ids & U(2**48 - 1), spans)
-        return ask_rows(chunk, 4, *self.last_round(anchors, names, replies)[1:], self.bits)
+            names = Names(self.width[3], slices)
+            return names.rows(chunk, self.open_shifts(anchors, names, self.inside(anchors, answers)))
+        return self.border_windows(anchors, slices, answers)[1].rows(chunk)
+
+
+def packed(docs: DataFrame, chunk_bytes: int) -> DataFrame:
+    """Runs of whole documents as compressed Arrow streams; a chunk's number is a hash of its content."""
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            _, offsets = B.raw(batch.column(1))
+            for i, j in B.pieces(offsets, chunk_bytes):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(batch.slice(i, j - i))
+                blob = sink.getvalue().to_pybytes()
+                chunk = int.from_bytes(hashlib.blake2b(blob, digest_size=8).digest(), "little", signed=True)
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int64()), "blob": pa.array([blob], pa.binary())})
+
+    return texts(docs).mapInArrow(batches, PACKED)
+
+
+def unpacked(group: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in group.column("blob").to_pylist()]).combine_chunks()
 
 
 def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray, np.ndarray], Units],
@@ -290,41 +326,38 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray,
                    chunk_bytes: int = CHUNK_BYTES, bucket_names: int = BUCKET_NAMES) -> DataFrame:
     """result(doc_ids, bytes, offsets, covered mask) of every chunk of documents."""
     size = text_bytes(docs)
-    chunks = max(1, math.ceil(size / chunk_bytes))
-    names = size * len(scheme.cover) / scheme.period
-    bits = min(MOST_BUCKET_BITS, max(0, math.ceil(math.log2(max(1.0, names / bucket_names)))))
-    dealt = (texts(docs).withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
-             .repartition(chunks, "chunk"))
-    grouped = dealt.groupBy("chunk")
-
-    def open_chunk(group: pa.Table) -> tuple[np.ndarray, np.ndarray, Chunk]:
-        data, offsets = B.raw(group.column("text"))
-        return data, offsets, Chunk(units(data, offsets), scheme, bits)
+    sampled = size * len(scheme.cover) / scheme.period
+    bits = min(MOST_BUCKET_BITS, max(0, math.ceil(math.log2(max(1.0, sampled / bucket_names)))))
+    width = widths(size, bits)
+    parts = max(1, math.ceil(size / (2 * chunk_bytes)))
+    # the answers' side of each co-group is dealt alike, so the chunks move once
+    chunks = packed(docs, chunk_bytes).repartition(parts, "chunk").persist(StorageLevel.DISK_ONLY)
+    chunks.count()
+    grouped = chunks.groupBy("chunk")
+
+    def open_chunk(group: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, Chunk]:
+        rows = unpacked(group)
+        data, offsets = B.raw(rows.column("text"))
+        return rows, data, offsets, Chunk(units(data, offsets), scheme, width)
 
     def ask(k: int):
         def first(group: pa.Table) -> pa.Table:
-            return open_chunk(group)[2].ask(1, group.column("chunk")[0].as_py(), None)
+            return open_chunk(group)[3].ask(1, group.column("chunk")[0].as_py(), None)
 
-        def later(group: pa.Table, replies: pa.Table) -> pa.Table:
-            if not len(group) or not len(replies):
-                return rows_by_bucket(0, k, np.zeros(0, np.int64), np.zeros(0, U), None)
-            return open_chunk(group)[2].ask(k, group.column("chunk")[0].as_py(), replies)
+        def later(group: pa.Table, answers: pa.Table) -> pa.Table:
+            if not len(group):
+                return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int64()), "names": pa.array([], pa.binary())})
+            return open_chunk(group)[3].ask(k, group.column("chunk")[0].as_py(), answers)
 
         return first if k == 1 else later
 
-    def final(group: pa.Table, replies: pa.Table) -> pa.Table:
-        data, offsets, chunk = open_chunk(group)
-        covered = chunk.covered(replies) if len(replies) else np.zeros(chunk.n, bool)
-        return result(group.column("doc_id"), data, offsets, covered)
-
-    def replies(asked: DataFrame, how=answer) -> DataFrame:
-        return asked.groupBy("bucket").applyInArrow(how, ASK)
-
-    def next_round(k: int, so_far: DataFrame, how=answer) -> DataFrame:
-        return so_far.union(replies(grouped.cogroup(so_far.groupBy("chunk")).applyInArrow(ask(k), ASK), how))
+    def final(group: pa.Table, answers: pa.Table) -> pa.Table:
+        rows, data, offsets, chunk = open_chunk(group)
+        return result(rows.column("doc_id"), data, offsets, chunk.covered(answers))
 
-    so_far = replies(grouped.applyInArrow(ask(1), ASK))
-    so_far = next_round(2, so_far)
-    so_far = next_round(3, so_far, answer_shifts)
-    so_far = next_round(4, so_far)
-    return grouped.cogroup(so_far.groupBy("chunk")).applyInArrow(final, schema)
+    answers = None
+    for k in (1, 2, 3, 4):
+        asked = (grouped if answers is None else grouped.cogroup(answers.groupBy("chunk"))).applyInArrow(ask(k), ASK)
+        told = cut(asked.groupBy("bucket").applyInArrow(answer(k, width[k]), ANSWER))
+        answers = told if answers is None else answers.union(told)
+    return grouped.cogroup(answers.groupBy("chunk")).applyInArrow(final, schema)

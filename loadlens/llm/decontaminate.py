@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.llm import textbuf as B
-from loadlens.llm.common import texts
+from loadlens.llm.common import keep_rows, texts
 
 GRAM = 3
 SCORE = 0.6          # of an exact copy's alignment score
@@ -178,21 +179,18 @@ def matches(items: Items, data: np.ndarray, offsets: np.ndarray, score: float) -
     return [(d, item, *row) for (d, item), row in best.items()]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, score: float = SCORE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, item_id, score and place of every document that holds a copy or edited copy of a test item."""
-    spark, docs = docs.sparkSession, texts(docs)
+def blocks_of(docs: DataFrame, benchmark: DataFrame, gram: int, block_bytes: int) -> Iterator[Items]:
+    """The items in blocks of about block_bytes of text, each with its seeds chosen by their counts in docs."""
     items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = size // block_bytes + 1
-    out = None
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        here = _block(docs, Items.of(rows, gram), score)
-        out = here if out is None else out.union(here)
-    return out if out is not None else spark.createDataFrame([], SCHEMA)
+        yield seeded(docs, Items.of(rows, gram))
 
 
-def _block(docs: DataFrame, items: Items, score: float) -> DataFrame:
+def seeded(docs: DataFrame, items: Items) -> Items:
+    """The items with their rarer n-grams: one pass that counts the block's n-grams over all documents."""
     every = items.keep(np.flatnonzero(np.append(True, items.names[1:] != items.names[:-1])) if len(items.names) else slice(0))
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,19 +203,48 @@ def _block(docs: DataFrame, items: Items, score: float) -> DataFrame:
         k = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"name": every.names[k].view(np.int64), "n": total[k]})
 
-    counted = docs.select("text").mapInArrow(count, "name long, n long").groupBy("name").agg(F.sum("n").alias("n")).collect()
-    rare = items.rarer_half({r["name"]: r["n"] for r in counted})
+    counted = texts(docs).select("text").mapInArrow(count, "name long, n long").groupBy("name").agg(F.sum("n").alias("n")).collect()
+    return items.rarer_half({r["name"]: r["n"] for r in counted})
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, score: float = SCORE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, item_id, score and place of every document that holds a copy or edited copy of a test item."""
+    docs = texts(docs)
+    found = [_pairs(docs, items, score) for items in blocks_of(docs, benchmark, gram, block_bytes)]
+    return reduce(DataFrame.union, found)
+
 
+def _pairs(docs: DataFrame, items: Items, score: float) -> DataFrame:
     def find(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             data, offsets = B.raw(batch.column(1))
             ids = batch.column(0)
             for i, j in B.pieces(offsets):
-                found = matches(rare, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], score)
+                found = matches(items, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], score)
                 if found:
                     d, item, share, a, b = zip(*found)
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(np.array(d) + i)), pa.array([rare.ids[x] for x in item], pa.int64()), pa.array(share, pa.float64()),
+                        [ids.take(pa.array(np.array(d) + i)), pa.array([items.ids[x] for x in item], pa.int64()), pa.array(share, pa.float64()),
                          pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["doc_id", "item_id", "score", "start_word", "end_word"])
 
     return docs.mapInArrow(find, SCHEMA)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, score: float = SCORE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents, every column kept, that hold no copy of a test item."""
+    blocks = list(blocks_of(docs, benchmark, gram, block_bytes))
+
+    def judge(items: Items):
+        def of(column: pa.Array) -> np.ndarray:
+            data, offsets = B.raw(column)
+            keep = np.ones(len(column), bool)
+            for i, j in B.pieces(offsets):
+                found = matches(items, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], score)
+                keep[[i + int(x[0]) for x in found]] = False
+            return keep
+
+        return of
+
+    for items in blocks:
+        docs = keep_rows(docs, judge(items))
+    return docs

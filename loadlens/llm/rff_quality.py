@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.llm import textbuf as B
-from loadlens.llm.common import cut, fold, texts
+from loadlens.llm.common import cut, fold, keep_rows, texts
 
 STATISTICS = (
     "log_words", "log_bytes", "mean_word", "sd_word", "upper", "digit", "period", "comma", "exclamation", "pipe", "symbol",
@@ -222,16 +222,30 @@ def score(stats: DataFrame, model: Model) -> DataFrame:
     return stats.mapInArrow(batches, "doc_id long, score double")
 
 
-def quality(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: float = 0.3) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document.
+def labelled_rows(labels: DataFrame, folds: int) -> DataFrame:
+    """(doc_id, y, calibrate): fold 0 is held out and never read, the last fold fits the isotonic map."""
+    return (labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("double").alias("y"))
+            .withColumn("fold", fold(F.col("doc_id"), folds)).where("fold <> 0")
+            .select("doc_id", "y", (F.col("fold") == folds - 1).alias("calibrate")))
+
 
-    Labels of documents whose fold is 0 are never read; the last fold fits the
-    isotonic map and the folds between fit the ridge.
-    """
+def quality(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: float = 0.3) -> DataFrame:
+    """doc_id, held_out, score and predicted of every document."""
     stats = cut(statistics(docs))
-    labelled = (labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("double").alias("y"))
-                .withColumn("fold", fold(F.col("doc_id"), folds)).where("fold <> 0")
-                .select("doc_id", "y", (F.col("fold") == folds - 1).alias("calibrate")))
-    return (score(stats, fit(stats, labelled))
+    return (score(stats, fit(stats, labelled_rows(labels, folds)))
             .select("doc_id", (fold(F.col("doc_id"), folds) == 0).alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted")))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: float = 0.3) -> DataFrame:
+    """The documents, every column kept, whose score reaches the threshold."""
+    stats = cut(statistics(docs))
+    model = fit(stats, labelled_rows(labels, folds))
+
+    def judge(column: pa.Array) -> np.ndarray:
+        data, offsets = B.raw(column)
+        scores = [model.score(describe(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]).astype(np.float64))
+                  for i, j in B.pieces(offsets)]
+        return np.concatenate([np.zeros(0), *scores]) >= threshold
+
+    return keep_rows(docs, judge)

@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from loadlens.llm import textbuf as B
 from loadlens.llm.common import cut, texts
@@ -143,13 +144,35 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return ordered.mapInArrow(batches, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id of every document."""
-    marks = cut(fingerprints(docs, shingle))
+def groups(marks: DataFrame, radius: int) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint of marks (doc_id, fp)."""
     least = marks.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = cut(components(links(marks, radius)))
     linked = roots.join(least, roots["node"] == least["fp"]).select("fp", "root", "least")
     ids = linked.groupBy("root").agg(F.min("least").alias("cid"))
-    of = least.join(linked.join(ids, "root").select(F.col("fp").alias("node"), "cid"), F.col("fp") == F.col("node"), "left").select(
-        "fp", F.coalesce("cid", "least").alias("component_id"))
-    return marks.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return least.join(linked.join(ids, "root").select(F.col("fp").alias("node"), "root", "cid"), F.col("fp") == F.col("node"), "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("cid")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id of every document."""
+    marks = cut(fingerprints(docs, shingle))
+    return marks.join(groups(marks, radius), "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One document of each group, every column kept: that of the least doc_id (any one of repeated rows)."""
+    marks = cut(fingerprints(docs, shingle))
+    of = cut(groups(marks, radius)).select(*(F.col(c).alias(f"__{c}") for c in ("fp", "root", "component_id")))
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            data, offsets = B.raw(batch.column(batch.schema.get_field_index("text")))
+            whole = memoryview(data)
+            fps = np.array([fingerprint(bytes(whole[a:b]), shingle) for a, b in zip(offsets[:-1], offsets[1:])], np.uint64)
+            yield batch.append_column("__fp", pa.array(fps.view(np.int64)))
+
+    marked = docs.mapInArrow(batches, StructType([*docs.schema.fields, StructField("__fp", LongType())]))
+    first = marked.join(of, "__fp").where(F.col("doc_id").cast("long").eqNullSafe(F.col("__component_id")))
+    return first.dropDuplicates(["__root"]).select(*docs.columns)

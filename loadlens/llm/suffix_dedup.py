@@ -2,15 +2,17 @@
 
 Every byte position is a suffix.  The suffixes at cover places are ranked
 first; one whose leading bytes are unique settles all suffixes that run into
-it, and those never enter a sort.  The suffixes that are left go to buckets by
-their head (the first ``period`` bytes), and one bucket is sorted at a time.
-Suffixes tied on the whole head are told apart by the rank of their tail, the
-slice at the cover's far end, so no comparison reads more than two ranks and a
-bucket's memory is 14 bytes a suffix, however long the texts or the ties are.
+it, and those never enter a sort.  Those that are left are cut to ``length``
+bytes and known by two ranks: that of the head (the first ``period`` bytes) and
+that of the tail, which starts inside the head's last cover step.  They are
+dealt into buckets by rank, and one bucket is sorted at a time; a tie that is
+long in the text is one comparison of ranks, so a bucket's memory is a dozen
+bytes a suffix, however long the texts or the ties are.
 
 Ranks are fingerprints: the order inside a bucket is that of the names, not of
-the alphabet.  Neighbours with equal head and tail are suffixes with an equal
-prefix of ``length`` bytes, which is all that removal needs.
+the alphabet, because no task can read another's text.  Neighbours with equal
+ranks are suffixes with an equal prefix of ``length`` bytes, which is all that
+removal needs.  The rounds are described in ``cover``.
 
 Defined cases: a null text is an empty one; a text shorter than ``length``
 loses nothing; repeated rows are copies of each other; no row is dropped.
@@ -33,9 +35,13 @@ SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 def byte_units(scheme: Scheme):
     def units(data: np.ndarray, offsets: np.ndarray) -> Units:
         head, tail = (B.Windows(B.BYTE_VALUES[f][data], f) for f in (0, 1))
-        return Units(offsets,
-                     lambda at: head.names(at, at + scheme.slice),
-                     lambda at: (head.names(at, at + scheme.period), tail.names(at + scheme.period - 1, at + scheme.length)))
+
+        def suffixes(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Both ranks of each suffix, mixed: the bucket and order, and what tells ties apart."""
+            front, back = head.names(at, at + scheme.period), tail.names(at + scheme.period - 1, at + scheme.length)
+            return B.mix64(front ^ B.mix64(back)), B.mix64(back + B.mix64(~front))
+
+        return Units(offsets, lambda at: head.names(at, at + scheme.slice), suffixes)
 
     return units
 

@@ -110,11 +110,16 @@ def test_difference_sets(period):
 
 
 def test_packed_names():
-    names = np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64)
+    r = np.random.default_rng(1)
+    first, second = r.integers(0, 2**64, (2, 1000), dtype=np.uint64)
     for bits in (0, 5, 16):
-        bucket, low = cover.pack(names, bits)
-        assert (cover.from_blob(cover.to_blob(low)) == low).all()
-        assert ((bucket.astype(np.uint64) << np.uint64(48) | low) == names >> np.uint64(16 - bits)).all()
+        for width in cover.widths(10**9, bits).values():
+            a, b = width.short(first, second)
+            more = r.integers(0, 255, (1000, width.more)).astype(np.uint8)
+            x, y, z = width.of_bytes(width.to_bytes(a, b, more).tobytes())
+            low = np.uint64(2 ** (8 * width.first) - 1)
+            assert (x == a & low).all() and (z == more).all() and (not width.second or (y == b).all())
+            assert ((width.bucket(a).astype(np.uint64) << np.uint64(8 * width.first) | x) == a).all()
 
 
 @pytest.mark.parametrize("which", ["docs", "awkward"])
