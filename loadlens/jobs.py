@@ -11,23 +11,30 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import sys
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.functions.time import day_no, day_to_label, weekday_no
+from loadlens.functions.time import day_no, day_to_label, epoch_seconds, weekday_no
 from loadlens.operators import activity as A
 from loadlens.operators import daily as D
 from loadlens.operators import latenight as L
 from loadlens.operators import pairing as PR
 from loadlens.operators import profile as P
+from loadlens.operators import registry as G
 from loadlens.operators import sessions as S
 from loadlens.operators import store as ST
 from loadlens.operators import utilization as U
 from loadlens.operators import weekly as W
 from loadlens.settings import (HISTORY_DAYS, SPECIAL_USER_OFFSETS, Thresholds, literal_table,
                                special_users_df)
+from loadlens.operators.payload import flatten_activity, unnest_estimates
+from loadlens.sources.payloads import read_activity_payloads
+from loadlens.sources.readings import readings_of_days
+from loadlens.sources.registry import read_registry_jdbc
 
 KEYS = ["user_id", "app_type_id"]
 
@@ -49,19 +56,17 @@ def run_date_to_day(text: str, fmt: str = "%m%d%Y") -> int:
     return (d - dt.date(1970, 1, 1)).days
 
 
-def _days_between(df: DataFrame, lo: int, hi: int) -> DataFrame:
-    """Readings of JST days lo..hi as a plain ``t`` range (pushed to the scan)."""
-    start, end = lo * 86400 - 32400, (hi + 1) * 86400 - 32400
-    return df.filter((F.col("t") >= start) & (F.col("t") < end))
-
-
 def _only(df: DataFrame, as_of_day: int | None) -> DataFrame:
     return df if as_of_day is None else df.filter(F.col("day_no") == as_of_day)
 
 
-def prepared_readings(readings: DataFrame, pair: bool = True) -> DataFrame:
-    """Readings plus the fused 300+301 type when ``pair`` (UNION ALL)."""
-    return PR.with_pair(readings) if pair else readings
+def prepared_readings(readings: DataFrame, pair: bool = True, days: tuple[int, int] | None = None) -> DataFrame:
+    """Readings of the JST days, plus the fused 300+301 type when ``pair`` (UNION ALL).
+
+    The range comes first, so it reaches the scans of both branches.
+    """
+    r = readings if days is None else readings_of_days(readings, *days)
+    return PR.with_pair(r) if pair else r
 
 
 def daily_job(readings: DataFrame, thresholds: DataFrame, as_of_day: int | None = None,
@@ -70,10 +75,8 @@ def daily_job(readings: DataFrame, thresholds: DataFrame, as_of_day: int | None
 
     Duplicate readings are not removed: they never change a session.
     """
-    r = prepared_readings(readings, pair)
-    if as_of_day is not None:
-        r = _days_between(r, as_of_day - HISTORY_DAYS, as_of_day)
-    sess = S.sessions(r, thresholds)
+    days = None if as_of_day is None else (as_of_day - HISTORY_DAYS, as_of_day)
+    sess = S.sessions(prepared_readings(readings, pair, days), thresholds)
     # one pipeline: session lists ride along with cnt/dur, no join back to the sessions
     base = D.daily_unusual(D.daily_baseline(D.daily_metrics(sess, with_tags=True)))
     gap = F.col("day_no") - F.col("last_active")
@@ -134,7 +137,7 @@ def daily_job_incremental(readings: DataFrame, thresholds: DataFrame, history: D
     days are computed over it plus today, so a day's work no longer grows
     with the history length.
     """
-    r = _days_between(prepared_readings(readings, pair), as_of_day, as_of_day)
+    r = prepared_readings(readings, pair, (as_of_day, as_of_day))
     today = D.daily_metrics(S.sessions(r, thresholds), with_tags=True)
     tags_type = today.schema["tags"].dataType
     hist = (history.filter((F.col("day_no") >= as_of_day - HISTORY_DAYS) & (F.col("day_no") < as_of_day))
@@ -150,8 +153,10 @@ def daily_job_incremental(readings: DataFrame, thresholds: DataFrame, history: D
     return _only(out, as_of_day).select(*KEYS, "day_no", "ymd", *DAILY_COLS.values(), "tags")
 
 
-def weekly_job(daily: DataFrame, as_of_day: int | None = None) -> DataFrame:
-    w = W.weekly_unusual(W.weekly_trends(W.weekly_totals(daily.select(*KEYS, "day_no", "cnt", "dur"))))
+def weekly_job(daily: DataFrame, as_of_day: int | None = None, last_day: int | None = None) -> DataFrame:
+    """One label (``as_of_day``), or all labels up to the newest data day ``last_day``."""
+    last = as_of_day if as_of_day is not None else last_day
+    w = W.weekly_unusual(W.weekly_trends(W.weekly_totals(daily.select(*KEYS, "day_no", "cnt", "dur"), last_day=last)))
     return _only(w, as_of_day).select(*KEYS, "day_no", "ymd", *WEEKLY_COLS.values())
 
 
@@ -159,7 +164,7 @@ def utilization_job(readings: DataFrame, thresholds: DataFrame, grid: DataFrame,
                     as_of_day: int, kind: str = "long", pair: bool = True) -> DataFrame:
     """kind: 'long' (l00..l23), 'short' (s00..s23) or 'weekday' (00..23 + wDay)."""
     span = {"long": 28, "short": 7, "weekday": 56}[kind]
-    r = _days_between(prepared_readings(readings, pair), as_of_day - span, as_of_day)
+    r = prepared_readings(readings, pair, (as_of_day - span, as_of_day))
     return utilization_from_sessions(S.sessions(r, thresholds), grid, as_of_day, kind)
 
 
@@ -175,7 +180,7 @@ def utilization_from_sessions(sess: DataFrame, grid: DataFrame, as_of_day: int,
 
 
 def profile_job(readings: DataFrame, thresholds: DataFrame, as_of_day: int, pair: bool = True) -> DataFrame:
-    r = _days_between(prepared_readings(readings, pair), as_of_day - 13, as_of_day)
+    r = prepared_readings(readings, pair, (as_of_day - 13, as_of_day))
     p = P.profile_minmax(P.profile_readings(r, thresholds), as_of_day)
     return p.withColumn("day_no", F.lit(as_of_day).cast("long")).withColumn("ymd", day_to_label("day_no"))
 
@@ -199,7 +204,7 @@ def activity_job_incremental(readings: DataFrame, thresholds: DataFrame, store:
     A previous-day cell exists exactly when that day had readings, which is
     when the full computation carries too.
     """
-    today = A.last_activity(_days_between(readings, as_of_day, as_of_day), thresholds)
+    today = A.last_activity(readings_of_days(readings, as_of_day, as_of_day), thresholds)
     prev_lbl = (as_of_day - 1) * 86400 + 54000
     prev = (store.filter(F.col("yyyymm").isin(months_between(as_of_day - 1, as_of_day - 1))
                          & (F.col("family") == FAMILY_DAILY) & (F.col("col") == "la")
@@ -239,35 +244,47 @@ def _readings_from_parquet(spark: SparkSession, path: str, lo_day: int | None =
                            hi_day: int | None = None) -> DataFrame:
     """Readings (user_id, app_type_id, t, power), restricted to JST days lo..hi when given.
 
-    A ``partition`` (yyyymmdd) column of a day-partitioned table is pruned
-    with literal bounds (one day of slack on each side, since the folder day
-    may be UTC); the exact ``t`` range is applied as well.
+    ``path`` may hold flat readings, the points that ``ingest`` writes, nested
+    per-day records, or ``ser_id=`` folders of any of them.  A ``partition``
+    (yyyymmdd) column of a day-partitioned table is pruned with literal bounds
+    (one day of slack on each side, since the folder day may be UTC); the exact
+    time range is applied as well.
     """
-    from loadlens.functions.time import epoch_seconds
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(path)   # also a ser_id= folder per provider
     if lo_day is not None and "partition" in df.columns:
         df = df.filter(F.col("partition").between(_yyyymmdd(lo_day - 1), _yyyymmdd(hi_day + 1)))
+    if "data" in df.columns:        # nested per-day records
+        df = unnest_estimates(df)
+    if lo_day is not None:
+        df = readings_of_days(df, lo_day, hi_day)
     t = epoch_seconds(df, "ts") if "ts" in df.columns else F.col("t").cast("long")
-    r = df.select(F.col("user_id").cast("string").alias("user_id"),
-                  F.col("app_type_id").cast("string").alias("app_type_id"),
-                  t.alias("t"), F.col("power").cast("double").alias("power"))
-    return r if lo_day is None else _days_between(r, lo_day, hi_day)
+    return df.select(F.col("user_id").cast("string").alias("user_id"),
+                     F.col("app_type_id").cast("string").alias("app_type_id"),
+                     t.alias("t"), F.col("power").cast("double").alias("power"))
+
+
+def read_registry(spark: SparkSession, path: str | None, jdbc: str | None) -> DataFrame | None:
+    """The (user, is_active) registry from parquet, or by a partitioned JDBC scan.
+
+    ``jdbc`` is ``url,table,id_column,lower,upper``.
+    """
+    if jdbc:
+        url, table, column, lower, upper = jdbc.rsplit(",", 4)
+        return read_registry_jdbc(spark, url, table, column, int(lower), int(upper))
+    return spark.read.parquet(path) if path else None
 
 
 def ingest_main(argv) -> None:
     """``windows``: fetch windows per active user; ``ingest``: landed payloads -> points + watermark."""
-    import sys
-    import time
-
     from loadlens.operators import ingest as I
-    from loadlens.operators import registry as G
     from loadlens.operators import watermark as WM
     from loadlens.sources.payloads import read_estimate_payloads
-    from loadlens.streaming.jobs import ingest_batch
+    from loadlens.streaming.jobs import ingest_batch, run_hour
 
     ap = argparse.ArgumentParser(prog="loadlens.jobs")
     ap.add_argument("job", choices=["windows", "ingest"])
     ap.add_argument("--registry", help="windows: parquet with user, is_active")
+    ap.add_argument("--registry-jdbc", help="windows: url,table,id_column,lower,upper instead of --registry")
     ap.add_argument("--allowed", help="windows: comma-separated provider ids (default: all)")
     ap.add_argument("--watermark", required=True, help="watermark snapshot table (partitioned by et_hr)")
     ap.add_argument("--out", help="windows: output parquet of (user_id, ser_id, st, et)")
@@ -276,14 +293,15 @@ def ingest_main(argv) -> None:
     ap.add_argument("--payloads", help="ingest: landed estimate payload JSON files")
     ap.add_argument("--points", help="ingest: output points table (partitioned by batch)")
     ap.add_argument("--records", help="ingest: also write nested est/main JSON records here")
-    ap.add_argument("--batch-id", type=int, help="ingest: snapshot id, e.g. yyyymmddHH (default: clock)")
+    ap.add_argument("--batch-id", help="ingest: names the batch; the same name replaces its points (default: run hour)")
+    ap.add_argument("--run-hour", type=int, help="ingest: snapshot id yyyymmddHH (default: clock)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"loadlens-{a.job}").getOrCreate()
     if a.job == "windows":
-        if not (a.registry and a.out):
-            ap.error("windows needs --registry and --out")
+        reg = read_registry(spark, a.registry, a.registry_jdbc)
+        if reg is None or not a.out:
+            ap.error("windows needs --registry or --registry-jdbc, and --out")
         now = a.now if a.now is not None else int(time.time())
-        reg = spark.read.parquet(a.registry)
         if a.allowed:
             allowed = literal_table(spark, [(x,) for x in a.allowed.split(",")],
                                     T.StructType([T.StructField("ser_id", T.StringType())]))
@@ -292,29 +310,30 @@ def ingest_main(argv) -> None:
             from loadlens.functions.keys import provider_id
             users = G.active_users(reg).select("user", provider_id("user").alias("ser_id"))
         users = users.select(F.col("user").alias("user_id"), "ser_id")
-        try:
-            wm = None if a.first_run else WM.read_latest_snapshot(spark, a.watermark)
-        except Exception as e:  # noqa: BLE001  no snapshot yet -> first run
-            print(f"no watermark snapshot ({type(e).__name__}); treating as first run", file=sys.stderr)
-            wm = None
-        win = I.first_run_windows(users, now) if wm is None else I.ingest_windows(users, wm, now)
+        # only a missing path is a first run; a table that can't be read fails the job
+        wm = None if a.first_run else WM.read_latest_snapshot(spark, a.watermark)
+        win = I.first_run_windows(users, now) if wm is None else I.ingest_windows(users, wm[0], now)
         win.write.mode("overwrite").parquet(a.out)
     else:
         if not (a.payloads and a.points):
             ap.error("ingest needs --payloads and --points")
-        batch = a.batch_id if a.batch_id is not None else int(time.strftime("%Y%m%d%H", time.gmtime()))
-        ingest_batch(spark, read_estimate_payloads(spark, a.payloads), batch, a.points, a.watermark, a.records)
+        hour = a.run_hour if a.run_hour is not None else run_hour()
+        ingest_batch(spark, read_estimate_payloads(spark, a.payloads), a.batch_id or str(hour), hour,
+                     a.points, a.watermark, a.records)
 
 
 def main(argv=None) -> None:
-    import sys
     argv = list(sys.argv[1:] if argv is None else argv)
     if argv and argv[0] in ("windows", "ingest"):
         return ingest_main(argv)
     ap = argparse.ArgumentParser(prog="loadlens.jobs")
     ap.add_argument("job", choices=["daily", "weekly", "util-long", "util-short", "util-weekday",
                                     "profile", "latenight", "activity"])
-    ap.add_argument("--readings", required=True, help="parquet: user_id, app_type_id, ts|t, power")
+    ap.add_argument("--readings", help="parquet: user_id, app_type_id, ts|t, power; ingest points; nested records; ser_id= folders")
+    ap.add_argument("--payloads", help="activity: landed activity payload JSON instead of --readings")
+    ap.add_argument("--registry", help="util: parquet with user, is_active; idle users get rows too")
+    ap.add_argument("--registry-jdbc", help="util: url,table,id_column,lower,upper instead of --registry")
+    ap.add_argument("--special-users", help="late-night: parquet with user_id, start_offset, end_offset")
     ap.add_argument("--store", required=True, help="month-partitioned cell table")
     ap.add_argument("--run-date", help="MMDDYYYY; the data day is the day before (default: all days)")
     ap.add_argument("--version", type=int, help="cell version (default: run time in ms)")
@@ -323,20 +342,21 @@ def main(argv=None) -> None:
     ap.add_argument("--special-user", action="append", default=[],
                     help="late-night special user id (offsets %s); repeatable" % (SPECIAL_USER_OFFSETS,))
     a = ap.parse_args(argv)
-    import time
+    if bool(a.readings) == bool(a.payloads) or (a.payloads and a.job != "activity"):
+        ap.error("give --readings, or for activity --payloads")
     spark = SparkSession.builder.appName(f"loadlens-{a.job}").getOrCreate()
     version = a.version if a.version is not None else int(time.time() * 1000)
     as_of = run_date_to_day(a.run_date) if a.run_date else None
     back = LOOKBACK.get(a.job) if as_of is not None else None
-    r = (_readings_from_parquet(spark, a.readings) if back is None
-         else _readings_from_parquet(spark, a.readings, as_of - back, as_of))
+    if a.payloads:
+        r = flatten_activity(read_activity_payloads(spark, a.payloads)).select(
+            F.col("user_id").cast("string").alias("user_id"), F.col("app_type_id").cast("string").alias("app_type_id"), "t", "power")
+    else:
+        r = (_readings_from_parquet(spark, a.readings) if back is None
+             else _readings_from_parquet(spark, a.readings, as_of - back, as_of))
     th = Thresholds().to_df(spark)
-    store = None
-    if a.job in ("daily", "weekly") and as_of is not None and not a.recompute_history:
-        try:
-            store = spark.read.parquet(a.store)
-        except Exception:  # noqa: BLE001  no store yet: recompute the history from readings
-            store = None
+    # the stored history is used when there is a store; only a missing path means there is none
+    store = None if as_of is None or a.recompute_history else ST.stored_cells(spark, a.store)
     if a.job == "daily" and store is not None:
         r1 = _readings_from_parquet(spark, a.readings, as_of, as_of)
         hist = store_daily_history(store, as_of - HISTORY_DAYS, as_of - 1)
@@ -349,21 +369,20 @@ def main(argv=None) -> None:
         # stored Daily cells of the 28 days the label needs, or a recomputation from readings
         d = (store_daily_history(store, as_of - 27, as_of) if store is not None
              else daily_job(r, th, None))
-        cells = to_cells(weekly_job(d, as_of), FAMILY_WEEKLY, WEEKLY_COLS, version)
+        last = None if as_of is not None else r.agg(F.max(day_no("t"))).first()[0]
+        cells = to_cells(weekly_job(d, as_of, last), FAMILY_WEEKLY, WEEKLY_COLS, version)
     elif a.job.startswith("util-"):
         if as_of is None:
             ap.error("utilisation jobs need --run-date")
         kind = a.job.split("-", 1)[1]
-        grid = r.select("user_id").distinct().select(
-            "user_id", F.explode(F.array(*[F.lit(x) for x in Thresholds().app_types])).alias("app_type_id"))
+        reg = read_registry(spark, a.registry, a.registry_jdbc)
+        # every active user and type: idle ones get zeros; without a registry, the users of the readings
+        users = G.active_users(reg) if reg is not None else r.select(F.col("user_id").alias("user")).distinct()
+        grid = G.user_app_grid(users, Thresholds().app_types)
         span = {"long": 28, "short": 7, "weekday": 56}[kind]
-        try:
-            stored = None if a.recompute_history else spark.read.parquet(a.store)
-        except Exception:  # noqa: BLE001  no store yet
-            stored = None
-        if stored is not None:
+        if store is not None:
             # the daily job's stored session lists replace re-sessionizing `span` days of readings
-            u = utilization_from_sessions(store_sessions(stored, as_of - span, as_of), grid, as_of, kind)
+            u = utilization_from_sessions(store_sessions(store, as_of - span, as_of), grid, as_of, kind)
         else:
             u = utilization_job(r, th, grid, as_of, kind)
         prefix, fam = {"long": ("l", FAMILY_WEEKLY), "short": ("s", FAMILY_WEEKLY),
@@ -378,6 +397,8 @@ def main(argv=None) -> None:
         cells = to_cells(profile_job(r, th, as_of), FAMILY_WEEKLY, PROFILE_COLS, version)
     elif a.job == "latenight":
         sp = special_users_df(spark, {u: SPECIAL_USER_OFFSETS for u in a.special_user})
+        if a.special_users:
+            sp = sp.unionByName(spark.read.parquet(a.special_users).select(F.col("user_id").cast("string").alias("user_id"), "start_offset", "end_offset"))
         if as_of is not None:
             # the run date's night: label = JST midnight starting the run date (15:00 UTC of the data day)
             m = (as_of + 1) * 86400 - 32400
@@ -388,12 +409,8 @@ def main(argv=None) -> None:
             t = latenight_job(r, th, sp)
         cells = tag_cells(t, "LOtag", version)
     else:
-        try:
-            stored = spark.read.parquet(a.store) if as_of is not None else None
-        except Exception:  # noqa: BLE001  no store yet
-            stored = None
-        if stored is not None:
-            act = activity_job_incremental(_readings_from_parquet(spark, a.readings, as_of, as_of), th, stored, as_of)
+        if store is not None:
+            act = activity_job_incremental(r if a.payloads else _readings_from_parquet(spark, a.readings, as_of, as_of), th, store, as_of)
         else:
             act = activity_job(r, th)
             act = act if as_of is None else act.filter(F.col("day_no") == as_of)

@@ -11,24 +11,29 @@ from loadlens.settings import PAIR_APP_ID, PAIR_APPS
 
 def pair_fusion(readings: DataFrame, apps=PAIR_APPS, new_app: str = PAIR_APP_ID,
                 time_col: str = "t") -> DataFrame:
-    """FULL OUTER join of type ``apps[0]`` and ``apps[1]`` on (user_id, time).
+    """Readings of types ``apps[0]`` and ``apps[1]`` of one user and time, added.
 
     Returns (user_id, app_type_id = new_app, time, power_a, power_b, power)
-    with power = a + b, a missing side counting as 0.  Joining on the user as
-    well as the time keeps readings of different users apart.  Each side is
-    first folded to one reading per (user, time) (the largest, nulls only when
-    all are null), so the join is one-to-one and can never emit all pairs of
-    duplicate readings; with one reading per (user, type, time) nothing changes.
+    with power = a + b, a missing side (or power) counting as 0.  A full outer
+    join would pair every reading of one type with every reading of the other
+    at that time; sessions and power ranges need only the least and the
+    greatest of those sums, so one aggregation of a single scan keeps both:
+    one row where they are equal, two where they differ.
     """
-    def side(app, name):
-        return (readings.filter(F.col("app_type_id") == app)
-                .groupBy("user_id", time_col).agg(F.max("power").alias(name)))
-
-    a = side(apps[0], "power_a")
-    b = side(apps[1], "power_b")
-    j = a.join(b, ["user_id", time_col], "full_outer")
-    return j.select("user_id", F.lit(new_app).alias("app_type_id"), time_col, "power_a", "power_b",
-                    null_safe_sum("power_a", "power_b").alias("power"))
+    def side(app, how, name):
+        here = F.col("app_type_id") == app
+        return how(F.when(here, F.coalesce("power", F.lit(0.0)))).alias(name), F.max(F.when(here, F.col("power"))).alias(f"{name}_known")
+
+    pair = readings.filter(F.col("app_type_id").isin(*apps))
+    g = pair.groupBy("user_id", time_col).agg(
+        *side(apps[0], F.min, "a0"), *side(apps[0], F.max, "a1"), *side(apps[1], F.min, "b0"), *side(apps[1], F.max, "b1"))
+
+    def row(k):
+        a, b = (F.when(F.col(f"{s}{k}_known").isNotNull(), F.col(f"{s}{k}")) for s in "ab")
+        return F.struct(a.alias("power_a"), b.alias("power_b"), null_safe_sum(f"a{k}", f"b{k}").alias("power"))
+
+    rows = F.array_distinct(F.array(row(0), row(1)))
+    return g.select("user_id", F.lit(new_app).alias("app_type_id"), time_col, F.inline(rows))
 
 
 def with_pair(readings: DataFrame, apps=PAIR_APPS, new_app: str = PAIR_APP_ID) -> DataFrame:

@@ -11,9 +11,9 @@ seconds.  Two readings inside one bucket are at most ``max_gap`` apart, so a
 bucket never contains a split and can be reduced to (first, last) by an
 ordinary partially-aggregated ``groupBy``.  Only the bucket summaries (at
 most 86,400 per key and day, whatever the row volume) go through the
-ordered window that finds splits; that window is keyed by (user, type) and
-its partitioning is reused by the daily, history and weekly steps.  A hot key therefore costs map-side
-combining, not one oversized sort.
+ordered window that finds splits; that window is keyed by (user, type, day),
+so a user's history never meets in one task and a day filter passes below it.
+A hot key therefore costs map-side combining, not one oversized sort.
 """
 
 from __future__ import annotations
@@ -36,33 +36,31 @@ def eligible_readings(readings: DataFrame, thresholds: DataFrame,
     return r.filter(cond)
 
 
+def gap_buckets(df: DataFrame, group_cols: list[str]) -> DataFrame:
+    """First and last eligible time per bucket of ``max_gap + 1`` seconds, which holds no split."""
+    width = F.col("max_gap") + F.lit(1)
+    # max_gap / min_duration depend on the type only, so grouping on them is free
+    return (df.withColumn("b", F.floor(F.col("t") / width))
+            .groupBy(*group_cols, "b", "max_gap", "min_duration")
+            .agg(F.min("t").alias("f"), F.max("t").alias("l")))
+
+
 def sessions_from_eligible(df: DataFrame, group_cols: list[str],
                            keep_short: bool = False) -> DataFrame:
     """Sessions of already-eligible rows carrying ``max_gap``/``min_duration``.
 
     ``group_cols`` is (entity..., group): sessions never span two groups (the
     last column, a day or late-night label).  The ordered window runs per
-    entity over (group, bucket), so its output stays hash-partitioned by the
-    entity and later per-entity steps (daily sums, history windows, weekly
-    fan-out) need no further shuffle.  A window partition holds bucket
-    summaries only: at most 86,400 per entity and day.
+    entity and group, and the sums per day reuse its partitioning; a window
+    partition holds at most 86,400 bucket summaries.
 
     Output: group_cols + [st, et, min_duration].  ``keep_short`` keeps the
     sessions failing the duration rule (used for empty late-night lists).
     """
-    entity, group = list(group_cols[:-1]), group_cols[-1]
-    width = F.col("max_gap") + F.lit(1)
-    # max_gap / min_duration depend on the type only, so grouping on them is free
-    buckets = (
-        df.withColumn("b", F.floor(F.col("t") / width))
-        .groupBy(*group_cols, "b", "max_gap", "min_duration")
-        .agg(F.min("t").alias("f"), F.max("t").alias("l"))
-    )
-    w = Window.partitionBy(*entity).orderBy(group, "b")
+    buckets = gap_buckets(df, group_cols)
+    w = Window.partitionBy(*group_cols).orderBy("b")
     prev_l = F.lag("l").over(w)
-    prev_g = F.lag(group).over(w)
-    split = (prev_l.isNull() | (prev_g != F.col(group))
-             | ((F.col("f") - prev_l) > F.col("max_gap")))
+    split = prev_l.isNull() | ((F.col("f") - prev_l) > F.col("max_gap"))
     starts = buckets.withColumn("new", F.when(split, 1).otherwise(0))
     starts = starts.withColumn(
         "sid", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -86,19 +84,19 @@ def sessions(readings: DataFrame, thresholds: DataFrame, compat: bool = False) -
 def sessions_native(readings: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Same sessions through Spark's ``session_window`` with a per-row gap.
 
-    ``session_window`` merges points whose distance is <= gap, so the gap is
-    ``max_gap`` seconds; st/et come from min/max of the readings.  It sorts the
-    raw readings of each (user, type, day) in one task, so ``sessions`` (which
-    pre-aggregates into buckets) is the path for skewed data; this variant is
-    the cross-check and the shape the streaming job uses.
+    ``session_window`` merges points whose distance is <= gap.  It is fed the
+    bucket summaries: a bucket starts at its first reading and reaches
+    ``max_gap`` seconds beyond its last, so only the summaries of a (user,
+    type, day) are sorted in one task.  This is the cross-check of
+    ``sessions`` and the shape the streaming job uses.
     """
     el = eligible_readings(readings, thresholds).withColumn("day_no", day_no("t"))
-    el = el.withColumn("ts", F.timestamp_seconds("t"))
-    gap = F.concat(F.col("max_gap").cast("string"), F.lit(" seconds"))
+    b = gap_buckets(el, ["user_id", "app_type_id", "day_no"]).withColumn("ts", F.timestamp_seconds("f"))
+    gap = F.concat((F.col("l") - F.col("f") + F.col("max_gap")).cast("string"), F.lit(" seconds"))
     out = (
-        el.groupBy("user_id", "app_type_id", "day_no", "min_duration",
-                   F.session_window("ts", gap).alias("sw"))
-        .agg(F.min("t").alias("st"), F.max("t").alias("et"))
+        b.groupBy("user_id", "app_type_id", "day_no", "min_duration",
+                  F.session_window("ts", gap).alias("sw"))
+        .agg(F.min("f").alias("st"), F.max("l").alias("et"))
     )
     return (out.filter((F.col("et") - F.col("st")) > F.col("min_duration"))
             .select("user_id", "app_type_id", "day_no", "st", "et"))
@@ -114,15 +112,18 @@ def one_tags(sess: DataFrame, keys=("user_id", "app_type_id", "day_no")) -> Data
         F.sort_array(F.collect_list(F.struct("st", "et"))).alias("tags"))
 
 
-def pack_readings(readings: DataFrame, keys: list[str], chunk_seconds: int = 3600) -> DataFrame:
+def pack_readings(readings: DataFrame, keys: list[str], chunk_seconds: int = 3600, most: int = 7200) -> DataFrame:
     """Pack readings into sorted arrays of struct<t, power, n> per key and time chunk.
 
     Equal (t, power) readings are folded into one entry with multiplicity
-    ``n`` by a partially-aggregated groupBy first, so an array holds at most
-    the chunk's distinct (t, power) pairs -- bounded by the chunk length, not
-    by how many rows a hot key has.  ``sum(n)`` over a pack is its row count.
+    ``n`` by a partially-aggregated groupBy first.  A chunk with more than
+    ``most`` entries (there is no bound on the powers of one second) becomes
+    several packs, numbered by ``part`` in time order, so no array is longer.
+    ``sum(n)`` over a chunk's packs is its row count.
     """
     chunk = F.floor(F.col("t") / F.lit(chunk_seconds)).alias("chunk")
     folded = readings.groupBy(*keys, chunk, "t", "power").agg(F.count(F.lit(1)).alias("n"))
-    return (folded.groupBy(*keys, "chunk")
+    place = F.row_number().over(Window.partitionBy(*keys, "chunk").orderBy("t", "power"))
+    parts = folded.withColumn("part", F.floor((place - 1) / F.lit(most)).cast("int"))
+    return (parts.groupBy(*keys, "chunk", "part")
             .agg(F.sort_array(F.collect_list(F.struct("t", "power", "n"))).alias("ts_power")))

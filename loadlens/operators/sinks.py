@@ -2,33 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def write_partitioned_json(df: DataFrame, path: str, partition_cols=("ser_id", "partition")) -> None:
-    """JSON lines under ``ser_id=/partition=`` folders (one writer per task)."""
-    df.write.mode("overwrite").partitionBy(*partition_cols).json(path)
+    """JSON lines under ``ser_id=/partition=`` folders.
+
+    Rows are rebalanced by folder first, so a folder gets a few files of even
+    size (more when it is large) instead of one from every task.
+    """
+    df.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).json(path)
 
 
 def write_partitioned_text(df: DataFrame, text_col: str, path: str,
                            partition_cols=("ser_id", "partition")) -> None:
-    df.select(text_col, *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).text(path)
+    (df.select(text_col, *partition_cols).hint("rebalance", *partition_cols)
+     .write.mode("overwrite").partitionBy(*partition_cols).text(path))
+
+
+def _checked(value: Column, dtype: T.DataType, path: str) -> Column:
+    """The value, or an error that names the level, where a required field is missing in it."""
+    if isinstance(dtype, T.ArrayType):
+        return F.when(value.isNotNull(), F.transform(value, lambda x: _checked(x, dtype.elementType, f"{path}[]")))
+    if not isinstance(dtype, T.StructType):
+        return value
+    fields = []
+    for f in dtype.fields:
+        field, name = value[f.name], f"{path}.{f.name}".lstrip(".")
+        if not f.nullable and not isinstance(f.dataType, T.ArrayType):  # a repeated field may be absent
+            field = F.when(field.isNull(), F.raise_error(F.lit(f"required field is missing: {name}")).cast(f.dataType)).otherwise(field)
+        fields.append(_checked(field, f.dataType, name).alias(f.name))
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def with_required(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows whose required (non-nullable) fields are there on every level; any other row fails the job.
+
+    Readers give every field of a file as nullable, so the check is a step of its own.
+    """
+    record = F.struct(*[F.col(f.name) for f in schema.fields])
+    others = [c for c in df.columns if c not in schema.fieldNames()]
+    return df.select(_checked(record, schema, "").alias("_r"), *others).select("_r.*", *others)
 
 
 def load_with_schema(spark: SparkSession, path: str, schema: T.StructType,
                      partition_cols: dict | None = None) -> DataFrame:
-    """Re-read JSON text with a declared schema; malformed records fail the job.
+    """Re-read JSON text with a declared schema; malformed records and missing required fields fail the job.
 
     ``partition_cols`` maps partition column names to types so that folder
     values are not type-inferred.
     """
-    full = schema
+    full = T.StructType(list(schema.fields))
     for name, dtype in (partition_cols or {}).items():
         full = full.add(name, dtype, True)
-    return spark.read.schema(full).option("mode", "FAILFAST").json(path)
+    return with_required(spark.read.schema(full).option("mode", "FAILFAST").json(path), schema)
 
 
 def load_into_table(df: DataFrame, path: str, partition_col: str = "partition") -> None:
     """Write a loaded dataset as parquet, one folder per day partition."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    (df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))

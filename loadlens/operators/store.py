@@ -1,4 +1,4 @@
-"""Metric cell store as a month-partitioned table with versioned upserts.
+"""Metric cell store with versioned upserts, partitioned by month, family and label day.
 
 A cell is (user_id, app_type_id, ymd, family, col, value, version).  The
 newest version per key wins.  The reduction is ``max(struct(version,
@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from loadlens.functions.keys import row_key
 from loadlens.functions.time import yyyymm
 from loadlens.session import shared_dir
+from loadlens.sources.tables import read_if_exists
 
 CELL_KEY = ["user_id", "app_type_id", "ymd", "family", "col"]
 
@@ -43,29 +43,39 @@ def with_month(cells: DataFrame) -> DataFrame:
     return cells.withColumn("yyyymm", yyyymm("ymd"))
 
 
+PARTITION = ["yyyymm", "family", "ymd"]
+
+
+def stored_cells(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored cells, or None when ``path`` does not exist; ymd is a long, whatever the folders suggest."""
+    t = read_if_exists(spark, path)
+    return t if t is None else t.withColumn("ymd", F.col("ymd").cast("long"))
+
+
 def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, months: list[int] | None = None) -> None:
-    """Merge ``incoming`` into the month-partitioned table at ``path``.
-
-    Only the months present in ``incoming`` are read and rewritten: their ids
-    (a handful -- one per calendar month touched) are given by the caller or
-    taken from the checkpointed incoming cells, and become a literal
-    partition filter, so the scan never lists or opens other months.  The
-    merged result is checkpointed to the shared checkpoint folder before the
-    dynamic partition overwrite, so the write never reads the files it
-    replaces.
+    """Merge ``incoming`` into the table at ``path``, partitioned by month, family and label day.
+
+    Only the partitions that ``incoming`` has cells for are read and replaced;
+    all other files stay as they are.  ``months`` is what the caller may
+    write: a cell of any other month fails the job before anything is written.
+    Their (month, family, day) ids -- one per label day and family -- semi-join
+    the stored table on its partition columns, so Spark prunes the scan at run
+    time.  The merged cells are checkpointed in the shared folder before the
+    dynamic partition overwrite, so the write never reads what it replaces.
     """
     shared_dir(spark)   # checkpoint() below needs the shared checkpoint folder
-    inc = with_month(incoming)
-    if months is None:
-        inc = inc.checkpoint(eager=True)
-        months = sorted(r[0] for r in inc.select("yyyymm").distinct().collect())
-    if not months:
-        return
-    try:
-        existing = spark.read.parquet(path).filter(F.col("yyyymm").isin([int(m) for m in months]))
-        merged = with_month(upsert(existing, inc))
-    except AnalysisException:
-        merged = with_month(latest_cells(inc))
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("yyyymm").parquet(path))
+    inc = with_month(latest_cells(incoming.select(*CELL_KEY, "value", "version")))
+    if months is not None:
+        allowed = F.col("yyyymm").isin([int(m) for m in months])
+        message = F.concat(F.lit("cell of a month that this run may not write: "), F.col("yyyymm").cast("string"))
+        inc = inc.withColumn("yyyymm", F.when(allowed, F.col("yyyymm")).otherwise(F.raise_error(message).cast("int")))
+    inc = inc.checkpoint(eager=True)
+    existing = read_if_exists(spark, path)
+    if existing is not None:
+        touched = inc.select(*PARTITION).distinct()
+        kept = existing.select(*CELL_KEY, "value", "version", "yyyymm").join(touched, PARTITION, "left_semi")
+        # partition folders lose a column's type: take the incoming ones
+        kept = kept.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in inc.schema.fields if f.name != "yyyymm"])
+        inc = with_month(upsert(kept, inc)).checkpoint(eager=True)
+    (inc.hint("rebalance", *PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*PARTITION).parquet(path))

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loadlens.settings import literal_table
+from loadlens.sources.tables import read_if_exists
 
 
 def latest_snapshot(history: DataFrame) -> DataFrame:
@@ -20,10 +19,13 @@ def latest_snapshot(history: DataFrame) -> DataFrame:
 
 
 def merge_watermarks(new: DataFrame, old: DataFrame) -> DataFrame:
-    """New watermark per user (max commited_at), plus old users absent from new."""
-    newest = new.groupBy("user_id").agg(F.max("commited_at").alias("commited_at"))
-    carried = old.select("user_id", "commited_at").join(newest.select("user_id"), "user_id", "left_anti")
-    return newest.unionByName(carried)
+    """The greatest commited_at per user of both sides.
+
+    Users absent from ``new`` carry over, and a payload that lands late can
+    not take a user's watermark back, which would ingest a span twice.
+    """
+    both = new.select("user_id", "commited_at").unionByName(old.select("user_id", "commited_at"))
+    return both.groupBy("user_id").agg(F.max("commited_at").alias("commited_at"))
 
 
 def write_snapshot(df: DataFrame, path: str, et_hr: int) -> None:
@@ -33,29 +35,23 @@ def write_snapshot(df: DataFrame, path: str, et_hr: int) -> None:
     one row per user and is not funnelled through a single task.
     """
     (df.select("user_id", "commited_at", F.lit(et_hr).cast("int").alias("et_hr"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .hint("rebalance", "et_hr").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("et_hr").parquet(path))
 
 
-def newest_partition(spark, path: str, col: str = "et_hr", before: int | None = None) -> int | None:
-    """Largest ``col=<int>`` folder of a partitioned table, from its file listing.
+def newest_partition(history: DataFrame, col: str = "et_hr") -> int | None:
+    """Largest value of a partition column.
 
-    ``inputFiles()`` is the listing Spark already keeps for the table; no data
-    file is opened.
+    Only that column is read, which Spark takes from the folder names: no data
+    column is opened and no file list is brought to the driver.
     """
-    import re
-    pat = re.compile(rf"/{re.escape(col)}=(-?\d+)/")
-    vals = [int(m.group(1)) for f in spark.read.parquet(path).inputFiles() if (m := pat.search(f))]
-    if before is not None:
-        vals = [v for v in vals if v < before]
-    return max(vals) if vals else None
-
-
-def read_latest_snapshot(spark, path: str, before: int | None = None) -> DataFrame:
-    """The newest et_hr snapshot (optionally older than ``before``), reading only its folder."""
-    newest = newest_partition(spark, path, "et_hr", before)
-    t = spark.read.parquet(path)
+    return history.agg(F.max(col)).first()[0]
+
+
+def read_latest_snapshot(spark, path: str) -> tuple[DataFrame, int] | None:
+    """The newest et_hr snapshot, reading only its folder, and its id; None when ``path`` does not exist."""
+    t = read_if_exists(spark, path)
+    newest = None if t is None else newest_partition(t)
     if newest is None:
-        return literal_table(spark, [], T.StructType([T.StructField("user_id", T.StringType()),
-                                                      T.StructField("commited_at", T.LongType())]))
-    return t.filter(F.col("et_hr") == newest).select("user_id", "commited_at").distinct()
+        return None
+    return t.filter(F.col("et_hr") == newest).select("user_id", "commited_at").distinct(), newest

@@ -16,15 +16,22 @@ from loadlens.settings import (COUNT_BUFFER, DURATION_BUFFER, PARAM_TH_BOTTOM,
                                PARAM_TH_TOP, WINDOW_SIZE)
 
 
-def fan_out_labels(df: DataFrame, span_days: int, day_col: str = "day_no") -> DataFrame:
-    """Each row repeated for labels day .. day + span_days - 1 (column ``label_day``)."""
-    return df.withColumn(
-        "label_day", F.explode(F.sequence(F.col(day_col), F.col(day_col) + F.lit(span_days - 1))))
+def fan_out_labels(df: DataFrame, span_days: int, last_day: int | None, day_col: str = "day_no") -> DataFrame:
+    """Each row repeated for labels day .. day + span_days - 1 (column ``label_day``), none after ``last_day``.
+
+    ``last_day`` is the newest data day: a label is a day of the data, so
+    windows that end later are not results yet.  None sets no end.
+    """
+    end = F.col(day_col) + F.lit(span_days - 1)
+    if last_day is not None:
+        df, end = df.filter(F.col(day_col) <= last_day), F.least(end, F.lit(last_day).cast("long"))
+    return df.withColumn("label_day", F.explode(F.sequence(F.col(day_col), end)))
 
 
-def weekly_totals(daily: DataFrame, keys=("user_id", "app_type_id")) -> DataFrame:
-    """w_cnt, w_dur, a_cnt, a_dur per key and label day (integer averages)."""
-    w = (fan_out_labels(daily, 7)
+def weekly_totals(daily: DataFrame, keys=("user_id", "app_type_id"), last_day: int | None = None) -> DataFrame:
+    """w_cnt, w_dur, a_cnt, a_dur per key and label day (integer averages), up to label ``last_day``."""
+    # one exchange of day rows by user; the label sums and the trend frames reuse it
+    w = (fan_out_labels(daily.repartition(keys[0]), 7, last_day)
          .groupBy(*keys, "label_day")
          .agg(F.sum("cnt").alias("w_cnt"), F.sum("dur").alias("w_dur"),
               F.count(F.when(F.col("cnt") > 0, 1)).alias("n_days")))

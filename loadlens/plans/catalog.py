@@ -35,7 +35,7 @@ from loadlens.plans import payload_input as PI
 from loadlens.session import fresh_path
 from loadlens.settings import special_users_df
 from loadlens.sources.payloads import read_nested_range
-from loadlens.sources.readings import readings_from_events, readings_in_range, union_providers
+from loadlens.sources.readings import read_provider_tables, readings_from_events, readings_in_range, readings_of_days
 from loadlens.sources.registry import registry_from_customer
 from loadlens.sources.schemas import NESTED_ESTIMATE, NESTED_MAIN
 from loadlens.sources.tables import load_table
@@ -57,6 +57,18 @@ def readings_all(spark, sf):
     return readings_from_events(events(spark, sf), app=X.DEF_APP)
 
 
+def newest_day(spark, sf):
+    """Newest data day of the readings: labels end there."""
+    e = events(spark, sf)
+    return e.agg(F.max(day_no(epoch_seconds(e, "ts")))).first()[0]
+
+
+def recent_sessions(spark, sf, days):
+    """Sessions of the ``days`` up to the as-of day; the time range reaches the scan."""
+    e = readings_of_days(events(spark, sf), X.AS_OF_DAY - days + 1, X.AS_OF_DAY)
+    return S.sessions(readings_from_events(e, app=X.DEF_APP), X.DEF.to_df(spark))
+
+
 def def_sessions(spark, sf):
     return S.sessions(readings_all(spark, sf), X.DEF.to_df(spark))
 
@@ -140,11 +152,11 @@ QUERIES = {
 
 
 def def_weekly(spark, sf):
-    return W.weekly_trends(W.weekly_totals(def_daily(spark, sf)))
+    return W.weekly_trends(W.weekly_totals(def_daily(spark, sf), last_day=newest_day(spark, sf)))
 
 
 def q_weekly_totals(spark, sf):
-    w = W.weekly_totals(def_daily(spark, sf))
+    w = W.weekly_totals(def_daily(spark, sf), last_day=newest_day(spark, sf))
     return w.select("user_id", "ymd", "w_cnt", "a_cnt", "w_dur", "a_dur")
 
 
@@ -186,22 +198,22 @@ def q_session_start_hour(spark, sf):
 
 
 def q_util_long(spark, sf):
-    u = U.utilization_long(def_sessions(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
+    u = U.utilization_long(recent_sessions(spark, sf, 28), user_grid(spark, sf), X.AS_OF_DAY)
     return _hours_out(u, "l")
 
 
 def q_util_short(spark, sf):
-    u = U.utilization_short(def_sessions(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
+    u = U.utilization_short(recent_sessions(spark, sf, 7), user_grid(spark, sf), X.AS_OF_DAY)
     return _hours_out(u, "s", nan_as=-1.0)
 
 
 def q_util_long_fraction(spark, sf):
-    u = U.utilization_long_fraction(def_sessions(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
+    u = U.utilization_long_fraction(recent_sessions(spark, sf, 28), user_grid(spark, sf), X.AS_OF_DAY)
     return _hours_out(u, "l")
 
 
 def q_util_weekday(spark, sf):
-    u = U.utilization_weekday(def_sessions(spark, sf), user_grid(spark, sf), X.AS_OF_DAY)
+    u = U.utilization_weekday(recent_sessions(spark, sf, 56), user_grid(spark, sf), X.AS_OF_DAY)
     return _hours_out(u, "")
 
 
@@ -218,14 +230,15 @@ def typed_readings(spark, sf):
 
 
 def q_profile_minmax(spark, sf):
-    r = P.profile_readings(typed_readings(spark, sf), X.ALL_TYPE_THRESHOLDS.to_df(spark))
+    days = readings_of_days(events(spark, sf), X.AS_OF_DAY - 13, X.AS_OF_DAY)
+    r = P.profile_readings(readings_from_events(days), X.ALL_TYPE_THRESHOLDS.to_df(spark))
     p = P.profile_minmax(r, X.AS_OF_DAY)
     return p.select("user_id", F.col("app_type_id").alias("app"), "min_power", "max_power")
 
 
 def q_profile_rolling(spark, sf):
     r = P.profile_readings(typed_readings(spark, sf), X.ALL_TYPE_THRESHOLDS.to_df(spark))
-    p = P.profile_rolling(r)
+    p = P.profile_rolling(r, last_day=newest_day(spark, sf))
     return p.select("user_id", F.col("app_type_id").alias("app"), _day_str().alias("data_day"),
                     "min_power", "max_power")
 
@@ -328,9 +341,11 @@ def q_readings_range(spark, sf):
 
 
 def q_readings_union_providers(spark, sf):
-    e = events(spark, sf)
-    parts = {k: e.filter(F.pmod(F.col("user_id"), F.lit(3)) == k) for k in range(3)}
-    u = union_providers(parts)
+    """The providers' tables, landed as ser_id= folders and read as their union in one scan."""
+    path = fresh_path(spark, "providers")
+    e = events(spark, sf).withColumn("ser_id", F.pmod(F.col("user_id"), F.lit(3)).cast("string"))
+    e.hint("rebalance", "ser_id").write.partitionBy("ser_id").parquet(path)
+    u = read_provider_tables(spark, path)
     return u.select("event_id", "user_id", "event_type", "value",
                     epoch_seconds(u, "ts").alias("t"), "ser_id")
 
@@ -396,7 +411,9 @@ def _epoch_events(spark, sf):
 def wm_old(spark, sf):
     e = _epoch_events(spark, sf)
     e = e.filter((F.pmod(F.col("user_id"), F.lit(3)) != 0) & (F.col("ts") < F.lit(X.WM_CUT).cast("timestamp_ntz")))
-    return e.groupBy("user_id").agg(F.max("t").alias("commited_at"))
+    # every fifth user's stored watermark lies past anything that lands later: it must not go back
+    ahead = F.when(F.pmod(F.col("user_id"), F.lit(5)) == 0, F.lit(X.WM_AHEAD)).otherwise(F.lit(0))
+    return e.groupBy("user_id").agg((F.max("t") + F.max(ahead)).alias("commited_at"))
 
 
 def wm_new(spark, sf, start=X.WM_CUT):
@@ -472,7 +489,8 @@ QUERIES.update({
 
 
 def _pcols(df):
-    return df.select("user_id", F.col("app_id").cast("long").alias("app_id"), "t", _r6("power").alias("power"))
+    return df.select("user_id", F.col("app_type_id").cast("long").alias("app_type_id"),
+                     F.col("app_id").cast("long").alias("app_id"), "t", _r6("power").alias("power"))
 
 
 def all_payloads(spark, sf):
@@ -520,20 +538,14 @@ def q_payload_by_day(spark, sf):
             .select("user_id", F.col("partition").cast("long").alias("day"), "n_ts"))
 
 
-def _est_main(spark, sf):
-    p = committed_payloads(spark, sf)
-    return PL.nest_estimates(PL.flatten_estimates(p)), PL.nest_main(PL.flatten_main(p))
-
-
 def q_payload_main(spark, sf):
-    _, m = _est_main(spark, sf)
+    m = PL.nest_main(PL.flatten_main(committed_payloads(spark, sf)))
     return m.select("user_id", F.col("partition").cast("long").alias("day"),
                     F.size("data").cast("long").alias("n_main"))
 
 
 def q_payload_records(spark, sf):
-    e, m = _est_main(spark, sf)
-    rec = PL.payload_records(e, m)
+    rec = PL.payload_records(committed_payloads(spark, sf))
     est = F.from_json("est_json", NESTED_ESTIMATE)
     mai = F.from_json("main_json", NESTED_MAIN)
     return rec.select("user_id", F.col("partition").cast("long").alias("day"),
@@ -589,7 +601,7 @@ def q_store_month_shard(spark, sf):
     path = fresh_path(spark, "cells")
     ST.upsert_table(spark, path, event_cells(spark, sf, 0))
     ST.upsert_table(spark, path, event_cells(spark, sf, 1))
-    t = spark.read.parquet(path)
+    t = ST.stored_cells(spark, path)
     return _cell_out(t, F.col("yyyymm").cast("long").alias("yyyymm"))
 
 
@@ -661,9 +673,9 @@ def q_watermark_snapshots(spark, sf):
     """Old snapshot and merged snapshot written to their et_hr partitions; newest read back."""
     path = fresh_path(spark, "watermark")
     WM.write_snapshot(wm_old(spark, sf), path, 2024011523)
-    old = WM.read_latest_snapshot(spark, path)
+    old, _ = WM.read_latest_snapshot(spark, path)
     WM.write_snapshot(WM.merge_watermarks(wm_new(spark, sf), old).checkpoint(eager=True), path, 2024013023)
-    return WM.read_latest_snapshot(spark, path)
+    return WM.read_latest_snapshot(spark, path)[0]
 
 
 QUERIES.update({
@@ -682,5 +694,43 @@ def q_daily_job(spark, sf):
                     F.size("tags").cast("long").alias("n_tags"))
 
 
-QUERIES.update({"daily_job": q_daily_job})
+def pair_readings(spark, sf):
+    """Readings of types 300 and 301 by the minute, several powers at one (user, t), one in seven a gap."""
+    e = events(spark, sf)
+    return e.filter(F.col("event_type").isin("click", "view")).select(
+        "user_id", F.when(F.col("event_type") == "click", "300").otherwise("301").alias("app_type_id"),
+        (F.floor(epoch_seconds(e, "ts") / 7200) * 7200).alias("t"),
+        F.when(F.pmod(F.col("event_id"), F.lit(7)) == 0, F.lit(None)).otherwise(F.col("value")).cast("double").alias("power"))
+
+
+def q_pair_minmax(spark, sf):
+    """Least and greatest sum of the true pairs per (user, t), from the fused rows."""
+    p = PR.pair_fusion(pair_readings(spark, sf))
+    return p.groupBy("user_id", "t").agg(F.round(F.min("power"), 6).alias("min_power"), F.round(F.max("power"), 6).alias("max_power"))
+
+
+def q_daily_job_pairs(spark, sf):
+    """The daily job over data that holds both paired types, so the fused type is in its result."""
+    d = J.daily_job(pair_readings(spark, sf), X.PAIR_THRESHOLDS.to_df(spark))
+    return d.select("user_id", F.col("app_type_id").alias("app"), _day_str().alias("data_day"), "cnt", "dur")
+
+
+def q_util_registry(spark, sf):
+    """Long utilisation over the registry's grid: active users without readings get zeros."""
+    users = registry_from_customer(load_table(spark, sf, "customer")).filter("is_active = 1").select(
+        F.regexp_extract("user", "_(.*)$", 1).cast("long").alias("user"))
+    grid = G.user_app_grid(users, [X.DEF_APP])
+    return _hours_out(U.utilization_long(recent_sessions(spark, sf, 28), grid, X.AS_OF_DAY), "l")
+
+
+def q_activity_slots(spark, sf):
+    """Latest eligible time per (user, type, payload slot) from landed activity payloads."""
+    p = PI.activity_payloads(PI.payload_points(events(spark, sf)), X.PAYLOAD_COMMIT)
+    th = X.PAYLOAD_THRESHOLDS.to_df(spark)
+    return PL.slot_activity(PL.flatten_activity(p), th).select(
+        "user_id", F.col("app_type_id").cast("long").alias("app_type_id"), "st", "la")
+
+
+QUERIES.update({"daily_job": q_daily_job, "pair_minmax": q_pair_minmax, "daily_job_pairs": q_daily_job_pairs,
+                "util_registry": q_util_registry, "activity_slots": q_activity_slots})
 

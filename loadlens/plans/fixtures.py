@@ -28,6 +28,9 @@ ALL_TYPE_THRESHOLDS = Thresholds({k: [10, 0, 3600] for k in EVENT_TYPES})
 LATENIGHT_SPECIAL = {7: (-7200, 18000)}
 RANGE_START = "2024-01-08 00:00:00"
 RANGE_END = "2024-01-15 00:00:00"
+PAIR_THRESHOLDS = Thresholds({"300": [10, 0, 21600], "301": [10, 0, 21600], "300301": [10, 0, 21600]})
+PAYLOAD_THRESHOLDS = Thresholds({str(k): [20, 0, 600] for k in range(1, 6)})
+WM_AHEAD = 40 * 86400
 WM_CUT = "2024-01-16 00:00:00"
 NOW = int((_dt.datetime(2024, 1, 31) - _dt.datetime(1970, 1, 1)).total_seconds())
 PAYLOAD_ST = int((_dt.datetime(2024, 1, 10) - _dt.datetime(1970, 1, 1)).total_seconds())

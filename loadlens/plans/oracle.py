@@ -99,6 +99,7 @@ FROM lastd""",
 # --- weekly -----------------------------------------------------------------
 WEEKLY = DAILY + """, labels AS (
   SELECT DISTINCT user_id, d + k AS L FROM daily, range(7) AS rg(k)
+  WHERE d + k <= (SELECT max((t + 32400) // 86400) FROM r)
 ), wk AS (
   SELECT l.user_id, l.L, CAST(sum(x.cnt) AS BIGINT) AS w_cnt, CAST(sum(x.dur) AS BIGINT) AS w_dur,
          count(*) AS n
@@ -193,6 +194,7 @@ WHERE (t + 32400) // 86400 BETWEEN {X.AS_OF_DAY - 13} AND {X.AS_OF_DAY}
 GROUP BY user_id, app""",
     "profile_rolling": "WITH " + R_TYPED + f""", rd AS (
   SELECT DISTINCT user_id, app, (t + 32400) // 86400 + k AS d FROM rt, range(14) AS rg(k)
+  WHERE (t + 32400) // 86400 + k <= (SELECT max((epoch_us(ts) // 1000000 + 32400) // 86400) FROM events)
 )
 SELECT rd.user_id, rd.app, {DAY('rd.d')} AS data_day, min(rt.power) AS min_power, max(rt.power) AS max_power
 FROM rd JOIN rt ON rt.user_id = rd.user_id AND rt.app = rd.app
@@ -316,7 +318,7 @@ SELECT user_id, '300301' AS app, h, round(power, 6) AS power FROM fused""",
 EU = """eu AS (SELECT DISTINCT user_id, CAST(user_id % 3 AS VARCHAR) AS ser_id FROM events
 ), ep AS (SELECT user_id, epoch_us(ts) // 1000000 AS t, ts FROM events
 ), old AS (
-  SELECT user_id, max(t) AS commited_at FROM ep
+  SELECT user_id, max(t) + CASE WHEN user_id % 5 = 0 THEN 3456000 ELSE 0 END AS commited_at FROM ep
   WHERE user_id % 3 <> 0 AND ts < TIMESTAMP '2024-01-16 00:00:00' GROUP BY user_id
 ), new AS (
   SELECT user_id, t AS commited_at FROM ep WHERE user_id % 2 = 0 AND ts >= TIMESTAMP '2024-01-16 00:00:00'
@@ -359,10 +361,10 @@ SELECT user_id, ser_id, st, et FROM w WHERE et - st < 86400""",
 SELECT DISTINCT user_id, commited_at FROM hist WHERE et_hr = (SELECT max(et_hr) FROM hist)""",
     "watermark_join": "WITH " + EU + """
 SELECT eu.user_id, old.commited_at AS st FROM eu LEFT JOIN old ON eu.user_id = old.user_id""",
-    "watermark_merge": "WITH " + EU + """, nm AS (SELECT user_id, max(commited_at) AS commited_at FROM new GROUP BY user_id)
-SELECT user_id, commited_at FROM nm
-UNION ALL
-SELECT user_id, commited_at FROM old WHERE user_id NOT IN (SELECT user_id FROM nm)""",
+    "watermark_merge": "WITH " + EU + """, al AS (SELECT * FROM new UNION ALL SELECT * FROM old)
+SELECT user_id, commited_at FROM al a
+WHERE commited_at = (SELECT max(b.commited_at) FROM al b WHERE b.user_id = a.user_id)
+GROUP BY user_id, commited_at""",
     "watermark_carry": "WITH " + EU + """
 SELECT user_id, commited_at FROM old""",
 })
@@ -410,18 +412,18 @@ EST = "WITH " + _dense(86340) + f""", est AS (
 
 ORACLE.update({
     "payload_flatten": "WITH " + _dense(86340) + f"""
-SELECT user_id, app_id, t, round(power, 6) AS power FROM dense
+SELECT user_id, app_id AS app_type_id, app_id * 100 + 7 AS app_id, t, round(power, 6) AS power FROM dense
 WHERE t > 0 AND t <= {X.NOW} AND (power > 0 OR power IS NULL)""",
     "payload_committed": "WITH " + _dense(86340) + f"""
-SELECT user_id, app_id, t, round(power, 6) AS power FROM dense
+SELECT user_id, app_id AS app_type_id, app_id * 100 + 7 AS app_id, t, round(power, 6) AS power FROM dense
 WHERE t > {PS} AND t <= {PC} AND (power > 0 OR power IS NULL)""",
     "activity_committed": "WITH " + _dense(600) + f"""
-SELECT user_id, app_id, t, round(power, 6) AS power FROM dense
+SELECT user_id, app_id AS app_type_id, app_id * 100 + 7 AS app_id, t, round(power, 6) AS power FROM dense
 WHERE {PC} >= w * 600 AND t <= {PC} AND power > 0""",
     "payload_nest": EST + """
-SELECT user_id, app_id, t, round(power, 6) AS power FROM est""",
+SELECT user_id, app_id AS app_type_id, app_id * 100 + 7 AS app_id, t, round(power, 6) AS power FROM est""",
     "payload_unnest": "WITH " + PTS + """
-SELECT user_id, app_id, t, round(power, 6) AS power FROM pts""",
+SELECT user_id, app_id AS app_type_id, app_id * 100 + 7 AS app_id, t, round(power, 6) AS power FROM pts""",
     "payload_by_day": "WITH " + PTS + """
 SELECT user_id, CAST(strftime(DATE '1970-01-01' + CAST((t + 32400) // 86400 AS INTEGER), '%Y%m%d') AS BIGINT) AS day,
        count(DISTINCT t) AS n_ts
@@ -468,12 +470,12 @@ SELECT CAST(user_id % 3 AS VARCHAR) AS ser_id,
        count(*) AS n
 FROM events GROUP BY 1, 2""",
     "load_schema_enforced": "WITH " + PTS + """
-SELECT user_id, app_id, t, round(power, 6) AS power FROM pts""",
+SELECT user_id, app_id AS app_type_id, app_id * 100 + 7 AS app_id, t, round(power, 6) AS power FROM pts""",
 })
 
 ORACLE.update({
     "readings_range_nested": "WITH " + PTS + """
-SELECT user_id, app_id, t, round(power, 6) AS power FROM pts
+SELECT user_id, app_id AS app_type_id, app_id * 100 + 7 AS app_id, t, round(power, 6) AS power FROM pts
 WHERE t >= epoch(TIMESTAMP '2024-01-08 00:00:00') AND t < epoch(TIMESTAMP '2024-01-15 00:00:00')""",
     "watermark_snapshots": ORACLE["watermark_merge"],
 })
@@ -496,3 +498,31 @@ FROM hist h JOIN lastd l ON l.user_id = h.user_id AND l.d = h.d
 JOIN ntag t ON t.user_id = h.user_id AND t.d = h.d""",
 })
 
+
+# true pairs: a full outer join of every reading of one type with every reading of the other
+TRUE_PAIRS = """pr AS (
+  SELECT user_id, CASE WHEN event_type = 'click' THEN '300' ELSE '301' END AS app,
+         ((epoch_us(ts) // 1000000) // 7200) * 7200 AS t, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS power
+  FROM events WHERE event_type IN ('click', 'view')
+), tp AS (
+  SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.t, b.t) AS t,
+         coalesce(a.power, 0.0) + coalesce(b.power, 0.0) AS power
+  FROM (SELECT * FROM pr WHERE app = '300') a FULL OUTER JOIN (SELECT * FROM pr WHERE app = '301') b
+    ON a.user_id = b.user_id AND a.t = b.t
+)"""
+
+ORACLE.update({
+    "pair_minmax": "WITH " + TRUE_PAIRS + """
+SELECT user_id, t, round(min(power), 6) AS min_power, round(max(power), 6) AS max_power FROM tp GROUP BY user_id, t""",
+    "daily_job_pairs": "WITH " + TRUE_PAIRS + """, al AS (
+  SELECT user_id, app, t, power FROM pr UNION ALL SELECT user_id, '300301', t, power FROM tp
+),
+""" + _sessions_cte("al", 10, 21600, 0, "user_id, app, d") + f"""
+SELECT user_id, app, {DAY()} AS data_day, count(*) AS cnt, CAST(sum(et - st) AS BIGINT) AS dur
+FROM sess GROUP BY user_id, app, d""",
+    "util_registry": _util_sql(28, "long").replace(
+        "ug AS (SELECT DISTINCT user_id FROM events)", "ug AS (SELECT c_custkey AS user_id FROM customer WHERE c_acctbal > 0)"),
+    "activity_slots": "WITH " + _dense(600) + f"""
+SELECT user_id, app_id AS app_type_id, w * 600 AS st, max(CASE WHEN power > 20 THEN t END) AS la FROM dense
+WHERE {PC} >= w * 600 AND t <= {PC} AND power > 0 GROUP BY user_id, app_id, w""",
+})

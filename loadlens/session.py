@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,6 +21,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -32,15 +32,15 @@ def shared_dir(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates and sink round-trips.
 
     Uses the cluster's ``spark.checkpoint.dir``; only when that is unset (as
-    in local tests) a folder under the system temp directory is chosen and
-    registered as the checkpoint dir so ``DataFrame.checkpoint`` works too.
+    in local tests) a folder beside the warehouse tables, which all executors
+    share as well, is registered as the checkpoint folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = os.path.join(os.environ.get("TMPDIR", "/tmp"), "loadlens-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
     return base
 

@@ -59,13 +59,14 @@ THRESHOLD_SCHEMA = T.StructType([
     T.StructField("max_gap", T.LongType(), False),
 ])
 
-MAX_CONFIG_ROWS = 100_000
+LITERAL_ROWS = 1_000      # larger tables are no literals in a plan
+BROADCAST_ROWS = 10_000   # larger tables are joined as any other
 
 
 def literal_table(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
-    """A small driver-side table as a literal (JVM-only local relation, no Python RDD)."""
-    if len(rows) > MAX_CONFIG_ROWS:
-        raise ValueError("configuration table too large")
+    """A driver-side table; a small one as a literal (JVM-only local relation, no Python RDD)."""
+    if len(rows) > LITERAL_ROWS:
+        return spark.createDataFrame(rows, schema)
     struct_type = T.ArrayType(schema, containsNull=False)
     arr = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
                     for row in rows]).cast(struct_type)
@@ -79,11 +80,10 @@ class Thresholds:
     rows: dict = field(default_factory=lambda: dict(THRESHOLDS))
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        if len(self.rows) > MAX_CONFIG_ROWS:
-            raise ValueError("threshold table too large to broadcast")
         data = [(str(k), float(v[0]), int(v[1]), int(v[2])) for k, v in self.rows.items()]
-        # Row count is known here, so a broadcast hint is bounded.
-        return F.broadcast(literal_table(spark, data, THRESHOLD_SCHEMA))
+        table = literal_table(spark, data, THRESHOLD_SCHEMA)
+        # The row count is known here, so the hint is bounded; beyond it Spark decides by size.
+        return F.broadcast(table) if len(data) <= BROADCAST_ROWS else table
 
     @property
     def app_types(self) -> list[str]:
@@ -91,9 +91,7 @@ class Thresholds:
 
 
 def special_users_df(spark: SparkSession, users: dict) -> DataFrame:
-    """Special-user offsets table: user_id -> (start_offset, end_offset)."""
-    if len(users) > MAX_CONFIG_ROWS:
-        raise ValueError("special user table too large to broadcast")
+    """Special-user offsets table: user_id -> (start_offset, end_offset); any number of users."""
     items = list(users.items())
     key_type = T.LongType() if items and isinstance(items[0][0], int) else T.StringType()
     schema = T.StructType([
@@ -101,5 +99,4 @@ def special_users_df(spark: SparkSession, users: dict) -> DataFrame:
         T.StructField("start_offset", T.LongType(), False),
         T.StructField("end_offset", T.LongType(), False),
     ])
-    data = [(k, int(v[0]), int(v[1])) for k, v in items]
-    return F.broadcast(literal_table(spark, data, schema))
+    return literal_table(spark, [(k, int(v[0]), int(v[1])) for k, v in items], schema)

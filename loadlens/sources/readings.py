@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadlens.functions.time import epoch_seconds
+from loadlens.settings import DAY, JST_OFFSET
 
 
 def readings_from_events(events: DataFrame, app: str | None = None,
@@ -35,6 +38,21 @@ def readings_in_range(df: DataFrame, ts_col: str, start: str, end: str) -> DataF
     return df.filter((c >= lo) & (c < hi))
 
 
+def readings_of_days(df: DataFrame, lo: int, hi: int) -> DataFrame:
+    """Rows of JST days lo..hi, as a plain range on the source's own time column.
+
+    ``ts`` (a timestamp, zone-free or not) is compared with constants, so the
+    predicate reaches the scan; otherwise the range is on ``t``.
+    """
+    start, end = lo * DAY - JST_OFFSET, (hi + 1) * DAY - JST_OFFSET
+    if "ts" not in df.columns:
+        return df.filter((F.col("t") >= start) & (F.col("t") < end))
+    text = [dt.datetime.fromtimestamp(x, dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S") for x in (start, end)]
+    if isinstance(df.schema["ts"].dataType, T.TimestampNTZType):
+        return readings_in_range(df, "ts", *text)
+    return readings_in_range(df, "ts", *[f"{x}+00:00" for x in text])
+
+
 def union_providers(parts: dict) -> DataFrame:
     """UNION ALL of one table per provider, tagging each with ``ser_id``."""
     tagged = [df.withColumn("ser_id", F.lit(str(k))) for k, df in parts.items()]

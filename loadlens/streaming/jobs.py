@@ -2,8 +2,9 @@
 
 * ``ingest_stream`` (X1): landed payload JSON files -> finalised points,
   appended per micro-batch, and the per-user watermark merged into a new
-  snapshot partition.  Each batch writes under its batch id with dynamic
-  partition overwrite, so a replayed batch rewrites instead of duplicating.
+  snapshot partition.  Each batch writes under its run's identity and number
+  with dynamic partition overwrite, so a replayed batch rewrites instead of
+  duplicating, and a new run overwrites nothing.
 * ``last_activity_stream`` (X2): readings -> latest eligible time per
   (user, type) in 600 s tumbling event-time windows.
 * ``sessions_stream`` (X3): readings -> daily sessions via ``session_window``
@@ -12,55 +13,60 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from loadlens.functions.time import day_no
 from loadlens.functions.keys import provider_id
-from loadlens.operators.payload import (flatten_estimates, flatten_main, nest_estimates, nest_main,
-                                       payload_records, with_partition)
-from loadlens.operators.watermark import merge_watermarks, read_latest_snapshot
+from loadlens.operators.payload import flatten_estimates, payload_records, with_partition
+from loadlens.operators.watermark import merge_watermarks, read_latest_snapshot, write_snapshot
 from loadlens.session import shared_dir
-from loadlens.settings import literal_table
 from loadlens.sources.schemas import ESTIMATE_PAYLOAD
 
 
-def ingest_batch(spark: SparkSession, df: DataFrame, batch_id: int, points_dir: str,
+def ingest_batch(spark: SparkSession, df: DataFrame, batch: str, run_hr: int, points_dir: str,
                  watermark_dir: str, records_dir: str | None = None) -> None:
-    """One micro-batch of the ingest; running it again for the same id gives the same files.
-
-    ``records_dir`` additionally writes the nested per-(user, day) JSON records,
-    ``est`` and ``main`` text datasets under ``batch=/ser_id=/partition=``.
+    """One batch of the ingest; running it again for the same batch gives the same points.
+
+    ``batch`` names the batch for good (a run's identity and number, never a
+    number that starts anew), so one run can not overwrite another's points.
+    ``run_hr`` (yyyymmddHH) is the watermark snapshot's id; a snapshot never
+    gets an id below the newest one, and holds each user's greatest watermark.
+    Only users with finalised points advance.  ``records_dir`` additionally
+    writes the nested per-(user, day) JSON records, ``est`` and ``main`` text
+    datasets under ``batch=/ser_id=/partition=``.
     """
+    shared_dir(spark)
     df = df.persist()   # feeds several writes; parse the batch once
-    est = flatten_estimates(df)
-    pts = with_partition(est).withColumn("batch", F.lit(batch_id))
-    (pts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch").parquet(points_dir))
-    if records_dir is not None:
-        rec = payload_records(nest_estimates(est), nest_main(flatten_main(df)))
-        rec = rec.withColumn("ser_id", provider_id("user_id")).withColumn("batch", F.lit(batch_id))
-        for kind in ("est", "main"):
-            (rec.filter(F.col(f"{kind}_json").isNotNull())
-             .select(f"{kind}_json", "batch", "ser_id", "partition")
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch", "ser_id", "partition").text(f"{records_dir.rstrip('/')}/{kind}"))
-    new = df.filter(F.col("commited_at").isNotNull()).select(
-        F.col("customer").alias("user_id"), "commited_at")
     try:
-        # newest snapshot older than this batch: a replayed batch reads the same input
-        old = read_latest_snapshot(spark, watermark_dir, before=batch_id)
-    except AnalysisException:  # first batch: no snapshot table yet
-        old = literal_table(spark, [], T.StructType([T.StructField("user_id", T.StringType()),
-                                                     T.StructField("commited_at", T.LongType())]))
-    snap = merge_watermarks(new, old).withColumn("et_hr", F.lit(batch_id).cast("int"))
-    snap = snap.checkpoint(eager=True)
-    (snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("et_hr").parquet(watermark_dir))
-    df.unpersist()
+        est = flatten_estimates(df)
+        pts = with_partition(est.drop("commited_at")).withColumn("batch", F.lit(batch))
+        (pts.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(points_dir))
+        if records_dir is not None:
+            rec = payload_records(df)
+            rec = rec.withColumn("ser_id", provider_id("user_id")).withColumn("batch", F.lit(batch))
+            for kind in ("est", "main"):
+                (rec.filter(F.col(f"{kind}_json").isNotNull())
+                 .select(f"{kind}_json", "batch", "ser_id", "partition")
+                 .hint("rebalance", "ser_id", "partition")
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch", "ser_id", "partition").text(f"{records_dir.rstrip('/')}/{kind}"))
+        new = est.select("user_id", "commited_at")
+        stored = read_latest_snapshot(spark, watermark_dir)
+        old, newest = stored if stored else (new.limit(0), run_hr)
+        snap = merge_watermarks(new, old).checkpoint(eager=True)
+        write_snapshot(snap, watermark_dir, max(run_hr, newest))
+    finally:
+        df.unpersist()
+
+
+def run_hour(now: float | None = None) -> int:
+    """yyyymmddHH (UTC) of a run."""
+    return int(time.strftime("%Y%m%d%H", time.gmtime(now)))
 
 
 def ingest_stream(spark: SparkSession, payload_dir: str, points_dir: str, watermark_dir: str,
@@ -70,7 +76,10 @@ def ingest_stream(spark: SparkSession, payload_dir: str, points_dir: str, waterm
     src = spark.readStream.schema(ESTIMATE_PAYLOAD).json(payload_dir)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        ingest_batch(spark, df, batch_id, points_dir, watermark_dir, records_dir)
+        # the query's own id is written once into its checkpoint folder: it outlives restarts, and
+        # a new checkpoint folder, whose batches count from 0 again, has another one
+        run = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+        ingest_batch(spark, df, f"{run}-{batch_id}", run_hour(), points_dir, watermark_dir, records_dir)
 
     w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="3600 seconds")
@@ -82,8 +91,11 @@ def _with_event_time(readings: DataFrame) -> DataFrame:
 
 
 def last_activity_stream(readings: DataFrame, thresholds: DataFrame,
-                         delay: str = "1 hour", slot: str = "600 seconds") -> DataFrame:
-    """Streaming A1: max eligible t per (user, type, 600 s slot); append mode."""
+                         delay: str = "4 hours", slot: str = "600 seconds") -> DataFrame:
+    """Streaming A1: max eligible t per (user, type, 600 s slot); append mode.
+
+    Finalising takes up to 3 hours, so readings are waited for 4 hours.
+    """
     r = _with_event_time(readings).join(thresholds, "app_type_id").withWatermark("ts", delay)
     return (r.groupBy("user_id", "app_type_id", F.window("ts", slot).alias("slot"))
             .agg(F.max(F.when(F.col("power") > F.col("min_power"), F.col("t"))).alias("la"))

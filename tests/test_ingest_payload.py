@@ -58,25 +58,25 @@ def test_null_safe_pair(spark):
 def _payload(spark, commited_at):
     row = {"customer": "u", "commited_at": commited_at, "st": 1000,
            "data": [{"timestamps": [1000, 2000, 3000], "main_pwrs": [9.0],
-                     "app_type": [{"app_id": 1, "apps": [{"id": 1, "pwrs": [5.0, None, 7.0]}]},
-                                  {"app_id": 2, "apps": [{"id": 2, "pwrs": [5.0, 0.0, 7.0]}]}]}]}
+                     "app_type": [{"app_id": 1, "apps": [{"id": 71, "pwrs": [5.0, None, 7.0]}]},
+                                  {"app_id": 2, "apps": [{"id": 72, "pwrs": [5.0, 0.0, 7.0]}]}]}]}
     return spark.createDataFrame([row], ESTIMATE_PAYLOAD)
 
 
 def test_payload_flatten(spark):
     p = _payload(spark, 2500)
     est = PL.flatten_estimates(p)
-    assert [tuple(x) for x in est.collect()] == [("u", 1, 2000, None)]
+    assert [tuple(x) for x in est.collect()] == [("u", 1, 71, 2000, None, 2500)]
     assert PL.flatten_main(p).count() == 0
-    rec = PL.payload_records(PL.nest_estimates(est), PL.nest_main(PL.flatten_main(p), est)).collect()
+    rec = PL.payload_records(p).collect()
     assert len(rec) == 1 and rec[0].est_json is not None and rec[0].main_json is None
     assert PL.flatten_estimates(_payload(spark, None)).count() == 0
 
 
 def test_nest_unnest_roundtrip(spark):
-    pts = spark.createDataFrame([("u", 1, 100, 1.0), ("u", 2, 100, None), ("u", 1, 200, 3.0)],
-                                "user_id string, app_id int, t long, power double")
-    back = PL.unnest_estimates(PL.nest_estimates(pts))
+    pts = spark.createDataFrame([("u", 1, 71, 100, 1.0), ("u", 2, 72, 100, None), ("u", 1, 71, 200, 3.0)],
+                                "user_id string, app_type_id int, app_id int, t long, power double")
+    back = PL.unnest_estimates(PL.nest_estimates(pts.union(pts)))     # landed twice
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, pts.collect()), key=str)
 
 
@@ -187,3 +187,52 @@ def test_upsert_equals_newest(spark, cells):
         if (u, c) not in newest or ver > newest[(u, c)][1]:
             newest[(u, c)] = (str(v), ver)
     assert got == sorted((u, c, v, ver) for (u, c), (v, ver) in newest.items())
+
+
+def test_short_power_array_invents_no_gap(spark):
+    row = {"customer": "u", "commited_at": 3500, "st": 0,
+           "data": [{"timestamps": [1000, 2000], "main_pwrs": [9.0, 8.0],
+                     "app_type": [{"app_id": 1, "apps": [{"id": 71, "pwrs": [5.0]}]}]}]}
+    p = spark.createDataFrame([row], ESTIMATE_PAYLOAD)
+    assert [(r.t, r.power) for r in PL.flatten_estimates(p).collect()] == [(1000, 5.0)]
+    rec = PL.payload_records(p).collect()
+    assert rec[0].main_json == '{"user_id":"u","data":[{"timestamp":1000,"w_hp":9.0}]}'
+
+
+def test_records_equal_the_two_nested_series(spark):
+    from pyspark.sql import functions as F
+    rows = [{"customer": u, "commited_at": 300_000, "st": 0,
+             "data": [{"timestamps": list(range(s, s + 5000, 700)), "main_pwrs": [float(k % 3) for k in range(6)],
+                       "app_type": [{"app_id": a, "apps": [{"id": 10 * a, "pwrs": [float((k * a) % 4) if k % 5 else None for k in range(8)]}]}
+                                    for a in (1, 2)]}]} for u, s in (("u", 50_000), ("v", 52_000), ("v", 140_000))]
+    p = spark.createDataFrame(rows + rows[:1], ESTIMATE_PAYLOAD)
+    e = PL.nest_estimates(PL.flatten_estimates(p)).select("user_id", "partition", F.to_json(F.struct("user_id", "data")).alias("j"))
+    m = PL.nest_main(PL.flatten_main(p)).select("user_id", "partition", F.to_json(F.struct("user_id", "data")).alias("j"))
+    got = PL.payload_records(p).collect()
+    assert sorted((r.user_id, r.partition, r.est_json) for r in got if r.est_json) == sorted(map(tuple, e.collect()))
+    assert sorted((r.user_id, r.partition, r.main_json) for r in got if r.main_json) == sorted(map(tuple, m.collect()))
+
+
+def test_pair_keeps_least_and_greatest(spark):
+    from loadlens.operators.pairing import pair_fusion
+    rows = [("u", "300", 1, 5.0), ("u", "300", 1, 50.0), ("u", "301", 1, 7.0), ("u", "300", 2, None), ("v", "301", 1, 3.0)]
+    df = spark.createDataFrame(rows, "user_id string, app_type_id string, t long, power double")
+    got = sorted((r.user_id, r.t, r.power_a, r.power_b, r.power) for r in pair_fusion(df).collect())
+    assert got == [("u", 1, 5.0, 7.0, 12.0), ("u", 1, 50.0, 7.0, 57.0), ("u", 2, None, None, 0.0), ("v", 1, None, 3.0, 3.0)]
+
+
+def test_alignment_is_linear_in_the_window(spark):
+    import time
+    from pyspark.sql import functions as F
+    from loadlens.plans.payload_input import estimate_payloads
+
+    def seconds(n):
+        pts = spark.range(n).select(F.lit("u").alias("user_id"), (F.col("id") % 5 + 1).cast("int").alias("app_type_id"),
+                                    F.col("id").alias("t"), F.lit(1.0).alias("power"))
+        t0 = time.time()
+        assert estimate_payloads(pts, 10**6, 0).count() == 1
+        estimate_payloads(pts, 10**6, 0).write.format("noop").mode("overwrite").save()
+        return time.time() - t0
+
+    seconds(500)
+    assert seconds(32_000) < 10 * max(seconds(4_000), 0.5)

@@ -70,16 +70,16 @@ def test_cli_windows_and_ingest(spark):
     with open(os.path.join(pay, "p.json"), "w") as f:
         f.write(json.dumps({"customer": "1_a", "commited_at": now - 100, "st": now - 1000,
                             "data": [{"timestamps": [now - 500, now - 50], "main_pwrs": [1.0, 1.0],
-                                      "app_type": [{"app_id": 2, "apps": [{"id": 2, "pwrs": [20.0, 30.0]}]}]}]}) + "\n")
+                                      "app_type": [{"app_id": 2, "apps": [{"id": 77, "pwrs": [20.0, 30.0]}]}]}]}) + "\n")
     pts = fresh_path(spark, "cli-pts")
     rec = fresh_path(spark, "cli-rec")
-    J.main(["ingest", "--payloads", pay, "--points", pts, "--watermark", wm, "--batch-id", "7", "--records", rec])
+    J.main(["ingest", "--payloads", pay, "--points", pts, "--watermark", wm, "--run-hour", "2024013000", "--records", rec])
     assert [tuple(r) for r in spark.read.parquet(pts).select("user_id", "t", "power").collect()] == [("1_a", now - 500, 20.0)]
     from loadlens.operators.payload import unnest_estimates, unnest_main
     from loadlens.operators.sinks import load_with_schema
     from loadlens.sources.schemas import NESTED_ESTIMATE, NESTED_MAIN
     from pyspark.sql import types as T
-    parts = {"batch": T.IntegerType(), "ser_id": T.StringType(), "partition": T.IntegerType()}
+    parts = {"batch": T.StringType(), "ser_id": T.StringType(), "partition": T.IntegerType()}
     e = load_with_schema(spark, f"{rec}/est", NESTED_ESTIMATE, parts)
     assert [(r.user_id, r.ser_id, r.t, r.power) for r in
             unnest_estimates(e).join(e.select("user_id", "ser_id"), "user_id").collect()] == [("1_a", "1", now - 500, 20.0)]

@@ -82,8 +82,9 @@ def test_ingest_stream_equals_batch(spark):
     pts, wm, ck, rec = (fresh_path(spark, n) for n in ("pts", "wm", "ck", "rec"))
     q = ingest_stream(spark, src, pts, wm, ck, records_dir=rec)
     q.awaitTermination()
-    got = sorted(tuple(r) for r in spark.read.parquet(pts).select("user_id", "app_id", "t", "power").collect())
-    want = sorted(tuple(r) for r in flatten_estimates(read_estimate_payloads(spark, src)).collect())
+    cols = ["user_id", "app_type_id", "app_id", "t", "power"]
+    got = sorted(tuple(r) for r in spark.read.parquet(pts).select(*cols).collect())
+    want = sorted(tuple(r) for r in flatten_estimates(read_estimate_payloads(spark, src)).select(*cols).collect())
     assert got == want
     hist = spark.read.parquet(wm)
     last = hist.filter(F.col("et_hr") == hist.agg(F.max("et_hr")).collect()[0][0])
@@ -100,10 +101,56 @@ def test_ingest_batch_replay_is_idempotent(spark):
             for u, c in (("a", 15), ("b", 30))]
     df = spark.createDataFrame(rows, ESTIMATE_PAYLOAD)
     pts, wm = fresh_path(spark, "replay-pts"), fresh_path(spark, "replay-wm")
-    ingest_batch(spark, df, 0, pts, wm)
-    ingest_batch(spark, df.filter("customer = 'a'"), 1, pts, wm)
+    ingest_batch(spark, df, "run-0", 2024011500, pts, wm)
+    ingest_batch(spark, df.filter("customer = 'a'"), "run-1", 2024011501, pts, wm)
     first = sorted(tuple(r) for r in spark.read.parquet(pts).collect())
-    ingest_batch(spark, df.filter("customer = 'a'"), 1, pts, wm)     # replay after a failure
+    ingest_batch(spark, df.filter("customer = 'a'"), "run-1", 2024011501, pts, wm)     # replay after a failure
     assert sorted(tuple(r) for r in spark.read.parquet(pts).collect()) == first
-    snap = spark.read.parquet(wm).filter("et_hr = 1")
+    snap = spark.read.parquet(wm).filter("et_hr = 2024011501")
     assert sorted((r.user_id, r.commited_at) for r in snap.collect()) == [("a", 15), ("b", 30)]
+
+
+def _payload(user, commit, st, times, powers=(20.0, 30.0)):
+    return {"customer": user, "commited_at": commit, "st": st,
+            "data": [{"timestamps": times, "main_pwrs": [1.0] * len(times),
+                      "app_type": [{"app_id": 1, "apps": [{"id": 77, "pwrs": list(powers)}]}]}]}
+
+
+def test_new_checkpoint_overwrites_no_points(spark):
+    src = fresh_path(spark, "src").removeprefix("file:")
+    os.makedirs(src, exist_ok=True)
+    pts, wm = fresh_path(spark, "pts"), fresh_path(spark, "wm")
+    for k in range(2):     # the second run has a checkpoint folder of its own, so its batches start at 0 again
+        with open(os.path.join(src, f"p{k}.json"), "w") as f:
+            f.write(json.dumps(_payload(f"u{k}", 100, 0, [10, 20])) + "\n")
+        ingest_stream(spark, src, pts, wm, fresh_path(spark, "ck")).awaitTermination()
+    users = {r[0]: r[1] for r in spark.read.parquet(pts).groupBy("user_id").count().collect()}
+    assert users == {"u0": 4, "u1": 2}      # u0's file is read by both runs; neither lost a point
+    assert spark.read.parquet(pts).select("batch").distinct().count() == 2
+
+
+def test_watermark_never_goes_back(spark):
+    from loadlens.operators.watermark import read_latest_snapshot
+    from loadlens.sources.schemas import ESTIMATE_PAYLOAD
+    from loadlens.streaming import ingest_batch
+    pts, wm = fresh_path(spark, "pts"), fresh_path(spark, "wm")
+    frame = lambda *rows: spark.createDataFrame(list(rows), ESTIMATE_PAYLOAD)
+    ingest_batch(spark, frame(_payload("a", 5000, 0, [10, 20]), _payload("b", 70, 0, [10, 20])), "x-0", 2024011505, pts, wm)
+    late = frame(_payload("a", 4000, 5000, [10, 20]), _payload("b", 60, 0, [30, 40]), _payload("c", 9, 9, [1, 2]))
+    ingest_batch(spark, late, "x-1", 2024011501, pts, wm)     # older hour, older values, and a user without a kept point
+    snap, newest = read_latest_snapshot(spark, wm)
+    assert newest == 2024011505
+    assert sorted(tuple(r) for r in snap.collect()) == [("a", 5000), ("b", 70)]
+    assert read_latest_snapshot(spark, fresh_path(spark, "none")) is None
+
+
+def test_failed_ingest_releases_its_cache(spark):
+    import pytest
+    from loadlens.sources.schemas import ESTIMATE_PAYLOAD
+    from loadlens.streaming import ingest_batch
+    df = spark.createDataFrame([_payload("a", 50, 0, [10, 20])], ESTIMATE_PAYLOAD)
+    blocked = fresh_path(spark, "blocked")
+    spark.range(3).write.parquet(blocked)      # a table that is no snapshot table
+    with pytest.raises(Exception):
+        ingest_batch(spark, df, "x", 2024011500, fresh_path(spark, "pts"), blocked)
+    assert not df.is_cached
