@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +35,19 @@ END_ID = 1
 DIMENSIONS = 3
 BITS = 16             # of each coordinate
 CELL_BITS = 12        # leading key bits of a cell
-CELL_ROWS = 20_000    # rows of a part of a cell
-CACHE_WORDS = 1_500_000  # words kept per Python worker; when full, it starts anew
+CELL_ROWS = 4_096     # rows of a part of a cell
+CACHE_WORDS = 1_500_000  # words, and stems, kept per Python worker; when full, either starts anew
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "padding long, hilbert_key long")
 
 
-class Words:
-    """Token ids of words, encoded once per Python worker.
+class Words(dict):
+    """Number of each known word; its ids lie in one array, between ``ends`` of the number before and its own.
 
     The vocabulary drops white space and never joins across it, so a text's
-    ids are its words' ids in order.
+    ids are its words' ids in order.  A letter and the punctuation after it are
+    split before merging too, so a word's ids are those of its stem, then those
+    of its tail; stems are fewer, and each is encoded once per Python worker.
     """
 
     opened: dict[str, "Words"] = {}
@@ -55,42 +58,65 @@ class Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
+        self.stems: dict[str, list[int]] = {}
+        self.new: list[bytes] = []
+        self.ids, self.ends = np.zeros(1 << 16, np.uint16), np.zeros(1 << 16, np.int64)
 
     @classmethod
     def of(cls, path: str) -> "Words":
-        return cls.opened.setdefault(path, None) or cls.opened.update({path: cls(path)}) or cls.opened[path]
-
-    def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids, self.ends = np.zeros(1 << 16, np.uint16), np.zeros(1 << 16, np.int64)
-
-    def _add(self, words: list[bytes]) -> None:
-        n, used = len(self.known), int(self.ends[len(self.known) - 1]) if self.known else 0
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        size = np.cumsum([len(c) for c in coded]) + used
-        while len(self.ends) < n + len(words):
+        if path not in cls.opened:
+            cls.opened[path] = cls(path)
+        return cls.opened[path]
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+    @staticmethod
+    def split(word: bytes) -> tuple[str, str]:
+        """Stem and tail of a word; letters that lower one to one are lowered, as the vocabulary does."""
+        text = word.decode()
+        stem = text.rstrip(".,;:!?")
+        if not stem or not stem[-1].lower().isalpha():
+            stem = text
+        tail = text[len(stem) :]
+        return (stem.lower() if max(stem, default="") < "\u0100" else stem), tail
+
+    def _encode_new(self) -> None:
+        words, self.new = self.new, []
+        parts = [self.split(w) for w in words]
+        if len(self.stems) > CACHE_WORDS:
+            self.stems.clear()
+        unknown = list({x for part in parts for x in part if x and x not in self.stems})
+        for x, e in zip(unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False) if unknown else ()):
+            self.stems[x] = e.ids
+        self.stems[""] = []
+        coded = [self.stems[a] + self.stems[b] if b else self.stems[a] for a, b in parts]
+        first = len(self) - len(words)
+        used = int(self.ends[first - 1]) if first else 0
+        ends = np.cumsum([len(c) for c in coded]) + used
+        while len(self.ends) < len(self):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        while len(self.ids) < size[-1]:
+        while len(self.ids) < ends[-1]:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ends[n : n + len(words)] = size
-        self.ids[used : size[-1]] = np.fromiter((x for c in coded for x in c), np.uint16, int(size[-1]) - used)
-        self.known.update(zip(words, range(n, n + len(words))))
+        self.ends[first : len(self)] = ends
+        self.ids[used : ends[-1]] = np.fromiter(chain.from_iterable(coded), np.uint16, int(ends[-1]) - used)
 
     def encode(self, texts_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text closed by END_ID, and the texts' bounds."""
-        split = [t.split() for t in texts_]
-        new = list({w for ws in split for w in ws if w not in self.known})
-        if len(self.known) + len(new) > CACHE_WORDS:
+        if len(self) > CACHE_WORDS:
             self.clear()
-            new = list({w for ws in split for w in ws})
-        if new:
-            self._add(new)
-        codes = np.fromiter((c for ws in split for c in map(self.known.__getitem__, ws)), np.int64, sum(map(len, split)))
+        split = [t.split() for t in texts_]
+        sizes = [len(ws) for ws in split]
+        codes = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes))
+        if self.new:
+            self._encode_new()
         first = np.where(codes > 0, self.ends[codes - 1], 0)
         counts = self.ends[codes] - first
-        words = np.concatenate([[0], np.cumsum([len(ws) for ws in split])])
+        words = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         before = np.concatenate([[0], np.cumsum(counts)])
         bounds = before[words] + np.arange(len(words))
         out = np.full(int(bounds[-1]), END_ID, np.uint16)
@@ -138,7 +164,7 @@ def keys(ids: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Hilbert key of each document: mean direction of its tokens, scaled by its length, squashed to the cube."""
     size = np.diff(bounds)
     mean = np.add.reduceat(table[ids], bounds[:-1], axis=0) / size[:, None] if len(size) else np.zeros((0, DIMENSIONS))
-    unit = 1.0 / (1.0 + np.exp(-mean * 12.0))
+    unit = 1.0 / (1.0 + np.exp(-mean * 40.0))
     return hilbert(np.minimum((unit * (1 << BITS)).astype(np.int64), (1 << BITS) - 1), BITS)
 
 

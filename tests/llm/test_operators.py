@@ -377,6 +377,19 @@ def test_hilbert_packing(which, request, spark):
                 assert r.ids_crc32 in crcs
 
 
+def test_words_encode_as_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    whole, words = Tokenizer.from_file(path), hilbert_pack.Words(path)
+    r = random.Random(8)
+    texts = ["".join(r.choice("aAbB\u00c9\u00e9\u00df\u0130\u03a3'.,!?;:-19 \n\t\u00a0\u0301_\U0001f600\u4e2d<|>") for _ in range(r.randint(0, 40))) for _ in range(3000)]
+    texts += ["end.", "...", "it's.", "<|endoftext|>.", "e\u0301.", "\u0301.", "A.B.", "x.,", "9.", ".a"]
+    ids, bounds = words.encode([t.encode() for t in texts])
+    for t, a, b in zip(texts, bounds[:-1], bounds[1:]):
+        assert [*whole.encode(t, add_special_tokens=False).ids, 1] == ids[a:b].tolist(), repr(t)
+
+
 def test_hilbert_curve_is_a_curve():
     points = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     key = hilbert_pack.hilbert(points, 3)
