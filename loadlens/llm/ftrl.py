@@ -111,7 +111,8 @@ def fit(docs: DataFrame, labelled: DataFrame, bits: int = BITS, epochs: int = EP
         y = y.where((F.xxhash64("doc_id") % 1_000_000 + 1_000_000) % 1_000_000 < int(1_000_000 * fit_rows / n))
         n = y.count()
     shards = -(-n // shard_rows) or 1
-    rows = texts(docs).join(y, "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(shards)))
+    # the sample's ids are few by fit_rows, so they go to the documents: only sampled texts move
+    rows = texts(docs).join(F.broadcast(y) if n <= 2 * fit_rows else y, "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(shards)))
 
     def train(group: pa.Table) -> pa.Table:
         group = group.sort_by([("doc_id", "ascending")])
@@ -128,7 +129,7 @@ def fit(docs: DataFrame, labelled: DataFrame, bits: int = BITS, epochs: int = EP
 
     weights = rows.groupBy("shard").applyInArrow(train, "k long, w double, n long")
     got = weights.groupBy("k").agg(F.sum("w").alias("w")).collect()  # at most 2**bits + 1 rows; in fact the sparse few
-    n = min(n, y.count()) or 1
+    n = max(n, 1)
     k, w = np.array([r["k"] for r in got], np.int64), np.array([r["w"] for r in got], float) / n
     here = k < 1 << bits
     return Model(bits, k[here], w[here].astype(np.float32), float(w[~here].sum()))
