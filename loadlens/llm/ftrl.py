@@ -125,14 +125,15 @@ def fit(docs: DataFrame, labelled: DataFrame, bits: int = BITS, epochs: int = EP
                 model.learn(np.append(sets[i], 1 << bits), target[i])
         w = model.weights()
         k = np.flatnonzero(w)
-        return pa.table({"k": k, "w": w[k] * len(sets), "n": np.full(len(k), len(sets))})
-
-    weights = rows.groupBy("shard").applyInArrow(train, "k long, w double, n long")
-    got = weights.groupBy("k").agg(F.sum("w").alias("w")).collect()  # at most 2**bits + 1 rows; in fact the sparse few
-    n = max(n, 1)
-    k, w = np.array([r["k"] for r in got], np.int64), np.array([r["w"] for r in got], float) / n
-    here = k < 1 << bits
-    return Model(bits, k[here], w[here].astype(np.float32), float(w[~here].sum()))
+        return pa.table({"k": np.append(k, -1), "w": np.append(w[k], 1.0) * len(sets)})  # -1: the shard's rows
+
+    weights = rows.groupBy("shard").applyInArrow(train, "k long, w double")
+    got = weights.groupBy("k").agg(F.sum("w").alias("w")).collect()  # at most 2**bits + 2 rows; in fact the sparse few
+    w = {r["k"]: r["w"] for r in got}
+    n = w.pop(-1, 1.0)
+    bias = w.pop(1 << bits, 0.0) / n
+    k = np.array(sorted(w), np.int64)
+    return Model(bits, k, np.array([w[x] / n for x in k.tolist()], np.float32), bias)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
