@@ -32,7 +32,7 @@ from loadlens.llm.pii_rules import KINDS, NOT_DIGIT, TRIGGER, base_spans
 WINDOW, STRIDE, MARGIN = 64, 32, 16
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 EMBED, HIDDEN = 12, 20
-FIT_DOCS = 400     # bound of the documents whose windows a fit reads
+FIT_DOCS = 400     # about so many documents lend their windows to a fit
 FIT_WINDOWS = 900  # bound of those windows
 DRAWN = 900        # drawn examples
 EPOCHS, BATCH, RATE = 14, 50, 0.01
@@ -331,16 +331,27 @@ def find(tagger: Tagger, texts_: list[str]) -> list[tuple[list, list]]:
 
 
 def train(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOWS, n_drawn: int = DRAWN) -> Tagger:
-    """Fit on the windows of at most fit_docs documents that hold a digit or an @, least hash first, and on drawn examples."""
-    some = texts(docs).where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), F.substring("text", 1, 1 << 20).alias("text"))
-    examples = drawn(n_drawn)
-    room = fit_windows
-    for r in some.orderBy("h").limit(fit_docs).collect():
-        for a, b in stretches(r["text"]):
-            if room > 0 and b - a <= 4 * WINDOW:
-                examples.append((r["text"][a:b], base_spans(r["text"][a:b])))
-                room -= 1
-    return fit(examples)
+    """Fit on windows of about fit_docs different documents that hold a digit or an @, and on drawn examples.
+
+    The documents are chosen by a hash of their text at a rate that their
+    approximate number gives; their windows are cut and labelled on the
+    executors, and fit_windows of them at most reach the driver.
+    """
+    some = texts(docs).where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), "text")
+    n = some.agg(F.approx_count_distinct("h")).first()[0]
+    if n > fit_docs:
+        some = some.where(F.pmod("h", F.lit(10**9)) < int(10**9 * fit_docs / n))
+
+    def cut_windows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            rows = [(h, k, text[a:b]) for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                    for k, (a, b) in enumerate(stretches(text)) if b - a <= 4 * WINDOW]
+            h, k, part = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(k, pa.int32()), pa.array(part, pa.string())], names=["h", "k", "part"])
+
+    windows_ = (some.groupBy("h").agg(F.first("text").alias("text")).mapInArrow(cut_windows, "h long, k int, part string")
+                .orderBy(F.xxhash64("part", "h"), "k").limit(fit_windows).collect())
+    return fit(drawn(n_drawn) + [(r["part"], base_spans(r["part"])) for r in windows_])
 
 
 def joined(spans: list[tuple[int, int, str]]) -> str:
