@@ -49,6 +49,7 @@ from loadlens.llm.common import cut, text_bytes, texts
 CHUNK_BYTES = 4 << 20
 BUCKET_NAMES = 1 << 21
 MOST_BUCKET_BITS = 16
+ZSTD_LEVEL = 5
 U = np.uint64
 PACKED = "chunk long, blob binary"
 ASK = "bucket int, chunk long, names binary"
@@ -131,9 +132,10 @@ class Width:
 def widths(units: int, bits: int) -> dict[int, Width]:
     """By round.  A slice's name may rarely clash, which costs time only; a window's has bits
     enough that two different windows of the corpus clash with a chance of a millionth."""
-    need = 2 * math.log2(max(units, 2)) + 20 - 48 - bits
-    second = min(6, max(2, math.ceil(need / 8)))
-    return {1: Width(bits, 5), 2: Width(bits, 6, second), 3: Width(bits, 5, more=2), 4: Width(bits, 6, second)}
+    size = math.log2(max(units, 2))
+    slice_ = min(6, max(4, math.ceil((size + 10 - bits) / 8)))
+    second = min(6, max(2, math.ceil((2 * size + 20 - 48 - bits) / 8)))
+    return {1: Width(bits, slice_), 2: Width(bits, 6, second), 3: Width(bits, 6, more=2), 4: Width(bits, 6, second)}
 
 
 def _equal_before(first: np.ndarray, second: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -213,6 +215,15 @@ def answer(ask: int, width: Width):
     return names_again
 
 
+def merged(low: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Disjoint runs that cover the same places as the slices [low, end); low ascends."""
+    if not len(low):
+        return low, end
+    reach = np.maximum.accumulate(end)
+    first = np.append(True, low[1:] > reach[:-1])
+    return low[first], reach[np.append(first[1:], True)]
+
+
 class Chunk:
     """What a chunk asks in each round, worked out again from its texts and the answers so far."""
 
@@ -236,12 +247,11 @@ class Chunk:
         doc = np.searchsorted(bounds, anchors, side="right") - 1
         return np.maximum(bounds[doc], anchors - (length - self.scheme.slice)), np.minimum(anchors, bounds[doc + 1] - length)
 
-    def starts(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """All places in some [low, high]."""
-        steps = np.zeros(self.n + 2, np.int32)
-        np.add.at(steps, low, 1)
-        np.add.at(steps, np.maximum(high + 1, low), -1)
-        return np.flatnonzero(np.cumsum(steps[: self.n]) > 0)
+    @staticmethod
+    def starts(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """All places in some [low, high]; low ascends."""
+        low, end = merged(low, high + 1)
+        return B.ranges(low, end - low)
 
     def windows(self, places: np.ndarray, chosen: bool, ask: int) -> tuple[np.ndarray, Names]:
         """Those of the windows that round 2 names (chosen by the name itself), or the others."""
@@ -259,9 +269,10 @@ class Chunk:
     def open_shifts(self, anchors: np.ndarray, names: Names, confirmed: np.ndarray) -> np.ndarray:
         """For each distinct anchor the least and most shift of a window that is not covered yet (255 and 0: none)."""
         low, high = self.reach(anchors)
-        bare = np.concatenate([[0], np.cumsum(~B.unions(confirmed, self.scheme.length, self.n))])
         places = self.starts(low, high)
-        places = places[bare[places + self.scheme.length] > bare[places]]
+        heads, ends = merged(confirmed, confirmed + self.scheme.length)
+        ends = np.append(ends, -1)  # for places before the first covered run
+        places = places[ends[np.searchsorted(heads, places, side="right") - 1] < places + self.scheme.length]
         a, b = np.searchsorted(places, low), np.searchsorted(places, high, side="right") - 1
         some = a <= b
         spans = np.tile(np.array([255, 0], np.uint8), (len(names.first), 1))
@@ -279,7 +290,8 @@ class Chunk:
         low, high = self.reach(anchors)
         low, high = np.maximum(low, anchors - span[:, 1]), np.minimum(high, anchors - span[:, 0])
         able = low <= high
-        return self.windows(self.starts(low[able], high[able]), False, 4)
+        order = np.argsort(low[able], kind="stable")
+        return self.windows(self.starts(low[able][order], high[able][order]), False, 4)
 
     def covered(self, answers: pa.Table) -> np.ndarray:
         """A mask of the units that some repeated window covers."""
@@ -308,7 +320,7 @@ def packed(docs: DataFrame, chunk_bytes: int) -> DataFrame:
             _, offsets = B.raw(batch.column(1))
             for i, j in B.pieces(offsets, chunk_bytes):
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=ZSTD_LEVEL))) as out:
                     out.write_batch(batch.slice(i, j - i))
                 blob = sink.getvalue().to_pybytes()
                 chunk = int.from_bytes(hashlib.blake2b(blob, digest_size=8).digest(), "little", signed=True)

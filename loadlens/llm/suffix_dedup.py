@@ -34,14 +34,14 @@ SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 def byte_units(scheme: Scheme):
     def units(data: np.ndarray, offsets: np.ndarray) -> Units:
-        head, tail = (B.Windows(B.BYTE_VALUES[f][data], f) for f in (0, 1))
+        ranks = B.Windows(B.BYTE_VALUES[0][data])
 
         def suffixes(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Both ranks of each suffix, mixed: the bucket and order, and what tells ties apart."""
-            front, back = head.names(at, at + scheme.period), tail.names(at + scheme.period - 1, at + scheme.length)
+            front, back = ranks.names(at, at + scheme.period), ranks.names(at + scheme.period - 1, at + scheme.length)
             return B.mix64(front ^ B.mix64(back)), B.mix64(back + B.mix64(~front))
 
-        return Units(offsets, lambda at: head.names(at, at + scheme.slice), suffixes)
+        return Units(offsets, lambda at: ranks.names(at, at + scheme.slice), suffixes)
 
     return units
 
