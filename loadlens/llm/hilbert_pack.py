@@ -18,6 +18,7 @@ packed each; an empty table gives no rows.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -36,7 +37,7 @@ DIMENSIONS = 3
 BITS = 16             # of each coordinate
 CELL_BITS = 12        # leading key bits of a cell
 CELL_ROWS = 4_096     # rows of a part of a cell
-CACHE_WORDS = 1_500_000  # words, and stems, kept per Python worker; when full, either starts anew
+CACHE_WORDS, CACHE_STEMS = 500_000, 400_000  # kept per Python worker, some 200 MB; when full, either starts anew
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "padding long, hilbert_key long")
 
@@ -60,7 +61,7 @@ class Words(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.stems: dict[str, list[int]] = {}
+        self.stems: dict[str, bytes] = {}
         self.new: list[bytes] = []
         self.ids, self.ends = np.zeros(1 << 16, np.uint16), np.zeros(1 << 16, np.int64)
 
@@ -88,22 +89,22 @@ class Words(dict):
     def _encode_new(self) -> None:
         words, self.new = self.new, []
         parts = [self.split(w) for w in words]
-        if len(self.stems) > CACHE_WORDS:
+        if len(self.stems) > CACHE_STEMS:
             self.stems.clear()
         unknown = list({x for part in parts for x in part if x and x not in self.stems})
         for x, e in zip(unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False) if unknown else ()):
-            self.stems[x] = e.ids
-        self.stems[""] = []
+            self.stems[x] = array("H", e.ids).tobytes()
+        self.stems[""] = b""
         coded = [self.stems[a] + self.stems[b] if b else self.stems[a] for a, b in parts]
         first = len(self) - len(words)
         used = int(self.ends[first - 1]) if first else 0
-        ends = np.cumsum([len(c) for c in coded]) + used
+        ends = np.cumsum([len(c) for c in coded]) // 2 + used
         while len(self.ends) < len(self):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         while len(self.ids) < ends[-1]:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ends[first : len(self)] = ends
-        self.ids[used : ends[-1]] = np.fromiter(chain.from_iterable(coded), np.uint16, int(ends[-1]) - used)
+        self.ids[used : ends[-1]] = np.frombuffer(b"".join(coded), np.uint16)
 
     def encode(self, texts_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text closed by END_ID, and the texts' bounds."""
