@@ -42,6 +42,16 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "padding long, hilbert_key long")
 
 
+def _byte_characters() -> dict[int, int]:
+    """The character by which a byte-level vocabulary writes each byte: itself where it prints, else from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in prints]
+    return {b: b for b in prints} | {b: 256 + k for k, b in enumerate(rest)}
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
 class Words(dict):
     """Number of each known word; its ids lie in one array, between ``ends`` of the number before and its own.
 
@@ -91,8 +101,14 @@ class Words(dict):
         parts = [self.split(w) for w in words]
         if len(self.stems) > CACHE_STEMS:
             self.stems.clear()
-        unknown = list({x for part in parts for x in part if x and x not in self.stems})
-        for x, e in zip(unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False) if unknown else ()):
+        unknown = {x for part in parts for x in part if x and x not in self.stems}
+        # a word of Latin-1 letters is one piece: the vocabulary's merges can be asked directly
+        plain = {x for x in unknown if x.isalpha() and max(x) < "\u0100" and x == x.lower()}
+        merge = self.tokenizer.model.tokenize
+        for x in plain:
+            self.stems[x] = array("H", [t.id for t in merge(x.encode().decode("latin-1").translate(BYTE_CHARACTERS))]).tobytes()
+        other = list(unknown - plain)
+        for x, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False) if other else ()):
             self.stems[x] = array("H", e.ids).tobytes()
         self.stems[""] = b""
         coded = [self.stems[a] + self.stems[b] if b else self.stems[a] for a, b in parts]
