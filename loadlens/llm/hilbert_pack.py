@@ -20,7 +20,6 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,8 @@ DIMENSIONS = 3
 BITS = 16             # of each coordinate
 CELL_BITS = 12        # leading key bits of a cell
 CELL_ROWS = 4_096     # rows of a part of a cell
-CACHE_WORDS, CACHE_STEMS = 500_000, 400_000  # kept per Python worker, some 200 MB; when full, either starts anew
+CACHE_WORDS = 700_000  # parts of words kept per Python worker, some 150 MB; when full, it starts anew
+PIECE_BYTES = 4 << 20
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "padding long, hilbert_key long")
 
@@ -52,13 +52,37 @@ def _byte_characters() -> dict[int, int]:
 BYTE_CHARACTERS = _byte_characters()
 
 
-class Words(dict):
-    """Number of each known word; its ids lie in one array, between ``ends`` of the number before and its own.
-
-    The vocabulary drops white space and never joins across it, so a text's
-    ids are its words' ids in order.  A letter and the punctuation after it are
-    split before merging too, so a word's ids are those of its stem, then those
-    of its tail; stems are fewer, and each is encoded once per Python worker.
+#: Punctuation that is a piece of its own after a letter.
+TAIL = np.isin(np.arange(256), list(b".,;:!?"))
+LETTER = (np.arange(256) >= 97) & (np.arange(256) <= 122)
+#: Second bytes, after 0xC3, of the Latin-1 letters (all but the signs of times and division).
+SECOND = (np.arange(256) >= 0x80) & (np.arange(256) <= 0xBF) & ~np.isin(np.arange(256), (0x97, 0xB7))
+
+
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of the parts of every word (its stem, and the punctuation after its last letter), and
+    each document's first part."""
+    start, end, first = B.words(data, offsets)
+    stem = end.copy()
+    for _ in range(3):
+        stem -= (stem - 1 > start) & TAIL[data[stem - 1]]
+    last, before = data[stem - 1], data[np.maximum(stem - 2, 0)]
+    cut_here = (stem < end) & (LETTER[last] | ((before == 0xC3) & SECOND[last] & (stem - 2 >= start)))
+    at = np.cumsum(1 + cut_here) - 1 - cut_here
+    n = int(at[-1]) + 1 + int(cut_here[-1]) if len(at) else 0
+    head, tail = np.empty(n, np.int64), np.empty(n, np.int64)
+    head[at], tail[at] = start, np.where(cut_here, stem, end)
+    head[at[cut_here] + 1], tail[at[cut_here] + 1] = stem[cut_here], end[cut_here]
+    return head, tail, np.append(at, n)[first]
+
+
+class Words:
+    """Token ids of the parts of words, encoded once per Python worker.
+
+    The vocabulary lowers letters, drops white space and never joins across it,
+    nor a letter with the punctuation after it; so a text's ids are those of its
+    parts in order.  The ids of part number k lie in one array, between
+    ``ends`` of the number before and its own.
     """
 
     opened: dict[str, "Words"] = {}
@@ -69,11 +93,8 @@ class Words(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.stems: dict[str, bytes] = {}
-        self.new: list[bytes] = []
-        self.ids, self.ends = np.zeros(1 << 16, np.uint16), np.zeros(1 << 16, np.int64)
+        self.clear()
 
     @classmethod
     def of(cls, path: str) -> "Words":
@@ -81,65 +102,58 @@ class Words(dict):
             cls.opened[path] = cls(path)
         return cls.opened[path]
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        self.new.append(word)
-        return number
-
-    @staticmethod
-    def split(word: bytes) -> tuple[str, str]:
-        """Stem and tail of a word; letters that lower one to one are lowered, as the vocabulary does."""
-        text = word.decode()
-        stem = text.rstrip(".,;:!?")
-        if not stem or not stem[-1].lower().isalpha():
-            stem = text
-        tail = text[len(stem) :]
-        return (stem.lower() if max(stem, default="") < "\u0100" else stem), tail
-
-    def _encode_new(self) -> None:
-        words, self.new = self.new, []
-        parts = [self.split(w) for w in words]
-        if len(self.stems) > CACHE_STEMS:
-            self.stems.clear()
-        unknown = {x for part in parts for x in part if x and x not in self.stems}
-        # a word of Latin-1 letters is one piece: the vocabulary's merges can be asked directly
-        plain = {x for x in unknown if x.isalpha() and max(x) < "\u0100" and x == x.lower()}
-        merge = self.tokenizer.model.tokenize
-        for x in plain:
-            self.stems[x] = array("H", [t.id for t in merge(x.encode().decode("latin-1").translate(BYTE_CHARACTERS))]).tobytes()
-        other = list(unknown - plain)
-        for x, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False) if other else ()):
-            self.stems[x] = array("H", e.ids).tobytes()
-        self.stems[""] = b""
-        coded = [self.stems[a] + self.stems[b] if b else self.stems[a] for a, b in parts]
-        first = len(self) - len(words)
-        used = int(self.ends[first - 1]) if first else 0
+    def clear(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.ends = np.zeros(1 << 16, np.uint16), np.zeros(1 << 16, np.int64)
+
+    def _coded(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of each part, two bytes each.  A part of Latin-1 letters is one piece, so the merges are asked directly."""
+        merge, out, other = self.tokenizer.model.tokenize, [], []
+        for k, part in enumerate(parts):
+            text = part.decode()
+            if text.isalpha() and max(text) < "\u0100" and text == text.lower():
+                out.append(array("H", [t.id for t in merge(part.decode("latin-1").translate(BYTE_CHARACTERS))]).tobytes())
+            else:
+                out.append(b"")
+                other.append((k, text))
+        for (k, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False) if other else ()):
+            out[k] = array("H", e.ids).tobytes()
+        return out
+
+    def _add(self, parts: list[bytes]) -> None:
+        n, coded = len(self.known), self._coded(parts)
+        used = int(self.ends[n - 1]) if n else 0
         ends = np.cumsum([len(c) for c in coded]) // 2 + used
-        while len(self.ends) < len(self):
+        while len(self.ends) < n + len(parts):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         while len(self.ids) < ends[-1]:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ends[first : len(self)] = ends
+        self.ends[n : n + len(parts)] = ends
         self.ids[used : ends[-1]] = np.frombuffer(b"".join(coded), np.uint16)
-
-    def encode(self, texts_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, each text closed by END_ID, and the texts' bounds."""
-        if len(self) > CACHE_WORDS:
+        self.known.update(zip(parts, range(n, n + len(parts))))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a piece of text, each document closed by END_ID, and the documents' bounds."""
+        raw = data.tobytes()
+        if b"<|" not in raw:  # else a special token, which counts in lower case only, may be meant
+            data = B.LOWER[data]
+            raw = data.tobytes()
+        head, tail, first = units(data, offsets)
+        _, at, of = np.unique(B.word_values(data, head, tail), return_index=True, return_inverse=True)
+        parts = [raw[a:b] for a, b in zip(head[at].tolist(), tail[at].tolist())]
+        if len(self.known) > CACHE_WORDS:
             self.clear()
-        split = [t.split() for t in texts_]
-        sizes = [len(ws) for ws in split]
-        codes = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes))
-        if self.new:
-            self._encode_new()
-        first = np.where(codes > 0, self.ends[codes - 1], 0)
-        counts = self.ends[codes] - first
-        words = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        if new := [x for x in parts if x not in self.known]:
+            self._add(new)
+        codes = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        begin = np.where(codes > 0, self.ends[codes - 1], 0)
+        counts = (self.ends[codes] - begin)[of]
         before = np.concatenate([[0], np.cumsum(counts)])
-        bounds = before[words] + np.arange(len(words))
+        bounds = before[first] + np.arange(len(first))
         out = np.full(int(bounds[-1]), END_ID, np.uint16)
         inside = np.ones(len(out), bool)
         inside[bounds[1:] - 1] = False
-        out[inside] = self.ids[B.ranges(first, counts)]
+        out[inside] = self.ids[B.ranges(begin[of], counts)]
         return out, bounds
 
 
@@ -192,10 +206,8 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
         words, table = Words.of(path), directions(1 << 16)
         for batch in source:
             data, offsets = B.raw(batch.column(1))
-            whole = memoryview(data)
-            for i, j in B.pieces(offsets):
-                at = offsets[i : j + 1].tolist()
-                ids, bounds = words.encode([bytes(whole[a:b]) for a, b in zip(at, at[1:])])
+            for i, j in B.pieces(offsets, PIECE_BYTES):
+                ids, bounds = words.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(keys(ids, bounds, table)), pa.array(np.diff(bounds)),
                      pa.array([ids[a:b].astype("<u2").tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())],

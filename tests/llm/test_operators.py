@@ -7,9 +7,11 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from loadlens.llm import textbuf as B
 from loadlens.llm import (anchor_dedup, cover, decontaminate, fertility, ftrl, hash_tree, hilbert_pack, oracle, pii_rules, pii_tagger,
                           queries, rff_quality, simhash, suffix_dedup)
 from tests.llm import brute
@@ -385,7 +387,13 @@ def test_words_encode_as_whole_texts():
     r = random.Random(8)
     texts = ["".join(r.choice("aAbB\u00c9\u00e9\u00df\u0130\u03a3'.,!?;:-19 \n\t\u00a0\u0301_\U0001f600\u4e2d<|>") for _ in range(r.randint(0, 40))) for _ in range(3000)]
     texts += ["end.", "...", "it's.", "<|endoftext|>.", "e\u0301.", "\u0301.", "A.B.", "x.,", "9.", ".a"]
-    ids, bounds = words.encode([t.encode() for t in texts])
+    texts += ["<|EndOfText|>", "<|ENDOFTEXT|>.", "<|startoftext|>A"]
+    for part in (texts, [t for t in texts if "<|" not in t]):
+        ids, bounds = words.encode(*B.raw(pa.array(part)))
+        check_ids(whole, part, ids, bounds)
+
+
+def check_ids(whole, texts, ids, bounds):
     for t, a, b in zip(texts, bounds[:-1], bounds[1:]):
         assert [*whole.encode(t, add_special_tokens=False).ids, 1] == ids[a:b].tolist(), repr(t)
 
