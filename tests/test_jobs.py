@@ -187,3 +187,70 @@ def test_activity_incremental_equals_full(spark):
         inc = J.activity_job_incremental(r, th, spark.read.parquet(store), day)
         want = full.filter(F.col("day_no") == day).select(*J.KEYS, "day_no", "la", "ymd")
         assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, want.collect())) and inc.count() > 0
+
+
+def test_cli_from_payloads_to_metrics(spark):
+    """Landed payload JSON -> ingest points -> daily, utilisation and activity cells, idle users included."""
+    import json
+    day = 19723                                  # 2024-01-01
+    t0 = day * 86400 - 32400 + 9 * 3600          # 09:00 JST
+    pay, pts, wm, store, reg = (fresh_path(spark, n).removeprefix("file:") for n in ("e2e-pay", "e2e-pts", "e2e-wm", "e2e-store", "e2e-reg"))
+    os.makedirs(pay)
+    times = [t0 + 60 * k for k in range(30)]
+    with open(os.path.join(pay, "p.json"), "w") as f:
+        f.write(json.dumps({"customer": "1_a", "commited_at": t0 + 86400, "st": t0 - 1,
+                            "data": [{"timestamps": times, "main_pwrs": [50.0] * 30,
+                                      "app_type": [{"app_id": 2, "apps": [{"id": 77, "pwrs": [40.0] * 30}]}]}]}) + "\n")
+    spark.createDataFrame([("1_a", 1), ("2_idle", 1), ("3_left", 0)], "user string, is_active int").write.parquet(reg)
+    J.main(["ingest", "--payloads", pay, "--points", pts, "--watermark", wm, "--run-hour", "2024010200"])
+    for job in (["daily"], ["util-long", "--registry", reg], ["util-short", "--registry", reg], ["activity"]):
+        J.main([job[0], "--readings", pts, "--store", store, "--run-date", "01022024", *job[1:]])
+    cells = {(r.user_id, r.app_type_id, r.col): r.value for r in spark.read.parquet(store).collect()}
+    assert cells["1_a", "2", "cnt"] == "1" and cells["1_a", "2", "dur"] == str(29 * 60)
+    assert cells["1_a", "2", "l09"] == "1.0" and cells["1_a", "2", "la"] == str(times[-1])
+    assert cells["2_idle", "2", "l09"] == "0.0" and cells["2_idle", "2", "s09"] == "NaN"
+    assert not any(user == "3_left" for user, _, _ in cells)
+    act = fresh_path(spark, "e2e-act").removeprefix("file:")
+    os.makedirs(act)
+    with open(os.path.join(act, "a.json"), "w") as f:
+        f.write(json.dumps({"customer": "1_a", "fixed_at": t0 + 900, "st": t0,
+                            "data": [{"timestamps": times, "appliance_types": [
+                                {"appliance_type_id": 2, "appliances": [{"appliance_id": 77, "powers": [40.0] * 30}]}]}]}) + "\n")
+    other = fresh_path(spark, "e2e-store2")
+    J.main(["activity", "--payloads", act, "--store", other, "--run-date", "01022024"])
+    assert [r.value for r in spark.read.parquet(other).collect()] == [str(t0 + 900)]
+
+
+def test_cli_reads_nested_records(spark):
+    from loadlens.operators.payload import nest_estimates
+    from loadlens.operators.sinks import load_into_table
+    t0 = 19723 * 86400 - 32400 + 3600
+    pts = spark.createDataFrame([("1_a", 2, 77, t0 + 60 * k, 40.0) for k in range(20)],
+                                "user_id string, app_type_id int, app_id int, t long, power double")
+    base, store = fresh_path(spark, "nested-src"), fresh_path(spark, "nested-store")
+    for ser in ("1", "2"):      # a folder per provider
+        load_into_table(nest_estimates(pts if ser == "1" else pts.limit(0)), f"{base}/ser_id={ser}")
+    J.main(["daily", "--readings", base, "--store", store, "--run-date", "01022024"])
+    assert {r.col: r.value for r in spark.read.parquet(store).collect()}["dur"] == str(19 * 60)
+
+
+def test_unreadable_tables_fail_the_jobs(spark):
+    import pytest
+    reg, bad = fresh_path(spark, "reg"), fresh_path(spark, "bad").removeprefix("file:")
+    spark.createDataFrame([("1_a", 1)], "user string, is_active int").write.parquet(reg)
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        J.main(["windows", "--registry", reg, "--watermark", bad, "--out", fresh_path(spark, "out"), "--now", "1706659200"])
+    with pytest.raises(Exception):
+        J.main(["daily", "--readings", reg, "--store", bad, "--run-date", "01022024"])
+
+
+def test_registry_over_jdbc_is_a_partitioned_read(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(J, "read_registry_jdbc", lambda spark, *a: seen.setdefault("args", a) and spark.createDataFrame([("1_a", 1)], "user string, is_active int"))
+    out = fresh_path(spark, "jdbc-win")
+    J.main(["windows", "--registry-jdbc", "jdbc:postgresql://h/db?a=1,users,id,0,1000", "--watermark", fresh_path(spark, "no-wm"), "--out", out, "--now", "1706659200"])
+    assert seen["args"] == ("jdbc:postgresql://h/db?a=1", "users", "id", 0, 1000)
+    assert {r.user_id for r in spark.read.parquet(out).collect()} == {"1_a"}
