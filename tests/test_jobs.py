@@ -53,7 +53,7 @@ def test_cli_daily_and_activity(spark):
     s = SparkSession.builder.getOrCreate()
     got = {r.col for r in s.read.parquet(store).select("col").distinct().collect()}
     assert {"cnt", "dur", "Otag", "iDay", "la", "l00", "l23", "wCnt", "ma4Cnt"} <= got
-    assert os.path.isdir(store)
+    assert os.path.isdir(store.removeprefix("file:"))
 
 
 def test_cli_windows_and_ingest(spark):
@@ -65,7 +65,7 @@ def test_cli_windows_and_ingest(spark):
     J.main(["windows", "--registry", reg, "--allowed", "1,2", "--watermark", wm, "--out", out, "--now", str(now)])
     w = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert {r[0] for r in w} == {"1_a", "2_b"} and len(w) == 8        # 3 days -> 3 full chunks + remainder each
-    pay = fresh_path(spark, "cli-pay")
+    pay = fresh_path(spark, "cli-pay").removeprefix("file:")
     os.makedirs(pay)
     with open(os.path.join(pay, "p.json"), "w") as f:
         f.write(json.dumps({"customer": "1_a", "commited_at": now - 100, "st": now - 1000,

@@ -69,7 +69,7 @@ def test_last_activity_stream_equals_batch(spark):
 def test_ingest_stream_equals_batch(spark):
     from loadlens.operators.payload import flatten_estimates
     from loadlens.sources.payloads import read_estimate_payloads
-    src = fresh_path(spark, "payload-src")
+    src = fresh_path(spark, "payload-src").removeprefix("file:")
     os.makedirs(src, exist_ok=True)
     payloads = []
     for k, (user, commit) in enumerate([("a", 2500), ("b", 3500), ("a", 9000)]):
