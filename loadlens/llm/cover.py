@@ -49,7 +49,7 @@ from loadlens.llm.common import cut, text_bytes, texts
 CHUNK_BYTES = 4 << 20
 BUCKET_NAMES = 1 << 21
 MOST_BUCKET_BITS = 16
-ZSTD_LEVEL = 5
+ZSTD_LEVEL = 1
 U = np.uint64
 PACKED = "chunk long, blob binary"
 ASK = "bucket int, chunk long, names binary"
@@ -215,15 +215,6 @@ def answer(ask: int, width: Width):
     return names_again
 
 
-def merged(low: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Disjoint runs that cover the same places as the slices [low, end); low ascends."""
-    if not len(low):
-        return low, end
-    reach = np.maximum.accumulate(end)
-    first = np.append(True, low[1:] > reach[:-1])
-    return low[first], reach[np.append(first[1:], True)]
-
-
 class Chunk:
     """What a chunk asks in each round, worked out again from its texts and the answers so far."""
 
@@ -250,7 +241,7 @@ class Chunk:
     @staticmethod
     def starts(low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """All places in some [low, high]; low ascends."""
-        low, end = merged(low, high + 1)
+        low, end = B.merged(low, high + 1)
         return B.ranges(low, end - low)
 
     def windows(self, places: np.ndarray, chosen: bool, ask: int) -> tuple[np.ndarray, Names]:
@@ -270,7 +261,7 @@ class Chunk:
         """For each distinct anchor the least and most shift of a window that is not covered yet (255 and 0: none)."""
         low, high = self.reach(anchors)
         places = self.starts(low, high)
-        heads, ends = merged(confirmed, confirmed + self.scheme.length)
+        heads, ends = B.merged(confirmed, confirmed + self.scheme.length)
         ends = np.append(ends, -1)  # for places before the first covered run
         places = places[ends[np.searchsorted(heads, places, side="right") - 1] < places + self.scheme.length]
         a, b = np.searchsorted(places, low), np.searchsorted(places, high, side="right") - 1

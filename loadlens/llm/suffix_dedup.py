@@ -52,8 +52,10 @@ def digest(doc_ids: pa.Array, data: np.ndarray, offsets: np.ndarray, covered: np
     begins[1:] &= ~covered[:-1]
     heads = offsets[:-1][offsets[1:] > offsets[:-1]]
     begins[heads] = covered[heads]
-    kept = [hashlib.sha256(data[a:b][~covered[a:b]].tobytes()).hexdigest() for a, b in zip(offsets[:-1], offsets[1:])]
-    return pa.table({"doc_id": doc_ids, "n_bytes": np.diff(offsets), "n_removed": B.per_doc(covered, offsets),
+    n_removed = B.per_doc(covered, offsets)
+    kept = [hashlib.sha256(data[a:b] if not gone else data[a:b][~covered[a:b]]).hexdigest()
+            for a, b, gone in zip(offsets[:-1], offsets[1:], n_removed)]
+    return pa.table({"doc_id": doc_ids, "n_bytes": np.diff(offsets), "n_removed": n_removed,
                      "n_spans": B.per_doc(begins, offsets), "kept_sha256": kept})
 
 

@@ -140,9 +140,20 @@ def per_doc(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def merged(low: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Disjoint runs that cover the same places as the slices [low, end); low ascends."""
+    if not len(low):
+        return low, end
+    reach = np.maximum.accumulate(end)
+    first = np.append(True, low[1:] > reach[:-1])
+    return low[first], reach[np.append(first[1:], True)]
+
+
 def unions(start: np.ndarray, width: int, n: int) -> np.ndarray:
-    """A mask over n positions: those inside a slice [s, s + width)."""
-    steps = np.zeros(n + 1, np.int32)
-    np.add.at(steps, start, 1)
-    np.add.at(steps, np.minimum(start + width, n), -1)
-    return np.cumsum(steps[:n]) > 0
+    """A mask over n positions: those inside a slice [s, s + width); the starts come in any order."""
+    start = np.sort(start)
+    heads, ends = merged(start, start + width)
+    steps = np.zeros(n + 1, np.int8)
+    steps[heads] = 1
+    steps[np.minimum(ends, n)] -= 1
+    return np.cumsum(steps[:n], dtype=np.int8).view(bool)
