@@ -37,7 +37,7 @@ SCHEMA = "doc_id long, item_id long, score double, start_word long, end_word lon
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A fingerprint of every token, and each document's first token number."""
-    data = B.LOWER[data]
+    data = B.lowered(data)
     start, end, first = B.words(data, offsets, B.IS_BREAK)
     return B.word_values(data, start, end), first
 

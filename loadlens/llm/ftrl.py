@@ -33,7 +33,7 @@ ALPHA, BETA, L1, L2 = 10.0, 1.0, 6.0, 0.0
 
 def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(document number, hashed index) of words, word pairs, triples and pairs with a gap, repeats included."""
-    data = B.LOWER[data]
+    data = B.lowered(data)
     start, end, first = B.words(data, offsets, B.IS_BREAK)
     values = B.word_values(data, start, end)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))

@@ -438,3 +438,8 @@ def test_empty_tables(empty):
     for df in (fertility.measure(empty, *vocabularies()), suffix_dedup.remove(empty), anchor_dedup.remove(empty), simhash.near_duplicates(empty),
                hilbert_pack.pack(empty, path), pii_tagger.personal_data(empty, pii_tagger.Tagger.new())):
         assert df.count() == 0
+
+
+def test_lowered():
+    text = "ÀÉÞ×÷ßÿAz Ωж İŸ"
+    assert B.lowered(np.frombuffer(text.encode(), np.uint8)).tobytes().decode() == "àéþ×÷ßÿaz Ωж İŸ"
