@@ -4,7 +4,8 @@ Every coordinate has its own learning rate, and the L1 term keeps weights at
 exactly 0 unless the labels move them, so the model that scores every
 document is a short list of indices and weights.  A bounded sample of labelled
 rows is dealt into shards; each shard makes its passes, and the shards'
-weights are averaged (parameter mixing).
+weights are averaged (parameter mixing).  A logistic map, fitted on rows that a
+first fit did not see, turns margins into probabilities.
 
 Defined cases: a null or empty text has no features and scores the bias alone;
 rows of one doc_id share the mean of their labels; without labelled rows every
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.llm import textbuf as B
-from loadlens.llm.common import fold, texts
+from loadlens.llm.common import cut, fold, texts
 
 BITS = 22           # hashed feature space: 2**BITS weights; index 2**BITS is the bias
 FIT_ROWS = 40_000   # bound of the labelled rows that a fit reads
@@ -85,6 +86,8 @@ class Model:
     index: np.ndarray
     weight: np.ndarray
     bias: float
+    slope: float = 1.0   # the logistic map from margins to probabilities
+    offset: float = 0.0
 
     def table(self) -> np.ndarray:
         """The weights by index; each task spreads them out for itself."""
@@ -102,17 +105,55 @@ class Model:
         return np.bincount(keys >> self.bits, table[keys & ((1 << self.bits) - 1)], minlength=len(offsets) - 1) + self.bias
 
 
+def platt(margin: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
+    """Slope and offset of the logistic map from margins to labels, by Newton steps on smoothed targets."""
+    high, low = float((y >= 0.5).sum()), float((y < 0.5).sum())
+    if not high or not low:
+        return 1.0, 0.0
+    target = np.where(y >= 0.5, (high + 1) / (high + 2), 1 / (low + 2))
+    x, at = np.column_stack([margin, np.ones(len(margin))]), np.array([1.0, 0.0])
+    for _ in range(steps):
+        q = 1.0 / (1.0 + np.exp(-np.clip(x @ at, -35, 35)))
+        hessian = (x * (q * (1 - q))[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hessian, x.T @ (target - q) + 1e-3 * (np.array([1.0, 0.0]) - at))
+        at = at + step / max(1.0, np.abs(step).max())
+    return (float(at[0]), float(at[1])) if at[0] > 0 else (1.0, 0.0)
+
+
 def fit(docs: DataFrame, labelled: DataFrame, bits: int = BITS, epochs: int = EPOCHS, fit_rows: int = FIT_ROWS,
-        shard_rows: int = SHARD_ROWS) -> Model:
-    """Fit on labelled (doc_id, y): at most about fit_rows of them, chosen by a hash of doc_id."""
+        shard_rows: int = SHARD_ROWS, calibration: int = 5) -> Model:
+    """Fit on labelled (doc_id, y): at most about fit_rows of them, chosen by a hash of doc_id.
+
+    One row in ``calibration`` is held back from a first fit; its margins there
+    (at most fit_rows / calibration numbers) give the logistic map of the
+    final fit, which learns from all rows of the sample.
+    """
     y = labelled.where("doc_id IS NOT NULL AND y IS NOT NULL").groupBy("doc_id").agg(F.avg("y").alias("y"))
     n = y.count()
     if n > fit_rows:
-        y = y.where((F.xxhash64("doc_id") % 1_000_000 + 1_000_000) % 1_000_000 < int(1_000_000 * fit_rows / n))
+        y = y.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * fit_rows / n))
         n = y.count()
-    shards = -(-n // shard_rows) or 1
     # the sample's ids are few by fit_rows, so they go to the documents: only sampled texts move
-    rows = texts(docs).join(F.broadcast(y) if n <= 2 * fit_rows else y, "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(shards)))
+    rows = texts(docs).join(F.broadcast(y) if n <= 2 * fit_rows else y, "doc_id")
+    rows = cut(rows.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(calibration))))
+    shards = -(-n // shard_rows) or 1
+    first = _train(rows.where("part <> 0"), bits, epochs, shards)
+
+    def margins(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = first.table()
+        for batch in source:
+            data, offsets = B.raw(batch.column(0))
+            m = [first.margins(table, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in B.pieces(offsets)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0), *m])), batch.column(1)], names=["m", "y"])
+
+    held = rows.where("part = 0").select("text", "y").mapInArrow(margins, "m double, y double").collect()
+    model = _train(rows, bits, epochs, shards)
+    model.slope, model.offset = platt(np.array([r["m"] for r in held], float), np.array([r["y"] for r in held], float))
+    return model
+
+
+def _train(rows: DataFrame, bits: int, epochs: int, shards: int) -> Model:
+    """The average of the weights that each shard of rows (doc_id, text, y) learns."""
 
     def train(group: pa.Table) -> pa.Table:
         group = group.sort_by([("doc_id", "ascending")])
@@ -127,7 +168,8 @@ def fit(docs: DataFrame, labelled: DataFrame, bits: int = BITS, epochs: int = EP
         k = np.flatnonzero(w)
         return pa.table({"k": np.append(k, -1), "w": np.append(w[k], 1.0) * len(sets)})  # -1: the shard's rows
 
-    weights = rows.groupBy("shard").applyInArrow(train, "k long, w double")
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(shards)))
+    weights = dealt.groupBy("shard").applyInArrow(train, "k long, w double")
     got = weights.groupBy("k").agg(F.sum("w").alias("w")).collect()  # at most 2**bits + 2 rows; in fact the sparse few
     w = {r["k"]: r["w"] for r in got}
     n = w.pop(-1, 1.0)
@@ -145,7 +187,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             data, offsets = B.raw(batch.column(1))
             for i, j in B.pieces(offsets):
                 m = model.margins(table, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(1.0 / (1.0 + np.exp(-np.clip(m, -35, 35))))],
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(1.0 / (1.0 + np.exp(-np.clip(model.slope * m + model.offset, -35, 35))))],
                                                  names=["doc_id", "score"])
 
     return texts(docs).mapInArrow(batches, "doc_id long, score double")

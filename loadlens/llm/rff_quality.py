@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,8 @@ STATISTICS = (
 FEATURES = 256
 CAP = 4.0          # statistics are clipped at so many standard deviations
 RIDGE = 1e-3       # times the number of rows
-FIT_PARTS = 32     # partial sums that reach the driver, FEATURES**2 * 8 bytes each
+FIT_PARTS = 32     # partial sums, FEATURES**2 * 8 bytes each
+FIT_SUMS = 4       # of which so many totals reach the driver
 FIT_ROWS = 200_000  # bound of the labelled rows that a fit reads
 BINS = 2048        # resolution of the isotonic fit: its input is this many sums
 
@@ -186,7 +188,13 @@ def fit(stats: DataFrame, labelled: DataFrame, features: int = FEATURES, seed: i
         if n:
             yield pa.RecordBatch.from_pydict({"a": [a.tobytes()], "b": [b.tobytes()], "n": [n]})
 
-    parts = rows.where("NOT calibrate").select("stats", "y").mapInArrow(normal, "a binary, b binary, n long").collect()
+    def added(group: pa.Table) -> pa.Table:
+        a, b = (sum(np.frombuffer(x.as_buffer()) for x in group.column(c)) for c in "ab")
+        return pa.table({"a": [a.tobytes()], "b": [b.tobytes()], "n": [pc.sum(group.column("n")).as_py()]})
+
+    # the partitions' sums are added on the executors; a few matrices reach the driver
+    parts = (rows.where("NOT calibrate").select("stats", "y").mapInArrow(normal, "a binary, b binary, n long")
+             .groupBy(F.pmod(F.xxhash64("b"), F.lit(FIT_SUMS)).alias("k")).applyInArrow(added, "a binary, b binary, n long").collect())
     if not parts:
         return model
     a = sum(np.frombuffer(p["a"]).reshape(features + 1, -1) for p in parts)
