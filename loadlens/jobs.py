@@ -274,6 +274,12 @@ def read_registry(spark: SparkSession, path: str | None, jdbc: str | None) -> Da
     return spark.read.parquet(path) if path else None
 
 
+def _session(job: str) -> SparkSession:
+    """A session of its own lets Spark remove checkpoints that nothing refers to any more."""
+    return (SparkSession.builder.appName(f"loadlens-{job}")
+            .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate())
+
+
 def ingest_main(argv) -> None:
     """``windows``: fetch windows per active user; ``ingest``: landed payloads -> points + watermark."""
     from loadlens.operators import ingest as I
@@ -296,7 +302,7 @@ def ingest_main(argv) -> None:
     ap.add_argument("--batch-id", help="ingest: names the batch; the same name replaces its points (default: run hour)")
     ap.add_argument("--run-hour", type=int, help="ingest: snapshot id yyyymmddHH (default: clock)")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName(f"loadlens-{a.job}").getOrCreate()
+    spark = _session(a.job)
     if a.job == "windows":
         reg = read_registry(spark, a.registry, a.registry_jdbc)
         if reg is None or not a.out:
@@ -344,7 +350,7 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     if bool(a.readings) == bool(a.payloads) or (a.payloads and a.job != "activity"):
         ap.error("give --readings, or for activity --payloads")
-    spark = SparkSession.builder.appName(f"loadlens-{a.job}").getOrCreate()
+    spark = _session(a.job)
     version = a.version if a.version is not None else int(time.time() * 1000)
     as_of = run_date_to_day(a.run_date) if a.run_date else None
     back = LOOKBACK.get(a.job) if as_of is not None else None
