@@ -83,11 +83,14 @@ class Items:
     def keep(self, chosen: np.ndarray) -> "Items":
         return Items(self.ids, self.values, self.first, self.names[chosen], self.item[chosen], self.place[chosen], self.lengths)
 
-    def rarer_half(self, counts: dict[int, int]) -> "Items":
-        """Of each item the rarer half, one at least, of its n-grams that occur in the corpus at all."""
-        count = np.array([counts.get(int(x), 0) for x in self.names.view(np.int64)], np.int64)
-        if not count.all():
-            return self.keep(count > 0).rarer_half(counts)
+    def rarer_half(self, names: np.ndarray, counts: np.ndarray) -> "Items":
+        """Of each item the rarer half, one at least, of its n-grams that occur in the corpus at all (names, ascending)."""
+        at = np.searchsorted(names, self.names)
+        known = at < len(names)
+        known[known] = names[at[known]] == self.names[known]
+        if not known.all():
+            return self.keep(known).rarer_half(names, counts)
+        count = counts[at]
         order = np.lexsort((self.place, count, self.item))
         start = np.searchsorted(self.item[order], self.item[order])
         total = np.bincount(self.item, minlength=len(self.ids))
@@ -203,8 +206,10 @@ def seeded(docs: DataFrame, items: Items) -> Items:
         k = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"name": every.names[k].view(np.int64), "n": total[k]})
 
-    counted = texts(docs).select("text").mapInArrow(count, "name long, n long").groupBy("name").agg(F.sum("n").alias("n")).collect()
-    return items.rarer_half({r["name"]: r["n"] for r in counted})
+    counted = texts(docs).select("text").mapInArrow(count, "name long, n long").groupBy("name").agg(F.sum("n").alias("n")).toArrow()
+    names = counted.column("name").to_numpy().view(U)
+    order = np.argsort(names)
+    return items.rarer_half(names[order], counted.column("n").to_numpy()[order])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, score: float = SCORE, block_bytes: int = BLOCK_BYTES) -> DataFrame:

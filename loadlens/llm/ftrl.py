@@ -170,12 +170,13 @@ def _train(rows: DataFrame, bits: int, epochs: int, shards: int) -> Model:
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(shards)))
     weights = dealt.groupBy("shard").applyInArrow(train, "k long, w double")
-    got = weights.groupBy("k").agg(F.sum("w").alias("w")).collect()  # at most 2**bits + 2 rows; in fact the sparse few
-    w = {r["k"]: r["w"] for r in got}
-    n = w.pop(-1, 1.0)
-    bias = w.pop(1 << bits, 0.0) / n
-    k = np.array(sorted(w), np.int64)
-    return Model(bits, k, np.array([w[x] / n for x in k.tolist()], np.float32), bias)
+    # at most 2**bits + 2 numbers, in fact the sparse few
+    got = weights.groupBy("k").agg(F.sum("w").alias("w")).toArrow()
+    k, w = got.column("k").to_numpy(), got.column("w").to_numpy()
+    w = w / max(1.0, w[k == -1].sum())
+    here = (k >= 0) & (k < 1 << bits)
+    order = np.argsort(k[here])
+    return Model(bits, k[here][order], w[here][order].astype(np.float32), float(w[k == 1 << bits].sum()))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
