@@ -157,7 +157,8 @@ def groups(marks: DataFrame, radius: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every document."""
     marks = cut(fingerprints(docs, shingle))
-    return marks.join(groups(marks, radius), "fp").select(
+    of = cut(groups(marks, radius))  # read back with no partitioning of its own, so that a skewed join can be split
+    return marks.join(of, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
