@@ -327,7 +327,12 @@ def unpacked(group: pa.Table) -> pa.Table:
 def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray, np.ndarray], Units],
                    result: Callable[[pa.Array, np.ndarray, np.ndarray, np.ndarray], pa.Table], schema: str,
                    chunk_bytes: int = CHUNK_BYTES, bucket_names: int = BUCKET_NAMES) -> DataFrame:
-    """result(doc_ids, bytes, offsets, covered mask) of every chunk of documents."""
+    """result(doc_ids, bytes, offsets, covered mask) of every chunk of documents.
+
+    ``docs`` should be a table as it is read: a lost chunk is cut again from the
+    same rows in the same order.  Rows that come out of a shuffle may change
+    their order, so write them first.
+    """
     size = text_bytes(docs)
     sampled = size * len(scheme.cover) / scheme.period
     bits = min(MOST_BUCKET_BITS, max(0, math.ceil(math.log2(max(1.0, sampled / bucket_names)))))
