@@ -28,8 +28,8 @@ from loadlens.llm.common import cut, fold, texts
 BITS = 22           # hashed feature space: 2**BITS weights; index 2**BITS is the bias
 FIT_ROWS = 40_000   # bound of the labelled rows that a fit reads
 SHARD_ROWS = 10_000 # rows that one shard learns from, one after the other
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 10.0, 1.0, 6.0, 0.0
+EPOCHS = 8
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 6.0, 0.0
 
 
 def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
