@@ -7,8 +7,8 @@ anchor.  Every window that holds no repeated slice is settled at once.  The
 work is four rounds of one exchange ("ask"):
 
 1. names of the slices at cover places; the repeated ones are the anchors;
-2. names of some windows that hold an anchor, chosen by the name itself, so
-   that equal windows are chosen alike; the repeated ones settle the inside of
+2. names of some windows that hold an anchor, chosen by their own first slice,
+   so that equal windows are chosen alike; the repeated ones settle the inside of
    long repeats;
 3. names of the anchors again, each with the shifts at which a window around it
    still holds a unit that is not covered; every place that has the anchor is
@@ -245,10 +245,10 @@ class Chunk:
         return B.ranges(low, end - low)
 
     def windows(self, places: np.ndarray, chosen: bool, ask: int) -> tuple[np.ndarray, Names]:
-        """Those of the windows that round 2 names (chosen by the name itself), or the others."""
-        first, second = self.units.window_names(places)
-        pick = ((second & U(self.scheme.every - 1)) == 0) == chosen
-        return places[pick], Names(self.width[ask], first[pick], second[pick])
+        """Those of the windows that round 2 names (chosen by their first slice), or the others."""
+        pick = ((self.units.slice_names(places) & U(self.scheme.every - 1)) == 0) == chosen
+        places = places[pick]
+        return places, Names(self.width[ask], *self.units.window_names(places))
 
     def some_windows(self, anchors: np.ndarray) -> tuple[np.ndarray, Names]:
         return self.windows(self.starts(*self.reach(anchors)), True, 2)
