@@ -17,13 +17,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def texts(docs: DataFrame) -> DataFrame:
-    """doc_id and text alone, so that no other column's name can clash.
-
-    Python workers that are not given this package's place by the cluster look
-    for it where the driver has it.
-    """
+def importable(docs: DataFrame) -> None:
+    """Python workers that are not given this package's place by the cluster look for it where the driver has it."""
     docs.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
+def texts(docs: DataFrame) -> DataFrame:
+    """doc_id and text alone, so that no other column's name can clash."""
+    importable(docs)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
 
 
@@ -59,5 +60,5 @@ def keep_rows(docs: DataFrame, judge: Callable[[pa.Array], np.ndarray]) -> DataF
         for batch in source:
             yield batch.filter(pa.array(judge(batch.column(batch.schema.get_field_index("text")))))
 
-    docs.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    importable(docs)
     return docs.mapInArrow(batches, docs.schema)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import texts
+from loadlens.llm.common import importable, texts
 from loadlens.llm.pii_rules import KINDS, NOT_DIGIT, TRIGGER, base_spans
 
 WINDOW, STRIDE, MARGIN = 64, 32, 16
@@ -408,4 +408,5 @@ def masked(docs: DataFrame, tagger: Tagger) -> DataFrame:
                 columns[n] = pa.array([len(b) if a != b else c for a, b, c in zip(old, new, kept)], batch.schema.field(n).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
+    importable(docs)
     return docs.mapInArrow(batches, schema)
