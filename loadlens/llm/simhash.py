@@ -78,6 +78,11 @@ def covering_masks(radius: int, seed: int = 8) -> list[int]:
     return [int(np.packbits(row.astype(np.uint8), bitorder="little").view("<i8")[0]) for row in odd]
 
 
+def distance(a: np.ndarray, b) -> np.ndarray:
+    """Differing bits; counted unsigned, as numpy counts those of a negative number's absolute value."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def forest(marks: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links that connect what the links within radius connect: at most one less than there are marks.
 
@@ -88,7 +93,7 @@ def forest(marks: np.ndarray, radius: int) -> list[tuple[int, int]]:
         front, left = [left[0]], left[1:]
         while front and len(left):
             at = front.pop()
-            near = np.bitwise_count(left ^ at) <= radius
+            near = distance(left, at) <= radius
             if near.any():
                 reached = left[near]
                 links += [(int(at), int(x)) for x in reached]
@@ -132,7 +137,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
             kept = [t[edges[-1] :], key[edges[-1] :], fp[edges[-1] :]]
             size = np.diff(edges)
             two = edges[:-1][size == 2]
-            near = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= radius]
+            near = two[distance(fp[two], fp[two + 1]) <= radius]
             found = list(zip(fp[near].tolist(), fp[near + 1].tolist()))
             for a, n in zip(edges[:-1][size > 2], size[size > 2]):
                 found += bucket_links(fp[a : a + n], radius, again)
