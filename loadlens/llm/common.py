@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -40,6 +41,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished jobs left: their shuffle files go once the driver has collected its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts."""
     return docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]

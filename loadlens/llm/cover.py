@@ -44,12 +44,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from loadlens.llm import textbuf as B
-from loadlens.llm.common import cut, text_bytes, texts
+from loadlens.llm.common import cut, release, text_bytes, texts
 
 CHUNK_BYTES = 4 << 20
 BUCKET_NAMES = 1 << 21
 MOST_BUCKET_BITS = 16
-ZSTD_LEVEL = 1
+ZSTD_LEVEL = 3
 U = np.uint64
 PACKED = "chunk long, blob binary"
 ASK = "bucket int, chunk long, names binary"
@@ -368,4 +368,6 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray,
         asked = (grouped if answers is None else grouped.cogroup(answers.groupBy("chunk"))).applyInArrow(ask(k), ASK)
         told = cut(asked.groupBy("bucket").applyInArrow(answer(k, width[k]), ANSWER))
         answers = told if answers is None else answers.union(told)
+        del asked, told
+        release(docs.sparkSession)
     return grouped.cogroup(answers.groupBy("chunk")).applyInArrow(final, schema)
