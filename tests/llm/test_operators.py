@@ -308,6 +308,30 @@ def test_decontamination_of_edited_copies_in_blocks(spark):
     assert got == {(k, k) for k in range(30)}
 
 
+def made_items(n, size, seed):
+    r = random.Random(seed)
+    vocabulary = ["".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(4000)]
+    return r, vocabulary, [[r.choice(vocabulary) for _ in range(size)] for _ in range(n)]
+
+
+def inside(copy, r, vocabulary):
+    return " ".join([r.choice(vocabulary) for _ in range(40)] + copy + [r.choice(vocabulary) for _ in range(40)])
+
+
+def test_decontamination_of_an_exact_and_an_edited_copy(spark):
+    r, vocabulary, items = made_items(80, 36, 12)
+    rows = []
+    for k, item in enumerate(items):
+        edited = list(item)
+        for place in range(4, 36, 5) if k % 2 else r.sample(range(36), 8):
+            edited[place] = r.choice(vocabulary)
+        rows += [(k, inside(item, r, vocabulary)), (1000 + k, inside(edited, r, vocabulary))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tests = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(docs, tests).collect()}
+    assert got == {(d, k) for k in range(80) for d in (k, 1000 + k)}
+
+
 @pytest.fixture(scope="module")
 def tagger(docs):
     return pii_tagger.train(docs)
