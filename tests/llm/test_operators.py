@@ -332,6 +332,26 @@ def test_decontamination_of_an_exact_and_an_edited_copy(spark):
     assert got == {(d, k) for k in range(80) for d in (k, 1000 + k)}
 
 
+def test_decontamination_of_dense_insertions_and_short_items(spark):
+    r, vocabulary, items = made_items(6, 40, 13)
+    items += [i[:k] for i, k in zip(items, (2, 3, 4, 5, 6, 20))]
+    rows = []
+    for k, item in enumerate(items):
+        every = 1 if len(item) < 6 else 2  # a word is put in after so many
+        edited = [x for j, w in enumerate(item) for x in ([w, r.choice(vocabulary)] if (j + 1) % every == 0 and j + 1 < len(item) else [w])]
+        rows.append((k, inside(edited, r, vocabulary)))
+        moved = item[: len(item) // 2] + [r.choice(vocabulary) for _ in range(int(0.8 * len(item)))] + item[len(item) // 2 :]
+        rows.append((100 + k, inside(moved, r, vocabulary)))
+    token = {d: t.split() for d, t in rows}
+    expected = {(d, k) for d, t in token.items() for k, i in enumerate(items) if smith_waterman(t, i) >= 1.2 * len(i) - 1e-9}
+    assert {(d, k) for k in range(12) for d in (k, 100 + k)} <= expected
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tests = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): x["score"] for x in decontaminate.contaminated(docs, tests).collect()}
+    assert set(got) == expected
+    assert got == pytest.approx({(d, k): smith_waterman(token[d], items[k]) / (2 * len(items[k])) for d, k in expected})
+
+
 @pytest.fixture(scope="module")
 def tagger(docs):
     return pii_tagger.train(docs)
