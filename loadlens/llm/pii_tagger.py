@@ -7,8 +7,10 @@ character takes its tag from the window in which it lies most central, and the
 spans are read from that one sequence over the whole text.
 
 Only stretches around a digit or an @ are read by the tagger: each of its
-kinds needs one.  Spans it finds are added where no base span lies; base
-spans stay as they are.
+kinds needs one.  Around an @ a stretch runs on to the next white space, and a
+tagged address to the end of its letters, as it may be longer than a window.  Spans
+it finds are added where they hold a letter or digit outside the base spans, also
+beside a base span that they contain; base spans stay as they are.
 
 Defined cases: a null or empty text has no spans; very long texts are read
 window by window; repeated rows are tagged alike; without documents the
@@ -18,6 +20,7 @@ tagger learns from the drawn examples alone.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +33,11 @@ from loadlens.llm.common import importable, texts
 from loadlens.llm.pii_rules import KINDS, NOT_DIGIT, TRIGGER, base_spans
 
 WINDOW, STRIDE, MARGIN = 64, 32, 16
+RUN = re.compile(r"\S+")
+#: What may stand before and after the tagged part of an address: as in the base pattern, with the letters of Latin, Greek and Cyrillic.
+_LETTER = "0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u052f"
+BEFORE = re.compile(f"[{_LETTER}._%+-]")
+AFTER = re.compile(f"(?:[{_LETTER}-]|[.](?=[{_LETTER}]))*")
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 EMBED, HIDDEN = 12, 20
 FIT_DOCS = 400     # about so many documents lend their windows to a fit
@@ -66,12 +74,14 @@ def tags_of(length: int, spans: list[tuple[int, int, str]]) -> np.ndarray:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of the text around its digits and @ signs."""
+    """Parts of the text around its digits and @ signs, with the whole run of other than white space that holds an @."""
+    parts = [(max(m.start() - MARGIN, 0), min(m.end() + MARGIN, len(text))) for m in TRIGGER.finditer(text)]
+    if "@" in text:
+        parts = sorted([*parts, *(m.span() for m in RUN.finditer(text) if "@" in m[0])])
     out: list[list[int]] = []
-    for m in TRIGGER.finditer(text):
-        a, b = max(m.start() - MARGIN, 0), min(m.end() + MARGIN, len(text))
+    for a, b in parts:
         if out and a <= out[-1][1]:
-            out[-1][1] = b
+            out[-1][1] = max(out[-1][1], b)
         else:
             out.append([a, b])
     return [(a, b) for a, b in out]
@@ -279,6 +289,17 @@ def plausible(kind: str, value: str) -> bool:
     return 13 <= n <= 19 if kind == "card" else 7 <= n <= 15
 
 
+def whole(text: str, span: tuple[int, int, str]) -> tuple[int, int, str]:
+    """The span; a tagged address with the rest of its local part and host, without a dot after it."""
+    a, b, kind = span
+    if kind != "email" or "@" not in text[a:b]:
+        return span
+    while a and BEFORE.match(text, a - 1):
+        a -= 1
+    b = AFTER.match(text, b).end()
+    return a, a + len(text[a:b].rstrip(".")), kind
+
+
 def tag(tagger: Tagger, texts_: list[str], batch: int = 512) -> list[list[tuple[int, int, str]]]:
     """Spans of each text, from windows decoded together and reconciled over the whole text."""
     where, parts = [], []
@@ -316,17 +337,29 @@ def tag(tagger: Tagger, texts_: list[str], batch: int = 512) -> list[list[tuple[
             last = place
         if open_ is not None:
             spans.append((open_[0], open_[2], KINDS[open_[1]]))
+        spans = dict.fromkeys(whole(text, s) for s in spans)
         out.append([s for s in spans if plausible(s[2], text[s[0] : s[1]])])
     return out
 
 
+def beside(text: str, span: tuple[int, int, str], base: list[tuple[int, int, str]]) -> bool:
+    """Whether the span holds a letter or digit outside the base spans, which ascend."""
+    at, end, _ = span
+    for a, b, _ in base:
+        if a < end and at < b:
+            if any(map(str.isalnum, text[at:a])):
+                return True
+            at = b
+    return any(map(str.isalnum, text[at:end]))
+
+
 def find(tagger: Tagger, texts_: list[str]) -> list[tuple[list, list]]:
-    """(base spans, added spans) of each text; an added span never meets a base span."""
+    """(base spans, added spans) of each text; an added span holds a letter or digit that no base span holds."""
     base = [base_spans(t) if TRIGGER.search(t) else [] for t in texts_]
     some = [k for k, t in enumerate(texts_) if TRIGGER.search(t)]
     added: list[list] = [[] for _ in texts_]
     for k, spans in zip(some, tag(tagger, [texts_[k] for k in some]) if some else ()):
-        added[k] = [s for s in spans if not any(s[0] < b and a < s[1] for a, b, _ in base[k])]
+        added[k] = [s for s in spans if beside(texts_[k], s, base[k])]
     return list(zip(base, added))
 
 

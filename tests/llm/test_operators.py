@@ -419,6 +419,20 @@ def test_pii_long_spans_cross_windows(tagger):
     assert len(pii_tagger.find(tagger, [text])[0][0]) == 2
 
 
+def test_pii_long_addresses_are_tagged_and_masked_whole(spark, tagger):
+    addresses = ["info@bäckerei-schwarzwald.de", "maximilian.großmann@firma.de", "geschäftsleitungssekretariat@firma.de",
+                 "müller.hans@gärtnerei-niederösterreich.example.com", "søren.kierkegård@universitet.dk", "info@straßenverkehrsgenossenschaft.de",
+                 "größte." + "abteilung." * 9 + "leitung@firma.de", "max.muster@" + "hauptabteilung-" * 6 + "süd.example.com"]
+    rows = [(k, f"please write to {a} about it") for k, a in enumerate(addresses)]
+    for (_, text), a, (base, added) in zip(rows, addresses, pii_tagger.find(tagger, [t for _, t in rows])):
+        at = text.index(a)
+        assert base == brute.personal(text) and added == [(at, at + len(a), "email")], a
+    got = pii_tagger.masked(spark.createDataFrame(rows, "doc_id long, text string"), tagger).collect()
+    assert {r["text"] for r in got} == {"please write to [EMAIL] about it"}
+    long = "x" * 20_000 + "@" + "y" * 20_000
+    assert pii_tagger.stretches("one " + long + " two") == [(4, 4 + len(long))]
+
+
 @pytest.mark.parametrize("which", ["docs", "awkward"])
 def test_hilbert_packing(which, request, spark):
     from tokenizers import Tokenizer
