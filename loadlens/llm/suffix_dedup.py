@@ -1,18 +1,14 @@
-"""Suffix-array deduplication, built blockwise over a difference-cover sample.
-
-Every byte position is a suffix.  The suffixes at cover places are ranked
-first; one whose leading bytes are unique settles all suffixes that run into
-it, and those never enter a sort.  Those that are left are cut to ``length``
-bytes and known by two ranks: that of the head (the first ``period`` bytes) and
-that of the tail, which starts inside the head's last cover step.  They are
-dealt into buckets by rank, and one bucket is sorted at a time; a tie that is
-long in the text is one comparison of ranks, so a bucket's memory is a dozen
-bytes a suffix, however long the texts or the ties are.
-
-Ranks are fingerprints: the order inside a bucket is that of the names, not of
-the alphabet, because no task can read another's text.  Neighbours with equal
-ranks are suffixes with an equal prefix of ``length`` bytes, which is all that
-removal needs.  The rounds are described in ``cover``.
+"""Repeated byte strings, found by the anchor search of ``cover`` on bytes.
+
+This takes the place of a suffix array: no suffix is sorted by its text and no
+cover sample gets a rank.  Removal needs only to know which prefixes of
+``length`` bytes are equal, not their order, and no task can read another's
+text.  So slices at cover places are known by a fingerprint; those that occur
+once settle every window that holds them.  The windows that are left are known
+by two fingerprints, mixed of that of the head (the first ``period`` bytes) and
+that of the tail, which starts at the head's last byte.  They are dealt into
+buckets and sorted there by these names, not by the alphabet, so a bucket's
+memory is a dozen bytes a window, however long the texts or the repeats are.
 
 Defined cases: a null text is an empty one; a text shorter than ``length``
 loses nothing; repeated rows are copies of each other; no row is dropped.
@@ -37,7 +33,7 @@ def byte_units(scheme: Scheme):
         ranks = B.Windows(B.BYTE_VALUES[0][data])
 
         def suffixes(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """Both ranks of each suffix, mixed: the bucket and order, and what tells ties apart."""
+            """Both fingerprints of each window, mixed: the bucket and order, and what tells ties apart."""
             front, back = ranks.names(at, at + scheme.period), ranks.names(at + scheme.period - 1, at + scheme.length)
             return B.mix64(front ^ B.mix64(back)), B.mix64(back + B.mix64(~front))
 
