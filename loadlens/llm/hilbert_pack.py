@@ -6,10 +6,11 @@ sort key.  Documents in key order form one stream of tokens, which is cut every
 ``length`` tokens, so neighbours on the curve share sequences and only the
 stream's last sequence is short.
 
-The curve is split into cells; each cell's tokens are counted, cells that hold
-many rows (copies have one key) are split by a hash of the document, and a
-running sum over the small table of cells gives each its place in the stream.
-Then every cell is ordered and cut by itself.
+The curve is split into cells; cells that hold many rows are split by further
+bits of the key, so the stream is in key order at any size.  Only rows of one
+equal key (copies) are dealt by a hash of the document.  A running sum over the
+small table of the cells' tokens gives each its place in the stream.  Then every
+cell is ordered and cut by itself.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are
 packed each; an empty table gives no rows.
@@ -35,7 +36,8 @@ END_ID = 1
 DIMENSIONS = 3
 BITS = 16             # of each coordinate
 CELL_BITS = 12        # leading key bits of a cell
-CELL_ROWS = 4_096     # rows of a part of a cell
+STEP_BITS = 3         # further bits by which a large cell is split, as often as it takes
+CELL_ROWS = 4_096     # rows of a cell, or of a part of one key's rows
 CACHE_WORDS = 700_000  # parts of words kept per Python worker, some 150 MB; when full, it starts anew
 PIECE_BYTES = 4 << 20
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -216,13 +218,36 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     return texts(docs).mapInArrow(batches, "doc_id long, hkey long, n long, ids binary")
 
 
+def in_cells(coded: DataFrame, cell_bits: int, cell_rows: int) -> DataFrame:
+    """The rows with their cell, named by its least key, and the number of parts (over 1 where one key has many rows).
+
+    The rows below each prefix of the keys are counted, in large cells at every
+    level; a row's cell is that of the first level that is not large.  So there
+    are rows / cell_rows large prefixes of a level at most.
+    """
+    width = DIMENSIONS * BITS
+    shifts = [*range(width - cell_bits, 0, -STEP_BITS), 0]
+    by_key = cut(coded.groupBy("hkey").agg(F.count(F.lit(1)).alias("rows")))
+    first = F.shiftright("hkey", shifts[0])
+    outer = by_key.groupBy(first.alias("cell")).agg(F.sum("rows").alias("rows")).where(F.col("rows") > cell_rows).select("cell")
+    levels = [F.shiftright("hkey", k).alias(f"at{k}") for k in shifts]
+    counted = (by_key.join(F.broadcast(outer), first == F.col("cell"), "leftsemi").rollup(*levels).agg(F.sum("rows").alias("rows"))
+               .where((F.col("rows") > cell_rows) & F.col(f"at{shifts[0]}").isNotNull()))
+    finest = F.coalesce(*(F.when(F.col(f"at{k}").isNotNull(), F.struct(F.lit(k).alias("shift"), F.col(f"at{k}").alias("prefix"))) for k in reversed(shifts)))
+    large = cut(counted.select(finest.alias("at"), "rows").select("at.shift", "at.prefix", "rows"))
+    out = coded.withColumns({"shift": F.lit(shifts[0]), "parts": F.lit(1)})
+    for k in sorted((r["shift"] for r in large.select("shift").distinct().collect()), reverse=True):
+        split = large.where(F.col("shift") == k).select("prefix", F.ceil(F.col("rows") / cell_rows).cast("int").alias("many"))
+        out = out.join(F.broadcast(split), F.shiftright("hkey", k) == F.col("prefix"), "left")
+        name, value = ("shift", F.lit(shifts[shifts.index(k) + 1])) if k else ("parts", F.col("many"))
+        out = out.withColumn(name, F.when(F.col("prefix").isNotNull(), value).otherwise(F.col(name))).drop("prefix", "many")
+    return out.withColumn("cell", F.expr("shiftleft(shiftright(hkey, shift), shift)")).drop("shift")
+
+
 def pack(docs: DataFrame, path: str, length: int = LENGTH, cell_bits: int = CELL_BITS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """One row per piece: where in its document it starts, and where it lies in which sequence."""
-    coded = cut(encoded(docs, path).withColumn("cell", F.shiftright("hkey", DIMENSIONS * BITS - cell_bits)))
-    by_cell = coded.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"))  # at most 2**cell_bits rows
-    parts = by_cell.select("cell", F.ceil(F.col("rows") / cell_rows).cast("int").alias("parts"))
-    dealt = (coded.join(F.broadcast(parts), "cell")
-             .withColumn("part", F.pmod(F.xxhash64("doc_id", "n", "hkey"), "parts").cast("int")).drop("parts"))
+    coded = cut(encoded(docs, path))
+    dealt = in_cells(coded, cell_bits, cell_rows).withColumn("part", F.pmod(F.xxhash64("doc_id", "n", "hkey"), "parts").cast("int")).drop("parts")
     counts = dealt.groupBy("cell", "part").agg(F.sum("n").alias("tokens"))
     along = Window.partitionBy().orderBy("cell", "part").rowsBetween(Window.unboundedPreceding, -1)
     places = cut(counts.select("cell", "part", F.coalesce(F.sum("tokens").over(along), F.lit(0)).alias("place"),

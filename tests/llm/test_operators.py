@@ -460,6 +460,14 @@ def test_hilbert_packing(which, request, spark):
                 assert r.ids_crc32 in crcs
 
 
+def test_hilbert_packing_keeps_key_order_in_large_cells(docs, awkward):
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    many = docs.select("doc_id", "text").union(awkward.select("doc_id", "text")).union(awkward.select("doc_id", "text"))
+    for sizes in ({"cell_rows": 3, "cell_bits": 1}, {"cell_rows": 1, "cell_bits": 12}, {"cell_rows": 7, "cell_bits": 2}):
+        out = hilbert_pack.pack(many, path, **sizes).toPandas().sort_values(["sequence_id", "offset"])
+        assert out.hilbert_key.is_monotonic_increasing and (out.start == 0).sum() == many.count()
+
+
 def test_words_encode_as_whole_texts():
     from tokenizers import Tokenizer
 
