@@ -34,11 +34,17 @@ def cut(df: DataFrame) -> DataFrame:
 
     A folder is set here only where the session names none, as in local tests.
     """
-    context = df.sparkSession.sparkContext
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's shared checkpoint folder."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        base = df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+        base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
         context.setCheckpointDir(base)
-    return df.checkpoint(eager=True)
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
 
 
 def release(spark: SparkSession) -> None:

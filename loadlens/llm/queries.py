@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import (anchor_dedup, decontaminate, fertility, ftrl, hash_tree, hilbert_pack, pii_tagger, rff_quality,
-                          simhash, suffix_dedup)
+from loadlens.llm import (anchor_dedup, decontaminate, fertility, filter_audit, ftrl, hash_tree, hilbert_pack, pii_tagger, rff_quality,
+                          simhash, suffix_dedup, vector_codes, warc)
 from loadlens.llm.common import read
 
 
@@ -64,6 +64,20 @@ def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_pack.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), length=2048)
 
 
+def op11_resident_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = vector_codes.compress(read(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.round_trip(read(spark, sf_dir, "pages"), key="page_id", target="url", payload="html", least_bytes=1000)
+    return rows.withColumnRenamed("key", "page_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fertility_rules, op2_suffix_dedup, op3_anchor_dedup, op4_rff_quality, op5_ftrl_toxicity, op6_seed_align_decontamination,
-    op7_pii_tagger, op8_covering_simhash, op9_hash_tree_shards, op10_hilbert_packing)}
+    op7_pii_tagger, op8_covering_simhash, op9_hash_tree_shards, op10_hilbert_packing, op11_resident_lloyd, op12_filter_audit, op13_warc)}

@@ -2,6 +2,8 @@
 
 import collections
 import hashlib
+import itertools
+import math
 import re
 
 import xxhash
@@ -96,3 +98,64 @@ def personal(text):
         if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
             out.append((m.start(), 3, m.end(), "phone"))
     return [(a, b, k) for a, _, b, k in sorted(out)]
+
+
+def lloyd(rows, parts=4, entries=256, rounds=4, scale=1024):
+    """rows of (vec_id, vector, label): [(vec_id, code, error, label_error)], codebooks' sha256, in plain loops of integers."""
+    kept = []
+    for v, x, label in rows:
+        if x is not None and all(c is not None and math.isfinite(c) for c in x):
+            kept.append((v, [math.floor(scale * c) for c in x], label))
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    width = len(kept[0][1]) // parts if kept else 0
+    cut = [[x[p * width:(p + 1) * width] for p in range(parts)] for _, x, _ in kept]
+    books = [[list(c[p]) for c in cut[:entries]] for p in range(parts)]
+
+    def best(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            held = collections.defaultdict(list)
+            for c in cut:
+                held[best(c[p], books[p])[1]].append(c[p])
+            for k, members in held.items():
+                books[p][k] = [sum(x) // len(members) for x in zip(*members)]
+    out, by_label = [], collections.Counter()
+    for (v, _, label), c in zip(kept, cut):
+        found = [best(c[p], books[p]) for p in range(parts)]
+        out.append((v, "".join(f"{k:02x}" for _, k in found), sum(d for d, _ in found), label))
+        by_label[label] += out[-1][2]
+    text = ",".join(str(x) for book in books for e in book for x in e)
+    return [(v, code, e, by_label[label]) for v, code, e, label in out], hashlib.sha256(text.encode()).hexdigest()
+
+
+def filter_steps(docs, labels):
+    """docs of (doc_id, text, lang), labels of (doc_id, quality, toxic): the audit's rows by applying every order."""
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t in labels if t == 1 and d is not None}
+    parts = collections.defaultdict(list)
+    least = {}
+    for d, t, _ in docs:
+        if d is not None:
+            least[t or ""] = min(d, least.get(t or "", d))
+    for d, t, lang in docs:
+        t = t or ""
+        w = WORD.findall(t)
+        fails = {"A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * sum("A" <= c <= "Z" for c in t) > 3 * len(t),
+                 "D": any(c in "#$%&*|" for c in t), "E": d is not None and t in least and least[t] < d}
+        parts[lang or ""].append(({k for k, x in fails.items() if x}, d in good, d in toxic))
+    out = []
+    for part, rows in parts.items():
+        removals = collections.Counter()
+        steps = []
+        for order in itertools.permutations("ABCDE"):
+            left = rows
+            for step, name in enumerate(order, 1):
+                gone = [r for r in left if name in r[0]]
+                left = [r for r in left if name not in r[0]]
+                removals[name] += len(gone)
+                steps.append((part, "".join(order), step, len(left), len(gone), sum(name in r[0] for r in rows) - len(gone),
+                              sum(r[0] == {name} for r in rows), sum(r[1] for r in gone), sum(r[2] for r in gone), name))
+        out += [(*s[:-1], removals[s[-1]]) for s in steps]
+    return out
