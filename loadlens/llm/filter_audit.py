@@ -3,10 +3,11 @@
 Each filter is a condition under which a document fails.  The conditions of a
 text alone are column expressions.  The filter of exact copies is an
 existential self-join: a document fails if some document with the same hash
-and the same text has a smaller doc_id, a left-semi join.  Its right side is
-reduced to the least doc_id of each text first, so a group of copies is one
-row there, and it is written to the shared folder, so that the join reads both
-sides from plain exchanges and Spark can split a hot text's rows on the left.
+and the same text has a smaller doc_id, a left-semi join of the texts whose
+hash occurs more than once.  Its right side is reduced to the least doc_id of
+each text first, so a group of copies is one row there, and it is written to
+the shared folder, so that the join reads both sides from plain exchanges and
+Spark can split a hot text's rows on the left.
 
 The ids so marked are united with those that fail the other filters; per id the
 failure bits are or-ed, and per part only counts of bit combinations remain (at
@@ -46,10 +47,16 @@ def default_filters() -> dict[str, Column | None]:
 
 
 def smaller_copies(rows: DataFrame) -> DataFrame:
-    """The rows (doc_id, h, text, ...) that have an equal text under a smaller doc_id."""
-    least = cut(rows.where(F.col("doc_id").isNotNull()).groupBy(F.col("h").alias("_h"), F.col("text").alias("_text"))
+    """The rows (doc_id, h, text, ...) that have an equal text under a smaller doc_id.
+
+    Hashes are counted first, without texts, so that only texts whose hash
+    occurs again are compared; every text is shuffled once at most.
+    """
+    shared = cut(rows.groupBy(F.col("h").alias("_h")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_h"))
+    again = cut(rows.join(shared, F.col("h") == F.col("_h"), "left_semi"))
+    least = cut(again.where(F.col("doc_id").isNotNull()).groupBy(F.col("h").alias("_h"), F.col("text").alias("_text"))
                 .agg(F.min("doc_id").alias("_least")))
-    return rows.join(least, (F.col("h") == F.col("_h")) & (F.col("text") == F.col("_text")) & (F.col("_least") < F.col("doc_id")), "left_semi")
+    return again.join(least, (F.col("h") == F.col("_h")) & (F.col("text") == F.col("_text")) & (F.col("_least") < F.col("doc_id")), "left_semi")
 
 
 def combinations(docs: DataFrame, labels: DataFrame, filters: Mapping[str, Column | None], part: str) -> DataFrame:
