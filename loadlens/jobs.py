@@ -13,6 +13,7 @@ import argparse
 import datetime as dt
 import sys
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from loadlens.operators import sessions as S
 from loadlens.operators import store as ST
 from loadlens.operators import utilization as U
 from loadlens.operators import weekly as W
+from loadlens.operators.commits import read_committed
 from loadlens.settings import (HISTORY_DAYS, SPECIAL_USER_OFFSETS, Thresholds, literal_table,
                                special_users_df)
 from loadlens.operators.payload import flatten_activity, unnest_estimates
@@ -100,8 +102,9 @@ def months_between(lo_day: int, hi_day: int) -> list[int]:
 def store_daily_history(store: DataFrame, lo_day: int, hi_day: int) -> DataFrame:
     """Stored Daily cnt/dur of label days lo..hi as (user_id, app_type_id, day_no, cnt, dur).
 
-    The month partitions are pruned with a literal filter; cells are already
-    reduced to their newest version by the store's upsert.
+    The month partitions are pruned with a literal filter; ``stored_cells`` has
+    reduced them to their newest version and dealt them by (user, type), so
+    this grouping and the history window need no exchange of their own.
     """
     lo_lbl, hi_lbl = lo_day * 86400 + 54000, hi_day * 86400 + 54000
     c = store.filter(F.col("yyyymm").isin(months_between(lo_day, hi_day))
@@ -244,13 +247,13 @@ def _readings_from_parquet(spark: SparkSession, path: str, lo_day: int | None =
                            hi_day: int | None = None) -> DataFrame:
     """Readings (user_id, app_type_id, t, power), restricted to JST days lo..hi when given.
 
-    ``path`` may hold flat readings, the points that ``ingest`` writes, nested
+    ``path`` may hold flat readings, the points that ``ingest`` writes (committed runs only), nested
     per-day records, or ``ser_id=`` folders of any of them.  A ``partition``
     (yyyymmdd) column of a day-partitioned table is pruned with literal bounds
     (one day of slack on each side, since the folder day may be UTC); the exact
     time range is applied as well.
     """
-    df = spark.read.parquet(path)   # also a ser_id= folder per provider
+    df = read_committed(spark, path)   # also a ser_id= folder per provider
     if lo_day is not None and "partition" in df.columns:
         df = df.filter(F.col("partition").between(_yyyymmdd(lo_day - 1), _yyyymmdd(hi_day + 1)))
     if "data" in df.columns:        # nested per-day records
@@ -299,7 +302,7 @@ def ingest_main(argv) -> None:
     ap.add_argument("--payloads", help="ingest: landed estimate payload JSON files")
     ap.add_argument("--points", help="ingest: output points table (partitioned by batch)")
     ap.add_argument("--records", help="ingest: also write nested est/main JSON records here")
-    ap.add_argument("--batch-id", help="ingest: names the batch; the same name replaces its points (default: run hour)")
+    ap.add_argument("--batch-id", help="ingest: names the run; the same name replaces its points (default: a fresh name)")
     ap.add_argument("--run-hour", type=int, help="ingest: snapshot id yyyymmddHH (default: clock)")
     a = ap.parse_args(argv)
     spark = _session(a.job)
@@ -324,14 +327,29 @@ def ingest_main(argv) -> None:
         if not (a.payloads and a.points):
             ap.error("ingest needs --payloads and --points")
         hour = a.run_hour if a.run_hour is not None else run_hour()
-        ingest_batch(spark, read_estimate_payloads(spark, a.payloads), a.batch_id or str(hour), hour,
-                     a.points, a.watermark, a.records)
+        run = a.batch_id or f"run-{hour}-{uuid.uuid4().hex}"
+        ingest_batch(spark, read_estimate_payloads(spark, a.payloads), run, hour,
+                     a.points, a.watermark, a.records, replace=a.batch_id is not None)
+
+
+def compact_main(argv) -> None:
+    """``compact``: merge the store's runs; may run beside any job."""
+    ap = argparse.ArgumentParser(prog="loadlens.jobs")
+    ap.add_argument("job", choices=["compact"])
+    ap.add_argument("--store", required=True, help="cell table")
+    ap.add_argument("--month", type=int, action="append", help="yyyymm to compact; repeatable (default: all)")
+    ap.add_argument("--grace", type=float, default=3600.0, help="seconds that replaced files stay for readers that began before")
+    a = ap.parse_args(argv)
+    days = ST.compact_store(_session(a.job), a.store, a.month, a.grace)
+    print(f"{days} label days merged")
 
 
 def main(argv=None) -> None:
     argv = list(sys.argv[1:] if argv is None else argv)
     if argv and argv[0] in ("windows", "ingest"):
         return ingest_main(argv)
+    if argv and argv[0] == "compact":
+        return compact_main(argv)
     ap = argparse.ArgumentParser(prog="loadlens.jobs")
     ap.add_argument("job", choices=["daily", "weekly", "util-long", "util-short", "util-weekday",
                                     "profile", "latenight", "activity"])
@@ -425,7 +443,7 @@ def main(argv=None) -> None:
     if as_of is not None:
         d = dt.date(1970, 1, 1) + dt.timedelta(days=as_of)   # the label's UTC date is the data day
         months = [d.year * 100 + d.month]
-    ST.upsert_table(spark, a.store, cells, months)
+    ST.append_cells(spark, a.store, cells, months)   # other jobs may write the same day at once
 
 
 if __name__ == "__main__":

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadlens.operators.commits import committed
+
 
 def write_partitioned_json(df: DataFrame, path: str, partition_cols=("ser_id", "partition")) -> None:
     """JSON lines under ``ser_id=/partition=`` folders.
@@ -57,7 +59,9 @@ def load_with_schema(spark: SparkSession, path: str, schema: T.StructType,
     full = T.StructType(list(schema.fields))
     for name, dtype in (partition_cols or {}).items():
         full = full.add(name, dtype, True)
-    return with_required(spark.read.schema(full).option("mode", "FAILFAST").json(path), schema)
+    rows = spark.read.schema(full).option("mode", "FAILFAST").json(path)
+    # records of ingest runs count once their run is committed
+    return with_required(committed(rows, path) if "batch" in full.fieldNames() else rows, schema)
 
 
 def load_into_table(df: DataFrame, path: str, partition_col: str = "partition") -> None:

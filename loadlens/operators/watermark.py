@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadlens.operators.commits import Commit, IngestLog, newest_folder
+from loadlens.sources.files import Folder
 from loadlens.sources.tables import read_if_exists
 
 
@@ -48,10 +52,38 @@ def newest_partition(history: DataFrame, col: str = "et_hr") -> int | None:
     return history.agg(F.max(col)).first()[0]
 
 
-def read_latest_snapshot(spark, path: str) -> tuple[DataFrame, int] | None:
-    """The newest et_hr snapshot, reading only its folder, and its id; None when ``path`` does not exist."""
-    t = read_if_exists(spark, path)
-    newest = None if t is None else newest_partition(t)
+def plain_newest(spark: SparkSession, path: str) -> int | None:
+    """The newest et_hr of a snapshot table, by its folder names; None when ``path`` does not exist or is empty."""
+    newest = newest_folder(Folder(spark, path), "et_hr")
     if newest is None:
+        t = read_if_exists(spark, path)    # anything but a snapshot table fails here
+        newest = None if t is None else newest_partition(t)
+    return newest
+
+
+def read_latest_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, int] | None:
+    """The newest snapshot and its et_hr; None when there is none.
+
+    With commit markers it is the one that the newest marker names, otherwise
+    the greatest et_hr folder.  Only that folder is listed and read.
+    """
+    last = IngestLog(spark, path).newest()
+    if last is None:
+        newest = plain_newest(spark, path)
+        last = None if newest is None else Commit(0, None, None, [], f"et_hr={newest}", newest)
+    t = None if last is None else read_snapshot(spark, path, last)
+    return None if t is None else (t, last.et_hr)
+
+
+def read_snapshot(spark: SparkSession, path: str, commit: Commit) -> DataFrame | None:
+    """The snapshot that a commit names; None when it names none."""
+    if commit.snapshot is None:
         return None
-    return t.filter(F.col("et_hr") == newest).select("user_id", "commited_at").distinct(), newest
+    return spark.read.parquet(f"{path.rstrip('/')}/{commit.snapshot}").select("user_id", "commited_at").distinct()
+
+
+def stage_snapshot(df: DataFrame, path: str, et_hr: int) -> str:
+    """Write a snapshot into a folder of its own below its et_hr; returns the folder, for a commit marker to name."""
+    folder = f"et_hr={et_hr}/snap={uuid.uuid4().hex}"
+    df.select("user_id", "commited_at").hint("rebalance").write.parquet(f"{path.rstrip('/')}/{folder}")
+    return folder

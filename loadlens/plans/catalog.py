@@ -30,6 +30,7 @@ from loadlens.operators import utilization as U
 from loadlens.operators import watermark as WM
 from loadlens.operators import weekly as W
 from loadlens import jobs as J
+from loadlens.operators.commits import read_committed
 from loadlens.plans import fixtures as X
 from loadlens.plans import payload_input as PI
 from loadlens.session import fresh_path
@@ -39,6 +40,7 @@ from loadlens.sources.readings import read_provider_tables, readings_from_events
 from loadlens.sources.registry import registry_from_customer
 from loadlens.sources.schemas import NESTED_ESTIMATE, NESTED_MAIN
 from loadlens.sources.tables import load_table
+from loadlens.streaming.jobs import ingest_batch
 
 
 def _day_str(col="day_no"):
@@ -605,6 +607,16 @@ def q_store_month_shard(spark, sf):
     return _cell_out(t, F.col("yyyymm").cast("long").alias("yyyymm"))
 
 
+def q_store_many_writers(spark, sf):
+    """Runs appended side by side, a compaction between them, and the newest cell of all runs."""
+    path = fresh_path(spark, "cells")
+    ST.append_cells(spark, path, event_cells(spark, sf, 1))
+    ST.append_cells(spark, path, event_cells(spark, sf, 0))
+    ST.compact_store(spark, path, grace=0)
+    ST.append_cells(spark, path, event_cells(spark, sf, 0))     # older cells that land again change nothing
+    return _cell_out(ST.stored_cells(spark, path), F.col("yyyymm").cast("long").alias("yyyymm"))
+
+
 def q_row_key(spark, sf):
     return ST.with_row_key(def_daily(spark, sf)).select("user_id", "ymd", "row_key")
 
@@ -646,6 +658,7 @@ QUERIES.update({
     "store_upsert": q_store_upsert,
     "store_latest_cell": q_store_latest_cell,
     "store_month_shard": q_store_month_shard,
+    "store_many_writers": q_store_many_writers,
     "row_key": q_row_key,
     "time_labels": q_time_labels,
     "sink_partition_counts": q_sink_partition_counts,
@@ -678,9 +691,23 @@ def q_watermark_snapshots(spark, sf):
     return WM.read_latest_snapshot(spark, path)[0]
 
 
+def q_ingest_commits(spark, sf):
+    """Two ingest runs of one hour, and one that stopped before its commit: points and watermark of each user."""
+    points, marks = fresh_path(spark, "points"), fresh_path(spark, "marks")
+    payloads = committed_payloads(spark, sf)
+    for half in (0, 1):
+        ingest_batch(spark, payloads.filter(F.pmod(F.col("customer").cast("long"), F.lit(2)) == half), f"run-{half}", 2024013000, points, marks)
+    # what a run leaves that stops after its points: a batch that no marker names
+    stopped = PL.with_partition(PL.flatten_estimates(payloads).drop("commited_at")).withColumn("batch", F.lit("run-2~stopped"))
+    stopped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(points)
+    n = read_committed(spark, points).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_points"))
+    return n.join(WM.read_latest_snapshot(spark, marks)[0], "user_id", "full").select("user_id", "n_points", "commited_at")
+
+
 QUERIES.update({
     "readings_range_nested": q_readings_range_nested,
     "watermark_snapshots": q_watermark_snapshots,
+    "ingest_commits": q_ingest_commits,
 })
 
 

@@ -478,6 +478,10 @@ ORACLE.update({
 SELECT user_id, app_id AS app_type_id, app_id * 100 + 7 AS app_id, t, round(power, 6) AS power FROM pts
 WHERE t >= epoch(TIMESTAMP '2024-01-08 00:00:00') AND t < epoch(TIMESTAMP '2024-01-15 00:00:00')""",
     "watermark_snapshots": ORACLE["watermark_merge"],
+    "ingest_commits": "WITH " + _dense(86340) + f"""
+SELECT user_id, count(*) AS n_points, CAST({PC} AS BIGINT) AS commited_at FROM dense
+WHERE t > {PS} AND t <= {PC} AND (power > 0 OR power IS NULL) GROUP BY user_id""",
+    "store_many_writers": ORACLE["store_month_shard"],
 })
 
 

@@ -2,9 +2,10 @@
 
 * ``ingest_stream`` (X1): landed payload JSON files -> finalised points,
   appended per micro-batch, and the per-user watermark merged into a new
-  snapshot partition.  Each batch writes under its run's identity and number
-  with dynamic partition overwrite, so a replayed batch rewrites instead of
-  duplicating, and a new run overwrites nothing.
+  snapshot.  Both become visible by one commit marker per batch, which carries
+  the query's identity and the batch's number: a replayed batch that was
+  committed writes nothing, one that was not is written anew, and a new run
+  overwrites nothing.
 * ``last_activity_stream`` (X2): readings -> latest eligible time per
   (user, type) in 600 s tumbling event-time windows.
 * ``sessions_stream`` (X3): readings -> daily sessions via ``session_window``
@@ -21,25 +22,34 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loadlens.functions.time import day_no
 from loadlens.functions.keys import provider_id
+from loadlens.operators.commits import IngestLog, batch_name
 from loadlens.operators.payload import flatten_estimates, payload_records, with_partition
-from loadlens.operators.watermark import merge_watermarks, read_latest_snapshot, write_snapshot
+from loadlens.operators.watermark import merge_watermarks, plain_newest, read_snapshot, stage_snapshot
 from loadlens.session import shared_dir
 from loadlens.sources.schemas import ESTIMATE_PAYLOAD
 
 
-def ingest_batch(spark: SparkSession, df: DataFrame, batch: str, run_hr: int, points_dir: str,
-                 watermark_dir: str, records_dir: str | None = None) -> None:
-    """One batch of the ingest; running it again for the same batch gives the same points.
+def ingest_batch(spark: SparkSession, df: DataFrame, run: str, run_hr: int, points_dir: str,
+                 watermark_dir: str, records_dir: str | None = None, replace: bool = False) -> bool:
+    """One ingest run; its points, records and watermark become visible together, or not at all.
 
-    ``batch`` names the batch for good (a run's identity and number, never a
-    number that starts anew), so one run can not overwrite another's points.
-    ``run_hr`` (yyyymmddHH) is the watermark snapshot's id; a snapshot never
-    gets an id below the newest one, and holds each user's greatest watermark.
-    Only users with finalised points advance.  ``records_dir`` additionally
-    writes the nested per-(user, day) JSON records, ``est`` and ``main`` text
-    datasets under ``batch=/ser_id=/partition=``.
+    ``run`` names the run for good (an identity and a number, never a number
+    that starts anew).  A run that is committed already is left as it is
+    (False), unless ``replace`` asks for its batch to be written anew; no run
+    touches another's batch, whatever the hour.  ``run_hr`` (yyyymmddHH) is the
+    watermark snapshot's id; a snapshot never gets an id below the newest one,
+    and holds each user's greatest watermark.  Only users with finalised points
+    advance.  ``records_dir`` additionally writes the nested per-(user, day)
+    JSON records, ``est`` and ``main`` text datasets under
+    ``batch=/ser_id=/partition=``.
     """
     shared_dir(spark)
+    log = IngestLog(spark, watermark_dir)
+    outputs = [points_dir, *([f"{records_dir.rstrip('/')}/{k}" for k in ("est", "main")] if records_dir else [])]
+    log.start(outputs, None if log.begun() else plain_newest(spark, watermark_dir))
+    if not replace and log.committed(run):
+        return False
+    batch = batch_name(run)
     df = df.persist()   # feeds several writes; parse the batch once
     try:
         est = flatten_estimates(df)
@@ -49,17 +59,20 @@ def ingest_batch(spark: SparkSession, df: DataFrame, batch: str, run_hr: int, po
         if records_dir is not None:
             rec = payload_records(df)
             rec = rec.withColumn("ser_id", provider_id("user_id")).withColumn("batch", F.lit(batch))
-            for kind in ("est", "main"):
+            for kind, out in zip(("est", "main"), outputs[1:]):
                 (rec.filter(F.col(f"{kind}_json").isNotNull())
                  .select(f"{kind}_json", "batch", "ser_id", "partition")
                  .hint("rebalance", "ser_id", "partition")
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch", "ser_id", "partition").text(f"{records_dir.rstrip('/')}/{kind}"))
-        new = est.select("user_id", "commited_at")
-        stored = read_latest_snapshot(spark, watermark_dir)
-        old, newest = stored if stored else (new.limit(0), run_hr)
-        snap = merge_watermarks(new, old).checkpoint(eager=True)
-        write_snapshot(snap, watermark_dir, max(run_hr, newest))
+                 .partitionBy("batch", "ser_id", "partition").text(out))
+        new = est.groupBy("user_id").agg(F.max("commited_at").alias("commited_at")).checkpoint(eager=True)
+        while True:
+            last = log.newest()     # read before the snapshot, so a run that ends meanwhile takes the next number
+            stored = read_snapshot(spark, watermark_dir, last)
+            et_hr = max(run_hr, last.et_hr or run_hr)
+            snapshot = stage_snapshot(new if stored is None else merge_watermarks(new, stored), watermark_dir, et_hr)
+            if log.commit(run, batch, outputs, snapshot, et_hr, after=last.number):
+                return True
     finally:
         df.unpersist()
 
