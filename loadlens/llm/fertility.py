@@ -6,12 +6,15 @@ distribution of too little or too much entropy for the text's length.  Each
 script has its own rejection bands.
 
 Defined cases: a null or empty text has no words, all counts 0 and fails the
-base rule; repeated rows are judged alike; no row is dropped.
+base rule; repeated rows are judged alike; no row is dropped; a text may be of
+any length and hold white space or a word of any length; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +51,9 @@ SCRIPTS = (
 )
 SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 CACHE_WORDS = 1_000_000  # words kept per Python worker; when full, it starts anew
+CACHE_CHARS = 64  # longer words are not kept, so the cache's bytes are bounded too
+#: White space of the vocabulary's pattern.  Its look-ahead recurses along a run, which a very long one does not survive.
+LONG_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 REPEAT_WORDS = 8
 
 SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -132,14 +138,34 @@ class Vocabularies:
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known.clear()
             new = list({w for ws in split for w in ws})
+        long = []
         for word, ids in zip(new, self.pieces.encode(new, num_threads=1) if new else ()):
             self.known[word] = (len(ids) << 32) + int(self.is_byte[ids].sum() if not word.isascii() else 0)
+            if len(word) > CACHE_CHARS:
+                long.append(word)
         sums = [sum(map(self.known.__getitem__, ws)) for ws in split]
+        for word in long:
+            del self.known[word]
         return [(s & 0xFFFFFFFF) / (s >> 32) if s >> 32 else 0.0 for s in sums]
 
+    def ids(self, text: str) -> list[int]:
+        """Byte-level ids of the whole text.
+
+        Of a run of white space the pattern makes one piece, without its last
+        character where text follows; very long runs are cut out at these
+        places and merged as the one piece they are.
+        """
+        out, at = [], 0
+        for run in LONG_WHITE.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out += self.bytes_bpe.encode_ordinary(text[at:run.start()])
+            out += self.bytes_bpe._encode_single_piece(text[run.start():end].encode())
+            at = end
+        return out + self.bytes_bpe.encode_ordinary(text[at:]) if at else self.bytes_bpe.encode_ordinary(text)
+
     def entropy(self, text: str) -> tuple[int, float]:
         """Tokens of the byte-level vocabulary; their entropy over the most that many tokens could have."""
-        ids = np.array(self.bytes_bpe.encode_ordinary(text), np.int64)
+        ids = np.array(self.ids(text), np.int64)
         if len(ids) < 2:
             return len(ids), 1.0
         counts = np.bincount(ids)
