@@ -332,6 +332,45 @@ def ingest_main(argv) -> None:
                      a.points, a.watermark, a.records, replace=a.batch_id is not None)
 
 
+#: What streamed readings look like in their landing folder.
+READING_SCHEMA = "user_id string, app_type_id string, t long, power double"
+
+
+def stream_main(argv) -> None:
+    """``stream-ingest``, ``stream-activity``, ``stream-sessions``: the streaming jobs, until stopped or over what has landed."""
+    from loadlens.streaming import jobs as SJ
+
+    ap = argparse.ArgumentParser(prog="loadlens.jobs")
+    ap.add_argument("job", choices=["stream-ingest", "stream-activity", "stream-sessions"])
+    ap.add_argument("--checkpoint", required=True, help="the query's own folder")
+    ap.add_argument("--available-now", action="store_true", help="process what has landed, then stop")
+    ap.add_argument("--payloads", help="stream-ingest: folder where payload JSON lands")
+    ap.add_argument("--points", help="stream-ingest: output points table")
+    ap.add_argument("--watermark", help="stream-ingest: watermark snapshot table")
+    ap.add_argument("--records", help="stream-ingest: also write nested est/main JSON records here")
+    ap.add_argument("--readings", help="stream-activity, stream-sessions: folder where parquet readings land (%s)" % READING_SCHEMA)
+    ap.add_argument("--store", help="stream-activity: cell table")
+    ap.add_argument("--out", help="stream-sessions: output parquet table")
+    ap.add_argument("--delay", help="how long late readings are waited for (default: 4 hours, sessions 1 day)")
+    ap.add_argument("--max-files", type=int, help="files of a folder that a trigger takes on (default: all)")
+    a = ap.parse_args(argv)
+    needed = {"stream-ingest": ("payloads", "points", "watermark"), "stream-activity": ("readings", "store"), "stream-sessions": ("readings", "out")}[a.job]
+    if any(getattr(a, n) is None for n in needed):
+        ap.error(f"{a.job} needs " + ", ".join(f"--{n}" for n in needed))
+    spark = _session(a.job)
+    if a.job == "stream-ingest":
+        query = SJ.ingest_stream(spark, a.payloads, a.points, a.watermark, a.checkpoint, a.available_now, a.records)
+    else:
+        source = spark.readStream.schema(READING_SCHEMA)
+        readings = (source.option("maxFilesPerTrigger", a.max_files) if a.max_files else source).parquet(a.readings)
+        th = Thresholds().to_df(spark)
+        if a.job == "stream-activity":
+            query = SJ.activity_store_stream(readings, th, a.store, a.checkpoint, a.available_now, delay=a.delay or "4 hours")
+        else:
+            query = SJ.sessions_store_stream(readings, th, a.out, a.checkpoint, a.available_now, delay=a.delay or "1 day")
+    query.awaitTermination()
+
+
 def compact_main(argv) -> None:
     """``compact``: merge the store's runs; may run beside any job."""
     ap = argparse.ArgumentParser(prog="loadlens.jobs")
@@ -348,6 +387,8 @@ def main(argv=None) -> None:
     argv = list(sys.argv[1:] if argv is None else argv)
     if argv and argv[0] in ("windows", "ingest"):
         return ingest_main(argv)
+    if argv and argv[0].startswith("stream-"):
+        return stream_main(argv)
     if argv and argv[0] == "compact":
         return compact_main(argv)
     ap = argparse.ArgumentParser(prog="loadlens.jobs")

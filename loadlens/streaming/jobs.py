@@ -6,25 +6,29 @@
   the query's identity and the batch's number: a replayed batch that was
   committed writes nothing, one that was not is written anew, and a new run
   overwrites nothing.
-* ``last_activity_stream`` (X2): readings -> latest eligible time per
-  (user, type) in 600 s tumbling event-time windows.
-* ``sessions_stream`` (X3): readings -> daily sessions via ``session_window``
-  with the per-type gap; state is bounded by the event-time watermark.
+* ``last_activity_carry_stream`` (X2): readings -> each day's last activity
+  with the previous day's carried over, by keyed state with timers, in update
+  mode; ``last_activity_stream`` gives closed 600 s windows instead.
+* ``sessions_stream`` (X3): readings -> daily sessions in two chained steps, a
+  windowed aggregate per second and ``session_window`` with the per-type gap;
+  state is bounded by the event-time watermark.
 """
 
 from __future__ import annotations
 
 import time
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from loadlens.functions.time import day_no
+from loadlens.functions.time import day_no, day_to_label
 from loadlens.functions.keys import provider_id
 from loadlens.operators.commits import IngestLog, batch_name
 from loadlens.operators.payload import flatten_estimates, payload_records, with_partition
 from loadlens.operators.watermark import merge_watermarks, plain_newest, read_snapshot, stage_snapshot
+from loadlens.operators.store import append_cells
 from loadlens.session import shared_dir
 from loadlens.sources.schemas import ESTIMATE_PAYLOAD
 
@@ -118,15 +122,118 @@ def last_activity_stream(readings: DataFrame, thresholds: DataFrame,
 def sessions_stream(readings: DataFrame, thresholds: DataFrame, delay: str = "1 day") -> DataFrame:
     """Streaming N1+N2: sessions per (user, type, day); emitted once closed by the watermark.
 
-    State holds only open sessions (bounded by the watermark delay).  Like the
-    batch ``sessions_native``, one key's readings of a micro-batch are merged in
-    one task; the batch ``sessions`` path is the one for backfills of skewed data.
+    Two chained stateful steps.  Eligible readings are first reduced to one row
+    per key and second, a windowed aggregate that is combined map-side, so a
+    hot key's raw rows never meet; only these rows (86,400 a key and day at
+    most) reach the session window.  Its event time is the second's, which
+    shifts all rows alike and so changes no gap.
     """
     r = (_with_event_time(readings).join(thresholds, "app_type_id")
          .filter(F.col("power") > F.col("min_power"))
          .withColumn("day_no", day_no("t")).withWatermark("ts", delay))
+    keys = ["user_id", "app_type_id", "day_no"]
+    seconds = (r.groupBy(*keys, "max_gap", "min_duration", F.window("ts", "1 second").alias("second"))
+               .agg(F.min("t").alias("t")).withColumn("at", F.window_time("second")))
     gap = F.concat(F.col("max_gap").cast("string"), F.lit(" seconds"))
-    s = (r.groupBy("user_id", "app_type_id", "day_no", F.session_window("ts", gap).alias("sw"))
-         .agg(F.min("t").alias("st"), F.max("t").alias("et"), F.max("min_duration").alias("min_duration")))
-    return s.filter((F.col("et") - F.col("st")) > F.col("min_duration")).select(
-        "user_id", "app_type_id", "day_no", "st", "et")
+    s = (seconds.groupBy(*keys, "min_duration", F.session_window("at", gap).alias("sw"))
+         .agg(F.min("t").alias("st"), F.max("t").alias("et")))
+    return s.filter((F.col("et") - F.col("st")) > F.col("min_duration")).select(*keys, "st", "et")
+
+
+class CarryProcessor(StatefulProcessor):
+    """Per (user, type): each recent day's own latest eligible time, and its value with the previous day's carried over.
+
+    A day stays until the watermark is past the day after it, when no row can
+    change it or be filled from it any more; a timer then drops it.
+    """
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        # own: -1 while the day has readings but none eligible
+        self.days = handle.getMapState("days", "day_no long", "own long, la long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        fresh: dict[int, int] = {}
+        for part in rows:       # Arrow chunks of the key's rows
+            for d, own in part.groupby("day_no")["own"].max().items():
+                fresh[int(d)] = max(int(own), fresh.get(int(d), -1))
+        state = {int(k[0]): (int(v[0]), int(v[1])) for k, v in self.days.iterator()}
+        changed = []
+        for d in sorted(fresh):
+            own = max(fresh[d], state[d][0] if d in state else -1)
+            if d not in state:
+                self.handle.registerTimer((d + 2) * 86_400_000 - 32_400_000)   # the end of the day after
+            # the day, and the days after it in a row, which may be filled from it
+            while True:
+                la = own if own >= 0 else state.get(d - 1, (-1, 0))[1]
+                old = state.get(d)
+                if old == (own, la):
+                    break
+                state[d] = (own, la)
+                self.days.updateValue((d,), state[d])
+                if old is None or old[1] != la:
+                    changed.append(d)
+                d += 1
+                if d not in state:
+                    break
+                own = state[d][0]
+        if changed:
+            changed = sorted(set(changed))
+            yield pd.DataFrame({"user_id": [key[0]] * len(changed), "app_type_id": [key[1]] * len(changed), "day_no": changed,
+                                "la": [state[d][1] for d in changed]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        last = (expiredTimerInfo.getExpiryTimeInMs() + 32_400_000) // 86_400_000 - 2
+        for d in [int(k[0]) for k in self.days.keys()]:
+            if d <= last:
+                self.days.removeKey((d,))
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def last_activity_carry_stream(readings: DataFrame, thresholds: DataFrame, delay: str = "4 hours") -> DataFrame:
+    """Streaming A2: (user, type, day, la), the day's latest eligible time, else the previous day's value, else 0.
+
+    For update mode: every trigger gives the days whose value it changed, so a
+    slot's value is out within the slot, and a late row corrects its day and
+    the days filled from it.  Days without a reading give nothing, as in
+    ``last_activity_carry``.  Needs the RocksDB state store (``use_keyed_state``).
+    """
+    r = _with_event_time(readings).join(thresholds, "app_type_id").withWatermark("ts", delay)
+    own = F.when(F.col("power") > F.col("min_power"), F.col("t")).otherwise(F.lit(-1)).cast("long")
+    few = r.select("user_id", "app_type_id", day_no("t").alias("day_no"), own.alias("own"), "ts")
+    types = {f.name: f.dataType.simpleString() for f in few.schema.fields}
+    out = f"user_id {types['user_id']}, app_type_id {types['app_type_id']}, day_no long, la long"
+    return few.groupBy("user_id", "app_type_id").transformWithStateInPandas(CarryProcessor(), out, "Update", "EventTime")
+
+
+def use_keyed_state(spark: SparkSession) -> None:
+    """Keyed state with timers needs the RocksDB state store."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def activity_store_stream(readings: DataFrame, thresholds: DataFrame, store: str, checkpoint: str, available_now: bool = False,
+                          slot_seconds: int = 600, delay: str = "4 hours") -> StreamingQuery:
+    """Write the changed ``la`` cells of every slot to the store; a replayed batch writes the same values again."""
+    from loadlens.jobs import FAMILY_DAILY, to_cells
+
+    spark = readings.sparkSession
+    use_keyed_state(spark)
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        cells = to_cells(df.withColumn("ymd", day_to_label("day_no")), FAMILY_DAILY, {"la": "la"}, int(time.time() * 1000))
+        append_cells(spark, store, cells)
+
+    w = (last_activity_carry_stream(readings, thresholds, delay).writeStream.foreachBatch(batch).outputMode("update")
+         .option("checkpointLocation", checkpoint))
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{slot_seconds} seconds")).start()
+
+
+def sessions_store_stream(readings: DataFrame, thresholds: DataFrame, out: str, checkpoint: str, available_now: bool = False,
+                          delay: str = "1 day") -> StreamingQuery:
+    """Append closed sessions to a parquet table (exactly once, by the file sink's log)."""
+    w = (sessions_stream(readings, thresholds, delay).writeStream.format("parquet").option("path", out).outputMode("append")
+         .option("checkpointLocation", checkpoint))
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="600 seconds")).start()
