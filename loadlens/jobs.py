@@ -34,6 +34,7 @@ from loadlens.operators.commits import read_committed
 from loadlens.settings import (HISTORY_DAYS, SPECIAL_USER_OFFSETS, Thresholds, literal_table,
                                special_users_df)
 from loadlens.operators.payload import flatten_activity, unnest_estimates
+from loadlens.sources.files import Folder
 from loadlens.sources.payloads import read_activity_payloads
 from loadlens.sources.readings import readings_of_days
 from loadlens.sources.registry import read_registry_jdbc
@@ -156,6 +157,43 @@ def daily_job_incremental(readings: DataFrame, thresholds: DataFrame, history: D
     return _only(out, as_of_day).select(*KEYS, "day_no", "ymd", *DAILY_COLS.values(), "tags")
 
 
+def read_moments(spark: SparkSession, path: str, before: int) -> tuple[DataFrame, int] | None:
+    """The newest stored moments of a label up to ``before``, and that label; found by folder names."""
+    days = [int(v) for v in Folder(spark, path).partition_values("day_no") if int(v) <= before]
+    if not days:
+        return None
+    return spark.read.parquet(f"{path.rstrip('/')}/day_no={max(days)}"), max(days)
+
+
+def daily_job_from_moments(spark: SparkSession, readings: DataFrame, thresholds: DataFrame, store: DataFrame, moments_path: str,
+                           as_of_day: int, pair: bool = True) -> DataFrame:
+    """The daily job for one label from running moments instead of 56 days of history.
+
+    The moments before the label are rolled on from the newest stored ones by
+    the stored Daily rows of the days that entered and left since, and written
+    for the next run; without any they are summed up from 56 days once.
+    """
+    newest = read_moments(spark, moments_path, as_of_day)
+    if newest is not None and newest[1] < as_of_day - HISTORY_DAYS:
+        newest = None                       # nothing of that frame is left
+    if newest is None:
+        moments = D.moments_of(store_daily_history(store, as_of_day - HISTORY_DAYS, as_of_day - 1), as_of_day)
+    else:
+        state, day = newest
+        moments = state if day == as_of_day else D.roll_moments(
+            state, store_daily_history(store, day, as_of_day - 1),
+            store_daily_history(store, day - HISTORY_DAYS, as_of_day - 1 - HISTORY_DAYS), as_of_day)
+    if newest is None or newest[1] != as_of_day:
+        path = f"{moments_path.rstrip('/')}/day_no={as_of_day}"
+        moments.hint("rebalance").write.mode("overwrite").parquet(path)
+        moments = spark.read.parquet(path)
+    today = D.daily_metrics(S.sessions(prepared_readings(readings, pair, (as_of_day, as_of_day)), thresholds), with_tags=True)
+    gap = F.col("day_no") - F.col("last_active")
+    out = D.daily_from_moments(today.withColumn("user_id", F.col("user_id").cast("string")), moments).withColumn(
+        "i_day", F.when(F.col("last_active").isNull() | (gap > 28), F.lit(-1)).otherwise(gap).cast("long"))
+    return _only(out, as_of_day).select(*KEYS, "day_no", "ymd", *DAILY_COLS.values(), "tags")
+
+
 def weekly_job(daily: DataFrame, as_of_day: int | None = None, last_day: int | None = None) -> DataFrame:
     """One label (``as_of_day``), or all labels up to the newest data day ``last_day``."""
     last = as_of_day if as_of_day is not None else last_day
@@ -404,6 +442,7 @@ def main(argv=None) -> None:
     ap.add_argument("--version", type=int, help="cell version (default: run time in ms)")
     ap.add_argument("--recompute-history", action="store_true",
                     help="daily/weekly/util: rebuild the history from readings instead of the store")
+    ap.add_argument("--moments", help="daily with --run-date: folder of running baseline moments, so a run reads no 56 days of history")
     ap.add_argument("--special-user", action="append", default=[],
                     help="late-night special user id (offsets %s); repeatable" % (SPECIAL_USER_OFFSETS,))
     a = ap.parse_args(argv)
@@ -422,7 +461,10 @@ def main(argv=None) -> None:
     th = Thresholds().to_df(spark)
     # the stored history is used when there is a store; only a missing path means there is none
     store = None if as_of is None or a.recompute_history else ST.stored_cells(spark, a.store)
-    if a.job == "daily" and store is not None:
+    if a.job == "daily" and store is not None and a.moments:
+        d = daily_job_from_moments(spark, _readings_from_parquet(spark, a.readings, as_of, as_of), th, store, a.moments, as_of)
+        cells = to_cells(d, FAMILY_DAILY, DAILY_COLS, version).unionByName(tag_cells(d, "Otag", version))
+    elif a.job == "daily" and store is not None:
         r1 = _readings_from_parquet(spark, a.readings, as_of, as_of)
         hist = store_daily_history(store, as_of - HISTORY_DAYS, as_of - 1)
         d = daily_job_incremental(r1, th, hist, as_of)

@@ -93,3 +93,44 @@ def interval_days(active_days: DataFrame, keys=("user_id",), days: int = HISTORY
     return active_days.select(
         *keys, "day_no",
         F.when(last.isNull() | (gap > max_days), F.lit(-1)).otherwise(gap).cast("long").alias("i_day"))
+
+
+MOMENTS = ["n_hist", "s_cnt", "q_cnt", "s_dur", "q_dur"]
+
+
+def _as_moments(daily: DataFrame, keys, sign: int) -> DataFrame:
+    one = [F.lit(1), F.col("cnt"), F.col("cnt") * F.col("cnt"), F.col("dur"), F.col("dur") * F.col("dur")]
+    last = F.col("day_no") if sign > 0 else F.lit(None)
+    return daily.select(*keys, *[(sign * c).cast("long").alias(m) for m, c in zip(MOMENTS, one)], last.cast("long").alias("last_active"))
+
+
+def moments_of(daily: DataFrame, day: int, keys=("user_id", "app_type_id"), days: int = HISTORY_DAYS) -> DataFrame:
+    """Count, sums and sums of squares per key over labels day-days .. day-1, from all their rows: a first state."""
+    return roll_moments(None, daily.filter((F.col("day_no") >= day - days) & (F.col("day_no") < day)), None, day, keys, days)
+
+
+def roll_moments(state: DataFrame | None, entering: DataFrame, leaving: DataFrame | None, day: int,
+                 keys=("user_id", "app_type_id"), days: int = HISTORY_DAYS) -> DataFrame:
+    """The moments before label ``day`` from those before an earlier label: one row per key with active days.
+
+    ``entering`` holds the daily rows from the earlier label to day-1, ``leaving``
+    those of the labels that were in its frame and are no more, so a run
+    that follows the day before reads a row per key and two days' rows instead of
+    ``days`` days.  Sums are exact longs: taking a day out leaves no residue.
+    """
+    parts = [_as_moments(entering, keys, 1)]
+    if state is not None:
+        parts.append(state.select(*keys, *MOMENTS, "last_active"))
+    if leaving is not None:
+        parts.append(_as_moments(leaving, keys, -1))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    out = rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MOMENTS], F.max("last_active").alias("last_active"))
+    return out.filter((F.col("n_hist") > 0) & (F.col("last_active") >= day - days))
+
+
+def daily_from_moments(today: DataFrame, moments: DataFrame, keys=("user_id", "app_type_id")) -> DataFrame:
+    """One label's rows with their baseline and flags (``daily_unusual``) from the moments before it."""
+    m = moments.select(*keys, *MOMENTS, "last_active")
+    return daily_unusual(today.join(m, list(keys), "left").withColumn("n_hist", F.coalesce("n_hist", F.lit(0))))

@@ -36,7 +36,7 @@ from loadlens.plans import payload_input as PI
 from loadlens.session import fresh_path
 from loadlens.settings import special_users_df
 from loadlens.sources.payloads import read_nested_range
-from loadlens.sources.readings import read_provider_tables, readings_from_events, readings_in_range, readings_of_days
+from loadlens.sources.readings import read_differing_providers, read_provider_tables, readings_from_events, readings_in_range, readings_of_days
 from loadlens.sources.registry import registry_from_customer
 from loadlens.sources.schemas import NESTED_ESTIMATE, NESTED_MAIN
 from loadlens.sources.tables import load_table
@@ -126,6 +126,17 @@ def q_daily_unusual(spark, sf):
                     "u_h_cnt", "u_l_cnt", "u_h_dur", "u_l_dur")
 
 
+def q_daily_moments(spark, sf):
+    """The as-of day's flags from moments that were summed up 20 days earlier and rolled on since."""
+    d = def_daily(spark, sf)
+    day, first = X.AS_OF_DAY, X.AS_OF_DAY - 20
+    days = F.col("day_no")
+    state = D.roll_moments(D.moments_of(d, first), d.filter((days >= first) & (days < day)),
+                           d.filter((days >= first - D.HISTORY_DAYS) & (days < day - D.HISTORY_DAYS)), day)
+    u = D.daily_from_moments(d.filter(days == day), state)
+    return u.select("user_id", _day_str().alias("data_day"), "u_h_cnt", "u_l_cnt", "u_h_dur", "u_l_dur")
+
+
 def order_days(spark, sf):
     o = load_table(spark, sf, "orders")
     return (o.select(F.col("o_custkey").alias("user_id"),
@@ -146,6 +157,7 @@ QUERIES = {
     "readings_packed": q_readings_packed,
     "daily_baseline": q_daily_baseline,
     "daily_unusual": q_daily_unusual,
+    "daily_moments": q_daily_moments,
     "interval_days": q_interval_days,
 }
 
@@ -352,6 +364,26 @@ def q_readings_union_providers(spark, sf):
                     epoch_seconds(u, "ts").alias("t"), "ser_id")
 
 
+def q_readings_reconciled(spark, sf):
+    """Three providers' tables that differ in columns, types, names and order, read as one declared schema."""
+    e = events(spark, sf)
+    tables = {
+        "0": e,
+        "1": e.select(F.col("value").cast("string").alias("value"), "ts", "event_type", F.col("user_id").cast("string").alias("USER_ID"),
+                      F.col("event_id").cast("decimal(20,0)").alias("event_id"), F.lit(1).alias("extra")),
+        "2": e.select(F.col("user_id").cast("int").alias("customer"), "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "value"),
+    }
+    folders = {}
+    for p, t in tables.items():
+        user = "customer" if p == "2" else "user_id"
+        folders[p] = fresh_path(spark, f"provider-{p}")
+        t.filter(F.pmod(F.col(user).cast("long"), F.lit(3)) == int(p)).write.parquet(folders[p])
+    schema = T.StructType([T.StructField("event_id", T.LongType(), False), T.StructField("user_id", T.LongType(), False),
+                           T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("ts", T.TimestampNTZType())])
+    u = read_differing_providers(spark, folders, schema, {"2": {"user_id": "customer"}})
+    return u.select("event_id", "user_id", "event_type", "value", epoch_seconds(u, "ts").alias("t"), "ser_id")
+
+
 def gapped_readings(spark, sf):
     """Typed readings with power nulled on every 7th event, each row twice."""
     e = events(spark, sf)
@@ -472,6 +504,7 @@ QUERIES.update({
     "user_app_grid": q_user_app_grid,
     "readings_range": q_readings_range,
     "readings_union_providers": q_readings_union_providers,
+    "readings_reconciled": q_readings_reconciled,
     "readings_eligible": q_readings_eligible,
     "readings_distinct": q_readings_distinct,
     "readings_nonnull": q_readings_nonnull,
@@ -654,7 +687,22 @@ def q_load_schema_enforced(spark, sf):
     return _pcols(PL.unnest_estimates(spark.read.parquet(table_path)))
 
 
+def q_load_quarantine(spark, sf):
+    """Records of every fifth user lack a required field and those of every seventh are cut off: what is loaded, and what is not and why."""
+    nested = PL.nest_estimates(PI.payload_points(events(spark, sf)))
+    user = F.col("user_id").cast("long")
+    whole = F.to_json(F.struct(F.when(F.pmod(user, F.lit(5)) != 0, F.col("user_id")).alias("user_id"), "data"))
+    text = F.when(F.pmod(user, F.lit(7)) == 0, F.substring(whole, 1, 40)).otherwise(whole)
+    src, table, rest = (fresh_path(spark, n) for n in ("mixed-text", "good-table", "rejected"))
+    SK.write_partitioned_text(nested.select(text.alias("est_json"), "partition"), "est_json", src, ("partition",))
+    SK.load_with_quarantine(spark, src, NESTED_ESTIMATE, table, rest, {"partition": T.IntegerType()}, most_share=0.5)
+    out = (spark.read.parquet(table).select(F.lit("accepted").alias("outcome"))
+           .unionByName(spark.read.parquet(rest).select(F.col("_reason").alias("outcome"))))
+    return out.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES.update({
+    "load_quarantine": q_load_quarantine,
     "store_upsert": q_store_upsert,
     "store_latest_cell": q_store_latest_cell,
     "store_month_shard": q_store_month_shard,

@@ -7,6 +7,8 @@ joins for history) rather than from the Spark plans.  Dates are rendered as
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from loadlens.plans import fixtures as X
 
 # Readings with epoch seconds and JST day number.
@@ -485,6 +487,18 @@ WHERE t > {PS} AND t <= {PC} AND (power > 0 OR power IS NULL) GROUP BY user_id""
 })
 
 
+ORACLE.update({
+    "daily_moments": f"SELECT * FROM ({ORACLE['daily_unusual']}) WHERE data_day = '{X.EPOCH + _dt.timedelta(days=X.AS_OF_DAY)}'",
+    "readings_reconciled": """
+SELECT event_id, user_id, CASE WHEN user_id % 3 <> 2 THEN event_type END AS event_type, value, epoch_us(ts) // 1000000 AS t,
+       CAST(user_id % 3 AS VARCHAR) AS ser_id FROM events""",
+    "load_quarantine": """
+WITH rec AS (SELECT DISTINCT user_id, (epoch_us(ts) // 1000000 + 32400) // 86400 AS d FROM events)
+SELECT CASE WHEN user_id % 7 = 0 THEN 'malformed record' WHEN user_id % 5 = 0 THEN 'required field is missing: user_id' ELSE 'accepted' END AS outcome,
+       count(*) AS n FROM rec GROUP BY 1""",
+})
+
+
 ORACLE.update({
     "daily_job": HIST + f""", lastd AS (
   SELECT a.user_id, a.d, max(b.d) AS prev

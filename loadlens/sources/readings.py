@@ -69,3 +69,31 @@ def read_provider_tables(spark, base: str, providers=None) -> DataFrame:
     if providers is not None:
         df = df.filter(F.col("ser_id").cast("string").isin([str(p) for p in providers]))
     return df.withColumn("ser_id", F.col("ser_id").cast("string"))
+
+
+def reconciled(df: DataFrame, schema: T.StructType, aliases: dict[str, str] | None = None, provider: str = "") -> DataFrame:
+    """The table's columns under the declared schema: by name, in its order and types.
+
+    ``aliases`` names this provider's column for a declared one.  A column that
+    is not there is null, or fails when the schema does not allow nulls; other
+    columns are left out; a value that its declared type can't hold fails the
+    job.  Names are compared without case, as Spark does.
+    """
+    aliases = aliases or {}
+    there = {c.lower(): c for c in df.columns}
+    out = []
+    for f in schema.fields:
+        own = there.get(aliases.get(f.name, f.name).lower())
+        if own is None and not f.nullable:
+            raise ValueError(f"provider {provider!r} has no column {aliases.get(f.name, f.name)!r}")
+        out.append((F.lit(None) if own is None else F.col(f"`{own}`")).cast(f.dataType).alias(f.name))
+    return df.select(*out)
+
+
+def read_differing_providers(spark, folders: dict[str, str], schema: T.StructType, aliases: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """UNION ALL of provider tables that differ in columns, types and order, tagged with ``ser_id``.
+
+    ``folders`` names each provider's table.  Each is scanned once, for the declared columns alone.
+    """
+    aliases = aliases or {}
+    return union_providers({p: reconciled(spark.read.parquet(path), schema, aliases.get(p), p) for p, path in folders.items()})
