@@ -421,6 +421,20 @@ def compact_main(argv) -> None:
     print(f"{days} label days merged")
 
 
+def needed_history(spark: SparkSession, a, as_of: int) -> list[tuple[str, int, int]]:
+    """(job, first, last data day) of the stored cells that a job for one label reads."""
+    if a.job == "daily":
+        newest = read_moments(spark, a.moments, as_of) if a.moments else None
+        if newest is None or newest[1] < as_of - HISTORY_DAYS:
+            return [("daily", as_of - HISTORY_DAYS, as_of - 1)]
+        return [("daily", newest[1], as_of - 1), ("daily", newest[1] - HISTORY_DAYS, as_of - 1 - HISTORY_DAYS)]
+    if a.job == "weekly":
+        return [("daily", as_of - 27, as_of)]
+    if a.job.startswith("util-"):
+        return [("daily", as_of - {"util-long": 28, "util-short": 7, "util-weekday": 56}[a.job], as_of)]
+    return [("activity", as_of - 1, as_of - 1)] if a.job == "activity" else []
+
+
 def main(argv=None) -> None:
     argv = list(sys.argv[1:] if argv is None else argv)
     if argv and argv[0] in ("windows", "ingest"):
@@ -459,8 +473,14 @@ def main(argv=None) -> None:
         r = (_readings_from_parquet(spark, a.readings) if back is None
              else _readings_from_parquet(spark, a.readings, as_of - back, as_of))
     th = Thresholds().to_df(spark)
-    # the stored history is used when there is a store; only a missing path means there is none
+    # the stored history is used when it is complete for the days that the label needs; only a missing path means there is no store
     store = None if as_of is None or a.recompute_history else ST.stored_cells(spark, a.store)
+    if store is not None:
+        lacking = [(kind, lo, hi) for kind, lo, hi in needed_history(spark, a, as_of) if not ST.is_covered(spark, a.store, kind, lo, hi)]
+        if lacking:
+            print(f"{a.store}: cells of {', '.join(f'{k} for data days {lo}..{hi}' for k, lo, hi in lacking)} are not complete; "
+                  "computing from readings", file=sys.stderr)
+            store = None
     if a.job == "daily" and store is not None and a.moments:
         d = daily_job_from_moments(spark, _readings_from_parquet(spark, a.readings, as_of, as_of), th, store, a.moments, as_of)
         cells = to_cells(d, FAMILY_DAILY, DAILY_COLS, version).unionByName(tag_cells(d, "Otag", version))
@@ -527,6 +547,10 @@ def main(argv=None) -> None:
         d = dt.date(1970, 1, 1) + dt.timedelta(days=as_of)   # the label's UTC date is the data day
         months = [d.year * 100 + d.month]
     ST.append_cells(spark, a.store, cells, months)   # other jobs may write the same day at once
+    if a.job in ("daily", "activity"):
+        newest = as_of if as_of is not None else r.agg(F.max(day_no("t"))).first()[0]
+        if newest is not None:
+            ST.mark_covered(spark, a.store, a.job, as_of if as_of is not None else 0, newest)
 
 
 if __name__ == "__main__":

@@ -166,6 +166,23 @@ def remove_superseded(spark: SparkSession, path: str, before: float) -> int:
     return removed
 
 
+COVERED = "_covered"
+
+
+def mark_covered(spark: SparkSession, path: str, kind: str, lo: int, hi: int) -> None:
+    """Note that the cells of ``kind`` are complete for the data days lo..hi, by the name of an empty marker file."""
+    Folder(spark, path).write_new(f"{COVERED}/{kind}.{lo}.{hi}", "")
+
+
+def is_covered(spark: SparkSession, path: str, kind: str, lo: int, hi: int) -> bool:
+    """Whether markers cover every data day of lo..hi, so that a day without cells is known to be an idle one."""
+    spans = sorted((int(a), int(b)) for k, a, b in (n.split(".") for n in Folder(spark, path).names(COVERED) if not n.startswith((".", "_"))) if k == kind)
+    for a, b in spans:
+        if a <= lo <= b:
+            lo = b + 1
+    return lo > hi
+
+
 def convert_store(spark: SparkSession, old: str, new: str) -> None:
     """Write the cells of a store without run folders into a new one."""
     append_cells(spark, new, read_if_exists(spark, old).withColumn("ymd", F.col("ymd").cast("long")))

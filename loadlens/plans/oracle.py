@@ -150,25 +150,20 @@ def _util_sql(lo_days: int, mode: str) -> str:
         rng = f"d > {a - lo_days} AND d <= {a}"
     hours = ",\n  ".join(
         f"round(CASE WHEN {{n}} > 0 THEN {{v{h}}} / {{n}} ELSE {{e}} END, 6) AS h{h:02d}" for h in range(24))
-    if mode == "fraction":
-        val = {f"v{h}": f"CAST((SELECT count(DISTINCT s.d) FROM st s WHERE s.user_id = ug.user_id AND s.h = {h}) AS DOUBLE)" for h in range(24)}
-    else:
-        val = {f"v{h}": f"CAST(EXISTS (SELECT 1 FROM st s WHERE s.user_id = ug.user_id AND s.h = {h}) AS INTEGER)" for h in range(24)}
-    if mode == "weekday":
-        n = "8"
-    else:
-        n = "coalesce((SELECT count(DISTINCT x.d) FROM daily x WHERE x.user_id = ug.user_id AND x.cnt > 0 AND x.{rng}), 0)"
-        n = n.replace("x.{rng}", "(" + rng.replace("d ", "x.d ").replace("(" + str(a) + " - d)", f"({a} - x.d)") + ")")
-    empty = "-1.0" if mode == "short" else "0.0"
-    body = hours.replace("{n}", n).replace("{e}", empty)
-    for k, v in val.items():
-        body = body.replace("{" + k + "}", v)
+    # one row per user: active days, and per hour the days (or whether any) with a session that starts in it
+    per_hour = "count(DISTINCT CASE WHEN h = {h} THEN d END)" if mode == "fraction" else "max(CASE WHEN h = {h} THEN 1 ELSE 0 END)"
+    per_user = ", ".join(per_hour.replace("{h}", str(h)) + f" AS v{h}" for h in range(24))
+    body = hours.replace("{n}", "8" if mode == "weekday" else "coalesce(n, 0)").replace("{e}", "-1.0" if mode == "short" else "0.0")
+    for h in range(24):
+        body = body.replace("{v%d}" % h, f"CAST(coalesce(v{h}, 0) AS DOUBLE)")
     return DAILY + f""", st AS (
   SELECT user_id, d, CAST(((st + 32400) // 3600) % 24 AS INTEGER) AS h FROM sess WHERE {rng}
+), nn AS (SELECT user_id, count(DISTINCT d) AS n FROM daily WHERE cnt > 0 AND {rng} GROUP BY user_id
+), hh AS (SELECT user_id, {per_user} FROM st GROUP BY user_id
 ), ug AS (SELECT DISTINCT user_id FROM events)
 SELECT user_id,
   {body}
-FROM ug"""
+FROM ug LEFT JOIN nn USING (user_id) LEFT JOIN hh USING (user_id)"""
 
 
 ORACLE.update({

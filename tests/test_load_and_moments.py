@@ -112,9 +112,26 @@ def test_cli_daily_from_moments_equals_history(spark):
     first = ST.stored_cells(spark, backfill).filter(F.col("ymd") < (D0_DAY + 20) * 86400 + 54000)
     for store in (by_history, by_moments):
         ST.append_cells(spark, store, first)
-    for run in ("01222024", "01232024", "01262024"):      # the last after a gap of two days without a run
+        ST.mark_covered(spark, store, "daily", 0, D0_DAY + 19)
+    for run in ("01222024", "01232024", "01262024"):      # two days without a run: the last is computed from readings
         J.main(["daily", "--readings", src, "--store", by_history, "--run-date", run, "--version", "2"])
         J.main(["daily", "--readings", src, "--store", by_moments, "--run-date", run, "--version", "2", "--moments", moments])
     a, b = (sorted(map(tuple, ST.stored_cells(spark, s).collect())) for s in (by_history, by_moments))
     assert a == b and any(x[6] == 2 and x[4] == "cnt" for x in a)
-    assert spark.read.parquet(moments).select("day_no").distinct().count() == 3
+    assert spark.read.parquet(moments).select("day_no").distinct().count() == 2
+    for day in (20, 21, 24):
+        label = (D0_DAY + day) * 86400 + 54000
+        whole = sorted((r.user_id, r["col"], r.value) for r in ST.stored_cells(spark, backfill).filter(F.col("ymd") == label).collect())
+        assert whole == sorted((x[0], x[4], x[5]) for x in b if x[2] == label)
+
+
+def test_stores_with_other_cells_are_no_history(spark):
+    path = fresh_path(spark, "cover")
+    ST.append_cells(spark, path, spark.createDataFrame([("u", "2", 1704121200, "Daily", "la", "5", 1)],
+                                                       "user_id string, app_type_id string, ymd long, family string, col string, value string, version long"))
+    assert not ST.is_covered(spark, path, "daily", 10, 12)
+    for lo, hi in ((11, 11), (0, 9), (10, 10)):
+        ST.mark_covered(spark, path, "daily", lo, hi)
+    ST.mark_covered(spark, path, "activity", 12, 12)
+    assert ST.is_covered(spark, path, "daily", 3, 11) and not ST.is_covered(spark, path, "daily", 3, 12) and ST.is_covered(spark, path, "activity", 12, 12)
+    assert ST.stored_cells(spark, path).count() == 1
