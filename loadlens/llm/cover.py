@@ -34,13 +34,14 @@ each round.  Nothing passes through the driver.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 
 from loadlens.llm import textbuf as B
@@ -304,9 +305,14 @@ class Chunk:
 
 
 def packed(docs: DataFrame, chunk_bytes: int) -> DataFrame:
-    """Runs of whole documents as compressed Arrow streams; a chunk's number is a hash of its content."""
+    """Runs of whole documents as compressed Arrow streams.
+
+    A chunk's number is a hash of its place (partition and order) and content,
+    so chunks of repeated rows stay apart and go to different tasks.
+    """
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = itertools.count()
         for batch in source:
             _, offsets = B.raw(batch.column(1))
             for i, j in B.pieces(offsets, chunk_bytes):
@@ -314,7 +320,8 @@ def packed(docs: DataFrame, chunk_bytes: int) -> DataFrame:
                 with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=ZSTD_LEVEL))) as out:
                     out.write_batch(batch.slice(i, j - i))
                 blob = sink.getvalue().to_pybytes()
-                chunk = int.from_bytes(hashlib.blake2b(blob, digest_size=8).digest(), "little", signed=True)
+                salt = b"%d:%d" % (TaskContext.get().partitionId(), next(place))
+                chunk = int.from_bytes(hashlib.blake2b(blob, digest_size=8, key=salt).digest(), "little", signed=True)
                 yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int64()), "blob": pa.array([blob], pa.binary())})
 
     return texts(docs).mapInArrow(batches, PACKED)
@@ -370,4 +377,6 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray,
         answers = told if answers is None else answers.union(told)
         del asked, told
         release(docs.sparkSession)
-    return grouped.cogroup(answers.groupBy("chunk")).applyInArrow(final, schema)
+    out = cut(grouped.cogroup(answers.groupBy("chunk")).applyInArrow(final, schema))
+    chunks.unpersist()
+    return out

@@ -39,3 +39,15 @@ def test_long_words_are_not_kept(paths):
     words = ["short", "語" * 4000]
     first = v.byte_share([words])
     assert list(v.known) == ["short"] and v.byte_share([words]) == first
+
+
+def test_chunks_of_repeated_rows_stay_apart(spark):
+    """One row repeated: its equal chunks have numbers of their own, so no group holds them all; the cache is let go."""
+    from loadlens.llm import cover, suffix_dedup
+    docs = spark.createDataFrame([(7, "the same row again and again " * 9)], "doc_id long, text string").selectExpr("doc_id", "text", "explode(sequence(1, 4000)) AS n").drop("n").repartition(4)
+    chunks = cover.packed(docs, 20_000).select("chunk").collect()
+    assert len(chunks) > 20 and len({r["chunk"] for r in chunks}) == len(chunks)
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    rows = suffix_dedup.remove(docs, chunk_bytes=20_000, bucket_names=500).select("n_bytes", "n_removed").distinct().collect()
+    assert [(r["n_bytes"], r["n_removed"]) for r in rows] == [(261, 261)]
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
