@@ -1,5 +1,8 @@
 """Repeated windows of a corpus, found from a difference-cover sample.
 
+This is op3's search; op2's suffix order (``suffix_dedup``) uses its first round,
+its chunks and its way of asking, with rounds of its own.
+
 A document is a sequence of units (bytes or words).  Two windows of ``length``
 units at any places i and j have a shift d < period with i + d and j + d both
 in the cover, so equal windows hold an equal, shorter slice at such places: an
@@ -49,7 +52,7 @@ from loadlens.llm.common import cut, release, text_bytes, texts
 
 CHUNK_BYTES = 4 << 20
 BUCKET_NAMES = 1 << 21
-MOST_BUCKET_BITS = 16
+MOST_BUCKET_BITS = 30  # of 2 million names each: some 10**15 sampled units
 ZSTD_LEVEL = 3
 U = np.uint64
 PACKED = "chunk long, blob binary"
@@ -134,9 +137,15 @@ def widths(units: int, bits: int) -> dict[int, Width]:
     """By round.  A slice's name may rarely clash, which costs time only; a window's has bits
     enough that two different windows of the corpus clash with a chance of a millionth."""
     size = math.log2(max(units, 2))
-    slice_ = min(6, max(4, math.ceil((size + 10 - bits) / 8)))
-    second = min(6, max(2, math.ceil((2 * size + 20 - 48 - bits) / 8)))
-    return {1: Width(bits, slice_), 2: Width(bits, 6, second), 3: Width(bits, 6, more=2), 4: Width(bits, 6, second)}
+    first = min(6, (64 - bits) // 8)
+    slice_ = min(first, max(4, math.ceil((size + 10 - bits) / 8)))
+    second = min(8, max(2, math.ceil((2 * size + 20 - 8 * first - bits) / 8)))
+    return {1: Width(bits, slice_), 2: Width(bits, first, second), 3: Width(bits, first, more=2), 4: Width(bits, first, second)}
+
+
+def bucket_bits(names: float, bucket_names: int) -> int:
+    """Leading bits by which so many names make buckets of about bucket_names."""
+    return min(MOST_BUCKET_BITS, max(0, math.ceil(math.log2(max(1.0, names / bucket_names)))))
 
 
 def _equal_before(first: np.ndarray, second: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -158,14 +167,17 @@ class Names:
         order, same = _equal_before(first, second)
         self.of = np.empty(len(first), np.int64)  # each name's place among the distinct ones
         self.of[order] = np.cumsum(~same) - 1
-        self.first, self.second = first[order][~same], None if second is None else second[order][~same]
+        self.some = order[~same]  # a name's place for each distinct one
+        self.first, self.second = first[self.some], None if second is None else second[self.some]
         self.twice = np.bincount(self.of, minlength=len(self.first)) > 1
         self.bucket = width.bucket(self.first)
 
-    def rows(self, chunk: int, more: np.ndarray | None = None) -> pa.Table:
+    def rows(self, chunk: int, more: np.ndarray | None = None, sent: np.ndarray | None = None) -> pa.Table:
+        """What goes to each bucket: the names and ``more``, or ``sent`` in their place (a row of bytes for each name)."""
         ids, at = np.unique(self.bucket, return_index=True)
         ends = np.append(at[1:], len(self.bucket))
-        sent = self.width.to_bytes(self.first, self.second, more) if len(ids) else None
+        if sent is None and len(ids):
+            sent = self.width.to_bytes(self.first, self.second, more)
         return pa.table({"bucket": pa.array(ids, pa.int32()), "chunk": pa.array(np.full(len(ids), chunk), pa.int64()),
                          "names": pa.array([sent[a:b].tobytes() for a, b in zip(at, ends)], pa.binary())})
 
@@ -203,22 +215,37 @@ def answer(ask: int, width: Width):
         else:
             hit[order[same]] = True
             hit[order[np.flatnonzero(same) - 1]] = True
-        size = width.first + width.second + width.more
-        ends = np.cumsum([len(x) // size for x in group.column("names").to_pylist()])
-        starts = np.concatenate([[0], ends[:-1]])
-        rows = [k for k, (a, b) in enumerate(zip(starts, ends)) if hit[a:b].any()]
-        out = group.select(["bucket", "chunk"]).take(pa.array(rows, pa.int64()))
-        bits = [np.packbits(hit[starts[k] : ends[k]]).tobytes() for k in rows]
-        with_it = [b"" if extra is None else extra[starts[k] : ends[k]][hit[starts[k] : ends[k]]].tobytes() for k in rows]
-        return (out.append_column("ask", pa.array(np.full(len(rows), ask), pa.int32()))
-                .append_column("bits", pa.array(bits, pa.binary())).append_column("more", pa.array(with_it, pa.binary())))
+        return answers_of(group, ask, width.first + width.second + width.more, hit, extra)
 
     return names_again
 
 
+def answers_of(group: pa.Table, ask: int, size: int, hit: np.ndarray, extra: np.ndarray | None = None) -> pa.Table:
+    """A bucket's answers: to each chunk the bits of its names (``size`` bytes each) and, of the set ones, the extra bytes."""
+    ends = np.cumsum([len(x) // size for x in group.column("names").to_pylist()])
+    starts = np.concatenate([[0], ends[:-1]])
+    rows = [k for k, (a, b) in enumerate(zip(starts, ends)) if hit[a:b].any()]
+    out = group.select(["bucket", "chunk"]).take(pa.array(rows, pa.int64()))
+    bits = [np.packbits(hit[starts[k] : ends[k]]).tobytes() for k in rows]
+    with_it = [b"" if extra is None else extra[starts[k] : ends[k]][hit[starts[k] : ends[k]]].tobytes() for k in rows]
+    return (out.append_column("ask", pa.array(np.full(len(rows), ask), pa.int32()))
+            .append_column("bits", pa.array(bits, pa.binary())).append_column("more", pa.array(with_it, pa.binary())))
+
+
 class Chunk:
     """What a chunk asks in each round, worked out again from its texts and the answers so far."""
 
+    ROUNDS = (1, 2, 3, 4)
+    SOME, OPEN, BORDER = 2, 3, 4  # the rounds of some windows, of open shifts, and of the other windows
+
+    @staticmethod
+    def widths(scheme: Scheme, size: int, bucket_names: int) -> dict[int, Width]:
+        return widths(size, bucket_bits(size * len(scheme.cover) / scheme.period, bucket_names))
+
+    @staticmethod
+    def answer(ask: int, width: Width):
+        return answer(ask, width)
+
     def __init__(self, units: Units, scheme: Scheme, width: dict[int, Width]):
         self.units, self.scheme, self.width = units, scheme, width
         self.n = int(units.bounds[-1])
@@ -252,11 +279,11 @@ class Chunk:
         return places, Names(self.width[ask], *self.units.window_names(places))
 
     def some_windows(self, anchors: np.ndarray) -> tuple[np.ndarray, Names]:
-        return self.windows(self.starts(*self.reach(anchors)), True, 2)
+        return self.windows(self.starts(*self.reach(anchors)), True, self.SOME)
 
     def inside(self, anchors: np.ndarray, answers: pa.Table) -> np.ndarray:
         places, names = self.some_windows(anchors)
-        return places[names.again(answers, 2)]
+        return places[names.again(answers, self.SOME)]
 
     def open_shifts(self, anchors: np.ndarray, names: Names, confirmed: np.ndarray) -> np.ndarray:
         """For each distinct anchor the least and most shift of a window that is not covered yet (255 and 0: none)."""
@@ -273,8 +300,8 @@ class Chunk:
         return spans
 
     def border_windows(self, anchors: np.ndarray, slices: np.ndarray, answers: pa.Table) -> tuple[np.ndarray, Names]:
-        names = Names(self.width[3], slices)
-        bit, more = names.read(answers, 3)
+        names = Names(self.width[self.OPEN], slices)
+        bit, more = names.read(answers, self.OPEN)
         spans = np.zeros((len(bit), 2), np.int64)
         spans[bit] = np.frombuffer(more, np.uint8).reshape(-1, 2)
         here = bit[names.of]
@@ -283,25 +310,27 @@ class Chunk:
         low, high = np.maximum(low, anchors - span[:, 1]), np.minimum(high, anchors - span[:, 0])
         able = low <= high
         order = np.argsort(low[able], kind="stable")
-        return self.windows(self.starts(low[able][order], high[able][order]), False, 4)
+        return self.windows(self.starts(low[able][order], high[able][order]), False, self.BORDER)
 
     def covered(self, answers: pa.Table) -> np.ndarray:
         """A mask of the units that some repeated window covers."""
         anchors, slices = self.anchors(answers)
         confirmed = self.inside(anchors, answers)
         places, names = self.border_windows(anchors, slices, answers)
-        return B.unions(np.concatenate([confirmed, places[names.again(answers, 4)]]), self.scheme.length, self.n)
+        return B.unions(np.concatenate([confirmed, places[names.again(answers, self.BORDER)]]), self.scheme.length, self.n)
 
     def ask(self, ask: int, chunk: int, answers: pa.Table | None) -> pa.Table:
         if ask == 1:
             return self.slices()[1].rows(chunk)
         anchors, slices = self.anchors(answers)
-        if ask == 2:
-            return self.some_windows(anchors)[1].rows(chunk)
-        if ask == 3:
-            names = Names(self.width[3], slices)
+        if ask == self.OPEN:
+            names = Names(self.width[self.OPEN], slices)
             return names.rows(chunk, self.open_shifts(anchors, names, self.inside(anchors, answers)))
-        return self.border_windows(anchors, slices, answers)[1].rows(chunk)
+        return self.sent(chunk, *(self.some_windows(anchors) if ask == self.SOME else self.border_windows(anchors, slices, answers)))
+
+    def sent(self, chunk: int, places: np.ndarray, names: Names) -> pa.Table:
+        """What is sent of windows."""
+        return names.rows(chunk)
 
 
 def packed(docs: DataFrame, chunk_bytes: int) -> DataFrame:
@@ -333,7 +362,7 @@ def unpacked(group: pa.Table) -> pa.Table:
 
 def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray, np.ndarray], Units],
                    result: Callable[[pa.Array, np.ndarray, np.ndarray, np.ndarray], pa.Table], schema: str,
-                   chunk_bytes: int = CHUNK_BYTES, bucket_names: int = BUCKET_NAMES) -> DataFrame:
+                   chunk_bytes: int = CHUNK_BYTES, bucket_names: int = BUCKET_NAMES, kind: type[Chunk] = Chunk) -> DataFrame:
     """result(doc_ids, bytes, offsets, covered mask) of every chunk of documents.
 
     ``docs`` should be a table as it is read: a lost chunk is cut again from the
@@ -341,9 +370,7 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray,
     their order, so write them first.
     """
     size = text_bytes(docs)
-    sampled = size * len(scheme.cover) / scheme.period
-    bits = min(MOST_BUCKET_BITS, max(0, math.ceil(math.log2(max(1.0, sampled / bucket_names)))))
-    width = widths(size, bits)
+    width = kind.widths(scheme, size, bucket_names)
     parts = max(1, math.ceil(size / (2 * chunk_bytes)))
     # the answers' side of each co-group is dealt alike, so the chunks move once
     chunks = packed(docs, chunk_bytes).repartition(parts, "chunk").persist(StorageLevel.DISK_ONLY)
@@ -353,7 +380,7 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray,
     def open_chunk(group: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, Chunk]:
         rows = unpacked(group)
         data, offsets = B.raw(rows.column("text"))
-        return rows, data, offsets, Chunk(units(data, offsets), scheme, width)
+        return rows, data, offsets, kind(units(data, offsets), scheme, width)
 
     def ask(k: int):
         def first(group: pa.Table) -> pa.Table:
@@ -371,9 +398,9 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, units: Callable[[np.ndarray,
         return result(rows.column("doc_id"), data, offsets, chunk.covered(answers))
 
     answers = None
-    for k in (1, 2, 3, 4):
+    for k in kind.ROUNDS:
         asked = (grouped if answers is None else grouped.cogroup(answers.groupBy("chunk"))).applyInArrow(ask(k), ASK)
-        told = cut(asked.groupBy("bucket").applyInArrow(answer(k, width[k]), ANSWER))
+        told = cut(asked.groupBy("bucket").applyInArrow(kind.answer(k, width[k]), ANSWER))
         answers = told if answers is None else answers.union(told)
         del asked, told
         release(docs.sparkSession)
