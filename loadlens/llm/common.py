@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,8 +49,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def release(spark: SparkSession) -> None:
-    """Let go of what finished jobs left: their shuffle files go once the driver has collected its garbage."""
+    """Let go of what finished jobs left: their shuffle files go once the driver has collected its garbage.
+
+    Spark's listeners hold the last query they were told of, with its shuffles; so they are
+    told of a small one first, which they hear of a little later.
+    """
     gc.collect()
+    spark.range(1).count()
+    time.sleep(1)
     spark.sparkContext._jvm.System.gc()
 
 
