@@ -150,11 +150,14 @@ def bucket_bits(names: float, bucket_names: int) -> int:
 
 def _equal_before(first: np.ndarray, second: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Sorting order of the names; which sorted name equals the one before it."""
-    order = np.argsort(first, kind="stable") if second is None else np.lexsort((second, first))
+    order = np.argsort(first)
     same = np.zeros(len(first), bool)
     same[1:] = first[order][1:] == first[order][:-1]
     if second is not None:
-        same[1:] &= second[order][1:] == second[order][:-1]
+        alike = np.flatnonzero(same)
+        if (second[order[alike]] != second[order[alike - 1]]).any():  # names that share their first part alone: rare
+            order = np.lexsort((second, first))
+            same[1:] = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
     return order, same
 
 
