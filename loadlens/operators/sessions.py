@@ -120,10 +120,24 @@ def pack_readings(readings: DataFrame, keys: list[str], chunk_seconds: int = 360
     ``most`` entries (there is no bound on the powers of one second) becomes
     several packs, numbered by ``part`` in time order, so no array is longer.
     ``sum(n)`` over a chunk's packs is its row count.
+
+    No task sorts a chunk: entries are counted per second, the seconds of a
+    chunk (``chunk_seconds`` rows at most) are summed up in time order, and an
+    entry's place is its second's start plus its place within the second.  A
+    second's start joins its entries as one more row of their group, so that
+    null keys need no join of their own.
     """
     chunk = F.floor(F.col("t") / F.lit(chunk_seconds)).alias("chunk")
     folded = readings.groupBy(*keys, chunk, "t", "power").agg(F.count(F.lit(1)).alias("n"))
-    place = F.row_number().over(Window.partitionBy(*keys, "chunk").orderBy("t", "power"))
-    parts = folded.withColumn("part", F.floor((place - 1) / F.lit(most)).cast("int"))
-    return (parts.groupBy(*keys, "chunk", "part")
+    # counted by n, so that both uses of the folded readings read one exchange
+    seconds = folded.groupBy(*keys, "chunk", "t").agg(F.count_if(F.col("n") > 0).alias("entries"))
+    before = Window.partitionBy(*keys, "chunk").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    starts = seconds.select(*keys, "chunk", "t", F.coalesce(F.sum("entries").over(before), F.lit(0)).alias("start"))
+    second = Window.partitionBy(*keys, "chunk", "t").orderBy(F.col("start").isNull(), "power")
+    # a second's first row holds its start, so its first entry has row number 2
+    placed = (folded.unionByName(starts, allowMissingColumns=True)
+              .withColumns({"place": F.first("start").over(second) + F.row_number().over(second) - 2})
+              .filter(F.col("start").isNull()))
+    return (placed.withColumn("part", F.floor(F.col("place") / F.lit(most)).cast("int"))
+            .groupBy(*keys, "chunk", "part")
             .agg(F.sort_array(F.collect_list(F.struct("t", "power", "n"))).alias("ts_power")))

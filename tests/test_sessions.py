@@ -1,6 +1,9 @@
 import random
+import re
+from collections import Counter
 
 from hypothesis import given, settings as hsettings, strategies as st
+from pyspark.sql import functions as F
 
 from conftest import D0, D0_DAY, readings
 from loadlens.operators import daily as D
@@ -98,3 +101,31 @@ def test_pack_readings_chunks(spark):
     p = S.pack_readings(r, ["user_id"], chunk_seconds=3600)
     got = sorted((row.chunk, [(x.t - D0, x.n) for x in row.ts_power]) for row in p.collect())
     assert [g[1] for g in got] == [[(3, 1), (5, 3)], [(3700, 1)], [(7200, 1)]]
+
+
+def test_pack_readings_parts_are_in_time_order(spark):
+    """Parts of ``most`` entries by (t, power), nulls in key and power included, against a plain cut."""
+    rng = random.Random(4)
+    rows = [(u, "x", D0 + rng.choice([0, 1, 1, 1, 5, 3599, 3600]), rng.choice([None, 1.0, 2.0, 3.0, 4.5, 6.0]))
+            for u in ("a", None) for _ in range(120)]
+    want = {}
+    for (u, t, p), n in Counter((u, t, p) for u, _, t, p in rows).items():
+        want.setdefault((u, t // 3600), []).append((t, (p is not None, p or 0.0), p, n))
+    plain = {(u, c, k // 4): [(t, p, n) for t, _, p, n in sorted(e)[k:k + 4]]
+             for (u, c), e in want.items() for k in range(0, len(e), 4)}
+    got = {(r.user_id, r.chunk, r.part): [(x.t, x.power, x.n) for x in r.ts_power]
+           for r in S.pack_readings(readings(spark, rows), ["user_id"], most=4).collect()}
+    assert got == plain
+
+
+def test_pack_readings_hot_hour_is_spread(spark, capsys):
+    """No window holds an hour's entries: ordered windows are those of seconds and of a second's powers."""
+    r = spark.range(20000).select(F.lit("hot").alias("user_id"), F.lit("x").alias("app_type_id"),
+                                  (F.col("id") % 3600).alias("t"), F.col("id").cast("double").alias("power"))
+    S.pack_readings(r, ["user_id"], most=500).explain("formatted")
+    plan = capsys.readouterr().out
+    by_power = re.findall(r"windowspecdefinition\(([^\n]*power[^\n]*?)specifiedwindowframe", plan)
+    assert by_power and all(re.search(r"\bt#\d+L?, ", w) for w in by_power)
+    parts = S.pack_readings(r, ["user_id"], most=500)
+    assert parts.agg(F.max(F.size("ts_power"))).first()[0] <= 500
+    assert parts.select(F.explode("ts_power")).count() == 20000
