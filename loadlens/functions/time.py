@@ -8,6 +8,8 @@ day and is what windows order on.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,3 +85,15 @@ def yyyymm(label) -> Column:
 def yyyymmdd(label) -> Column:
     d = F.date_from_unix_date(F.floor(_c(label) / F.lit(DAY)).cast("int"))
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
+
+
+def months_between(lo_day: int, hi_day: int) -> list[int]:
+    """yyyymm ids of the label days lo..hi (a label's UTC date is its data day)."""
+    out, d = [], dt.date(1970, 1, 1) + dt.timedelta(days=lo_day)
+    end = dt.date(1970, 1, 1) + dt.timedelta(days=hi_day)
+    while d <= end:
+        m = d.year * 100 + d.month
+        if not out or out[-1] != m:
+            out.append(m)
+        d += dt.timedelta(days=1)
+    return out

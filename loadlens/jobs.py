@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.functions.time import day_no, day_to_label, epoch_seconds, weekday_no
+from loadlens.functions.time import day_no, day_to_label, epoch_seconds, months_between, weekday_no
 from loadlens.operators import activity as A
 from loadlens.operators import daily as D
+from loadlens.operators import history as H
 from loadlens.operators import latenight as L
 from loadlens.operators import pairing as PR
 from loadlens.operators import profile as P
@@ -88,18 +89,6 @@ def daily_job(readings: DataFrame, thresholds: DataFrame, as_of_day: int | None
     return _only(out, as_of_day).select(*KEYS, "day_no", "ymd", *DAILY_COLS.values(), "tags")
 
 
-def months_between(lo_day: int, hi_day: int) -> list[int]:
-    """yyyymm ids of the label days lo..hi (a label's UTC date is its data day)."""
-    out, d = [], dt.date(1970, 1, 1) + dt.timedelta(days=lo_day)
-    end = dt.date(1970, 1, 1) + dt.timedelta(days=hi_day)
-    while d <= end:
-        m = d.year * 100 + d.month
-        if not out or out[-1] != m:
-            out.append(m)
-        d += dt.timedelta(days=1)
-    return out
-
-
 def store_daily_history(store: DataFrame, lo_day: int, hi_day: int) -> DataFrame:
     """Stored Daily cnt/dur of label days lo..hi as (user_id, app_type_id, day_no, cnt, dur).
 
@@ -187,17 +176,36 @@ def daily_job_from_moments(spark: SparkSession, readings: DataFrame, thresholds:
         path = f"{moments_path.rstrip('/')}/day_no={as_of_day}"
         moments.hint("rebalance").write.mode("overwrite").parquet(path)
         moments = spark.read.parquet(path)
-    today = D.daily_metrics(S.sessions(prepared_readings(readings, pair, (as_of_day, as_of_day)), thresholds), with_tags=True)
+    return _with_moments(_metrics_of_day(readings, thresholds, as_of_day, pair), moments, as_of_day)
+
+
+def _metrics_of_day(readings: DataFrame, thresholds: DataFrame, day: int, pair: bool) -> DataFrame:
+    m = D.daily_metrics(S.sessions(prepared_readings(readings, pair, (day, day)), thresholds), with_tags=True)
+    return m.withColumn("user_id", F.col("user_id").cast("string"))
+
+
+def _with_moments(today: DataFrame, moments: DataFrame, as_of_day: int) -> DataFrame:
+    """The daily job's columns for one label from its metrics and the moments before it."""
     gap = F.col("day_no") - F.col("last_active")
-    out = D.daily_from_moments(today.withColumn("user_id", F.col("user_id").cast("string")), moments).withColumn(
+    out = D.daily_from_moments(today, moments).withColumn(
         "i_day", F.when(F.col("last_active").isNull() | (gap > 28), F.lit(-1)).otherwise(gap).cast("long"))
     return _only(out, as_of_day).select(*KEYS, "day_no", "ymd", *DAILY_COLS.values(), "tags")
 
 
-def weekly_job(daily: DataFrame, as_of_day: int | None = None, last_day: int | None = None) -> DataFrame:
-    """One label (``as_of_day``), or all labels up to the newest data day ``last_day``."""
+def daily_job_from_history(readings: DataFrame, thresholds: DataFrame, rows: DataFrame, buckets: int,
+                           as_of_day: int, pair: bool = True) -> DataFrame:
+    """The daily job for one label, with its 56 days read from a bucketed history table.
+
+    ``rows`` are summed up where they lie; only the label day's rows are dealt, into the table's buckets.
+    """
+    moments = D.moments_of(H.active_days(rows), as_of_day)
+    return _with_moments(_metrics_of_day(readings, thresholds, as_of_day, pair).repartition(buckets, *KEYS), moments, as_of_day)
+
+
+def weekly_job(daily: DataFrame, as_of_day: int | None = None, last_day: int | None = None, dealt: bool = False) -> DataFrame:
+    """One label (``as_of_day``), or all labels up to the newest data day ``last_day``; ``dealt``: rows lie by key already."""
     last = as_of_day if as_of_day is not None else last_day
-    w = W.weekly_unusual(W.weekly_trends(W.weekly_totals(daily.select(*KEYS, "day_no", "cnt", "dur"), last_day=last)))
+    w = W.weekly_unusual(W.weekly_trends(W.weekly_totals(daily.select(*KEYS, "day_no", "cnt", "dur"), last_day=last, dealt=dealt)))
     return _only(w, as_of_day).select(*KEYS, "day_no", "ymd", *WEEKLY_COLS.values())
 
 
@@ -274,6 +282,8 @@ def tag_cells(df: DataFrame, col: str, version) -> DataFrame:
 # days of readings each job needs before its label day (None: all days)
 LOOKBACK = {"daily": HISTORY_DAYS, "weekly": 27, "util-long": 28, "util-short": 7,
             "util-weekday": 56, "profile": 13}
+# first and last day, from its label day, of the daily rows that each job reads
+HISTORY_OF = {"daily": (-HISTORY_DAYS, -1), "weekly": (-27, 0), "util-long": (-28, 0), "util-short": (-7, 0), "util-weekday": (-56, 0)}
 
 
 def _yyyymmdd(day: int) -> int:
@@ -421,6 +431,18 @@ def compact_main(argv) -> None:
     print(f"{days} label days merged")
 
 
+def history_main(argv) -> None:
+    """``history``: the store's daily rows as a table bucketed by key, for ``--history-table``."""
+    ap = argparse.ArgumentParser(prog="loadlens.jobs")
+    ap.add_argument("job", choices=["history"])
+    ap.add_argument("--store", required=True, help="cell table")
+    ap.add_argument("--table", required=True, help="catalog table, made when there is none")
+    ap.add_argument("--buckets", type=int, required=True, help="files a month: rows of a month / some millions")
+    ap.add_argument("--month", type=int, action="append", help="yyyymm to publish; repeatable (default: all)")
+    a = ap.parse_args(argv)
+    H.publish(_session(a.job), a.store, a.table, a.buckets, a.month)
+
+
 def needed_history(spark: SparkSession, a, as_of: int) -> list[tuple[str, int, int]]:
     """(job, first, last data day) of the stored cells that a job for one label reads."""
     if a.job == "daily":
@@ -443,6 +465,8 @@ def main(argv=None) -> None:
         return stream_main(argv)
     if argv and argv[0] == "compact":
         return compact_main(argv)
+    if argv and argv[0] == "history":
+        return history_main(argv)
     ap = argparse.ArgumentParser(prog="loadlens.jobs")
     ap.add_argument("job", choices=["daily", "weekly", "util-long", "util-short", "util-weekday",
                                     "profile", "latenight", "activity"])
@@ -457,6 +481,7 @@ def main(argv=None) -> None:
     ap.add_argument("--recompute-history", action="store_true",
                     help="daily/weekly/util: rebuild the history from readings instead of the store")
     ap.add_argument("--moments", help="daily with --run-date: folder of running baseline moments, so a run reads no 56 days of history")
+    ap.add_argument("--history-table", help="daily/weekly/util with --run-date: bucketed table of the history job, used when complete")
     ap.add_argument("--special-user", action="append", default=[],
                     help="late-night special user id (offsets %s); repeatable" % (SPECIAL_USER_OFFSETS,))
     a = ap.parse_args(argv)
@@ -473,15 +498,25 @@ def main(argv=None) -> None:
         r = (_readings_from_parquet(spark, a.readings) if back is None
              else _readings_from_parquet(spark, a.readings, as_of - back, as_of))
     th = Thresholds().to_df(spark)
+    rows = None
+    if a.history_table and as_of is not None and not a.recompute_history and a.job in HISTORY_OF:
+        lo, hi = (as_of + d for d in HISTORY_OF[a.job])
+        rows = H.complete_history(spark, a.history_table, lo, hi)
+        if rows is None:
+            print(f"{a.history_table}: data days {lo}..{hi} are not complete; not used", file=sys.stderr)
     # the stored history is used when it is complete for the days that the label needs; only a missing path means there is no store
-    store = None if as_of is None or a.recompute_history else ST.stored_cells(spark, a.store)
+    store = None if as_of is None or a.recompute_history or rows is not None else ST.stored_cells(spark, a.store)
     if store is not None:
         lacking = [(kind, lo, hi) for kind, lo, hi in needed_history(spark, a, as_of) if not ST.is_covered(spark, a.store, kind, lo, hi)]
         if lacking:
             print(f"{a.store}: cells of {', '.join(f'{k} for data days {lo}..{hi}' for k, lo, hi in lacking)} are not complete; "
                   "computing from readings", file=sys.stderr)
             store = None
-    if a.job == "daily" and store is not None and a.moments:
+    if a.job == "daily" and rows is not None:
+        d = daily_job_from_history(_readings_from_parquet(spark, a.readings, as_of, as_of), th, rows,
+                                   H.bucket_count(spark, a.history_table), as_of)
+        cells = to_cells(d, FAMILY_DAILY, DAILY_COLS, version).unionByName(tag_cells(d, "Otag", version))
+    elif a.job == "daily" and store is not None and a.moments:
         d = daily_job_from_moments(spark, _readings_from_parquet(spark, a.readings, as_of, as_of), th, store, a.moments, as_of)
         cells = to_cells(d, FAMILY_DAILY, DAILY_COLS, version).unionByName(tag_cells(d, "Otag", version))
     elif a.job == "daily" and store is not None:
@@ -494,10 +529,11 @@ def main(argv=None) -> None:
         cells = to_cells(d, FAMILY_DAILY, DAILY_COLS, version).unionByName(tag_cells(d, "Otag", version))
     elif a.job == "weekly":
         # stored Daily cells of the 28 days the label needs, or a recomputation from readings
-        d = (store_daily_history(store, as_of - 27, as_of) if store is not None
+        d = (H.active_days(rows) if rows is not None
+             else store_daily_history(store, as_of - 27, as_of) if store is not None
              else daily_job(r, th, None))
         last = None if as_of is not None else r.agg(F.max(day_no("t"))).first()[0]
-        cells = to_cells(weekly_job(d, as_of, last), FAMILY_WEEKLY, WEEKLY_COLS, version)
+        cells = to_cells(weekly_job(d, as_of, last, dealt=rows is not None), FAMILY_WEEKLY, WEEKLY_COLS, version)
     elif a.job.startswith("util-"):
         if as_of is None:
             ap.error("utilisation jobs need --run-date")
@@ -507,7 +543,9 @@ def main(argv=None) -> None:
         users = G.active_users(reg) if reg is not None else r.select(F.col("user_id").alias("user")).distinct()
         grid = G.user_app_grid(users, Thresholds().app_types)
         span = {"long": 28, "short": 7, "weekday": 56}[kind]
-        if store is not None:
+        if rows is not None:
+            u = utilization_from_sessions(H.sessions(rows), grid, as_of, kind)
+        elif store is not None:
             # the daily job's stored session lists replace re-sessionizing `span` days of readings
             u = utilization_from_sessions(store_sessions(store, as_of - span, as_of), grid, as_of, kind)
         else:

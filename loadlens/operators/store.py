@@ -69,17 +69,18 @@ def _raw(spark: SparkSession, path: str) -> DataFrame | None:
     return t.withColumn("ymd", F.col("ymd").cast("long"))
 
 
-def stored_cells(spark: SparkSession, path: str) -> DataFrame | None:
+def stored_cells(spark: SparkSession, path: str, parts: int | None = None) -> DataFrame | None:
     """The newest cell of every key and its yyyymm, or None when ``path`` does not exist.
 
-    Rows are dealt by (user, type) once; the reduction and what callers group
+    Rows are dealt by (user, type) once, to ``parts`` partitions when given; the reduction and what callers group
     or window by these keys need no further exchange.  Filters on month,
     family, day and column reach the scan.
     """
     t = _raw(spark, path)
     if t is None:
         return None
-    best = (t.repartition("user_id", "app_type_id").groupBy(*CELL_KEY, "yyyymm")
+    by_key = t.repartition(*([] if parts is None else [parts]), "user_id", "app_type_id")
+    best = (by_key.groupBy(*CELL_KEY, "yyyymm")
             .agg(F.max(F.struct("version", "value")).alias("b")))
     return best.select(*CELL_KEY, F.col("b.value").alias("value"), F.col("b.version").alias("version"), "yyyymm")
 
@@ -174,15 +175,23 @@ def mark_covered(spark: SparkSession, path: str, kind: str, lo: int, hi: int) ->
     Folder(spark, path).write_new(f"{COVERED}/{kind}.{lo}.{hi}", "")
 
 
-def is_covered(spark: SparkSession, path: str, kind: str, lo: int, hi: int) -> bool:
-    """Whether markers cover every data day of lo..hi, so that a day without cells is known to be an idle one."""
-    spans = sorted((int(a), int(b)) for k, a, b in (n.split(".") for n in Folder(spark, path).names(COVERED) if not n.startswith((".", "_"))) if k == kind)
-    for a, b in spans:
+def covered_spans(spark: SparkSession, path: str, kind: str) -> list[tuple[int, int]]:
+    """The (first, last) data days of every marker of ``kind``, sorted."""
+    return sorted((int(a), int(b)) for k, a, b in (n.split(".") for n in Folder(spark, path).names(COVERED) if not n.startswith((".", "_"))) if k == kind)
+
+
+def spans_cover(spans: list[tuple[int, int]], lo: int, hi: int) -> bool:
+    for a, b in sorted(spans):
         if a <= lo <= b:
             lo = b + 1
     return lo > hi
 
 
+def is_covered(spark: SparkSession, path: str, kind: str, lo: int, hi: int) -> bool:
+    """Whether markers cover every data day of lo..hi, so that a day without cells is known to be an idle one."""
+    return spans_cover(covered_spans(spark, path, kind), lo, hi)
+
+
 def convert_store(spark: SparkSession, old: str, new: str) -> None:
     """Write the cells of a store without run folders into a new one."""
     append_cells(spark, new, read_if_exists(spark, old).withColumn("ymd", F.col("ymd").cast("long")))

@@ -28,10 +28,13 @@ def fan_out_labels(df: DataFrame, span_days: int, last_day: int | None, day_col:
     return df.withColumn("label_day", F.explode(F.sequence(F.col(day_col), end)))
 
 
-def weekly_totals(daily: DataFrame, keys=("user_id", "app_type_id"), last_day: int | None = None) -> DataFrame:
-    """w_cnt, w_dur, a_cnt, a_dur per key and label day (integer averages), up to label ``last_day``."""
+def weekly_totals(daily: DataFrame, keys=("user_id", "app_type_id"), last_day: int | None = None, dealt: bool = False) -> DataFrame:
+    """w_cnt, w_dur, a_cnt, a_dur per key and label day (integer averages), up to label ``last_day``.
+
+    ``dealt``: the rows lie by key already, as a bucketed table's do.
+    """
     # one exchange of day rows by user; the label sums and the trend frames reuse it
-    w = (fan_out_labels(daily.repartition(keys[0]), 7, last_day)
+    w = (fan_out_labels(daily if dealt else daily.repartition(keys[0]), 7, last_day)
          .groupBy(*keys, "label_day")
          .agg(F.sum("cnt").alias("w_cnt"), F.sum("dur").alias("w_dur"),
               F.count(F.when(F.col("cnt") > 0, 1)).alias("n_days")))

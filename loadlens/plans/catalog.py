@@ -7,6 +7,7 @@ aliases its outputs to the names used by the SQL oracle.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from loadlens.functions.time import (day_no, day_to_label, epoch_seconds, jst_ho
                                      weekday_no, yyyymm, yyyymmdd)
 from loadlens.operators import activity as A
 from loadlens.operators import daily as D
+from loadlens.operators import history as H
 from loadlens.operators import ingest as I
 from loadlens.operators import latenight as L
 from loadlens.operators import payload as PL
@@ -809,3 +811,36 @@ def q_activity_slots(spark, sf):
 QUERIES.update({"daily_job": q_daily_job, "pair_minmax": q_pair_minmax, "daily_job_pairs": q_daily_job_pairs,
                 "util_registry": q_util_registry, "activity_slots": q_activity_slots})
 
+
+# --- bucketed daily history -------------------------------------------------
+
+HISTORY_BUCKETS = 8
+
+
+def history_table(spark, sf):
+    """The daily job's cells written to a store and published as a table bucketed by key; returns its name."""
+    store, table = fresh_path(spark, "history-store"), f"history_{uuid.uuid4().hex}"
+    d = D.daily_metrics(def_sessions(spark, sf), with_tags=True)
+    cells = J.to_cells(d, J.FAMILY_DAILY, {"cnt": "cnt", "dur": "dur"}, 1).unionByName(J.tag_cells(d, "Otag", 1))
+    ST.append_cells(spark, store, cells)
+    ST.mark_covered(spark, store, "daily", 0, newest_day(spark, sf) or 0)
+    H.publish(spark, store, table, HISTORY_BUCKETS, location=fresh_path(spark, "history"))
+    return table
+
+
+def q_weekly_history(spark, sf):
+    """Weekly flags of every label from the bucketed history: no exchange of its rows."""
+    rows = H.active_days(spark.table(history_table(spark, sf)))
+    w = J.weekly_job(rows, last_day=newest_day(spark, sf), dealt=True)
+    return w.select(F.col("user_id").cast("long").alias("user_id"), "ymd", "u_h_cnt", "u_l_cnt", "u_h_dur", "u_l_dur")
+
+
+def q_util_history(spark, sf):
+    """Long utilisation from the session lists of the bucketed history; only the grid is exchanged."""
+    rows = H.complete_history(spark, history_table(spark, sf), X.AS_OF_DAY - 28, X.AS_OF_DAY)
+    grid = user_grid(spark, sf).withColumn("user_id", F.col("user_id").cast("string"))
+    u = J.utilization_from_sessions(H.sessions(rows), grid, X.AS_OF_DAY, "long")
+    return _hours_out(u.withColumn("user_id", F.col("user_id").cast("long")), "l")
+
+
+QUERIES.update({"weekly_history": q_weekly_history, "util_history": q_util_history})

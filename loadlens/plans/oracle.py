@@ -539,3 +539,7 @@ FROM sess GROUP BY user_id, app, d""",
 SELECT user_id, app_id AS app_type_id, w * 600 AS st, max(CASE WHEN power > 20 THEN t END) AS la FROM dense
 WHERE {PC} >= w * 600 AND t <= {PC} AND power > 0 GROUP BY user_id, app_id, w""",
 })
+
+
+# the same results, read from the bucketed history
+ORACLE.update({"weekly_history": ORACLE["weekly_unusual"], "util_history": ORACLE["util_long"]})

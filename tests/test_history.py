@@ -1,0 +1,115 @@
+"""Daily history bucketed by key: same results, no exchange of its rows, months replaced, incomplete days refused."""
+
+import re
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import D0, D0_DAY, readings
+from loadlens import jobs as J
+from loadlens.operators import history as H
+from loadlens.operators import store as ST
+from loadlens.settings import Thresholds
+
+LAST = D0_DAY + 62
+
+
+def _readings(spark, days=63):
+    """Five keys with sessions on changing days; the last key lies idle for a month."""
+    rows = []
+    for k in range(5):
+        for d in range(days):
+            if (d * (k + 2)) % 7 < 4 and not (k == 4 and 20 < d < 55):
+                for s in range(1 + (d + k) % 3):
+                    rows += [(f"u{k}", "25", D0 + d * 86400 + s * 9000 + m, 30.0) for m in range(0, 1200 + 60 * k, 300)]
+    return readings(spark, rows)
+
+
+@pytest.fixture
+def published(spark, tmp_path):
+    r, th = _readings(spark), Thresholds().to_df(spark)
+    store, table = str(tmp_path / "store"), f"history_{uuid.uuid4().hex}"
+    d = J.daily_job(r, th)
+    ST.append_cells(spark, store, J.to_cells(d, J.FAMILY_DAILY, J.DAILY_COLS, 1).unionByName(J.tag_cells(d, "Otag", 1)))
+    ST.mark_covered(spark, store, "daily", D0_DAY - 100, LAST)
+    H.publish(spark, store, table, 4, location=str(tmp_path / "table"))
+    yield r, th, store, table
+    spark.sql(f"DROP TABLE {table}")
+
+
+def _exchanges(df, capsys):
+    """The plan, and its shuffles (one that stands in the first and the final plan counts once)."""
+    df.explain("formatted")
+    plan = capsys.readouterr().out
+    return plan, sorted(set(re.findall(r"^Arguments: (hashpartitioning\(.*?\)), ", plan, flags=re.M)))
+
+
+def _rows(df, *drop):
+    return sorted(map(str, df.drop(*drop).collect()))
+
+
+def test_jobs_from_the_table_equal_those_from_readings(spark, published, capsys):
+    r, th, _, table = published
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = H.complete_history(spark, table, LAST - 56, LAST - 1)
+        d = J.daily_job_from_history(r, th, rows, 4, LAST)
+        assert _rows(d) == _rows(J.daily_job(r, th, LAST)) and d.count() > 0
+
+        week = J.weekly_job(H.active_days(H.complete_history(spark, table, LAST - 27, LAST)), LAST, dealt=True)
+        assert _rows(week) == _rows(J.weekly_job(J.daily_job(r, th), LAST)) and week.count() == 5
+        assert _exchanges(week, capsys)[1] == []
+
+        grid = spark.createDataFrame([(f"u{k}", "25") for k in range(7)], "user_id string, app_type_id string")
+        for kind, span in (("long", 28), ("short", 7), ("weekday", 56)):
+            past = H.complete_history(spark, table, LAST - span, LAST)
+            u = J.utilization_from_sessions(H.sessions(past), grid, LAST, kind)
+            assert _rows(u) == _rows(J.utilization_job(r, th, grid, LAST, kind))
+            plan, shuffles = _exchanges(u, capsys)
+            assert len(shuffles) == 1, plan           # the grid, into the table's buckets
+
+        plan, _ = _exchanges(d, capsys)
+        scan = re.search(r"^\((\d+)\) Scan parquet spark_catalog[^\n]*\n(.*?)\n\n", plan, flags=re.M | re.S).group(2)
+        assert "SelectedBucketsCount: 4 out of 4" in scan and "PartitionFilters" in scan
+        moments = J.D.moments_of(H.active_days(rows), LAST)
+        assert _exchanges(moments, capsys)[1] == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_bucket_is_one_file_a_month(spark, published):
+    files = spark.table(published[3]).select("yyyymm", F.input_file_name().alias("f")).distinct()
+    assert files.groupBy("yyyymm").count().agg(F.max("count")).first()[0] <= 4
+
+
+def test_a_month_is_published_again(spark, published):
+    r, th, store, table = published
+    month = J.months_between(LAST, LAST)
+    before = {x.day_no: x.n for x in spark.table(table).groupBy("day_no").agg(F.count("*").alias("n")).collect()}
+    cells = spark.createDataFrame([("new", "25", d * 86400 + 54000, "Daily", c, "7", 2) for d in (LAST - 40, LAST) for c in ("cnt", "dur")],
+                                  "user_id string, app_type_id string, ymd long, family string, col string, value string, version long")
+    ST.append_cells(spark, store, cells)
+    ST.mark_covered(spark, store, "daily", LAST, LAST + 200)
+    H.publish(spark, store, table, 4, month)
+    after = {x.day_no: x.n for x in spark.table(table).groupBy("day_no").agg(F.count("*").alias("n")).collect()}
+    assert after == {**before, LAST: before.get(LAST, 0) + 1}            # only that month was read again
+    end = H.clipped([(0, LAST + 200)], month[0])[0][1]
+    assert H.complete_history(spark, table, LAST, end) is not None       # new days of that month count, later ones do not
+    assert H.complete_history(spark, table, LAST, end + 1) is None
+
+
+def test_what_the_table_lacks_is_not_used(spark, published):
+    _, _, store, table = published
+    assert H.complete_history(spark, table, LAST - 56, LAST + 1) is None
+    assert H.complete_history(spark, "no_such_table", LAST - 56, LAST) is None
+    with pytest.raises(ValueError, match="4 buckets"):
+        H.publish(spark, store, table, 8)
+    with pytest.raises(ValueError, match="does not exist"):
+        H.publish(spark, store + "-none", f"t_{uuid.uuid4().hex}", 4)
+
+
+def test_spans_of_a_month():
+    assert H.clipped([(0, 10 ** 6)], 197012) == [(334, 364)]
+    assert H.clipped([(0, 40), (50, 60)], 197002) == [(31, 40), (50, 58)]
+    assert H.clipped([(0, 5)], 197002) == []
