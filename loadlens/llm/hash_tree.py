@@ -10,7 +10,8 @@ they are exchange nothing with each other.
 
 Defined cases: a null key is the word ``null``; a null text has size 1 and the
 crc32 of an empty text; repeated rows go to one shard and take different
-slots; an empty table gives no rows.
+slots; a text of any length counts as one row; columns of other names or of
+clashing ones are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 
 from loadlens.llm.common import texts
 
-#: Rows of a shard that one slot bin numbers at a time.
+#: Rows that a slot bin has on average, and the longest run of slots that is unfolded at a time.
 BIN_ROWS = 65_536
+#: Bins' worth of rows that a task unfolds.
+TASK_BINS = 32
 
 
 @dataclass(frozen=True)
@@ -83,26 +86,39 @@ def key_of(doc_id: Column) -> Column:
 def assign(docs: DataFrame, tree: Node, grown: Node | None = None, bin_rows: int = BIN_ROWS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of every document.
 
-    Slots number a shard's documents from 0 without gaps.  Documents are dealt
-    into bins by a second hash; a small table of bin counts, summed along each
-    shard, gives every bin its first slot, and only a bin's rows meet in one task.
+    Slots number a shard's documents from 0 without gaps.  Rows equal in all
+    that is returned are counted first.  These counted rows are dealt into bins by a hash
+    of all three values, so many texts of one id (or of none) do not meet; a
+    small table of bin sizes, summed along each shard, gives every bin its
+    first slot.  A counted row stands for a run of slots, which is cut into
+    stretches of ``bin_rows`` that are dealt anew and unfolded, so that
+    no task writes all copies of one row.
     """
     rows = texts(docs)
-    bins = rows.count() // bin_rows + 1
+    count = rows.count()
+    bins = count // bin_rows + 1
+    # a number of its own: coalescing would go by the bytes before unfolding
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, count // (TASK_BINS * bin_rows) + 1)
     key = key_of(F.col("doc_id"))
-    dealt = rows.select(
+    spread = F.md5(F.concat_ws("|", key, "text_crc32", "size", F.lit("bin")).cast("binary"))
+    dealt = (rows.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        descend(key, tree).alias("shard"),
-        (descend(key, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"),
-        (F.conv(F.substring(F.md5(F.concat(key, F.lit("|bin")).cast("binary")), 1, 13), 16, 10).cast("long") % bins).alias("bin"),
-    )
-    in_bin = Window.partitionBy("shard", "bin").orderBy("doc_id", "text_crc32", "size")
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+        .groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("rows"))
+        .withColumns({
+            "shard": descend(key, tree),
+            "grown_shard": descend(key, grown) if grown else F.lit(None).cast("int"),
+            "bin": F.conv(F.substring(spread, 1, 13), 16, 10).cast("long") % bins}))
+    in_bin = Window.partitionBy("shard", "bin").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy("shard").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    first = (dealt.groupBy("shard", "bin").count()
-             .select("shard", "bin", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first")))
-    return (dealt.withColumn("place", F.row_number().over(in_bin) - 1)
+    first = (dealt.groupBy("shard", "bin").agg(F.sum("rows").alias("rows"))
+             .select("shard", "bin", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first")))
+    runs = (dealt.withColumn("place", F.coalesce(F.sum("rows").over(in_bin), F.lit(0)))
             .join(first, ["shard", "bin"])
-            .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
-                    (F.col("first") + F.col("place")).cast("long").alias("slot"), "grown_shard"))
+            .withColumns({"from": F.col("first") + F.col("place"), "end": F.col("first") + F.col("place") + F.col("rows")}))
+    stretches = (runs.withColumn("slot", F.explode(F.expr(f"sequence(from, end - 1, {bin_rows}L)")))
+                 .withColumn("end", F.least("end", F.col("slot") + bin_rows))
+                 .repartition(tasks, "shard", "slot"))
+    return (stretches.withColumn("slot", F.explode(F.expr("sequence(slot, end - 1)")))
+            .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), "grown_shard"))

@@ -42,7 +42,7 @@ b AS (
         [('0x' || x)::UBIGINT FOR x IN regexp_extract_all(hex(encode(text)), '..')]),
       lambda c, x: xor(c >> 8, crc.t[((xor(c, x)) & 255)::INTEGER + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32,
     ({_descend(_TREE)})::INTEGER AS shard, ({_descend(with_shard(_TREE, 8))})::INTEGER AS grown_shard,
-    ('0x' || substr(md5(key || '|bin'), 1, 13))::BIGINT % ((SELECT count(*) FROM documents) // {BIN_ROWS} + 1) AS bin
+    ('0x' || substr(md5(key || '|' || text_crc32 || '|' || size || '|bin'), 1, 13))::BIGINT % ((SELECT count(*) FROM documents) // {BIN_ROWS} + 1) AS bin
   FROM d, crc
 )
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,

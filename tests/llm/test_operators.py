@@ -510,6 +510,22 @@ def test_hash_tree_oracle_and_law(spark, awkward, empty):
     assert hash_tree.assign(empty, tree).count() == 0
 
 
+def test_hash_tree_hot_ids_and_repeated_rows_are_spread(spark):
+    """One id with many texts fills many bins; many copies of one row are unfolded by many tasks."""
+    rows = (spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+            .unionByName(spark.range(50000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"))))
+    out = hash_tree.assign(rows, hash_tree.even_tree(2, 2, 2), bin_rows=500)
+    got = out.withColumn("task", F.spark_partition_id()).toPandas()
+    assert len(got) == 53000 and got.shard.nunique() <= 2
+    for _, g in got.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g)))
+    copies = got[got.doc_id.isna()].sort_values("slot")
+    assert (np.diff(copies.slot) == 1).all()                               # one run
+    assert copies.groupby("task").size().max() < len(copies) / 2
+    many = got[got.doc_id == 7].sort_values("slot")
+    assert (np.diff(many.text_crc32) < 0).sum() > 20                       # sorted within some hundred bins, not in one
+
+
 def test_hash_tree_weights(spark):
     rows = spark.range(40000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     node = hash_tree.Node
