@@ -106,10 +106,11 @@ def assign(docs: DataFrame, tree: Node, grown: Node | None = None, bin_rows: int
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
         .groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("rows"))
+        # never null, and told so: a join's null filter would reach one side's scan only, and the texts be read twice
         .withColumns({
-            "shard": descend(key, tree),
+            "shard": F.coalesce(descend(key, tree), F.lit(0)),
             "grown_shard": descend(key, grown) if grown else F.lit(None).cast("int"),
-            "bin": F.conv(F.substring(spread, 1, 13), 16, 10).cast("long") % bins}))
+            "bin": F.coalesce(F.conv(F.substring(spread, 1, 13), 16, 10).cast("long") % bins, F.lit(0))}))
     in_bin = Window.partitionBy("shard", "bin").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy("shard").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     first = (dealt.groupBy("shard", "bin").agg(F.sum("rows").alias("rows"))

@@ -22,6 +22,13 @@ def test_sharding_is_native(spark, capsys):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_sharding_reads_the_texts_once(spark):
+    df = QUERIES["op9_hash_tree_shards"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 @pytest.mark.parametrize("name", ["op1_fertility_rules", "op5_ftrl_toxicity", "op6_seed_align_decontamination", "op7_pii_tagger"])
 def test_scoring_moves_no_document(spark, capsys, name):
     text = plan(spark, name, capsys)
