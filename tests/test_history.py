@@ -113,3 +113,29 @@ def test_spans_of_a_month():
     assert H.clipped([(0, 10 ** 6)], 197012) == [(334, 364)]
     assert H.clipped([(0, 40), (50, 60)], 197002) == [(31, 40), (50, 58)]
     assert H.clipped([(0, 5)], 197002) == []
+
+
+def test_cli_history_table(spark, tmp_path, capsys):
+    """The jobs give the same cells with ``--history-table`` as from the store, and say so when it lacks days."""
+    src, store, table = str(tmp_path / "readings"), str(tmp_path / "store"), f"history_{uuid.uuid4().hex}"
+    _readings(spark, 35).write.parquet(src)
+    date = "02052024"                       # the day after data day LAST of 35 days
+    assert J.run_date_to_day(date) == D0_DAY + 34
+    J.main(["daily", "--readings", src, "--store", store, "--version", "1"])
+    J.main(["history", "--store", store, "--table", table, "--buckets", "3"])
+    try:
+        for job in ("daily", "weekly", "util-short"):
+            cells = []
+            for k, more in enumerate(([], ["--history-table", table])):
+                out = str(tmp_path / f"{job}-{k}")
+                ST.append_cells(spark, out, ST.stored_cells(spark, store))
+                ST.mark_covered(spark, out, "daily", 0, D0_DAY + 34)
+                capsys.readouterr()
+                J.main([job, "--readings", src, "--store", out, "--run-date", date, "--version", "9", *more])
+                assert "not complete" not in capsys.readouterr().err
+                cells.append(_rows(ST.stored_cells(spark, out)))
+            assert cells[0] == cells[1] and len(cells[0]) > 100
+        J.main(["weekly", "--readings", src, "--store", str(tmp_path / "late"), "--run-date", "03302024", "--history-table", table])
+        assert "not used" in capsys.readouterr().err
+    finally:
+        spark.sql(f"DROP TABLE {table}")
