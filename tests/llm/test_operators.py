@@ -510,6 +510,16 @@ def test_hash_tree_oracle_and_law(spark, awkward, empty):
     assert hash_tree.assign(empty, tree).count() == 0
 
 
+def test_hash_tree_bins_agree_with_sql(spark):
+    """Over many bins too, which whole small tables never fill."""
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    rel = con.sql(oracle.ORACLE["op9_hash_tree_shards"].replace(f"// {hash_tree.BIN_ROWS} ", "// 9 "))
+    tree = hash_tree.even_tree(2, 2, 2)
+    out = hash_tree.assign(spark.read.parquet(f"{SF}/documents.parquet"), tree, hash_tree.with_shard(tree, 8), bin_rows=9)
+    assert sorted(map(repr, map(tuple, out.select(*rel.columns).collect()))) == sorted(map(repr, rel.fetchall()))
+
+
 def test_hash_tree_hot_ids_and_repeated_rows_are_spread(spark):
     """One id with many texts fills many bins; many copies of one row are unfolded by many tasks."""
     rows = (spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
